@@ -118,3 +118,109 @@ def route_and_pad(spark, sf_dir):
         S.pad_right(F.col("c_custkey").cast("string"), 10).alias("code_short"),
         S.pad_right("c_name", 10).alias("code_long"),
     )
+
+
+# ------------------------------------------------------------------ family B
+def _mail_records(spark, sf_dir):
+    from tessera.plans import mail as B
+
+    return B.parse_records(D.mail_rows(spark, sf_dir))
+
+
+@register("mail_parse")
+def mail_parse(spark, sf_dir):
+    r = _mail_records(spark, sf_dir)
+    return r.select(
+        "timestamp_iso",
+        "`message identifier`",
+        "sender",
+        F.concat_ws("|", "recipients").alias("recipients_text"),
+        F.col("attributes")[0]["value"].cast("bigint").alias("n_recipients"),
+        F.col("recipients")[0].alias("first_recipient"),
+        F.element_at("recipients", -1).alias("last_recipient"),
+        "topic",
+        "email",
+    )
+
+
+@register("mail_user_stats")
+def mail_user_stats(spark, sf_dir):
+    from tessera.plans import mail as B
+
+    return B.user_stats(_mail_records(spark, sf_dir))
+
+
+@register("mail_user_stats_all")
+def mail_user_stats_all(spark, sf_dir):
+    from tessera.plans import mail as B
+
+    return B.user_stats(_mail_records(spark, sf_dir), include_receivers=True)
+
+
+@register("mail_edges_all")
+def mail_edges_all(spark, sf_dir):
+    from tessera.plans import mail as B
+
+    return B.edges(_mail_records(spark, sf_dir))
+
+
+@register("mail_edges_last")
+def mail_edges_last(spark, sf_dir):
+    from tessera.plans import mail as B
+
+    return B.edges(_mail_records(spark, sf_dir), last_only=True)
+
+
+# ------------------------------------------------------------------ family C
+# Search parameters of the registered queries.
+SEARCH_HOST = "web-1"
+SEARCH_NAME = "error"
+COPY_HOST = "web-2"
+
+
+@register("log_json_search")
+def log_json_search(spark, sf_dir):
+    from tessera.plans import logs as C
+
+    return C.search(D.log_docs(spark, sf_dir), host=SEARCH_HOST, name=SEARCH_NAME)
+
+
+@register("log_search_analyzed")
+def log_search_analyzed(spark, sf_dir):
+    from tessera.plans import logs as C
+
+    return C.search(D.log_docs(spark, sf_dir), host=SEARCH_HOST, name="click", analyzed=True, size=None)
+
+
+@register("log_rejected_messages")
+def log_rejected_messages(spark, sf_dir):
+    from tessera.plans import logs as C
+
+    bad = C.rejected_messages(D.log_docs(spark, sf_dir))
+    return bad.select("_id", "host", "event_type")
+
+
+@register("create_only_copy")
+def create_only_copy(spark, sf_dir):
+    from tessera.plans import logs as C
+
+    docs = D.log_docs(spark, sf_dir)
+    source = docs.where(C.match_host("host", COPY_HOST))
+    destination = docs.where(F.col("event_type") == "view")
+    return C.copy_new(source, destination).select("_id", "host", "day", "event_type")
+
+
+@register("two_source_copy")
+def two_source_copy(spark, sf_dir):
+    from tessera.plans import logs as C
+
+    docs = D.log_docs(spark, sf_dir)
+    keyed = docs.select(
+        F.concat(F.lit("u"), F.col("_seq").cast("string").substr(-1, 1), F.lit("-"), F.hour("@timestamp").cast("string")).alias("_id"),
+        "host",
+        "@timestamp",
+        "day",
+        "_seq",
+    )
+    out = C.two_source_copy(keyed, host_today=COPY_HOST, host_yesterday=COPY_HOST)
+    return out.select("target_day", "_id", "priority", F.col("_seq").alias("event_id"), "day")

@@ -125,3 +125,80 @@ FROM customer"""
 SQL["route_and_pad"] = f"""SELECT c.c_custkey, n.n_name || '-->' || c.c_mktsegment AS route,
        {pad_right('CAST(c.c_custkey AS VARCHAR)', 10)} AS code_short, {pad_right('c.c_name', 10)} AS code_long
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+
+# ------------------------------------------------------------------ family B
+MAIL_CTE = """mail AS (
+  SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(l.l_shipdate AS DATE)) AS BIGINT) * 86400000
+           + CAST(l.l_linenumber AS BIGINT) * 3600000 + (l.l_partkey % 60) * 60000
+           + CASE WHEN l.l_orderkey % 4 = 0 THEN 0 ELSE (l.l_suppkey * 37 + l.l_linenumber) % 1000 END AS ms,
+         '<' || CAST(l.l_orderkey AS VARCHAR) || '.' || CAST(l.l_linenumber AS VARCHAR) || '@mail>' AS message_id,
+         cn.n_name AS sender_raw,
+         CASE l.l_linenumber % 4 WHEN 0 THEN '' WHEN 1 THEN sn.n_name WHEN 2 THEN sn.n_name || '|' || cn.n_name
+              ELSE sn.n_name || '|' || sn.n_name || '|' || cn.n_name END AS recipients_raw
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+       JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation cn ON c.c_nationkey = cn.n_nationkey
+       JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation sn ON s.s_nationkey = sn.n_nationkey),
+records AS (
+  SELECT CASE WHEN ms % 1000 = 0 THEN strftime(epoch_ms(ms), '%Y-%m-%dT%H:%M:%S')
+              ELSE strftime(epoch_ms(ms), '%Y-%m-%dT%H:%M:%S.%f') END AS timestamp_iso,
+         message_id AS "message identifier", lower(sender_raw) AS sender,
+         string_split(lower(recipients_raw), '|') AS recipients, '' AS topic, 'mail' AS email
+  FROM mail)"""
+
+SQL["mail_parse"] = f"""WITH {MAIL_CTE}
+SELECT timestamp_iso, "message identifier", sender, array_to_string(recipients, '|') AS recipients_text,
+       CAST(len(recipients) AS BIGINT) AS n_recipients, recipients[1] AS first_recipient,
+       recipients[len(recipients)] AS last_recipient, topic, email
+FROM records"""
+
+_SENT = "sent AS (SELECT sender AS usr, count(*) AS sent FROM records GROUP BY 1)"
+_RECV = "recv AS (SELECT r AS usr, count(*) AS received FROM records, unnest(recipients) AS t(r) GROUP BY 1)"
+SQL["mail_user_stats"] = f"""WITH {MAIL_CTE}, {_SENT}, {_RECV}
+SELECT s.usr AS "user", coalesce(r.received, 0) AS received, s.sent AS sent
+FROM sent s LEFT JOIN recv r ON s.usr = r.usr"""
+
+SQL["mail_user_stats_all"] = f"""WITH {MAIL_CTE}, {_SENT}, {_RECV}
+SELECT coalesce(s.usr, r.usr) AS "user", coalesce(r.received, 0) AS received, coalesce(s.sent, 0) AS sent
+FROM sent s FULL OUTER JOIN recv r ON s.usr = r.usr"""
+
+SQL["mail_edges_all"] = f"""WITH {MAIL_CTE}
+SELECT sender AS src, r AS dst, count(*) AS weight FROM records, unnest(recipients) AS t(r) GROUP BY ALL"""
+
+SQL["mail_edges_last"] = f"""WITH {MAIL_CTE}
+SELECT sender AS src, recipients[len(recipients)] AS dst, count(*) AS weight FROM records GROUP BY ALL"""
+
+# ------------------------------------------------------------------ family C
+DOCS_CTE = """docs AS (
+  SELECT CAST(event_id AS VARCHAR) AS _id,
+         CASE WHEN event_id % 13 = 0 THEN upper('web-' || CAST(user_id % 4 AS VARCHAR))
+              ELSE 'web-' || CAST(user_id % 4 AS VARCHAR) END AS host,
+         ts, CAST(ts AS DATE) AS day, event_id, event_type, user_id,
+         json_extract_string(props, '$.k') AS k
+  FROM events)"""
+
+SQL["log_json_search"] = f"""WITH {DOCS_CTE}
+SELECT _id, ts AS timestamp, 'user' || CAST(user_id AS VARCHAR) AS "user", 'h' || CAST(user_id % 5 AS VARCHAR) AS device,
+       '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.' || k AS client_address, 'dev-' || k AS device_address
+FROM docs WHERE host = 'web-1' AND event_type = 'error'
+ORDER BY ts, _id LIMIT 10000"""
+
+SQL["log_search_analyzed"] = f"""WITH {DOCS_CTE}
+SELECT _id, ts AS timestamp, 'user' || CAST(user_id AS VARCHAR) AS "user", 'h' || CAST(user_id % 5 AS VARCHAR) AS device,
+       '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.' || k AS client_address, 'dev-' || k AS device_address
+FROM docs WHERE list_has_any(regexp_split_to_array(lower(host), '[^\\p{{L}}\\p{{N}}]+'), ['web', '1']) AND event_type = 'click'"""
+
+SQL["log_rejected_messages"] = f"""WITH {DOCS_CTE}
+SELECT _id, host, event_type FROM docs WHERE event_type = 'signup'"""
+
+SQL["create_only_copy"] = f"""WITH {DOCS_CTE}
+SELECT _id, host, day, event_type FROM docs
+WHERE host = 'web-2' AND _id NOT IN (SELECT _id FROM docs WHERE event_type = 'view')"""
+
+SQL["two_source_copy"] = f"""WITH {DOCS_CTE},
+keyed AS (SELECT 'u' || right(CAST(event_id AS VARCHAR), 1) || '-' || CAST(hour(ts) AS VARCHAR) AS _id, host, ts, day, event_id FROM docs),
+offers AS (
+  SELECT day AS target_day, _id, 0 AS priority, ts, event_id, day FROM keyed WHERE host = 'web-2'
+  UNION ALL
+  SELECT CAST(day + INTERVAL 1 DAY AS DATE) AS target_day, _id, 1 AS priority, ts, event_id, day FROM keyed WHERE host = 'web-2'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY target_day, _id ORDER BY priority, ts, event_id) AS rn FROM offers)
+SELECT target_day, _id, priority, event_id, day FROM ranked WHERE rn = 1"""

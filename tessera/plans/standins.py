@@ -121,3 +121,79 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINEITEM_LINE_FIELDS = ["date", "flag", "status", "orderkey", "partkey", "suppkey", "linenumber", "quantity", "price"]
+
+
+# ---------------------------------------------------------------- family B (lineitem)
+def mail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mail CSV rows: one per ``lineitem`` row.
+
+    sender = nation of the order's customer; recipients = the supplier's nation (once,
+    twice, or with the customer's nation), or none, chosen by line number; upper-case
+    names so that lower-casing matters; milliseconds zero for every fourth order.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cn = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"))
+    sn = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation"))
+    j = (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .join(c, o.o_custkey == c.c_custkey)
+        .join(cn, "c_nationkey")
+        .join(s, li.l_suppkey == s.s_suppkey)
+        .join(sn, "s_nationkey")
+    )
+    k = F.pmod("l_linenumber", F.lit(4))
+    recipients = (
+        F.when(k == 0, F.lit(""))
+        .when(k == 1, F.col("s_nation"))
+        .when(k == 2, F.concat_ws("|", "s_nation", "c_nation"))
+        .otherwise(F.concat_ws("|", "s_nation", "s_nation", "c_nation"))
+    )
+    ms = F.when(F.pmod("l_orderkey", F.lit(4)) == 0, F.lit(0)).otherwise(F.pmod(F.col("l_suppkey") * 37 + F.col("l_linenumber"), F.lit(1000)))
+    epoch = (
+        F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86_400_000
+        + F.col("l_linenumber").cast("bigint") * 3_600_000
+        + F.pmod("l_partkey", F.lit(60)) * 60_000
+        + ms
+    )
+    return j.select(
+        _s(epoch).alias("epoch_ms"),
+        F.concat(F.lit("<"), _s(F.col("l_orderkey")), F.lit("."), _s(F.col("l_linenumber")), F.lit("@mail>")).alias("message_id"),
+        F.col("c_nation").alias("sender"),
+        recipients.alias("recipients"),
+        F.lit("").alias("topic"),
+        F.lit("mail").alias("mode"),
+    )
+
+
+# ---------------------------------------------------------------- family C (events)
+def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log documents: one per event. ``signup`` messages are cut-off JSON, ``purchase``
+    messages have no ``args``; hosts ``web-0..3`` with every 13th in upper case."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    host = F.concat(F.lit("web-"), _s(F.pmod("user_id", F.lit(4))))
+    args = F.concat(
+        F.lit('{"username": "user'), _s(F.col("user_id")),
+        F.lit('", "hostname": "h'), _s(F.pmod("user_id", F.lit(5))),
+        F.lit('", "client_address": "10.0.'), _s(F.pmod("user_id", F.lit(256))), F.lit("."), k,
+        F.lit('", "device_address": "dev-'), k, F.lit('"}'),
+    )
+    head = F.concat(F.lit('{"name": "'), F.col("event_type"), F.lit('"'))
+    message = (
+        F.when(F.col("event_type") == "signup", F.concat(head, F.lit(', "args": ')))
+        .when(F.col("event_type") == "purchase", F.concat(head, F.lit("}")))
+        .otherwise(F.concat(head, F.lit(', "args": '), args, F.lit("}")))
+    )
+    return ev.select(
+        _s(F.col("event_id")).alias("_id"),
+        F.when(F.pmod("event_id", F.lit(13)) == 0, F.upper(host)).otherwise(host).alias("host"),
+        F.col("ts").alias("@timestamp"),
+        message.alias("message"),
+        F.to_date("ts").alias("day"),
+        F.col("event_id").alias("_seq"),
+        F.col("event_type"),
+    )
