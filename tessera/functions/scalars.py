@@ -33,9 +33,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Fixed value: the characters Python's str.strip() removes (ASCII white space).
+WHITE_SPACE = " \t\n\r\x0b\x0c"
+FLOAT_CORE = FLOAT_TEXT.replace(r"^\s*", "^").replace(r"\s*$", "$")
+INT_CORE = INT_TEXT.replace(r"^\s*", "^").replace(r"\s*$", "$")
+
+
 def strip_ws(x) -> Column:
-    """Python ``str.strip()``: remove leading/trailing white space of any kind."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Python ``str.strip()`` for ASCII white space."""
+    return F.trim(_c(x), F.lit(WHITE_SPACE))
 
 
 def parse_float(x) -> Column:
@@ -44,20 +50,20 @@ def parse_float(x) -> Column:
     Accepts what Python accepts (``' 1e3 '``, ``'1_000'``, ``'inf'``, ``'nan'``) and
     rejects what Python rejects but Spark's cast would take (``'20d'``).
     """
-    x = _c(x).cast("string")
-    num = F.regexp_replace(strip_ws(x), "_", "").try_cast("double")
+    t = strip_ws(_c(x).cast("string"))
+    word = F.lower(t)
     return (
-        F.when(x.rlike(FLOAT_TEXT), num)
-        .when(x.rlike(POS_INF_TEXT), F.lit(float("inf")))
-        .when(x.rlike(NEG_INF_TEXT), F.lit(float("-inf")))
-        .when(x.rlike(NAN_TEXT), F.lit(float("nan")))
+        F.when(t.rlike(FLOAT_CORE), F.regexp_replace(t, "_", "").try_cast("double"))
+        .when(word.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+        .when(word.isin("-inf", "-infinity"), F.lit(float("-inf")))
+        .when(word.isin("nan", "+nan", "-nan"), F.lit(float("nan")))
     )
 
 
 def parse_int(x) -> Column:
     """Python ``int(text)``: NULL where Python would raise (or beyond 64 bits)."""
-    x = _c(x).cast("string")
-    return F.when(x.rlike(INT_TEXT), F.regexp_replace(strip_ws(x), "_", "").try_cast("bigint"))
+    t = strip_ws(_c(x).cast("string"))
+    return F.when(t.rlike(INT_CORE), F.regexp_replace(t, "_", "").try_cast("bigint"))
 
 
 def hour_of_hhmm(t) -> Column:

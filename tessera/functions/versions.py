@@ -29,52 +29,59 @@ def _p(arr: Column, i: int) -> Column:
     return F.get(arr, i)  # NULL out of range, never raises
 
 
-def engine_number(v) -> tuple[Column, Column]:
-    """More than one part: ``float(p2 + '.' + p3)``; else 0."""
-    p = parts(v)
-    n = F.size(p)
-    val = parse_float(F.concat(_p(p, 2), F.lit("."), _p(p, 3)))
-    many = n > 1
-    return (
-        F.when(many, val).otherwise(F.lit(float(NUMBER_DEFAULT))),
-        ~many | val.isNotNull(),
-    )
+# Each feature: (minimum number of parts for the parse to apply, parse of a parts
+# array, default). Below the minimum the default applies; at or above it the parse
+# must succeed or the row is rejected.
+def engine_raw(p: Column) -> Column:
+    """``float(p2 + '.' + p3)``."""
+    return parse_float(F.concat(_p(p, 2), F.lit("."), _p(p, 3)))
 
 
-def app_number(v) -> tuple[Column, Column]:
-    """More than one part: ``float('{p1:0>2}{p2:0>5}.{p3}')``; else 0."""
-    p = parts(v)
-    n = F.size(p)
-    txt = F.concat(pad_left(_p(p, 1), 2), pad_left(_p(p, 2), 5), F.lit("."), _p(p, 3))
-    val = parse_float(txt)
-    many = n > 1
-    return F.when(many, val).otherwise(F.lit(float(NUMBER_DEFAULT))), ~many | val.isNotNull()
+def app_raw(p: Column) -> Column:
+    """``float('{p1:0>2}{p2:0>5}.{p3}')``."""
+    return parse_float(F.concat(pad_left(_p(p, 1), 2), pad_left(_p(p, 2), 5), F.lit("."), _p(p, 3)))
 
 
-def signature_number(v) -> tuple[Column, Column]:
-    """More than three parts: ``float('{p0:0>2}{p1:0>3}{p2:0>4}.{p3}')``; else 0."""
-    p = parts(v)
-    n = F.size(p)
-    txt = F.concat(pad_left(_p(p, 0), 2), pad_left(_p(p, 1), 3), pad_left(_p(p, 2), 4), F.lit("."), _p(p, 3))
-    val = parse_float(txt)
-    many = n > 3
-    return F.when(many, val).otherwise(F.lit(float(NUMBER_DEFAULT))), ~many | val.isNotNull()
+def signature_raw(p: Column) -> Column:
+    """``float('{p0:0>2}{p1:0>3}{p2:0>4}.{p3}')``."""
+    return parse_float(F.concat(pad_left(_p(p, 0), 2), pad_left(_p(p, 1), 3), pad_left(_p(p, 2), 4), F.lit("."), _p(p, 3)))
+
+
+def lab_first_raw(p: Column) -> Column:
+    return parse_int(_p(p, 0))
+
+
+def lab_second_raw(p: Column) -> Column:
+    return parse_int(F.substring_index(_p(p, 1), "*", 1))
+
+
+def lab_third_raw(p: Column) -> Column:
+    return _p(p, 2)
+
+
+def lab_fourth_raw(p: Column) -> Column:
+    return _p(p, 3)
+
+
+# name -> (which input, minimum parts, raw parse, default)
+FEATURES = {
+    "engine_num": ("engine", 2, engine_raw, float(NUMBER_DEFAULT)),
+    "app_num": ("app", 2, app_raw, float(NUMBER_DEFAULT)),
+    "sig_num": ("signature", 4, signature_raw, float(NUMBER_DEFAULT)),
+    "first": ("build_lab", 2, lab_first_raw, NUMBER_DEFAULT),
+    "second": ("build_lab", 4, lab_second_raw, NUMBER_DEFAULT),
+    "third": ("build_lab", 2, lab_third_raw, TEXT_DEFAULT),
+    "fourth": ("build_lab", 2, lab_fourth_raw, TEXT_DEFAULT),
+}
 
 
-def build_lab(v) -> dict[str, tuple[Column, Column]]:
-    """SC20: ``first`` int(p0) if >1 part; ``second`` int(p1 up to '*') if >3 parts;
-    ``third`` p2 and ``fourth`` p3 as text if >1 part (``'___'`` otherwise)."""
+def feature(v, name: str) -> tuple[Column, Column]:
+    """One feature of a version text as ``(value, ok)`` (single-column convenience)."""
+    _, need, raw_fn, default = FEATURES[name]
     p = parts(v)
-    n = F.size(p)
-    first = parse_int(_p(p, 0))
-    second = parse_int(F.substring_index(_p(p, 1), "*", 1))
-    third, fourth = _p(p, 2), _p(p, 3)
-    return {
-        "first": (F.when(n > 1, first).otherwise(F.lit(NUMBER_DEFAULT).cast("bigint")), (n <= 1) | first.isNotNull()),
-        "second": (F.when(n > 3, second).otherwise(F.lit(NUMBER_DEFAULT).cast("bigint")), (n <= 3) | second.isNotNull()),
-        "third": (F.when(n > 1, third).otherwise(F.lit(TEXT_DEFAULT)), (n <= 1) | third.isNotNull()),
-        "fourth": (F.when(n > 1, fourth).otherwise(F.lit(TEXT_DEFAULT)), (n <= 1) | fourth.isNotNull()),
-    }
+    raw = raw_fn(p)
+    applies = F.size(p) >= need
+    return F.when(applies, raw).otherwise(F.lit(default)), ~applies | raw.isNotNull()
 
 
 def join_as_decimal(first, second) -> Column:

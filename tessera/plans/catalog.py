@@ -224,3 +224,101 @@ def two_source_copy(spark, sf_dir):
     )
     out = C.two_source_copy(keyed, host_today=COPY_HOST, host_yesterday=COPY_HOST)
     return out.select("target_day", "_id", "priority", F.col("_seq").alias("event_id"), "day")
+
+
+# ------------------------------------------------------------------ family D
+FEATURE_COLUMNS = ["engine_num", "app_num", "sig_num", "first", "second", "third", "fourth", "fifth"]
+
+
+def _version_features(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    rows = D.version_rows(spark, sf_dir)
+    return T.version_features(rows, "version", "version", "version", "build_lab")
+
+
+@register("version_features")
+def version_features(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    clean, _ = T.split_rejects(_version_features(spark, sf_dir))
+    return clean.select("p_partkey", "version", "build_lab", *FEATURE_COLUMNS)
+
+
+@register("reject_bad_versions")
+def reject_bad_versions(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    _, bad = T.split_rejects(_version_features(spark, sf_dir))
+    return bad.select("p_partkey", "version", "build_lab", "reject_reason")
+
+
+CATEGORY_COLUMNS = ["p_brand", "p_type", "p_name"]
+HELD_OUT_BRAND = "Brand#7"
+
+
+def _coding_input(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    is_test = (F.pmod("p_partkey", F.lit(5)) == 0) | (F.col("p_brand") == HELD_OUT_BRAND)
+    return p.select(
+        "p_partkey",
+        "p_brand",
+        "p_type",
+        F.when(F.col("p_size") == 1, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("p_name"),
+        F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias("split"),
+    )
+
+
+@register("factorize_train_test")
+def factorize_train_test(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    data = _coding_input(spark, sf_dir)
+    codes = T.fit_codes(data.where(F.col("split") == "train"), CATEGORY_COLUMNS, "p_partkey")
+    coded = T.apply_codes(data, codes, CATEGORY_COLUMNS)
+    return coded.select("p_partkey", "split", "p_brand_code", "p_type_code", "p_name_code")
+
+
+VERSION_DATE_CUTOFF = "1998-01-01 00:00:00"
+
+
+@register("version_date_lookup")
+def version_date_lookup(spark, sf_dir):
+    from tessera.operators.joins import enrich_with_default
+
+    o = table(spark, sf_dir, "orders")
+    dictionary = o.groupBy(F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("version")).agg(F.max("o_orderdate").alias("date"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("v"), F.col("l_orderkey").cast("string")).alias("version"))
+    mapped = enrich_with_default(li, dictionary, ["version"], "date")
+    return mapped.where(F.col("date") > F.lit(VERSION_DATE_CUTOFF).cast("timestamp_ntz")).select("l_orderkey", "l_linenumber", "l_partkey", "date")
+
+
+@register("column_profile")
+def column_profile(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    return T.column_profile(table(spark, sf_dir, "lineitem")).select("column_name", "non_null", "n_rows")
+
+
+@register("kfold_contiguous")
+def kfold_contiguous(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return T.contiguous_folds(o, ["o_orderkey"], 5)
+
+
+@register("kfold_hashed")
+def kfold_hashed(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return T.hashed_folds(o, "o_orderkey", 5, seed=15)
+
+
+@register("sample_stable")
+def sample_stable(spark, sf_dir):
+    from tessera.operators import tabular as T
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return T.stable_sample(o, "o_orderkey", 0.2, seed=7)

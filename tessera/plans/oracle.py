@@ -202,3 +202,93 @@ offers AS (
   SELECT CAST(day + INTERVAL 1 DAY AS DATE) AS target_day, _id, 1 AS priority, ts, event_id, day FROM keyed WHERE host = 'web-2'),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY target_day, _id ORDER BY priority, ts, event_id) AS rn FROM offers)
 SELECT target_day, _id, priority, event_id, day FROM ranked WHERE rn = 1"""
+
+# ------------------------------------------------------------------ family D
+VERSION_CTE = """vrows AS (
+  SELECT p_partkey, p_size, p_type, p_brand, CAST(p_size AS VARCHAR) AS p0, CAST(p_partkey % 100 AS VARCHAR) AS p1,
+         CAST((p_partkey * 7) % 10000 AS VARCHAR) AS p2,
+         CASE WHEN p_partkey % 17 = 0 THEN 'x' ELSE '' END || CAST((p_partkey * 13) % 1000 AS VARCHAR) AS p3,
+         CAST(p_size * 3 AS VARCHAR) AS p4, CAST(p_partkey % 5 + 1 AS INTEGER) AS n_parts
+  FROM part),
+vtext AS (
+  SELECT p_partkey,
+         CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE array_to_string(list_slice([p0, p1, p2, p3, p4], 1, n_parts), '.') END AS version,
+         array_to_string(list_slice([p0, CASE WHEN p_partkey % 7 = 0 THEN p1 || '*fre' ELSE p1 END, lower(p_type), lower(p_brand)], 1, least(n_parts, 4)), '.') AS build_lab
+  FROM vrows),
+vp AS (
+  SELECT *, string_split(coalesce(version, 'nan'), '.') AS vs, string_split(coalesce(build_lab, 'nan'), '.') AS bs FROM vtext),
+vraw AS (
+  SELECT *, len(vs) AS vn, len(bs) AS bn,
+         {eng} AS eng, {app} AS app, {sig} AS sig,
+         {first} AS fst, {second} AS snd
+  FROM vp),
+vfeat AS (
+  SELECT p_partkey, version, build_lab,
+         CASE WHEN vn > 1 THEN eng ELSE 0.0 END AS engine_num, (vn <= 1 OR eng IS NOT NULL) AS ok_engine,
+         CASE WHEN vn > 1 THEN app ELSE 0.0 END AS app_num, (vn <= 1 OR app IS NOT NULL) AS ok_app,
+         CASE WHEN vn > 3 THEN sig ELSE 0.0 END AS sig_num, (vn <= 3 OR sig IS NOT NULL) AS ok_sig,
+         CASE WHEN bn > 1 THEN fst ELSE 0 END AS "first", (bn <= 1 OR fst IS NOT NULL) AS ok_first,
+         CASE WHEN bn > 3 THEN snd ELSE 0 END AS "second", (bn <= 3 OR snd IS NOT NULL) AS ok_second,
+         CASE WHEN bn > 1 THEN bs[3] ELSE '___' END AS third, (bn <= 1 OR bs[3] IS NOT NULL) AS ok_third,
+         CASE WHEN bn > 1 THEN bs[4] ELSE '___' END AS fourth, (bn <= 1 OR bs[4] IS NOT NULL) AS ok_fourth
+  FROM vraw),
+vfinal AS (
+  SELECT *, {fifth} AS fifth FROM vfeat),
+vreason AS (
+  SELECT *, nullif(concat_ws(',', CASE WHEN NOT ok_engine THEN 'engine_num' END, CASE WHEN NOT ok_app THEN 'app_num' END,
+            CASE WHEN NOT ok_sig THEN 'sig_num' END, CASE WHEN NOT ok_first THEN 'first' END,
+            CASE WHEN NOT ok_second THEN 'second' END, CASE WHEN NOT ok_third THEN 'third' END,
+            CASE WHEN NOT ok_fourth THEN 'fourth' END, CASE WHEN fifth IS NULL THEN 'fifth' END), '') AS reject_reason
+  FROM vfinal)""".format(
+    eng=parse_float("vs[3] || '.' || vs[4]"),
+    app=parse_float(f"{pad_left('vs[2]', 2)} || {pad_left('vs[3]', 5)} || '.' || vs[4]"),
+    sig=parse_float(f"{pad_left('vs[1]', 2)} || {pad_left('vs[2]', 3)} || {pad_left('vs[3]', 4)} || '.' || vs[4]"),
+    first=parse_int("bs[1]"),
+    second=parse_int("split_part(bs[2], '*', 1)"),
+    fifth=parse_float('CAST("first" AS VARCHAR) || \'.\' || CAST("second" AS VARCHAR)'),
+)
+
+SQL["version_features"] = f"""WITH {VERSION_CTE}
+SELECT p_partkey, version, build_lab, engine_num, app_num, sig_num, "first", "second", third, fourth, fifth
+FROM vreason WHERE reject_reason IS NULL"""
+
+SQL["reject_bad_versions"] = f"""WITH {VERSION_CTE}
+SELECT p_partkey, version, build_lab, reject_reason FROM vreason WHERE reject_reason IS NOT NULL"""
+
+CODING_CTE = """cdata AS (
+  SELECT p_partkey, p_brand, p_type, CASE WHEN p_size = 1 THEN NULL ELSE p_name END AS p_name,
+         CASE WHEN p_partkey % 5 = 0 OR p_brand = 'Brand#7' THEN 'test' ELSE 'train' END AS split
+  FROM part)"""
+
+
+def _dict_cte(col: str) -> str:
+    return f"""d_{col} AS (
+  SELECT v, row_number() OVER (ORDER BY fs, v) - 1 AS code FROM (
+    SELECT {col} AS v, min(p_partkey) AS fs FROM cdata WHERE split = 'train' AND {col} IS NOT NULL GROUP BY 1))"""
+
+
+SQL["factorize_train_test"] = f"""WITH {CODING_CTE}, {_dict_cte('p_brand')}, {_dict_cte('p_type')}, {_dict_cte('p_name')}
+SELECT c.p_partkey, c.split, coalesce(b.code, -1) AS p_brand_code, coalesce(t.code, -1) AS p_type_code,
+       coalesce(n.code, -1) AS p_name_code
+FROM cdata c LEFT JOIN d_p_brand b ON c.p_brand = b.v LEFT JOIN d_p_type t ON c.p_type = t.v
+     LEFT JOIN d_p_name n ON c.p_name = n.v"""
+
+SQL["version_date_lookup"] = """WITH d AS (SELECT 'v' || CAST(o_orderkey AS VARCHAR) AS version, max(o_orderdate) AS date FROM orders GROUP BY 1)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, d.date
+FROM lineitem l LEFT JOIN d ON 'v' || CAST(l.l_orderkey AS VARCHAR) = d.version
+WHERE d.date > TIMESTAMP '1998-01-01 00:00:00'"""
+
+SQL["column_profile"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) AS n_rows FROM lineitem"
+    for c in "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+)
+
+SQL["kfold_contiguous"] = "SELECT o_orderkey, CAST(ntile(5) OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS fold FROM orders"
+
+
+def hash_bits(id_expr: str, seed) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({id_expr} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT)"
+
+
+SQL["kfold_hashed"] = f"SELECT o_orderkey, {hash_bits('o_orderkey', 15)} % 5 AS fold FROM orders"
+SQL["sample_stable"] = f"SELECT o_orderkey, o_custkey FROM orders WHERE {hash_bits('o_orderkey', 7)} / 4294967296.0 < 0.2"

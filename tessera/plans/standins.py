@@ -197,3 +197,24 @@ def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("_seq"),
         F.col("event_type"),
     )
+
+
+# ---------------------------------------------------------------- family D (part)
+def version_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version texts from ``part``: 1 to 5 dot-separated parts, some NULL, some with a
+    non-numeric part; the build-lab text carries a ``*`` suffix in part 1 for some rows."""
+    p = table(spark, sf_dir, "part")
+    pk = F.col("p_partkey")
+    p0 = _s(F.col("p_size"))
+    p1 = _s(F.pmod(pk, F.lit(100)))
+    p2 = _s(F.pmod(pk * 7, F.lit(10000)))
+    p3n = _s(F.pmod(pk * 13, F.lit(1000)))
+    p3 = F.when(F.pmod(pk, F.lit(17)) == 0, F.concat(F.lit("x"), p3n)).otherwise(p3n)
+    p4 = _s(F.col("p_size") * 3)
+    n_parts = (F.pmod(pk, F.lit(5)) + 1).cast("int")
+    version = F.when(F.pmod(pk, F.lit(19)) == 0, F.lit(None).cast("string")).otherwise(
+        F.concat_ws(".", F.slice(F.array(p0, p1, p2, p3, p4), F.lit(1), n_parts))
+    )
+    lab_p1 = F.when(F.pmod(pk, F.lit(7)) == 0, F.concat(p1, F.lit("*fre"))).otherwise(p1)
+    build_lab = F.concat_ws(".", F.slice(F.array(p0, lab_p1, F.lower("p_type"), F.lower("p_brand")), F.lit(1), F.least(n_parts, F.lit(4))))
+    return p.select("p_partkey", version.alias("version"), build_lab.alias("build_lab"))
