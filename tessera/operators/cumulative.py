@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +44,14 @@ def running_sums(
     vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in sums.items()}
     tmp = {k: f"_v_{k}" for k in vals}
     staged = df.select("*", *[v.alias(tmp[k]) for k, v in vals.items()])
-    ranged = staged.repartitionByRange(_n_partitions(df, partitions), *[F.col(g) for g in group_cols], *order_exprs)
-    ranged = ranged.withColumn(_PID, F.spark_partition_id())
+    keys = [*[F.col(g) for g in group_cols], *order_exprs]
+    # Range bounds come from sampling, which can differ between two evaluations of the
+    # same plan (and the two branches below are pruned differently, so their exchanges
+    # are not shared). Persisting the range-partitioned rows makes both branches read
+    # one partitioning; a lost cached block is rebuilt from the same shuffle dependency
+    # (same bounds), and MEMORY_AND_DISK spills instead of failing.
+    ranged = staged.repartitionByRange(_n_partitions(df, partitions), *keys)
+    ranged = ranged.withColumn(_PID, F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
 
     local_w = (
         Window.partitionBy(_PID, *group_cols)

@@ -322,3 +322,167 @@ def sample_stable(spark, sf_dir):
 
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return T.stable_sample(o, "o_orderkey", 0.2, seed=7)
+
+
+# ------------------------------------------------------------------ metrics and blending
+SCORE_COLS = ["score_a", "score_b", "score_c"]
+
+
+@register("auc_exact")
+def auc_exact(spark, sf_dir):
+    from tessera.operators.metrics import auc_exact as auc
+
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    out = auc(d.join(lab, "doc_id"), "quality", "n_chars")
+    return out.select(r6(F.col("auc")).alias("auc"), "n_pos", "n_neg")
+
+
+@register("blend_inner_mean")
+def blend_inner_mean(spark, sf_dir):
+    from tessera.operators import blend as E
+
+    out = E.blend_files(D.score_files(spark, sf_dir), "id", SCORE_COLS)
+    return out.select("id", *SCORE_COLS, r6(F.col("mean")).alias("mean"))
+
+
+@register("blend_weighted")
+def blend_weighted(spark, sf_dir):
+    from tessera.operators import blend as E
+
+    a, b, _ = D.score_files(spark, sf_dir)
+    out = E.snap(E.weighted(a.join(b, "id"), ["score_a", "score_b"], [0.7, 0.3]), "blend")
+    return out.select("id", r6(F.col("blend")).alias("blend"), r6(F.col("snapped")).alias("snapped"))
+
+
+@register("snap_extremes")
+def snap_extremes(spark, sf_dir):
+    from tessera.operators import blend as E
+
+    a, _, _ = D.score_files(spark, sf_dir)
+    return E.snap(a, "score_a").select("id", "score_a", "snapped")
+
+
+@register("corr_matrix")
+def corr_matrix(spark, sf_dir):
+    from tessera.operators.metrics import correlation_matrix
+
+    li = table(spark, sf_dir, "lineitem")
+    out = correlation_matrix(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return out.select("col_a", "col_b", r6(F.col("r")).alias("r"))
+
+
+@register("describe_scores")
+def describe_scores(spark, sf_dir):
+    from tessera.operators.metrics import describe
+
+    out = describe(table(spark, sf_dir, "events"), "value")
+    return out.select("count", *[r6(F.col(c)).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max", "delta"]])
+
+
+HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("histogram_columns")
+def histogram_columns(spark, sf_dir):
+    from tessera.operators.metrics import histogram
+
+    out = histogram(table(spark, sf_dir, "lineitem"), HIST_COLS)
+    return out.select("column", "bin", r6(F.col("lo")).alias("lo"), r6(F.col("hi")).alias("hi"), "count")
+
+
+TOP_K = 1000
+SHARE_CUT = 0.003
+
+
+def _top_features(imp):
+    return (
+        imp.groupBy("feature")
+        .agg(F.avg("importance").alias("mean_importance"))
+        .orderBy(F.col("mean_importance").desc(), F.col("feature"))
+        .limit(TOP_K)
+    )
+
+
+@register("topk_groups")
+def topk_groups(spark, sf_dir):
+    top = _top_features(D.importances(spark, sf_dir))
+    return top.select("feature", r6(F.col("mean_importance")).alias("mean_importance"))
+
+
+@register("importance_report")
+def importance_report(spark, sf_dir):
+    from tessera.operators.joins import keep_keys_in
+
+    imp = D.importances(spark, sf_dir)
+    best = keep_keys_in(imp, _top_features(imp).select("feature"), "feature")
+    total = best.agg(F.sum("importance").alias("total"))
+    shared = best.crossJoin(total).withColumn("share", F.lit(100.0) * F.col("importance") / F.col("total"))
+    kept = shared.where(F.col("share") > F.lit(SHARE_CUT))
+    return kept.select("feature", "fold", "importance", r6(F.col("share")).alias("share"))
+
+
+@register("id_from_path")
+def id_from_path(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", S.id_from_path("url").alias("url_id"))
+
+
+@register("align_to_template")
+def align_to_template(spark, sf_dir):
+    from tessera.operators.joins import align_to_template as align
+
+    template = table(spark, sf_dir, "documents").select("doc_id")
+    values = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return align(template, values, "doc_id")
+
+
+def _model_scores(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("model"), (F.col("l_discount") * F.lit(10.0)).alias("score"))
+
+
+@register("ensemble_threshold")
+def ensemble_threshold(spark, sf_dir):
+    from tessera.operators import blend as E
+
+    out = E.ensemble(_model_scores(spark, sf_dir), "id", "score")
+    return out.select("id", r6(F.col("score")).alias("score"), "label")
+
+
+@register("ensemble_accuracy")
+def ensemble_accuracy(spark, sf_dir):
+    from tessera.operators import blend as E
+    from tessera.operators.metrics import accuracy
+
+    pred = E.ensemble(_model_scores(spark, sf_dir), "id", "score")
+    truth = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "F").cast("int").alias("truth"))
+    out = accuracy(pred.join(truth, "id"), "label", "truth")
+    return out.select(r6(F.col("accuracy")).alias("accuracy"), "n")
+
+
+@register("normalise_dimensions")
+def normalise_dimensions(spark, sf_dir):
+    from tessera.operators.metrics import dimension_stats
+
+    out = dimension_stats(table(spark, sf_dir, "embeddings"), "embedding")
+    return out.select("pos", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std"))
+
+
+DENSITY_WX, DENSITY_WY = 5.0, 10000.0
+
+
+@register("density_grid")
+def density_grid(spark, sf_dir):
+    from tessera.operators.metrics import density_grid as grid
+
+    return grid(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", DENSITY_WX, DENSITY_WY)
+
+
+@register("density_smooth")
+def density_smooth(spark, sf_dir):
+    from tessera.operators.metrics import density_grid as grid
+    from tessera.operators.metrics import density_smooth as smooth
+
+    g = grid(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", DENSITY_WX, DENSITY_WY)
+    return smooth(g).select("gx", "gy", r6(F.col("density")).alias("density"))

@@ -292,3 +292,87 @@ def hash_bits(id_expr: str, seed) -> str:
 
 SQL["kfold_hashed"] = f"SELECT o_orderkey, {hash_bits('o_orderkey', 15)} % 5 AS fold FROM orders"
 SQL["sample_stable"] = f"SELECT o_orderkey, o_custkey FROM orders WHERE {hash_bits('o_orderkey', 7)} / 4294967296.0 < 0.2"
+
+# ------------------------------------------------------------------ metrics and blending
+SQL["auc_exact"] = """WITH j AS (SELECT d.n_chars AS s, l.quality AS y FROM documents d JOIN labels l USING (doc_id)),
+per AS (SELECT s, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg FROM j GROUP BY s),
+cum AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below FROM per)
+SELECT round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc, CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM cum"""
+
+SCORES_CTE = """a AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, max(l_discount) * CAST(10 AS DOUBLE) AS score_a FROM lineitem GROUP BY 1),
+b AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, max(l_tax) * CAST(12.5 AS DOUBLE) AS score_b FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),
+c AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, max(CASE WHEN l_linestatus <> 'O' THEN l_quantity / CAST(50 AS DOUBLE) END) AS score_c FROM lineitem GROUP BY 1)"""
+
+
+def snap_sql(x: str) -> str:
+    return f"(CASE WHEN isnan({x}) THEN {x} WHEN {x} > 0.8 THEN 1.0 WHEN {x} < 0.2 THEN 0.0 ELSE {x} END)"
+
+
+SQL["blend_inner_mean"] = f"""WITH {SCORES_CTE}
+SELECT id, score_a, score_b, score_c,
+       round((coalesce(score_a, 0) + coalesce(score_b, 0) + coalesce(score_c, 0))
+             / nullif((CASE WHEN score_a IS NULL THEN 0 ELSE 1 END) + (CASE WHEN score_b IS NULL THEN 0 ELSE 1 END) + (CASE WHEN score_c IS NULL THEN 0 ELSE 1 END), 0), 6) AS mean
+FROM a JOIN b USING (id) JOIN c USING (id)"""
+
+SQL["blend_weighted"] = f"""WITH {SCORES_CTE}, w AS (SELECT id, 0.7 * score_a + 0.3 * score_b AS blend FROM a JOIN b USING (id))
+SELECT id, round(blend, 6) AS blend, round({snap_sql('blend')}, 6) AS snapped FROM w"""
+
+SQL["snap_extremes"] = f"""WITH {SCORES_CTE}
+SELECT id, score_a, CAST({snap_sql('score_a')} AS DOUBLE) AS snapped FROM a"""
+
+_CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+SQL["corr_matrix"] = " UNION ALL ".join(
+    f"SELECT '{x}' AS col_a, '{y}' AS col_b, round(corr({x}, {y}), 6) AS r FROM lineitem"
+    for i, x in enumerate(_CORR_COLS)
+    for y in _CORR_COLS[i + 1 :]
+)
+
+SQL["describe_scores"] = """SELECT count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+       round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max, round(0.5 - avg(value), 6) AS delta
+FROM events"""
+
+_HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_HIST_LONG = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM lineitem" for c in _HIST_COLS)
+SQL["histogram_columns"] = f"""WITH v AS ({_HIST_LONG}),
+rng AS (SELECT col, min(x) AS mn, max(x) AS mx FROM v GROUP BY col),
+b AS (SELECT v.col, CAST(coalesce(least(floor((v.x - r.mn) / nullif((r.mx - r.mn) / CAST(10 AS DOUBLE), 0)), 9), 0) AS INTEGER) AS bin
+      FROM v JOIN rng r USING (col) WHERE v.x IS NOT NULL),
+cnt AS (SELECT col, bin, count(*) AS n FROM b GROUP BY ALL),
+grid AS (SELECT r.col, CAST(g.i AS INTEGER) AS bin, r.mn, r.mx FROM rng r CROSS JOIN range(10) g(i))
+SELECT grid.col AS "column", grid.bin, round(mn + grid.bin * ((mx - mn) / CAST(10 AS DOUBLE)), 6) AS lo,
+       round(mn + (grid.bin + 1) * ((mx - mn) / CAST(10 AS DOUBLE)), 6) AS hi, coalesce(cnt.n, 0) AS count
+FROM grid LEFT JOIN cnt ON grid.col = cnt.col AND grid.bin = cnt.bin"""
+
+IMP_CTE = """imp AS (SELECT 'f_' || CAST(l_partkey AS VARCHAR) AS feature, l_quantity AS importance, l_linenumber AS fold FROM lineitem),
+top AS (SELECT feature, avg(importance) AS mean_importance FROM imp GROUP BY feature ORDER BY mean_importance DESC, feature LIMIT 1000)"""
+
+SQL["topk_groups"] = f"WITH {IMP_CTE} SELECT feature, round(mean_importance, 6) AS mean_importance FROM top"
+
+SQL["importance_report"] = f"""WITH {IMP_CTE},
+best AS (SELECT * FROM imp WHERE feature IN (SELECT feature FROM top)),
+s AS (SELECT *, 100.0 * importance / (SELECT sum(importance) FROM best) AS share FROM best)
+SELECT feature, fold, importance, round(share, 6) AS share FROM s WHERE share > 0.003"""
+
+SQL["id_from_path"] = "SELECT page_id, split_part(regexp_extract(url, '[^/]*$'), '.', 1) AS url_id FROM pages"
+
+SQL["align_to_template"] = "SELECT d.doc_id, l.quality AS label FROM documents d LEFT JOIN labels l USING (doc_id)"
+
+SQL["ensemble_threshold"] = """SELECT l_orderkey AS id, round(avg(l_discount * CAST(10 AS DOUBLE)), 6) AS score,
+       CAST(avg(l_discount * CAST(10 AS DOUBLE)) > 0.5 AS INTEGER) AS label FROM lineitem GROUP BY 1"""
+
+SQL["ensemble_accuracy"] = """WITH p AS (SELECT l_orderkey AS id, CAST(avg(l_discount * CAST(10 AS DOUBLE)) > 0.5 AS INTEGER) AS label FROM lineitem GROUP BY 1)
+SELECT round(avg(CASE WHEN p.label = CAST(o.o_orderstatus = 'F' AS INTEGER) THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n
+FROM p JOIN orders o ON p.id = o.o_orderkey"""
+
+SQL["normalise_dimensions"] = """WITH u AS (SELECT unnest(range(len(embedding))) AS pos, unnest(embedding) AS x FROM embeddings)
+SELECT CAST(pos AS INTEGER) AS pos, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std FROM u GROUP BY pos"""
+
+SQL["density_grid"] = """SELECT CAST(floor(l_quantity / 5.0) AS BIGINT) AS gx, CAST(floor(l_extendedprice / 10000.0) AS BIGINT) AS gy, count(*) AS n
+FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL GROUP BY ALL"""
+
+SQL["density_smooth"] = """WITH g AS (SELECT CAST(floor(l_quantity / 5.0) AS BIGINT) AS gx, CAST(floor(l_extendedprice / 10000.0) AS BIGINT) AS gy, count(*) AS n
+           FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL GROUP BY ALL),
+k AS (SELECT a.d AS dx, b.d AS dy, exp(-(a.d * a.d + b.d * b.d) / 2.0) AS w FROM range(-2, 3) a(d) CROSS JOIN range(-2, 3) b(d)),
+s AS (SELECT g.gx + k.dx AS gx, g.gy + k.dy AS gy, sum(g.n * k.w) AS m FROM g CROSS JOIN k GROUP BY ALL)
+SELECT gx, gy, round(m / (SELECT sum(m) FROM s), 6) AS density FROM s"""

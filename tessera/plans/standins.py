@@ -218,3 +218,32 @@ def version_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab_p1 = F.when(F.pmod(pk, F.lit(7)) == 0, F.concat(p1, F.lit("*fre"))).otherwise(p1)
     build_lab = F.concat_ws(".", F.slice(F.array(p0, lab_p1, F.lower("p_type"), F.lower("p_brand")), F.lit(1), F.least(n_parts, F.lit(4))))
     return p.select("p_partkey", version.alias("version"), build_lab.alias("build_lab"))
+
+
+# ---------------------------------------------------------------- family E (lineitem)
+def line_id() -> Column:
+    return F.concat(_s(F.col("l_orderkey")), F.lit("-"), _s(F.col("l_linenumber")))
+
+
+def score_files(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three score files keyed by ``id`` (one row per id, since each is an aggregate):
+    ``score_a`` from discounts (holds exactly 0.2 and 0.8), ``score_b`` from taxes over
+    the lines not returned (a different id set), ``score_c`` from quantities with NULL
+    where every line of the id is open."""
+    li = table(spark, sf_dir, "lineitem")
+    a = li.groupBy(line_id().alias("id")).agg((F.max("l_discount") * F.lit(10.0)).alias("score_a"))
+    b = li.where(F.col("l_returnflag") != "R").groupBy(line_id().alias("id")).agg((F.max("l_tax") * F.lit(12.5)).alias("score_b"))
+    c = li.groupBy(line_id().alias("id")).agg(
+        F.max(F.when(F.col("l_linestatus") != "O", F.col("l_quantity") / F.lit(50.0))).alias("score_c")
+    )
+    return [a, b, c]
+
+
+def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long importance table ``feature, importance, fold`` (fold tables appended)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(F.lit("f_"), _s(F.col("l_partkey"))).alias("feature"),
+        F.col("l_quantity").alias("importance"),
+        F.col("l_linenumber").alias("fold"),
+    )
