@@ -486,3 +486,59 @@ def density_smooth(spark, sf_dir):
 
     g = grid(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", DENSITY_WX, DENSITY_WY)
     return smooth(g).select("gx", "gy", r6(F.col("density")).alias("density"))
+
+
+# ------------------------------------------------------------------ model (rows-only check)
+GBT_FEATURES = ["o_totalprice", "priority", "order_year", "cust_bucket"]
+
+
+def _order_features(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey",
+        "o_totalprice",
+        F.substring("o_orderpriority", 1, 1).try_cast("double").alias("priority"),
+        F.year("o_orderdate").cast("double").alias("order_year"),
+        F.pmod("o_custkey", F.lit(100)).cast("double").alias("cust_bucket"),
+        (F.col("o_orderstatus") == "F").cast("double").alias("label"),
+    )
+
+
+@register("train_score_gbt")
+def train_score_gbt(spark, sf_dir):
+    from tessera.operators import model as M
+    from tessera.operators import tabular as T
+
+    data = _order_features(spark, sf_dir)
+    train, valid = T.holdout_split(data, "o_orderkey", 0.2, seed=15)
+    fitted = M.train(train, GBT_FEATURES, "label", M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
+    return M.score(fitted, valid, "o_orderkey")
+
+
+# ------------------------------------------------------------------ streaming (batch-equivalent SQL)
+def _file_stream(spark, sf_dir, name):
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    # A file stream watches a folder or a glob; the glob matches exactly this table.
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir.rstrip('/')}/{name}.parq[u]et")
+
+
+@register("stream_create_only")
+def stream_create_only(spark, sf_dir):
+    from tessera.plans import logs as C
+    from tessera.streaming.incremental import create_only_stream
+
+    stream_docs = D.log_docs(spark, sf_dir, events=_file_stream(spark, sf_dir, "events"))
+    source = stream_docs.where(C.match_host("host", COPY_HOST))
+    destination = D.log_docs(spark, sf_dir).where(F.col("event_type") == "view")
+    out = create_only_stream(spark, source, destination)
+    return out.select("_id", "host", "day", "event_type")
+
+
+@register("stream_mail_stats")
+def stream_mail_stats(spark, sf_dir):
+    from tessera.plans import mail as B
+    from tessera.streaming.incremental import mail_stats_stream
+
+    rows = D.mail_rows(spark, sf_dir, lineitem=_file_stream(spark, sf_dir, "lineitem"))
+    return mail_stats_stream(spark, B.parse_records(rows))

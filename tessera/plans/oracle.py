@@ -376,3 +376,7 @@ SQL["density_smooth"] = """WITH g AS (SELECT CAST(floor(l_quantity / 5.0) AS BIG
 k AS (SELECT a.d AS dx, b.d AS dy, exp(-(a.d * a.d + b.d * b.d) / 2.0) AS w FROM range(-2, 3) a(d) CROSS JOIN range(-2, 3) b(d)),
 s AS (SELECT g.gx + k.dx AS gx, g.gy + k.dy AS gy, sum(g.n * k.w) AS m FROM g CROSS JOIN k GROUP BY ALL)
 SELECT gx, gy, round(m / (SELECT sum(m) FROM s), 6) AS density FROM s"""
+
+# ------------------------------------------------------------------ streaming: batch equivalents
+SQL["stream_create_only"] = SQL["create_only_copy"]
+SQL["stream_mail_stats"] = SQL["mail_user_stats"]

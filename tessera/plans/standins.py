@@ -124,14 +124,16 @@ LINEITEM_LINE_FIELDS = ["date", "flag", "status", "orderkey", "partkey", "suppke
 
 
 # ---------------------------------------------------------------- family B (lineitem)
-def mail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mail_rows(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Mail CSV rows: one per ``lineitem`` row.
 
     sender = nation of the order's customer; recipients = the supplier's nation (once,
     twice, or with the customer's nation), or none, chosen by line number; upper-case
     names so that lower-casing matters; milliseconds zero for every fourth order.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
+    )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -170,10 +172,10 @@ def mail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- family C (events)
-def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_docs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Log documents: one per event. ``signup`` messages are cut-off JSON, ``purchase``
     messages have no ``args``; hosts ``web-0..3`` with every 13th in upper case."""
-    ev = table(spark, sf_dir, "events")
+    ev = events if events is not None else table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k")
     host = F.concat(F.lit("web-"), _s(F.pmod("user_id", F.lit(4))))
     args = F.concat(
