@@ -77,8 +77,10 @@ def hour_of_hhmm(t) -> Column:
 
 def delay_flag(delay, lower_case: bool = False) -> Column:
     """SC2: ``'Yes'`` when the text parses as a number strictly above 15, else ``'No'``."""
-    d = parse_float(delay)
-    late = F.coalesce((d > F.lit(LATE_MINUTES)) & ~F.isnan(d), F.lit(False))
+    # nanvl turns NaN into NULL (Spark orders NaN above every number, Python does not),
+    # so the parse is referenced once.
+    d = F.nanvl(parse_float(delay), F.lit(None).cast("double"))
+    late = F.coalesce(d > F.lit(LATE_MINUTES), F.lit(False))
     yes, no = ("yes", "no") if lower_case else ("Yes", "No")
     return F.when(late, F.lit(yes)).otherwise(F.lit(no))
 

@@ -32,8 +32,10 @@ def parse_records(rows: DataFrame) -> DataFrame:
     """
     extra = [c for c in ("source_file", "row_number") if c in rows.columns]
     recips = S.recipients_of("recipients")
+    # The parsed epoch is materialised first: the ISO rendering reads it several times.
+    rows = rows.withColumn("_ms", S.parse_int("epoch_ms"))
     out = rows.select(
-        S.epoch_ms_to_iso(S.parse_int("epoch_ms")).alias("timestamp_iso"),
+        S.epoch_ms_to_iso("_ms").alias("timestamp_iso"),
         F.col("message_id").alias(MESSAGE_ID_FIELD),
         F.lower("sender").alias("sender"),
         recips.alias("recipients"),
