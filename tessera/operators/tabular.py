@@ -48,8 +48,12 @@ def version_features(df: DataFrame, engine: str, app: str, signature: str, build
     reasons = F.concat_ws(
         ",", *[F.when(~F.col(f"_ok_{k}"), F.lit(k)) for k in V.FEATURES], F.when(F.col("fifth").isNull(), F.lit("fifth"))
     )
-    out = staged.withColumn("reject_reason", F.when(reasons != "", reasons))
-    return out.drop(*[f"_ok_{k}" for k in V.FEATURES])
+    staged = staged.withColumn("_reason", F.when(reasons != "", reasons)).drop(*[f"_ok_{k}" for k in V.FEATURES])
+    # The reason is unpacked from a one-element generator. A filter on it (the reject
+    # routing) then stays above the feature projection instead of being rewritten into
+    # the whole parse expression, which would not fit one generated method.
+    keep = [c for c in staged.columns if c != "_reason"]
+    return staged.select(*keep, F.inline(F.array(F.struct(F.col("_reason").alias("reject_reason")))))
 
 
 def split_rejects(df: DataFrame, reason_col: str = "reject_reason") -> tuple[DataFrame, DataFrame]:

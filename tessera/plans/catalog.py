@@ -16,7 +16,7 @@ from tessera.functions import scalars as S
 from tessera.functions.geohash import with_geohash
 from tessera.plans import flights as A
 from tessera.plans import standins as D
-from tessera.sources.files import decode_csv_lines
+from tessera.sources.files import decode_csv_lines, drop_header_lines
 from tessera.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,9 +91,8 @@ def count_by_key_day(spark, sf_dir):
 
 @register("distinct_raw_lines")
 def distinct_raw_lines(spark, sf_dir):
-    lines = D.lineitem_lines(spark, sf_dir).distinct()
-    rows = decode_csv_lines(lines, D.LINEITEM_LINE_FIELDS)
-    return rows.where(F.col("date") != F.lit(A.HEADER_FIRST_FIELD))
+    lines = drop_header_lines(D.lineitem_lines(spark, sf_dir), A.HEADER_FIRST_FIELD).distinct()
+    return decode_csv_lines(lines, D.LINEITEM_LINE_FIELDS)
 
 
 @register("geohash_points")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars as S
 from tessera.functions.geohash import with_geohash
 from tessera.operators.joins import enrich_with_default
-from tessera.sources.files import decode_csv_lines
+from tessera.sources.files import decode_csv_lines, drop_header_lines
 
 # Positions of the used fields in the flight records, and the
 # four used fields of the weather records.
@@ -73,16 +73,20 @@ def weather_dictionary(weather: DataFrame, legacy_text_max: bool = False) -> Dat
     if legacy_text_max:
         agg = keyed.groupBy("airport", "date", "hour").agg(F.max("temperature").alias("temperature_text"))
         return agg.withColumn("temperature", S.parse_float("temperature_text"))
-    parsed = keyed.withColumn("temperature", S.parse_float("temperature")).where(F.col("temperature").isNotNull())
-    return parsed.groupBy("airport", "date", "hour").agg(F.max("temperature").alias("temperature"))
+    # max() skips NULL, so unparsable readings drop out of the maximum; keys without any
+    # parsable reading are removed after the aggregate (a filter there cannot be pushed
+    # back into the CSV decode and evaluate it twice).
+    parsed = keyed.withColumn("temperature", S.parse_float("temperature"))
+    agg = parsed.groupBy("airport", "date", "hour").agg(F.max("temperature").alias("temperature"))
+    return agg.where(F.col("temperature").isNotNull())
 
 
 def parse_flights(lines: DataFrame, line_col: str = "value", dedupe_lines: bool = True) -> DataFrame:
     """SRC1/A6/SRC2/P3: distinct raw lines, CSV decode, header rows removed."""
+    lines = drop_header_lines(lines, HEADER_FIRST_FIELD, line_col)
     if dedupe_lines:
         lines = lines.select(line_col).distinct()
-    rows = decode_csv_lines(lines, flight_field_names(), line_col)
-    return rows.where(F.col("date") != F.lit(HEADER_FIRST_FIELD))
+    return decode_csv_lines(lines, flight_field_names(), line_col)
 
 
 def project_flights(flights: DataFrame, lower_case_flag: bool = False) -> DataFrame:

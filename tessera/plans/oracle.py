@@ -56,7 +56,7 @@ HHMM = "CAST(hour(ts) * 100 + minute(ts) AS VARCHAR)"
 
 WEATHER_CTE = f"""weather AS (
   SELECT strftime(ts, '%Y-%m-%d') AS date, 'AP' || CAST(user_id % 10 AS VARCHAR) AS airport,
-         {HHMM} AS time, printf('%.2f', value) AS temperature
+         {HHMM} AS time, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS temperature
   FROM events WHERE event_type = 'view')"""
 
 WEATHER_DICT_CTE = f"""wdict AS (
@@ -113,8 +113,8 @@ SQL["count_by_key_day"] = FAMILY_A + "SELECT airline, date, count(*) AS n_flight
 SQL["distinct_raw_lines"] = """SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d') AS date, l_returnflag AS flag,
        l_linestatus || ',' || l_returnflag AS status, CAST(l_orderkey AS VARCHAR) AS orderkey,
        CAST(l_partkey AS VARCHAR) AS partkey, CAST(l_suppkey AS VARCHAR) AS suppkey,
-       CAST(l_linenumber AS VARCHAR) AS linenumber, printf('%.0f', l_quantity) AS quantity,
-       printf('%.2f', l_extendedprice) AS price
+       CAST(l_linenumber AS VARCHAR) AS linenumber, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price
 FROM lineitem"""
 
 _LAT = "((c_custkey * 37) % 18001 - 9000) / CAST(100 AS DOUBLE)"

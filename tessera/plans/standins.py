@@ -26,12 +26,12 @@ def hhmm(ts: str = "ts") -> Column:
 
 def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather readings: ``view`` events; airport = user bucket, reading = value as '%.2f'."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    ev = table(spark, sf_dir, "events", spread=True).where(F.col("event_type") == "view")
     return ev.select(
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.concat(F.lit("AP"), _s(F.pmod("user_id", F.lit(10)))).alias("airport"),
         hhmm().alias("time"),
-        F.format_string("%.2f", F.col("value")).alias("temperature"),
+        _s(F.col("value").cast("decimal(18,2)")).alias("temperature"),
     )
 
 
@@ -42,7 +42,7 @@ def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights: ``click`` events spread over the 19 positional text fields."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "click")
+    ev = table(spark, sf_dir, "events", spread=True).where(F.col("event_type") == "click")
     k = F.pmod("event_id", F.lit(6))
     base = _s(F.floor("value").cast("bigint") - 100)
     delay = (
@@ -101,7 +101,7 @@ def flight_lines(spark: SparkSession, sf_dir: str, copies: int = 2, headers: int
 
 def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV lines from ``lineitem``: each row twice, plus two header lines."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     line = li.select(
         F.concat_ws(
             ",",
@@ -112,8 +112,8 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             _s(F.col("l_partkey")),
             _s(F.col("l_suppkey")),
             _s(F.col("l_linenumber")),
-            F.format_string("%.0f", F.col("l_quantity")),
-            F.format_string("%.2f", F.col("l_extendedprice")),
+            _s(F.col("l_quantity").cast("bigint")),
+            _s(F.col("l_extendedprice").cast("decimal(18,2)")),
         ).alias("value")
     )
     header = spark.range(2).select(F.lit("Date,Flag,Status,Order,Part,Supp,Line,Qty,Price").alias("value"))
@@ -131,7 +131,7 @@ def mail_rows(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
     twice, or with the customer's nation), or none, chosen by line number; upper-case
     names so that lower-casing matters; milliseconds zero for every fourth order.
     """
-    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
+    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem", spread=True)).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -175,7 +175,7 @@ def mail_rows(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
 def log_docs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Log documents: one per event. ``signup`` messages are cut-off JSON, ``purchase``
     messages have no ``args``; hosts ``web-0..3`` with every 13th in upper case."""
-    ev = events if events is not None else table(spark, sf_dir, "events")
+    ev = events if events is not None else table(spark, sf_dir, "events", spread=True)
     k = F.get_json_object("props", "$.k")
     host = F.concat(F.lit("web-"), _s(F.pmod("user_id", F.lit(4))))
     args = F.concat(

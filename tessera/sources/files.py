@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,17 @@ def decode_csv_lines(lines: DataFrame, names: Sequence[str], line_col: str = "va
     return parsed.select(*[F.coalesce(F.col(f"_r.`{n}`"), F.lit("")).alias(n) for n in names])
 
 
+def drop_header_lines(lines: DataFrame, first_field: str, line_col: str = "value") -> DataFrame:
+    """P3 on raw lines: drop lines whose first CSV field is ``first_field``.
+
+    Tested on the text (bare or quoted first field), so the filter runs before any
+    dedupe or decode and never forces the CSV decode to be evaluated twice.
+    """
+    lit = re.escape(first_field)
+    pattern = f'^(?:{lit}|"{lit}")(?:,|$)'
+    return lines.where(~F.col(line_col).rlike(pattern))
+
+
 MAIL_SCHEMA = T.StructType(
     [
         T.StructField("epoch_ms", T.StringType()),

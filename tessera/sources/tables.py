@@ -9,8 +9,19 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    With ``spread`` (used before CPU-heavy per-row derivations), a scan that yields fewer input splits than the session has task
+    slots (a small table in one row group) is redistributed round-robin so per-row work
+    uses every core. Large tables already have more splits than slots and are left
+    exactly as scanned (no extra shuffle at scale).
+    """
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < slots:
+            df = df.repartition(slots)
+    return df
