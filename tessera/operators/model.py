@@ -97,5 +97,33 @@ def compare_params(df: DataFrame, features: Sequence[str], label: str, grid: dic
     return tvs.fit(df)
 
 
+def out_of_fold(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    id_col: str,
+    fold_col: str,
+    folds: Sequence[int],
+    params: dict | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """E11 + E12: for each listed fold, fit on the other folds and score this one.
+
+    The loop runs on the driver over a handful of folds; each iteration is a Spark ML
+    fit and a distributed scoring pass. Returns (out-of-fold predictions
+    ``id, fold, label, score``, importances ``feature, importance, fold``), both
+    appended across folds with ``unionByName``.
+    """
+    preds, imps = None, None
+    for k in folds:
+        model = train(df.where(F.col(fold_col) != k), features, label, params)
+        scored = model.transform(df.where(F.col(fold_col) == k)).select(
+            id_col, F.lit(int(k)).alias("fold"), F.col(label).alias("label"), vector_to_array("probability")[1].alias("score")
+        )
+        imp = importances(model, features, k)
+        preds = scored if preds is None else preds.unionByName(scored)
+        imps = imp if imps is None else imps.unionByName(imp)
+    return preds, imps
+
+
 def with_label(df: DataFrame, cond, name: str = "label") -> DataFrame:
     return df.withColumn(name, F.when(cond, 1.0).otherwise(0.0))

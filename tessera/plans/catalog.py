@@ -541,3 +541,36 @@ def stream_mail_stats(spark, sf_dir):
 
     rows = D.mail_rows(spark, sf_dir, lineitem=_file_stream(spark, sf_dir, "lineitem"))
     return mail_stats_stream(spark, B.parse_records(rows))
+
+
+@register("oof_predictions")
+def oof_predictions(spark, sf_dir):
+    """Out-of-fold scores of the first fold (the original stopped after fold 1)."""
+    from tessera.operators import model as M
+    from tessera.operators import tabular as T
+
+    data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
+    preds, _ = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", [0], M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
+    return preds
+
+
+@register("gbt_importance_report")
+def gbt_importance_report(spark, sf_dir):
+    """Per-fold importances -> mean per feature -> share of the total."""
+    from tessera.operators import model as M
+    from tessera.operators import tabular as T
+
+    data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
+    _, imps = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", [0, 1], M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
+    mean = imps.groupBy("feature").agg(F.avg("importance").alias("mean_importance"))
+    total = mean.agg(F.sum("mean_importance").alias("total"))
+    return mean.crossJoin(total).select("feature", "mean_importance", (F.lit(100.0) * F.col("mean_importance") / F.col("total")).alias("share"))
+
+
+@register("tta_blend")
+def tta_blend(spark, sf_dir):
+    """E14 + SC23: per id, average and maximum over variants, then a 0.5/0.5 blend."""
+    s = _model_scores(spark, sf_dir)
+    per = s.groupBy("id").agg(F.avg("score").alias("tta_avg"), F.max("score").alias("tta_max"))
+    out = per.withColumn("blend", S.weighted_blend(["tta_avg", "tta_max"], [0.5, 0.5]))
+    return out.select("id", r6(F.col("tta_avg")).alias("tta_avg"), r6(F.col("tta_max")).alias("tta_max"), r6(F.col("blend")).alias("blend"))
