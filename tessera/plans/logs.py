@@ -8,6 +8,8 @@ becomes an anti join (create only) and an append.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,7 @@ def match_host(host_col: str, value: str, analyzed: bool = False):
     """Exact match, or analysed-text match (any shared lower-cased token)."""
     if not analyzed:
         return F.col(host_col) == F.lit(value)
-    tokens = [t for t in __import__("re").split(r"[^\w]+", value.lower()) if t]
+    tokens = [t for t in re.split(r"[^\w]+", value.lower()) if t]
     return F.arrays_overlap(F.split(F.lower(F.col(host_col)), TOKEN_SPLIT), F.array(*[F.lit(t) for t in tokens]))
 
 
@@ -138,6 +140,31 @@ def two_source_copy(
     )
 
 
+def daily_copy(
+    docs: DataFrame,
+    run_date: str,
+    host_today: str,
+    host_yesterday: str,
+    existing: DataFrame | None = None,
+    day_col: str = "day",
+    key: str = "_id",
+) -> DataFrame:
+    """SRC9 + SC15 + U4: the copy for one run date (a parameter, never the wall clock).
+
+    Only the source days ``run_date`` and ``run_date - 1`` are read (a partition filter
+    when ``day`` is a partition column) and only the target ``run_date`` is produced.
+    """
+    d = F.to_date(F.lit(run_date))
+    src = docs.where((F.col(day_col) == d) | (F.col(day_col) == F.date_sub(d, 1)))
+    out = two_source_copy(src, host_today, host_yesterday, existing, day_col, key)
+    return out.where(F.col("target_day") == d)
+
+
+def target_name(prefix: str, run_date: str) -> str:
+    """SC15: dated target name ``prefix-yyyy.MM.dd`` for a run date ``yyyy-MM-dd``."""
+    return f"{prefix}-{run_date.replace('-', '.')}"
+
+
 def copy_new(source: DataFrame, destination: DataFrame, key: str = "_id") -> DataFrame:
     """SNK7/J5: documents to append to the destination (create only)."""
     return create_only(source, destination, key)
