@@ -76,15 +76,25 @@ def received_counts(records: DataFrame) -> DataFrame:
 
 
 def user_stats(records: DataFrame, include_receivers: bool = False) -> DataFrame:
-    """Statistics per user. By default only users who sent (as the original);
-    ``include_receivers`` also lists users who only received."""
-    how = "full" if include_receivers else "left"
-    joined = sent_counts(records).join(received_counts(records), on="user", how=how)
-    return joined.select(
-        "user",
-        F.coalesce(F.col("received"), F.lit(0)).alias("received"),
-        F.coalesce(F.col("sent"), F.lit(0)).alias("sent"),
+    """Statistics per user in one aggregate.
+
+    Each record contributes ``(sender, sent=1)`` and ``(recipient, received=1)`` per
+    listed recipient; one ``groupBy(user)`` with map-side partial sums gives both
+    counters (one shuffle instead of two aggregates and a join). By default only users
+    who sent are listed (as the original); ``include_receivers`` keeps everyone.
+    """
+    contrib = records.select(
+        F.explode(
+            F.concat(
+                F.array(F.struct(F.col("sender").alias("user"), F.lit(1).alias("s"), F.lit(0).alias("r"))),
+                F.transform("recipients", lambda u: F.struct(u.alias("user"), F.lit(0).alias("s"), F.lit(1).alias("r"))),
+            )
+        ).alias("c")
+    )
+    stats = contrib.groupBy(F.col("c.user").alias("user")).agg(
+        F.sum("c.r").cast("bigint").alias("received"), F.sum("c.s").cast("bigint").alias("sent")
     )
+    return stats if include_receivers else stats.where(F.col("sent") > 0)
 
 
 def edges(records: DataFrame, last_only: bool = False) -> DataFrame:
