@@ -56,9 +56,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     is matched to the value covering ``floor(h)`` and ``ceil(h)``.
     """
     spark = df.sparkSession
-    counts = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col))).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    valid = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
+    counts = valid.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     cum = running_sums(counts, ["v"], {"cum": F.col("c")})
-    n = counts.agg(F.sum("c").alias("n"))
+    n = valid.agg(F.count(F.lit(1)).alias("n"))  # partial counts, no grouping shuffle
     wanted = spark.createDataFrame([(float(p),) for p in probs], "p double")
     ranks = wanted.crossJoin(n).select(
         "p",

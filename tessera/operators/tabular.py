@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,7 +77,9 @@ def fit_codes(train: DataFrame, columns: Sequence[str], order_col: str) -> DataF
     ).select("_order", "_kv.column", "_kv.value")
     first_seen = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.min("_order").alias("first_seen"))
     coded = with_position(first_seen, ["first_seen", "value"], name="code", group_cols=["column"])
-    return coded.select("column", "value", "code")
+    # The fitted dictionary (one row per distinct category, not per data row) is applied
+    # once per column and to several frames; it is kept so that it is computed once.
+    return coded.select("column", "value", "code").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:

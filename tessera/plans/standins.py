@@ -89,10 +89,9 @@ def flight_lines(spark: SparkSession, sf_dir: str, copies: int = 2, headers: int
 
     rows = flight_rows(spark, sf_dir)
     names = flight_field_names()
-    line = rows.select(F.concat_ws(",", *[_csv_field(F.col(n)) for n in names]).alias("value"))
-    out = line
-    for _ in range(copies - 1):
-        out = out.unionAll(line)
+    line = F.concat_ws(",", *[_csv_field(F.col(n)) for n in names])
+    # Copies are generated in one pass (one scan), not by a union of scans.
+    out = rows.select(F.explode(F.array_repeat(line, copies)).alias("value"))
     header = ",".join(n[0].upper() + n[1:] for n in names)
     if headers:
         out = out.unionAll(spark.range(headers).select(F.lit(header).alias("value")))
@@ -102,8 +101,7 @@ def flight_lines(spark: SparkSession, sf_dir: str, copies: int = 2, headers: int
 def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV lines from ``lineitem``: each row twice, plus two header lines."""
     li = table(spark, sf_dir, "lineitem", spread=True)
-    line = li.select(
-        F.concat_ws(
+    line = F.concat_ws(
             ",",
             F.date_format("l_shipdate", "yyyy-MM-dd"),
             F.col("l_returnflag"),
@@ -114,10 +112,9 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             _s(F.col("l_linenumber")),
             _s(F.col("l_quantity").cast("bigint")),
             _s(F.col("l_extendedprice").cast("decimal(18,2)")),
-        ).alias("value")
     )
     header = spark.range(2).select(F.lit("Date,Flag,Status,Order,Part,Supp,Line,Qty,Price").alias("value"))
-    return line.unionAll(line).unionAll(header)
+    return li.select(F.explode(F.array_repeat(line, 2)).alias("value")).unionAll(header)
 
 
 LINEITEM_LINE_FIELDS = ["date", "flag", "status", "orderkey", "partkey", "suppkey", "linenumber", "quantity", "price"]
