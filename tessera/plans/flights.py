@@ -152,8 +152,46 @@ def legacy_text(df: DataFrame, fmt: str, *cols) -> DataFrame:
     return df.select(F.format_string(fmt, *cols).alias("value"))
 
 
-def run_job(weather_lines: DataFrame, flight_lines: DataFrame, out_dir: str, legacy_text_max: bool = False) -> dict:
-    """Whole job: dictionary + enriched details + four reports written as Parquet.
+def legacy_lines(outputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """SNK1: the six outputs rendered as the original text lines.
+
+    Formats (fixed values): dictionary ``'%s, %s'`` with the key ``airport-date-hour``;
+    details comma-joined with the temperature last (9999 when missing); daily maximum
+    ``'%s, %s, %1.1f'``; delay counts ``'%s, %s %s'``; flights per airline
+    ``'%s, %s'``; flights per airline and day ``'%s, %s %s'``.
+    """
+    d = outputs["weather_dictionary"]
+    key = F.concat_ws("-", "airport", "date", "hour")
+    det = outputs["flights_full_details"]
+    return {
+        "weather_dictionary": d.select(F.format_string("%s, %s", key, F.col("temperature")).alias("value")),
+        "flights_full_details": det.select(
+            F.concat_ws(",", *[F.col(c) for c in ENRICHED_COLUMNS[:-1]], F.col("temperature").cast("string")).alias("value")
+        ),
+        "airlines_day_max_temperature": outputs["airlines_day_max_temperature"].select(
+            F.format_string("%s, %s, %s", "airline", "date", S.format_one_decimal("max_temp_c")).alias("value")
+        ),
+        "airlines_number_delay": outputs["airlines_number_delay"].select(
+            F.format_string("%s, %s %s", "airline", "delay_flag", "n_flights").alias("value")
+        ),
+        "airlines_number_flights": outputs["airlines_number_flights"].select(
+            F.format_string("%s, %s", "airline", "n_flights").alias("value")
+        ),
+        "airlines_number_flights_per_day": outputs["airlines_number_flights_per_day"].select(
+            F.format_string("%s, %s %s", "airline", "date", "n_flights").alias("value")
+        ),
+    }
+
+
+def run_job(
+    weather_lines: DataFrame,
+    flight_lines: DataFrame,
+    out_dir: str,
+    legacy_text_max: bool = False,
+    legacy_text: bool = False,
+) -> dict:
+    """Whole job: dictionary + enriched details + four reports, written as Parquet (typed)
+    or, with ``legacy_text``, as the original's text lines.
 
     The enriched table feeds five writes, so it is persisted once (MEMORY_AND_DISK:
     partitions spill instead of failing, and lost blocks are recomputed).
@@ -168,9 +206,14 @@ def run_job(weather_lines: DataFrame, flight_lines: DataFrame, out_dir: str, leg
         "airlines_number_flights": flights_per_airline(enriched),
         "airlines_number_flights_per_day": flights_per_airline_day(enriched),
     }
+    if legacy_text:
+        outputs = legacy_lines(outputs)
     try:
         for name, df in outputs.items():
-            df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+            if legacy_text:
+                df.write.mode("overwrite").text(f"{out_dir}/{name}")
+            else:
+                df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
     finally:
         enriched.unpersist()
     return {k: f"{out_dir}/{k}" for k in outputs}
