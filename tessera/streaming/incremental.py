@@ -53,27 +53,32 @@ def create_only_stream(
 
 
 def mail_stats_stream(spark: SparkSession, records_stream: DataFrame, include_receivers: bool = False) -> DataFrame:
-    """ST2: per-batch partial counts (sent, received) are written per batch id; the
-    totals are the sum over all batches. Returns ``user, received, sent``."""
+    """ST2: running per-user totals kept in Spark's state store.
+
+    Each record contributes (sender, sent=1) and (recipient, received=1); a streaming
+    ``groupBy(user)`` keeps one state row per user (bounded by the number of users, not
+    by the number of mails), checkpointed under the shared folder. Every micro-batch
+    emits the complete totals, which overwrite the output table, so a replayed batch
+    rewrites the same result. Returns ``user, received, sent``.
+    """
+    from tessera.plans.mail import user_stats
+
     base = _run_dir(spark, "mail-stats")
-    out = f"{base}/partials"
+    out = f"{base}/totals"
+    totals = user_stats(records_stream, include_receivers=True)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        sent = batch.groupBy(F.col("sender").alias("user")).agg(F.count(F.lit(1)).alias("sent"))
-        recv = batch.select(F.explode("recipients").alias("user")).groupBy("user").agg(F.count(F.lit(1)).alias("received"))
-        part = sent.join(recv, "user", "full").select(
-            "user", F.coalesce("received", F.lit(0)).alias("received"), F.coalesce("sent", F.lit(0)).alias("sent")
-        )
-        part.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(out)
 
     q = (
-        records_stream.writeStream.foreachBatch(write_batch)
+        totals.writeStream.outputMode("complete")
+        .foreachBatch(write_batch)
         .option("checkpointLocation", f"{base}/state")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    totals = spark.read.parquet(out).groupBy("user").agg(F.sum("received").alias("received"), F.sum("sent").alias("sent"))
+    result = spark.read.parquet(out)
     if not include_receivers:
-        totals = totals.where(F.col("sent") > 0)
-    return totals.select("user", F.col("received").cast("bigint").alias("received"), F.col("sent").cast("bigint").alias("sent"))
+        result = result.where(F.col("sent") > 0)
+    return result.select("user", "received", "sent")
