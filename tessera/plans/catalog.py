@@ -14,10 +14,23 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
 from tessera.functions.geohash import with_geohash
+from tessera.operators import blend as E
+from tessera.operators import model as M
+from tessera.operators import tabular as T
+from tessera.operators.joins import align_to_template as align
+from tessera.operators.joins import enrich_with_default as enrich_default
+from tessera.operators.joins import keep_keys_in
+from tessera.operators.metrics import accuracy, correlation_matrix, describe, dimension_stats, histogram
+from tessera.operators.metrics import auc_exact as auc
+from tessera.operators.metrics import density_grid as grid
+from tessera.operators.metrics import density_smooth as smooth
 from tessera.plans import flights as A
+from tessera.plans import logs as C
+from tessera.plans import mail as B
 from tessera.plans import standins as D
 from tessera.sources.files import decode_csv_lines, drop_header_lines
 from tessera.sources.tables import table
+from tessera.streaming.incremental import create_only_stream, mail_stats_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,8 +140,6 @@ def route_and_pad(spark, sf_dir):
 
 # ------------------------------------------------------------------ family B
 def _mail_records(spark, sf_dir):
-    from tessera.plans import mail as B
-
     return B.parse_records(D.mail_rows(spark, sf_dir))
 
 
@@ -150,29 +161,21 @@ def mail_parse(spark, sf_dir):
 
 @register("mail_user_stats")
 def mail_user_stats(spark, sf_dir):
-    from tessera.plans import mail as B
-
     return B.user_stats(_mail_records(spark, sf_dir))
 
 
 @register("mail_user_stats_all")
 def mail_user_stats_all(spark, sf_dir):
-    from tessera.plans import mail as B
-
     return B.user_stats(_mail_records(spark, sf_dir), include_receivers=True)
 
 
 @register("mail_edges_all")
 def mail_edges_all(spark, sf_dir):
-    from tessera.plans import mail as B
-
     return B.edges(_mail_records(spark, sf_dir))
 
 
 @register("mail_edges_last")
 def mail_edges_last(spark, sf_dir):
-    from tessera.plans import mail as B
-
     return B.edges(_mail_records(spark, sf_dir), last_only=True)
 
 
@@ -185,30 +188,22 @@ COPY_HOST = "web-2"
 
 @register("log_json_search")
 def log_json_search(spark, sf_dir):
-    from tessera.plans import logs as C
-
     return C.search(D.log_docs(spark, sf_dir), host=SEARCH_HOST, name=SEARCH_NAME)
 
 
 @register("log_search_analyzed")
 def log_search_analyzed(spark, sf_dir):
-    from tessera.plans import logs as C
-
     return C.search(D.log_docs(spark, sf_dir), host=SEARCH_HOST, name="click", analyzed=True, size=None)
 
 
 @register("log_rejected_messages")
 def log_rejected_messages(spark, sf_dir):
-    from tessera.plans import logs as C
-
     bad = C.rejected_messages(D.log_docs(spark, sf_dir))
     return bad.select("_id", "host", "event_type")
 
 
 @register("create_only_copy")
 def create_only_copy(spark, sf_dir):
-    from tessera.plans import logs as C
-
     docs = D.log_docs(spark, sf_dir)
     source = docs.where(C.match_host("host", COPY_HOST))
     destination = docs.where(F.col("event_type") == "view")
@@ -217,8 +212,6 @@ def create_only_copy(spark, sf_dir):
 
 @register("two_source_copy")
 def two_source_copy(spark, sf_dir):
-    from tessera.plans import logs as C
-
     docs = D.log_docs(spark, sf_dir)
     keyed = docs.select(
         F.concat(F.lit("u"), F.col("_seq").cast("string").substr(-1, 1), F.lit("-"), F.hour("@timestamp").cast("string")).alias("_id"),
@@ -236,24 +229,18 @@ FEATURE_COLUMNS = ["engine_num", "app_num", "sig_num", "first", "second", "third
 
 
 def _version_features(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     rows = D.version_rows(spark, sf_dir)
     return T.version_features(rows, "version", "version", "version", "build_lab")
 
 
 @register("version_features")
 def version_features(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     clean, _ = T.split_rejects(_version_features(spark, sf_dir))
     return clean.select("p_partkey", "version", "build_lab", *FEATURE_COLUMNS)
 
 
 @register("reject_bad_versions")
 def reject_bad_versions(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     _, bad = T.split_rejects(_version_features(spark, sf_dir))
     return bad.select("p_partkey", "version", "build_lab", "reject_reason")
 
@@ -276,8 +263,6 @@ def _coding_input(spark, sf_dir):
 
 @register("factorize_train_test")
 def factorize_train_test(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     data = _coding_input(spark, sf_dir)
     codes = T.fit_codes(data.where(F.col("split") == "train"), CATEGORY_COLUMNS, "p_partkey")
     coded = T.apply_codes(data, codes, CATEGORY_COLUMNS)
@@ -289,42 +274,32 @@ VERSION_DATE_CUTOFF = "1998-01-01 00:00:00"
 
 @register("version_date_lookup")
 def version_date_lookup(spark, sf_dir):
-    from tessera.operators.joins import enrich_with_default
-
     o = table(spark, sf_dir, "orders")
     dictionary = o.groupBy(F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("version")).agg(F.max("o_orderdate").alias("date"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("v"), F.col("l_orderkey").cast("string")).alias("version"))
-    mapped = enrich_with_default(li, dictionary, ["version"], "date")
+    mapped = enrich_default(li, dictionary, ["version"], "date")
     return mapped.where(F.col("date") > F.lit(VERSION_DATE_CUTOFF).cast("timestamp_ntz")).select("l_orderkey", "l_linenumber", "l_partkey", "date")
 
 
 @register("column_profile")
 def column_profile(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     return T.column_profile(table(spark, sf_dir, "lineitem")).select("column_name", "non_null", "n_rows")
 
 
 @register("kfold_contiguous")
 def kfold_contiguous(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     o = table(spark, sf_dir, "orders").select("o_orderkey")
     return T.contiguous_folds(o, ["o_orderkey"], 5)
 
 
 @register("kfold_hashed")
 def kfold_hashed(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     o = table(spark, sf_dir, "orders").select("o_orderkey")
     return T.hashed_folds(o, "o_orderkey", 5, seed=15)
 
 
 @register("sample_stable")
 def sample_stable(spark, sf_dir):
-    from tessera.operators import tabular as T
-
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return T.stable_sample(o, "o_orderkey", 0.2, seed=7)
 
@@ -335,8 +310,6 @@ SCORE_COLS = ["score_a", "score_b", "score_c"]
 
 @register("auc_exact")
 def auc_exact(spark, sf_dir):
-    from tessera.operators.metrics import auc_exact as auc
-
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     out = auc(d.join(lab, "doc_id"), "quality", "n_chars")
@@ -345,16 +318,12 @@ def auc_exact(spark, sf_dir):
 
 @register("blend_inner_mean")
 def blend_inner_mean(spark, sf_dir):
-    from tessera.operators import blend as E
-
     out = E.blend_files(D.score_files(spark, sf_dir), "id", SCORE_COLS)
     return out.select("id", *SCORE_COLS, r6(F.col("mean")).alias("mean"))
 
 
 @register("blend_weighted")
 def blend_weighted(spark, sf_dir):
-    from tessera.operators import blend as E
-
     a, b, _ = D.score_files(spark, sf_dir)
     out = E.snap(E.weighted(a.join(b, "id"), ["score_a", "score_b"], [0.7, 0.3]), "blend")
     return out.select("id", r6(F.col("blend")).alias("blend"), r6(F.col("snapped")).alias("snapped"))
@@ -362,16 +331,12 @@ def blend_weighted(spark, sf_dir):
 
 @register("snap_extremes")
 def snap_extremes(spark, sf_dir):
-    from tessera.operators import blend as E
-
     a, _, _ = D.score_files(spark, sf_dir)
     return E.snap(a, "score_a").select("id", "score_a", "snapped")
 
 
 @register("corr_matrix")
 def corr_matrix(spark, sf_dir):
-    from tessera.operators.metrics import correlation_matrix
-
     li = table(spark, sf_dir, "lineitem")
     out = correlation_matrix(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return out.select("col_a", "col_b", r6(F.col("r")).alias("r"))
@@ -379,8 +344,6 @@ def corr_matrix(spark, sf_dir):
 
 @register("describe_scores")
 def describe_scores(spark, sf_dir):
-    from tessera.operators.metrics import describe
-
     out = describe(table(spark, sf_dir, "events"), "value")
     return out.select("count", *[r6(F.col(c)).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max", "delta"]])
 
@@ -390,8 +353,6 @@ HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @register("histogram_columns")
 def histogram_columns(spark, sf_dir):
-    from tessera.operators.metrics import histogram
-
     out = histogram(table(spark, sf_dir, "lineitem"), HIST_COLS)
     return out.select("column", "bin", r6(F.col("lo")).alias("lo"), r6(F.col("hi")).alias("hi"), "count")
 
@@ -417,8 +378,6 @@ def topk_groups(spark, sf_dir):
 
 @register("importance_report")
 def importance_report(spark, sf_dir):
-    from tessera.operators.joins import keep_keys_in
-
     imp = D.importances(spark, sf_dir)
     best = keep_keys_in(imp, _top_features(imp).select("feature"), "feature")
     total = best.agg(F.sum("importance").alias("total"))
@@ -435,8 +394,6 @@ def id_from_path(spark, sf_dir):
 
 @register("align_to_template")
 def align_to_template(spark, sf_dir):
-    from tessera.operators.joins import align_to_template as align
-
     template = table(spark, sf_dir, "documents").select("doc_id")
     values = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return align(template, values, "doc_id")
@@ -449,17 +406,12 @@ def _model_scores(spark, sf_dir):
 
 @register("ensemble_threshold")
 def ensemble_threshold(spark, sf_dir):
-    from tessera.operators import blend as E
-
     out = E.ensemble(_model_scores(spark, sf_dir), "id", "score")
     return out.select("id", r6(F.col("score")).alias("score"), "label")
 
 
 @register("ensemble_accuracy")
 def ensemble_accuracy(spark, sf_dir):
-    from tessera.operators import blend as E
-    from tessera.operators.metrics import accuracy
-
     pred = E.ensemble(_model_scores(spark, sf_dir), "id", "score")
     truth = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "F").cast("int").alias("truth"))
     out = accuracy(pred.join(truth, "id"), "label", "truth")
@@ -468,8 +420,6 @@ def ensemble_accuracy(spark, sf_dir):
 
 @register("normalise_dimensions")
 def normalise_dimensions(spark, sf_dir):
-    from tessera.operators.metrics import dimension_stats
-
     out = dimension_stats(table(spark, sf_dir, "embeddings"), "embedding")
     return out.select("pos", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std"))
 
@@ -479,16 +429,11 @@ DENSITY_WX, DENSITY_WY = 5.0, 10000.0
 
 @register("density_grid")
 def density_grid(spark, sf_dir):
-    from tessera.operators.metrics import density_grid as grid
-
     return grid(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", DENSITY_WX, DENSITY_WY)
 
 
 @register("density_smooth")
 def density_smooth(spark, sf_dir):
-    from tessera.operators.metrics import density_grid as grid
-    from tessera.operators.metrics import density_smooth as smooth
-
     g = grid(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", DENSITY_WX, DENSITY_WY)
     return smooth(g).select("gx", "gy", r6(F.col("density")).alias("density"))
 
@@ -511,9 +456,6 @@ def _order_features(spark, sf_dir):
 
 @register("train_score_gbt")
 def train_score_gbt(spark, sf_dir):
-    from tessera.operators import model as M
-    from tessera.operators import tabular as T
-
     data = _order_features(spark, sf_dir)
     train, valid = T.holdout_split(data, "o_orderkey", 0.2, seed=15)
     fitted = M.train(train, GBT_FEATURES, "label", M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
@@ -530,9 +472,6 @@ def _file_stream(spark, sf_dir, name):
 
 @register("stream_create_only")
 def stream_create_only(spark, sf_dir):
-    from tessera.plans import logs as C
-    from tessera.streaming.incremental import create_only_stream
-
     stream_docs = D.log_docs(spark, sf_dir, events=_file_stream(spark, sf_dir, "events"))
     source = stream_docs.where(C.match_host("host", COPY_HOST))
     destination = D.log_docs(spark, sf_dir).where(F.col("event_type") == "view")
@@ -542,9 +481,6 @@ def stream_create_only(spark, sf_dir):
 
 @register("stream_mail_stats")
 def stream_mail_stats(spark, sf_dir):
-    from tessera.plans import mail as B
-    from tessera.streaming.incremental import mail_stats_stream
-
     rows = D.mail_rows(spark, sf_dir, lineitem=_file_stream(spark, sf_dir, "lineitem"))
     return mail_stats_stream(spark, B.parse_records(rows))
 
@@ -552,9 +488,6 @@ def stream_mail_stats(spark, sf_dir):
 @register("oof_predictions")
 def oof_predictions(spark, sf_dir):
     """Out-of-fold scores of the first fold (the original stopped after fold 1)."""
-    from tessera.operators import model as M
-    from tessera.operators import tabular as T
-
     data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
     preds, _ = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", [0], M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
     return preds
@@ -563,9 +496,6 @@ def oof_predictions(spark, sf_dir):
 @register("gbt_importance_report")
 def gbt_importance_report(spark, sf_dir):
     """Per-fold importances -> mean per feature -> share of the total."""
-    from tessera.operators import model as M
-    from tessera.operators import tabular as T
-
     data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
     _, imps = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", [0, 1], M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
     mean = imps.groupBy("feature").agg(F.avg("importance").alias("mean_importance"))
