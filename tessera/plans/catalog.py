@@ -17,6 +17,7 @@ from tessera.functions.geohash import with_geohash
 from tessera.operators import blend as E
 from tessera.operators import model as M
 from tessera.operators import tabular as T
+from tessera.operators.cumulative import with_position
 from tessera.operators.joins import align_to_template as align
 from tessera.operators.joins import enrich_with_default as enrich_default
 from tessera.operators.joins import keep_keys_in
@@ -510,3 +511,24 @@ def tta_blend(spark, sf_dir):
     per = s.groupBy("id").agg(F.avg("score").alias("tta_avg"), F.max("score").alias("tta_max"))
     out = per.withColumn("blend", S.weighted_blend(["tta_avg", "tta_max"], [0.5, 0.5]))
     return out.select("id", r6(F.col("tta_avg")).alias("tta_avg"), r6(F.col("tta_max")).alias("tta_max"), r6(F.col("blend")).alias("blend"))
+
+
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@register("line_positions")
+def line_positions(spark, sf_dir):
+    """Q6 fix + SC13: rows numbered 1..n in a total order (distributed prefix count over
+    the whole table) and a re-runnable id from (source, row number)."""
+    li = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
+    pos = with_position(li, LINE_ORDER, name="row_number")
+    out = pos.withColumn("row_number", F.col("row_number") + 1)
+    return out.withColumn("unique_id", S.stable_id(F.lit("lineitem"), "row_number"))
+
+
+@register("holdout_split")
+def holdout_split(spark, sf_dir):
+    """80/20 train/validation membership by hashed id (no shuffle, repeatable)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    train, valid = T.holdout_split(o, "o_orderkey", 0.2, seed=15)
+    return train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))

@@ -383,3 +383,9 @@ SQL["stream_mail_stats"] = SQL["mail_user_stats"]
 
 SQL["tta_blend"] = """WITH p AS (SELECT l_orderkey AS id, avg(l_discount * CAST(10 AS DOUBLE)) AS a, max(l_discount * CAST(10 AS DOUBLE)) AS m FROM lineitem GROUP BY 1)
 SELECT id, round(a, 6) AS tta_avg, round(m, 6) AS tta_max, round(0.5 * a + 0.5 * m, 6) AS blend FROM p"""
+
+SQL["line_positions"] = """WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_number FROM lineitem)
+SELECT *, sha256('lineitem|' || CAST(row_number AS VARCHAR)) AS unique_id FROM p"""
+
+SQL["holdout_split"] = f"""SELECT o_orderkey, CASE WHEN {hash_bits('o_orderkey', 15)} / 4294967296.0 < 0.2 THEN 'valid' ELSE 'train' END AS split FROM orders"""
