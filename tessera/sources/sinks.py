@@ -31,14 +31,20 @@ def archive_raw(spark: SparkSession, src: str, archive_dir: str, run_date: str)
     return target
 
 
+# Fixed value: the statistics header, spaces included.
+STATS_HEADER = ("User", " Received_Emails", " Sended_Emails")
+
+
 def write_stats_csv(df: DataFrame, path: str) -> None:
-    """SNK4: statistics CSV ``User, Received_Emails, Sended_Emails``; user quoted and escaped."""
+    """SNK4: statistics CSV with header ``User, Received_Emails, Sended_Emails``, sorted by
+    user (range-partitioned sort: part files are in user order). The CSV writer quotes and
+    escapes users that need it (the original wrapped them in quotes without escaping)."""
     out = df.select(
-        F.col("user").alias("User"),
-        F.col("received").alias("Received_Emails"),
-        F.col("sent").alias("Sended_Emails"),
-    ).orderBy("User")
-    out.write.mode("overwrite").options(header=True, quoteAll=False, escape='"').csv(path)
+        F.col("user").alias(STATS_HEADER[0]),
+        F.col("received").alias(STATS_HEADER[1]),
+        F.col("sent").alias(STATS_HEADER[2]),
+    ).orderBy(STATS_HEADER[0])
+    out.write.mode("overwrite").options(header=True, quoteAll=False, escape='"', ignoreLeadingWhiteSpace=False).csv(path)
 
 
 def write_prediction_csv(df: DataFrame, path: str, id_col: str = "id", label_col: str = "label", compression: str | None = None) -> None:

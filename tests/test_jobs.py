@@ -36,7 +36,9 @@ def test_mail_job_from_csv(spark):
     assert recs[1]["timestamp_iso"] == "2018-01-31T00:00:00.123000"
     assert recs[1]["recipients"] == [""]
     assert recs[2]["message identifier"] == "<c,1@x>"
-    stats = {r.User: (r.Received_Emails, r.Sended_Emails) for r in spark.read.option("header", True).csv(res["stats"]).collect()}
+    st = spark.read.option("header", True).csv(res["stats"])
+    assert st.columns == ["User", " Received_Emails", " Sended_Emails"]
+    stats = {r[0]: (r[1], r[2]) for r in st.collect()}
     assert stats == {"alice@x": ("1", "1"), "bob@x": ("2", "1"), "carol@x": ("1", "1")}
     assert res["archive"].endswith("-processed-20180202")
     gz = [f for f in os.listdir(res["archive"]) if f.endswith(".gz")]
