@@ -58,47 +58,109 @@ def read_mail_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return df
 
 
-# Declared types of the 83-column machine table, by group.
-MACHINE_CATEGORY = (
-    "MachineIdentifier ProductName EngineVersion AppVersion AvSigVersion Platform Processor OsVer "
-    "OsPlatformSubRelease OsBuildLab SkuEdition PuaMode SmartScreen Census_MDC2FormFactor Census_DeviceFamily "
-    "Census_ProcessorClass Census_PrimaryDiskTypeName Census_ChassisTypeName Census_PowerPlatformRoleName "
-    "Census_InternalBatteryType Census_OSVersion Census_OSArchitecture Census_OSBranch Census_OSEdition "
-    "Census_OSSkuName Census_OSInstallTypeName Census_OSWUAutoUpdateOptionsName Census_GenuineStateName "
-    "Census_ActivationChannel Census_FlightRing"
-).split()
-MACHINE_INT8 = (
-    "IsBeta IsSxsPassiveMode HasTpm LocaleEnglishNameIdentifier AutoSampleOptIn Census_HasOpticalDiskDrive "
-    "Census_IsPortableOperatingSystem Census_IsSecureBootEnabled Census_IsTouchEnabled Census_IsPenCapable HasDetections"
-).split()
-MACHINE_FLOAT32 = (
-    "RtpStateBitfield DefaultBrowsersIdentifier AVProductStatesIdentifier AVProductsInstalled AVProductsEnabled "
-    "CityIdentifier OrganizationIdentifier GeoNameIdentifier IsProtected SMode IeVerIdentifier Firewall UacLuaenable "
-    "Census_OEMNameIdentifier Census_OEMModelIdentifier Census_ProcessorCoreCount Census_ProcessorManufacturerIdentifier "
-    "Census_ProcessorModelIdentifier Census_PrimaryDiskTotalCapacity Census_SystemVolumeTotalCapacity "
-    "Census_TotalPhysicalRAM Census_InternalPrimaryDiagonalDisplaySizeInInches "
-    "Census_InternalPrimaryDisplayResolutionHorizontal Census_InternalPrimaryDisplayResolutionVertical "
-    "Census_InternalBatteryNumberOfCharges Census_OSInstallLanguageIdentifier Census_IsFlightingInternal "
-    "Census_IsFlightsDisabled Census_ThresholdOptIn Census_FirmwareManufacturerIdentifier "
-    "Census_FirmwareVersionIdentifier Census_IsWIMBootEnabled Census_IsVirtualDevice "
-    "Census_IsAlwaysOnAlwaysConnectedCapable Wdft_IsGamer Wdft_RegionIdentifier"
-).split()
-MACHINE_INT16 = "CountryIdentifier OsBuild OsSuite Census_OSBuildNumber Census_OSUILocaleIdentifier".split()
-MACHINE_INT32 = ["Census_OSBuildRevision"]
+# The 83 declared columns of the machine table and their declared
+# types, in declaration order.
+MACHINE_COLUMNS = (
+    ("MachineIdentifier", "category"),
+    ("ProductName", "category"),
+    ("EngineVersion", "category"),
+    ("AppVersion", "category"),
+    ("AvSigVersion", "category"),
+    ("IsBeta", "int8"),
+    ("RtpStateBitfield", "float32"),
+    ("IsSxsPassiveMode", "int8"),
+    ("DefaultBrowsersIdentifier", "float32"),
+    ("AVProductStatesIdentifier", "float32"),
+    ("AVProductsInstalled", "float32"),
+    ("AVProductsEnabled", "float32"),
+    ("HasTpm", "int8"),
+    ("CountryIdentifier", "int16"),
+    ("CityIdentifier", "float32"),
+    ("OrganizationIdentifier", "float32"),
+    ("GeoNameIdentifier", "float32"),
+    ("LocaleEnglishNameIdentifier", "int8"),
+    ("Platform", "category"),
+    ("Processor", "category"),
+    ("OsVer", "category"),
+    ("OsBuild", "int16"),
+    ("OsSuite", "int16"),
+    ("OsPlatformSubRelease", "category"),
+    ("OsBuildLab", "category"),
+    ("SkuEdition", "category"),
+    ("IsProtected", "float32"),
+    ("AutoSampleOptIn", "int8"),
+    ("PuaMode", "category"),
+    ("SMode", "float32"),
+    ("IeVerIdentifier", "float32"),
+    ("SmartScreen", "category"),
+    ("Firewall", "float32"),
+    ("UacLuaenable", "float32"),
+    ("Census_MDC2FormFactor", "category"),
+    ("Census_DeviceFamily", "category"),
+    ("Census_OEMNameIdentifier", "float32"),
+    ("Census_OEMModelIdentifier", "float32"),
+    ("Census_ProcessorCoreCount", "float32"),
+    ("Census_ProcessorManufacturerIdentifier", "float32"),
+    ("Census_ProcessorModelIdentifier", "float32"),
+    ("Census_ProcessorClass", "category"),
+    ("Census_PrimaryDiskTotalCapacity", "float32"),
+    ("Census_PrimaryDiskTypeName", "category"),
+    ("Census_SystemVolumeTotalCapacity", "float32"),
+    ("Census_HasOpticalDiskDrive", "int8"),
+    ("Census_TotalPhysicalRAM", "float32"),
+    ("Census_ChassisTypeName", "category"),
+    ("Census_InternalPrimaryDiagonalDisplaySizeInInches", "float32"),
+    ("Census_InternalPrimaryDisplayResolutionHorizontal", "float32"),
+    ("Census_InternalPrimaryDisplayResolutionVertical", "float32"),
+    ("Census_PowerPlatformRoleName", "category"),
+    ("Census_InternalBatteryType", "category"),
+    ("Census_InternalBatteryNumberOfCharges", "float32"),
+    ("Census_OSVersion", "category"),
+    ("Census_OSArchitecture", "category"),
+    ("Census_OSBranch", "category"),
+    ("Census_OSBuildNumber", "int16"),
+    ("Census_OSBuildRevision", "int32"),
+    ("Census_OSEdition", "category"),
+    ("Census_OSSkuName", "category"),
+    ("Census_OSInstallTypeName", "category"),
+    ("Census_OSInstallLanguageIdentifier", "float32"),
+    ("Census_OSUILocaleIdentifier", "int16"),
+    ("Census_OSWUAutoUpdateOptionsName", "category"),
+    ("Census_IsPortableOperatingSystem", "int8"),
+    ("Census_GenuineStateName", "category"),
+    ("Census_ActivationChannel", "category"),
+    ("Census_IsFlightingInternal", "float32"),
+    ("Census_IsFlightsDisabled", "float32"),
+    ("Census_FlightRing", "category"),
+    ("Census_ThresholdOptIn", "float32"),
+    ("Census_FirmwareManufacturerIdentifier", "float32"),
+    ("Census_FirmwareVersionIdentifier", "float32"),
+    ("Census_IsSecureBootEnabled", "int8"),
+    ("Census_IsWIMBootEnabled", "float32"),
+    ("Census_IsVirtualDevice", "float32"),
+    ("Census_IsTouchEnabled", "int8"),
+    ("Census_IsPenCapable", "int8"),
+    ("Census_IsAlwaysOnAlwaysConnectedCapable", "float32"),
+    ("Wdft_IsGamer", "float32"),
+    ("Wdft_RegionIdentifier", "float32"),
+    ("HasDetections", "int8"),
+)
+# Declared type -> Spark type.
+DECLARED_TYPES = {
+    "category": T.StringType(),
+    "int8": T.ByteType(),
+    "int16": T.ShortType(),
+    "int32": T.IntegerType(),
+    "float32": T.FloatType(),
+}
 # Widened: int8 stops at 127 and the identifiers are not shown to fit.
 MACHINE_WIDENED = {"LocaleEnglishNameIdentifier": T.ShortType()}
 
 
 def machine_schema(columns: Sequence[str] | None = None) -> T.StructType:
     """Declared Spark types; ``columns`` gives the file's column order."""
-    types: dict[str, T.DataType] = {}
-    types.update({c: T.StringType() for c in MACHINE_CATEGORY})
-    types.update({c: T.ByteType() for c in MACHINE_INT8})
-    types.update({c: T.FloatType() for c in MACHINE_FLOAT32})
-    types.update({c: T.ShortType() for c in MACHINE_INT16})
-    types.update({c: T.IntegerType() for c in MACHINE_INT32})
-    types.update(MACHINE_WIDENED)
-    order = list(columns) if columns else list(types)
+    types = {name: MACHINE_WIDENED.get(name, DECLARED_TYPES[kind]) for name, kind in MACHINE_COLUMNS}
+    order = list(columns) if columns else [name for name, _ in MACHINE_COLUMNS]
     return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in order])
 
 
