@@ -90,10 +90,56 @@ def test_histogram_bins(spark):
     assert sum(got.values()) == 11 and got[9] == 2 and len(got) == 10
 
 
-def test_no_python_udf_in_plans(spark):
+SKIP_PLAN = {"stream_create_only", "stream_mail_stats", "train_score_gbt", "oof_predictions", "gbt_importance_report"}
+
+
+def test_no_python_in_any_query_plan(spark):
+    """Every registered query stays in the JVM: no Python UDF or pandas operator."""
+    from tessera.plans.catalog import QUERIES
+
+    for name, fn in QUERIES.items():
+        if name in SKIP_PLAN:
+            continue
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
+            assert node not in plan, (name, node)
+
+
+def test_filters_and_columns_reach_the_scan(spark):
     from tessera.plans.catalog import QUERIES
 
-    for name in ("enrich_with_default", "mail_user_stats", "version_features", "auc_exact"):
-        df = QUERIES[name](spark, "/root/testdata/sf0.001")
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+    plan = QUERIES["enrich_with_default"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
+    plan = QUERIES["auc_exact"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint>" in plan  # text column never read
+
+
+def test_hot_group_is_split_across_range_partitions(spark):
+    """A group holding a third of the rows is spread over several range partitions (the
+    ordering keys are unique), and positions stay exact."""
+    rows = [("hot", i) for i in range(3000)] + [(f"g{i % 50}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, i long")
+    got = with_position(df, ["i"], group_cols=["g"], partitions=6)
+    hot = sorted(r.pos for r in got.where("g = 'hot'").collect())
+    assert hot == list(range(3000))
+    from tessera.operators.cumulative import _PID  # noqa: F401  (name of the partition column)
+
+    ranged = df.repartitionByRange(6, "g", "i").withColumn("p", F.spark_partition_id())
+    assert ranged.where("g = 'hot'").select("p").distinct().count() > 1
+
+
+def test_two_source_copy_hot_id(spark):
+    """One id offered by a third of the documents: one winner per target, chosen by an
+    aggregate (today first, then earliest time, then sequence)."""
+    from datetime import date, datetime
+
+    from tessera.plans import logs as C
+
+    rows = [("hot", "h", datetime(2024, 1, 2, i % 24), date(2024, 1, 2), i) for i in range(300)]
+    rows += [(f"id{i}", "h", datetime(2024, 1, 1, 5), date(2024, 1, 1), 1000 + i) for i in range(600)]
+    docs = spark.createDataFrame(rows, "_id string, host string, `@timestamp` timestamp, day date, _seq long")
+    out = C.two_source_copy(docs, "h", "h")
+    hot = out.where("_id = 'hot'").orderBy("target_day").collect()
+    assert [(r.target_day, r.priority, r._seq) for r in hot] == [(date(2024, 1, 2), 0, 0), (date(2024, 1, 3), 1, 0)]
+    assert out.count() == 2 + 2 * 600
