@@ -123,8 +123,6 @@ def test_hot_group_is_split_across_range_partitions(spark):
     got = with_position(df, ["i"], group_cols=["g"], partitions=6)
     hot = sorted(r.pos for r in got.where("g = 'hot'").collect())
     assert hot == list(range(3000))
-    from tessera.operators.cumulative import _PID  # noqa: F401  (name of the partition column)
-
     ranged = df.repartitionByRange(6, "g", "i").withColumn("p", F.spark_partition_id())
     assert ranged.where("g = 'hot'").select("p").distinct().count() > 1
 
