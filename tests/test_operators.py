@@ -115,6 +115,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint>" in plan  # text column never read
 
 
+def test_dictionary_join_is_broadcast_after_measuring(spark):
+    """No hint is given: AQE measures the aggregated dictionary and broadcasts it."""
+    from tessera.plans.catalog import QUERIES
+
+    df = QUERIES["enrich_with_default"](spark, "/root/testdata/sf0.001")
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+
+
 def test_hot_group_is_split_across_range_partitions(spark):
     """A group holding a third of the rows is spread over several range partitions (the
     ordering keys are unique), and positions stay exact."""
