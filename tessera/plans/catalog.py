@@ -532,3 +532,11 @@ def holdout_split(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey")
     train, valid = T.holdout_split(o, "o_orderkey", 0.2, seed=15)
     return train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))
+
+
+@register("sigmoid_scores")
+def sigmoid_scores(spark, sf_dir):
+    """SC25 + SC26: class-1 probability from a logit, then the 0/1 decision."""
+    d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / F.lit(1000.0) - F.lit(3.0)).alias("logit"))
+    p = d.withColumn("p", S.sigmoid("logit"))
+    return p.select("doc_id", r6(F.col("p")).alias("p"), S.threshold("p").alias("label"))

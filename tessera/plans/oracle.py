@@ -389,3 +389,6 @@ SQL["line_positions"] = """WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey
 SELECT *, sha256('lineitem|' || CAST(row_number AS VARCHAR)) AS unique_id FROM p"""
 
 SQL["holdout_split"] = f"""SELECT o_orderkey, CASE WHEN {hash_bits('o_orderkey', 15)} / 4294967296.0 < 0.2 THEN 'valid' ELSE 'train' END AS split FROM orders"""
+
+SQL["sigmoid_scores"] = """WITH d AS (SELECT doc_id, 1.0 / (1.0 + exp(-(n_chars / CAST(1000 AS DOUBLE) - 3.0))) AS p FROM documents)
+SELECT doc_id, round(p, 6) AS p, CAST(p > 0.5 AS INTEGER) AS label FROM d"""
