@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import _c, parse_float
+from tessera.functions.scalars import parse_float
 
 # Fixed value: the geohash base-32 alphabet.
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"

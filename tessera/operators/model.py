@@ -123,7 +123,3 @@ def out_of_fold(
         preds = scored if preds is None else preds.unionByName(scored)
         imps = imp if imps is None else imps.unionByName(imp)
     return preds, imps
-
-
-def with_label(df: DataFrame, cond, name: str = "label") -> DataFrame:
-    return df.withColumn(name, F.when(cond, 1.0).otherwise(0.0))
