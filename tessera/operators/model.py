@@ -70,12 +70,12 @@ def auc(model: PipelineModel, df: DataFrame, label: str) -> float:
     return ev.evaluate(model.transform(df))
 
 
-def importances(model: PipelineModel, features: Sequence[str], fold: int) -> DataFrame:
+def importances(model: PipelineModel, features: Sequence[str], fold: int, spark: SparkSession | None = None) -> DataFrame:
     """``feature, importance, fold`` (one row per feature: size bounded by the
     feature list, built on the driver from the fitted model)."""
     gbt = model.stages[-1]
     vals = gbt.featureImportances.toArray().tolist()
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     return spark.createDataFrame([(f, float(v), int(fold)) for f, v in zip(features, vals, strict=True)], "feature string, importance double, fold int")
 
 
@@ -105,21 +105,27 @@ def out_of_fold(
     fold_col: str,
     folds: Sequence[int],
     params: dict | None = None,
+    parallelism: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
     """E11 + E12: for each listed fold, fit on the other folds and score this one.
 
-    The loop runs on the driver over a handful of folds; each iteration is a Spark ML
-    fit and a distributed scoring pass. Returns (out-of-fold predictions
-    ``id, fold, label, score``, importances ``feature, importance, fold``), both
-    appended across folds with ``unionByName``.
+    The folds are fitted concurrently from driver threads (as Spark ML's tuning does
+    with ``parallelism``); each fit is a distributed Spark ML job. Returns (out-of-fold
+    predictions ``id, fold, label, score``, importances ``feature, importance, fold``),
+    each appended across folds with ``unionByName``.
     """
-    preds, imps = None, None
-    for k in folds:
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(k: int):
         model = train(df.where(F.col(fold_col) != k), features, label, params)
         scored = model.transform(df.where(F.col(fold_col) == k)).select(
             id_col, F.lit(int(k)).alias("fold"), F.col(label).alias("label"), vector_to_array("probability")[1].alias("score")
         )
-        imp = importances(model, features, k)
-        preds = scored if preds is None else preds.unionByName(scored)
-        imps = imp if imps is None else imps.unionByName(imp)
+        return scored, importances(model, features, k, df.sparkSession)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
+        results = list(pool.map(one, folds))
+    preds, imps = results[0]
+    for p, i in results[1:]:
+        preds, imps = preds.unionByName(p), imps.unionByName(i)
     return preds, imps
