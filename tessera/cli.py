@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--out", required=True)
     m.add_argument("--run-date", required=True)
     m.add_argument("--last-only-edges", action="store_true")
+    m.add_argument("--multi-line", action="store_true")
 
     s = sub.add_parser("search")
     s.add_argument("--docs", required=True)
@@ -99,7 +100,7 @@ def main(argv: Sequence[str] | None = None) -> dict:
     elif args.job == "mail":
         from tessera.plans import mail
 
-        result = mail.run_job(spark, args.path, args.out, args.run_date, args.last_only_edges)
+        result = mail.run_job(spark, args.path, args.out, args.run_date, args.last_only_edges, args.multi_line)
     elif args.job == "search":
         from tessera.plans import logs
 
@@ -112,9 +113,16 @@ def main(argv: Sequence[str] | None = None) -> dict:
         from tessera.plans import logs
 
         docs = spark.read.parquet(args.docs)
-        existing = spark.read.parquet(args.existing) if args.existing else None
-        new = logs.daily_copy(docs, args.run_date, args.host_today, args.host_yesterday or args.host_today, existing)
         target = f"{args.out.rstrip('/')}/{logs.target_name('copy', args.run_date)}"
+        existing = [spark.read.parquet(args.existing).select("target_day", "_id")] if args.existing else []
+        try:  # create only: what the target already holds is never written again
+            existing.append(spark.read.parquet(target).select("target_day", "_id"))
+        except Exception:  # noqa: BLE001 - no target yet
+            pass
+        known = existing[0] if existing else None
+        for more in existing[1:]:
+            known = known.unionByName(more)
+        new = logs.daily_copy(docs, args.run_date, args.host_today, args.host_yesterday or args.host_today, known)
         new.write.mode("append").parquet(target)
         result = {"target": target}
     elif args.job == "prepare":

@@ -12,6 +12,7 @@ and one merge, never a group held in one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,12 +108,19 @@ def edges(records: DataFrame, last_only: bool = False) -> DataFrame:
     return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def run_job(spark: SparkSession, path: str, out_dir: str, run_date: str, last_only_edges: bool = False) -> dict:
-    """Whole job: records (JSON), statistics CSV, edges (Parquet), archive (gzip)."""
-    rows = number_rows(files.read_mail_csv(spark, path))
-    records = parse_records(rows)
-    sinks.write_json_records(records, f"{out_dir}/processed")
-    sinks.write_stats_csv(user_stats(records), f"{out_dir}/stats")
-    edges(records, last_only_edges).write.mode("overwrite").parquet(f"{out_dir}/edges")
+def run_job(
+    spark: SparkSession, path: str, out_dir: str, run_date: str, last_only_edges: bool = False, multi_line: bool = False
+) -> dict:
+    """Whole job: records (JSON), statistics CSV, edges (Parquet), archive (gzip).
+
+    The parsed records feed three writes, so they are persisted once."""
+    rows = number_rows(files.read_mail_csv(spark, path, multi_line))
+    records = parse_records(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sinks.write_json_records(records, f"{out_dir}/processed")
+        sinks.write_stats_csv(user_stats(records), f"{out_dir}/stats")
+        edges(records, last_only_edges).write.mode("overwrite").parquet(f"{out_dir}/edges")
+    finally:
+        records.unpersist()
     archived = sinks.archive_raw(spark, path, f"{out_dir}/archive", run_date)
     return {"processed": f"{out_dir}/processed", "stats": f"{out_dir}/stats", "edges": f"{out_dir}/edges", "archive": archived}

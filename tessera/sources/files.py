@@ -51,9 +51,13 @@ MAIL_SCHEMA = T.StructType(
 )
 
 
-def read_mail_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """SRC3: headerless mail CSV; empty fields as ''; source file name kept."""
-    df = spark.read.schema(MAIL_SCHEMA).options(header=False, multiLine=True, **CSV_OPTIONS).csv(path)
+def read_mail_csv(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """SRC3: headerless mail CSV; empty fields as ''; source file name kept.
+
+    Files are split across tasks (one record per line). ``multi_line=True`` accepts quoted
+    fields with embedded newlines, at the price of one task per file.
+    """
+    df = spark.read.schema(MAIL_SCHEMA).options(header=False, multiLine=multi_line, **CSV_OPTIONS).csv(path)
     df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in MAIL_SCHEMA.names], F.col("_metadata.file_name").alias("source_file"))
     return df
 

@@ -37,7 +37,11 @@ def test_cli_search_copy_train(spark):
     res = cli.main(["search", "--docs", os.path.join(d, "docs"), "--host", "web-1", "--name", "error", "--out", os.path.join(d, "hits")])
     assert spark.read.parquet(res["hits"]).count() > 0
     res = cli.main(["copy", "--docs", os.path.join(d, "docs"), "--run-date", "2024-01-02", "--host-today", "web-2", "--out", os.path.join(d, "copies")])
-    assert res["target"].endswith("copy-2024.01.02") and spark.read.parquet(res["target"]).count() > 0
+    assert res["target"].endswith("copy-2024.01.02")
+    first = spark.read.parquet(res["target"]).count()
+    assert first > 0
+    cli.main(["copy", "--docs", os.path.join(d, "docs"), "--run-date", "2024-01-02", "--host-today", "web-2", "--out", os.path.join(d, "copies")])
+    assert spark.read.parquet(res["target"]).count() == first  # second run copies nothing new
     o = spark.read.parquet(f"{SF}/orders.parquet").selectExpr("o_orderkey", "o_totalprice", "CAST(year(o_orderdate) AS DOUBLE) AS yr", "CAST(o_orderstatus = 'F' AS DOUBLE) AS label")
     o.write.parquet(os.path.join(d, "orders"))
     res = cli.main(["train", "--data", os.path.join(d, "orders"), "--features", "o_totalprice,yr", "--label", "label", "--id", "o_orderkey", "--out", os.path.join(d, "model")])
