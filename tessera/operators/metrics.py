@@ -5,7 +5,7 @@
 * Exact quantiles use prefix counts over distinct values, then a join with the few
   wanted ranks; no percentile buffer holding every value of the column.
 * Histograms and density grids are grouped counts; the smoothing kernel is a fixed
-  table of (2r+1)^2 offsets, so its broadcast does not grow with the data.
+  list of (2r+1)^2 offsets exploded per cell, so its cost is cells x kernel, not rows.
 """
 
 from __future__ import annotations
@@ -55,13 +55,11 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     Distinct values get prefix counts (distributed), each wanted rank ``h = p (n-1)``
     is matched to the value covering ``floor(h)`` and ``ceil(h)``.
     """
-    spark = df.sparkSession
     valid = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
     counts = valid.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     cum = running_sums(counts, ["v"], {"cum": F.col("c")})
     n = valid.agg(F.count(F.lit(1)).alias("n"))  # partial counts, no grouping shuffle
-    wanted = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    ranks = wanted.crossJoin(n).select(
+    ranks = n.select(F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"), "n").select(
         "p",
         (F.col("p") * (F.col("n") - 1)).alias("h"),
         F.floor(F.col("p") * (F.col("n") - 1)).cast("bigint").alias("lo"),
@@ -108,7 +106,6 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = DEFAULT_BINS) -> D
     Output ``column, bin, lo, hi, count`` with empty bins present (count 0). A constant
     column puts every row in bin 0.
     """
-    spark = df.sparkSession
     ranges = df.agg(*[F.min(c).alias(f"mn_{i}") for i, c in enumerate(cols)], *[F.max(c).alias(f"mx_{i}") for i, c in enumerate(cols)])
     long_rng = ranges.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"mn_{i}").cast("double").alias("mn"), F.col(f"mx_{i}").cast("double").alias("mx")) for i, c in enumerate(cols)])).alias("r")
@@ -120,7 +117,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = DEFAULT_BINS) -> D
     width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
     b = F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - F.col("mn"), width)), F.lit(bins - 1)), F.lit(0)).cast("int")
     counts = j.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = long_rng.crossJoin(spark.range(bins).select(F.col("id").cast("int").alias("bin")))
+    grid = long_rng.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     w = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
     out = grid.join(counts, ["column", "bin"], "left").select(
         "column",
@@ -182,13 +179,15 @@ def density_smooth(grid: DataFrame, radius: int = 2, sigma: float = 1.0) -> Data
 
     Cost is cells x (2r+1)^2, independent of the row count.
     """
-    spark = grid.sparkSession
-    side = spark.range(-radius, radius + 1).select(F.col("id").alias("d"))
-    kernel = side.select(F.col("d").alias("dx")).crossJoin(side.select(F.col("d").alias("dy"))).select(
-        "dx", "dy", F.exp(-(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")) / F.lit(2.0 * sigma * sigma)).alias("w")
-    )
-    spread = grid.crossJoin(F.broadcast(kernel)).select(
-        (F.col("gx") + F.col("dx")).alias("gx"), (F.col("gy") + F.col("dy")).alias("gy"), (F.col("n") * F.col("w")).alias("m")
+    offsets = [
+        F.struct(F.lit(dx).cast("bigint").alias("dx"), F.lit(dy).cast("bigint").alias("dy"))
+        for dx in range(-radius, radius + 1)
+        for dy in range(-radius, radius + 1)
+    ]
+    k = grid.select("gx", "gy", "n", F.explode(F.array(*offsets)).alias("o"))
+    w = F.exp(-(F.col("o.dx") * F.col("o.dx") + F.col("o.dy") * F.col("o.dy")) / F.lit(2.0 * sigma * sigma))
+    spread = k.select(
+        (F.col("gx") + F.col("o.dx")).alias("gx"), (F.col("gy") + F.col("o.dy")).alias("gy"), (F.col("n") * w).alias("m")
     )
     dens = spread.groupBy("gx", "gy").agg(F.sum("m").alias("m"))
     total = dens.agg(F.sum("m").alias("total"))
