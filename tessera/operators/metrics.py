@@ -190,5 +190,5 @@ def density_smooth(grid: DataFrame, radius: int = 2, sigma: float = 1.0) -> Data
         (F.col("gx") + F.col("o.dx")).alias("gx"), (F.col("gy") + F.col("o.dy")).alias("gy"), (F.col("n") * w).alias("m")
     )
     dens = spread.groupBy("gx", "gy").agg(F.sum("m").alias("m"))
-    total = dens.agg(F.sum("m").alias("total"))
-    return dens.crossJoin(total).select("gx", "gy", (F.col("m") / F.col("total")).alias("density"))
+    total = dens.agg(F.sum("m")).scalar()  # scalar subquery, computed once
+    return dens.select("gx", "gy", (F.col("m") / total).alias("density"))

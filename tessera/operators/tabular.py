@@ -116,11 +116,11 @@ def holdout_split(df: DataFrame, id_col: str, test_fraction: float, seed: int) -
 def contiguous_folds(df: DataFrame, order_cols: Sequence[str], k: int, name: str = "fold") -> DataFrame:
     """K contiguous blocks in ``order_cols`` order, the first ``n % k`` one row larger.
 
-    Positions come from the distributed prefix count; ``n`` is a one-row aggregate.
+    Positions come from the distributed prefix count; ``n`` is a scalar subquery.
     """
     pos = with_position(df, list(order_cols), name="_pos")
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    j = pos.crossJoin(F.broadcast(n))
+    n = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery, computed once
+    j = pos.withColumn("_n", n)
     base = F.floor(F.col("_n") / k)
     extra = F.pmod(F.col("_n"), F.lit(k))
     big = extra * (base + 1)

@@ -381,8 +381,8 @@ def topk_groups(spark, sf_dir):
 def importance_report(spark, sf_dir):
     imp = D.importances(spark, sf_dir)
     best = keep_keys_in(imp, _top_features(imp).select("feature"), "feature")
-    total = best.agg(F.sum("importance").alias("total"))
-    shared = best.crossJoin(total).withColumn("share", F.lit(100.0) * F.col("importance") / F.col("total"))
+    total = best.agg(F.sum("importance")).scalar()  # scalar subquery, computed once
+    shared = best.withColumn("share", F.lit(100.0) * F.col("importance") / total)
     kept = shared.where(F.col("share") > F.lit(SHARE_CUT))
     return kept.select("feature", "fold", "importance", r6(F.col("share")).alias("share"))
 
@@ -500,8 +500,8 @@ def gbt_importance_report(spark, sf_dir):
     data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
     _, imps = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", [0, 1], M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
     mean = imps.groupBy("feature").agg(F.avg("importance").alias("mean_importance"))
-    total = mean.agg(F.sum("mean_importance").alias("total"))
-    return mean.crossJoin(total).select("feature", "mean_importance", (F.lit(100.0) * F.col("mean_importance") / F.col("total")).alias("share"))
+    total = mean.agg(F.sum("mean_importance")).scalar()
+    return mean.select("feature", "mean_importance", (F.lit(100.0) * F.col("mean_importance") / total).alias("share"))
 
 
 @register("tta_blend")
