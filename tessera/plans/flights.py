@@ -107,7 +107,11 @@ def project_flights(flights: DataFrame, lower_case_flag: bool = False) -> DataFr
 
 
 def enrich(projected: DataFrame, dictionary: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
-    """One output row per flight; ``temperature`` is NULL where no reading exists."""
+    """One output row per flight; ``temperature`` is NULL where no reading exists.
+
+    A dictionary built with ``legacy_text_max`` also carries the reading as text
+    (``temperature_text``) for the legacy text output.
+    """
     out = enrich_with_default(
         projected,
         dictionary,
@@ -115,6 +119,10 @@ def enrich(projected: DataFrame, dictionary: DataFrame, broadcast_max_rows: int
         value_col="temperature",
         broadcast_max_rows=broadcast_max_rows,
     )
+    if "temperature_text" in dictionary.columns:
+        text = dictionary.select("airport", "date", "hour", "temperature_text")
+        out = out.join(text, ["airport", "date", "hour"], "left")
+        return out.select(*ENRICHED_COLUMNS, "temperature_text")
     return out.select(*ENRICHED_COLUMNS)
 
 
@@ -163,10 +171,19 @@ def legacy_lines(outputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     d = outputs["weather_dictionary"]
     key = F.concat_ws("-", "airport", "date", "hour")
     det = outputs["flights_full_details"]
+    # The reading as the original wrote it: the text maximum when the dictionary kept it,
+    # else the number; a missing reading is the text 9999.
+    d_text = F.col("temperature_text") if "temperature_text" in d.columns else F.col("temperature").cast("string")
+    t_text = F.col("temperature_text") if "temperature_text" in det.columns else F.col("temperature").cast("string")
+    missing = F.col("temperature") == F.lit(float(MISSING_READING))
     return {
-        "weather_dictionary": d.select(F.format_string("%s, %s", key, F.col("temperature")).alias("value")),
+        "weather_dictionary": d.select(F.format_string("%s, %s", key, d_text).alias("value")),
         "flights_full_details": det.select(
-            F.concat_ws(",", *[F.col(c) for c in ENRICHED_COLUMNS[:-1]], F.col("temperature").cast("string")).alias("value")
+            F.concat_ws(
+                ",",
+                *[F.col(c) for c in ENRICHED_COLUMNS[:-1]],
+                F.when(missing, F.lit(str(MISSING_READING))).otherwise(t_text),
+            ).alias("value")
         ),
         "airlines_day_max_temperature": outputs["airlines_day_max_temperature"].select(
             F.format_string("%s, %s, %s", "airline", "date", S.format_one_decimal("max_temp_c")).alias("value")

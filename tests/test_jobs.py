@@ -48,10 +48,13 @@ def test_mail_job_from_csv(spark):
 
 def test_flight_job_legacy_text(spark):
     out = tempfile.mkdtemp(prefix="tessera-flights-text-")
-    paths = A.run_job(D.weather_lines(spark, SF), D.flight_lines(spark, SF), out, legacy_text=True)
+    paths = A.run_job(D.weather_lines(spark, SF), D.flight_lines(spark, SF), out, legacy_text=True, legacy_text_max=True)
     daily = spark.read.text(paths["airlines_day_max_temperature"]).collect()
     assert daily and all(len(r.value.split(", ")) == 3 for r in daily)
     details = spark.read.text(paths["flights_full_details"]).collect()
-    assert any(r.value.endswith(",9999.0") for r in details)
+    assert any(r.value.endswith(",9999") for r in details)
+    assert all(len(r.value.split(",")) == 9 for r in details)  # eight fields and the reading
+    assert any(r.value.split(",")[-1].count(".") == 1 and len(r.value.split(",")[-1].split(".")[1]) == 2 for r in details)
+
     flights = spark.read.text(paths["airlines_number_flights"]).collect()
     assert sum(int(r.value.split(", ")[1]) for r in flights) == D.flight_rows(spark, SF).count()
