@@ -81,7 +81,7 @@ NOTES = """
 
 - At sf0.01 every table is one Parquet row group, so `tables.table(..., spread=True)`
   adds one round-robin shuffle before CPU-heavy per-row derivations (flight and mail
-  lines, log documents, version texts). A scan with at least as many splits as task
+  lines, log documents, model training input). A scan with at least as many splits as task
   slots gets none.
 - Aggregates show two operators per shuffle (partial, then final): the partial side
   collapses hot keys inside each task.
