@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tessera.functions import scalars as S
 from tessera.functions import versions as V
 from tessera.operators.cumulative import with_position
+from tessera.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 
 UNSEEN_CODE = -1
 
@@ -82,15 +83,24 @@ def fit_codes(train: DataFrame, columns: Sequence[str], order_col: str) -> DataF
     return coded.select("column", "value", "code").persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
+def apply_codes(
+    df: DataFrame,
+    codes: DataFrame,
+    columns: Sequence[str],
+    suffix: str = "_code",
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+) -> DataFrame:
     """Replace each category by its code; missing or unseen values get -1.
 
-    One left join per column against that column's slice of the dictionary; the join
-    strategy is left to AQE, which broadcasts a slice once its measured size is small.
+    One left join per column against that column's slice of the dictionary. A slice
+    proven to hold at most ``broadcast_max_rows`` values is broadcast (the data is not
+    shuffled for it); a larger one, or ``broadcast_max_rows=None``, is a shuffle join.
     """
     out = df
     for c in columns:
         d = codes.where(F.col("column") == F.lit(c)).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}{suffix}"))
+        if broadcast_max_rows:
+            d = bounded_broadcast(d, broadcast_max_rows)
         out = out.join(d, out[c].cast("string") == d[f"_v_{c}"], "left").drop(f"_v_{c}")
         out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(UNSEEN_CODE).cast("bigint")))
     return out

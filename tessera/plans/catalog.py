@@ -57,7 +57,8 @@ def _dictionary(spark, sf_dir, legacy=False):
 def enriched_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights (deduplicated lines, header dropped) enriched with the weather dictionary."""
     flights = A.parse_flights(D.flight_lines(spark, sf_dir))
-    return A.enrich(A.project_flights(flights), _dictionary(spark, sf_dir))
+    # The weather dictionary is a side input: broadcast once its size is proven small.
+    return A.enrich(A.project_flights(flights), _dictionary(spark, sf_dir), broadcast_max_rows=2_000_000)
 
 
 @register("weather_max_by_key")

@@ -206,6 +206,7 @@ def run_job(
     out_dir: str,
     legacy_text_max: bool = False,
     legacy_text: bool = False,
+    broadcast_max_rows: int | None = 2_000_000,
 ) -> dict:
     """Whole job: dictionary + enriched details + four reports, written as Parquet (typed)
     or, with ``legacy_text``, as the original's text lines.
@@ -214,7 +215,9 @@ def run_job(
     partitions spill instead of failing, and lost blocks are recomputed).
     """
     dictionary = weather_dictionary(parse_weather(weather_lines), legacy_text_max)
-    enriched = enrich(project_flights(parse_flights(flight_lines)), dictionary).persist(StorageLevel.MEMORY_AND_DISK)
+    # The dictionary is a side input: broadcast when proven small, shuffle join otherwise.
+    projected = project_flights(parse_flights(flight_lines))
+    enriched = enrich(projected, dictionary, broadcast_max_rows).persist(StorageLevel.MEMORY_AND_DISK)
     outputs = {
         "weather_dictionary": dictionary,
         "flights_full_details": with_legacy_temperature(enriched),

@@ -27,6 +27,15 @@ def test_positions_per_group(spark):
     assert all(r.pos == r.i for r in got)
 
 
+def test_bounded_broadcast_falls_back_above_the_bound(spark):
+    from tessera.operators.joins import bounded_broadcast
+
+    hinted = bounded_broadcast(spark.range(10), 50)._jdf.queryExecution().logical().toString()
+    plain = bounded_broadcast(spark.range(100), 50)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted.lower()
+    assert "broadcast" not in plain.lower()
+
+
 def test_enrich_keeps_row_count(spark):
     facts = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k long")
     look = spark.createDataFrame([(1, 10.0), (2, 20.0)], "k long, v double")
@@ -116,7 +125,8 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_dictionary_join_is_broadcast_after_measuring(spark):
-    """No hint is given: AQE measures the aggregated dictionary and broadcasts it."""
+    """The weather dictionary is counted (bounded) and then broadcast; the flights are
+    not shuffled for the lookup."""
     from tessera.plans.catalog import QUERIES
 
     df = QUERIES["enrich_with_default"](spark, "/root/testdata/sf0.001")
