@@ -85,8 +85,10 @@ NOTES = """
   slots gets none.
 - Aggregates show two operators per shuffle (partial, then final): the partial side
   collapses hot keys inside each task.
-- Joins to dictionaries carry no hint. The broadcast joins shown were chosen by AQE after
-  it measured the dictionary side, and at scale the same plan keeps a sort-merge join.
+- The weather dictionary and the category-code slices are broadcast only after a bounded
+  count proved them small (`joins.bounded_broadcast`); above the bound they stay shuffle
+  joins. Other joins carry no hint, and their broadcasts here were chosen by AQE after it
+  measured the small side.
 - Running sums (`auc_exact`, `describe_scores`, `kfold_contiguous`, `factorize_train_test`,
   `line_positions`) show one range shuffle (inside the cached sub-plan, counted once as a
   cache scan), one shuffle on the range-partition id for the local window, and a tiny
