@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
-SKIP = {"stream_create_only", "stream_mail_stats"}
+SKIP = {"stream_create_only", "stream_mail_stats", "stream_mail_edges"}
 
 
 def final_plan(df) -> str:

@@ -31,7 +31,7 @@ from tessera.plans import mail as B
 from tessera.plans import standins as D
 from tessera.sources.files import decode_csv_lines, drop_header_lines
 from tessera.sources.tables import table
-from tessera.streaming.incremental import create_only_stream, mail_stats_stream
+from tessera.streaming.incremental import create_only_stream, mail_edges_stream, mail_stats_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -545,3 +545,10 @@ def sigmoid_scores(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / F.lit(1000.0) - F.lit(3.0)).alias("logit"))
     p = d.withColumn("p", S.sigmoid("logit"))
     return p.select("doc_id", r6(F.col("p")).alias("p"), S.threshold("p").alias("label"))
+
+
+@register("stream_mail_edges")
+def stream_mail_edges(spark, sf_dir):
+    """ST2 (A9): connection weights kept as streaming state."""
+    rows = D.mail_rows(spark, sf_dir, lineitem=_file_stream(spark, sf_dir, "lineitem"))
+    return mail_edges_stream(spark, B.parse_records(rows))

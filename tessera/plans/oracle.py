@@ -380,6 +380,7 @@ SELECT gx, gy, round(m / (SELECT sum(m) FROM s), 6) AS density FROM s"""
 # ------------------------------------------------------------------ streaming: batch equivalents
 SQL["stream_create_only"] = SQL["create_only_copy"]
 SQL["stream_mail_stats"] = SQL["mail_user_stats"]
+SQL["stream_mail_edges"] = SQL["mail_edges_all"]
 
 SQL["tta_blend"] = """WITH p AS (SELECT l_orderkey AS id, avg(l_discount * CAST(10 AS DOUBLE)) AS a, max(l_discount * CAST(10 AS DOUBLE)) AS m FROM lineitem GROUP BY 1)
 SELECT id, round(a, 6) AS tta_avg, round(m, 6) AS tta_max, round(0.5 * a + 0.5 * m, 6) AS blend FROM p"""

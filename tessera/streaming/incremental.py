@@ -82,3 +82,25 @@ def mail_stats_stream(spark: SparkSession, records_stream: DataFrame, include_re
     if not include_receivers:
         result = result.where(F.col("sent") > 0)
     return result.select("user", "received", "sent")
+
+
+def mail_edges_stream(spark: SparkSession, records_stream: DataFrame, last_only: bool = False) -> DataFrame:
+    """ST2 (A9): running connection weights per (sender, recipient) in the state store;
+    one state row per edge, complete totals rewritten per micro-batch."""
+    from tessera.plans.mail import edges
+
+    base = _run_dir(spark, "mail-edges")
+    out = f"{base}/edges"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (
+        edges(records_stream, last_only).writeStream.outputMode("complete")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", f"{base}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out).select("src", "dst", "weight")

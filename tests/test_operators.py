@@ -99,7 +99,7 @@ def test_histogram_bins(spark):
     assert sum(got.values()) == 11 and got[9] == 2 and len(got) == 10
 
 
-SKIP_PLAN = {"stream_create_only", "stream_mail_stats", "train_score_gbt", "oof_predictions", "gbt_importance_report"}
+SKIP_PLAN = {"stream_create_only", "stream_mail_stats", "stream_mail_edges", "train_score_gbt", "oof_predictions", "gbt_importance_report"}
 
 
 def test_no_python_in_any_query_plan(spark):

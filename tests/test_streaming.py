@@ -41,3 +41,15 @@ def test_stream_two_files_create_only_across_batches(spark):
     destination = spark.createDataFrame([("x",)], "_id string")
     out = sorted((r._id, r.payload) for r in create_only_stream(spark, stream, destination).collect())
     assert out == [("a", "a1"), ("b", "b1"), ("c", "c1")]
+
+
+def test_stream_mail_edges_equals_batch(spark):
+    from tessera.plans import mail as B
+    from tessera.plans import standins as D
+    from tessera.plans.catalog import _file_stream
+    from tessera.streaming.incremental import mail_edges_stream
+
+    rows = D.mail_rows(spark, SF, lineitem=_file_stream(spark, SF, "lineitem"))
+    s = sorted(tuple(r) for r in mail_edges_stream(spark, B.parse_records(rows)).collect())
+    b = sorted(tuple(r) for r in E.queries()["mail_edges_all"](spark, SF).collect())
+    assert s == b and len(s) > 0
