@@ -65,11 +65,10 @@ def enriched_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weather_max_by_key(spark, sf_dir):
     w = A.parse_weather(D.weather_lines(spark, sf_dir))
     keyed = w.select("airport", "date", S.hour_of_hhmm("time").alias("hour"), S.parse_float("temperature").alias("t"))
-    return (
-        keyed.where(F.col("t").isNotNull())
-        .groupBy("airport", "date", "hour")
-        .agg(F.max("t").alias("max_temp"), F.count(F.lit(1)).alias("n_readings"))
-    )
+    # Unparsable readings are skipped by max/count themselves; filtering after the
+    # aggregate keeps the CSV decode from being evaluated a second time in a pushed filter.
+    agg = keyed.groupBy("airport", "date", "hour").agg(F.max("t").alias("max_temp"), F.count("t").alias("n_readings"))
+    return agg.where(F.col("n_readings") > 0)
 
 
 @register("weather_max_text_legacy")
