@@ -173,7 +173,8 @@ def log_docs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     """Log documents: one per event. ``signup`` messages are cut-off JSON, ``purchase``
     messages have no ``args``; hosts ``web-0..3`` with every 13th in upper case."""
     ev = events if events is not None else table(spark, sf_dir, "events", spread=True)
-    k = F.get_json_object("props", "$.k")
+    ev = ev.withColumn("_k", F.get_json_object("props", "$.k"))  # extracted once, used twice
+    k = F.col("_k")
     host = F.concat(F.lit("web-"), _s(F.pmod("user_id", F.lit(4))))
     args = F.concat(
         F.lit('{"username": "user'), _s(F.col("user_id")),
