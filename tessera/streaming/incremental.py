@@ -19,7 +19,11 @@ from tessera.session import checkpoint_dir
 LATENESS = "1 day"
 
 
-def _run_dir(spark: SparkSession, name: str) -> str:
+def _run_dir(spark: SparkSession, name: str, base_dir: str | None = None) -> str:
+    """``base_dir`` when given (a stable location: a rerun resumes from its checkpoint and
+    processes only new files), else a fresh folder under the shared checkpoint folder."""
+    if base_dir:
+        return base_dir.rstrip("/")
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -29,10 +33,12 @@ def create_only_stream(
     destination: DataFrame,
     key: str = "_id",
     event_time: str = "@timestamp",
+    base_dir: str | None = None,
 ) -> DataFrame:
     """ST1: documents not yet in ``destination``, deduplicated on ``key`` within the
-    lateness bound, appended batch by batch. Returns the appended rows (batch read)."""
-    base = _run_dir(spark, "create-only")
+    lateness bound, appended batch by batch. Returns every row appended so far under
+    ``base_dir`` (batch read)."""
+    base = _run_dir(spark, "create-only", base_dir)
     out = f"{base}/out"
     timed = stream.withColumn("_event_time", F.col(f"`{event_time}`").cast("timestamp"))
     deduped = timed.withWatermark("_event_time", LATENESS).dropDuplicatesWithinWatermark([key]).drop("_event_time")
@@ -52,7 +58,9 @@ def create_only_stream(
     return spark.read.parquet(out).drop("batch")
 
 
-def mail_stats_stream(spark: SparkSession, records_stream: DataFrame, include_receivers: bool = False) -> DataFrame:
+def mail_stats_stream(
+    spark: SparkSession, records_stream: DataFrame, include_receivers: bool = False, base_dir: str | None = None
+) -> DataFrame:
     """ST2: running per-user totals kept in Spark's state store.
 
     Each record contributes (sender, sent=1) and (recipient, received=1); a streaming
@@ -63,7 +71,7 @@ def mail_stats_stream(spark: SparkSession, records_stream: DataFrame, include_re
     """
     from tessera.plans.mail import user_stats
 
-    base = _run_dir(spark, "mail-stats")
+    base = _run_dir(spark, "mail-stats", base_dir)
     out = f"{base}/totals"
     totals = user_stats(records_stream, include_receivers=True)
 
@@ -84,12 +92,14 @@ def mail_stats_stream(spark: SparkSession, records_stream: DataFrame, include_re
     return result.select("user", "received", "sent")
 
 
-def mail_edges_stream(spark: SparkSession, records_stream: DataFrame, last_only: bool = False) -> DataFrame:
+def mail_edges_stream(
+    spark: SparkSession, records_stream: DataFrame, last_only: bool = False, base_dir: str | None = None
+) -> DataFrame:
     """ST2 (A9): running connection weights per (sender, recipient) in the state store;
     one state row per edge, complete totals rewritten per micro-batch."""
     from tessera.plans.mail import edges
 
-    base = _run_dir(spark, "mail-edges")
+    base = _run_dir(spark, "mail-edges", base_dir)
     out = f"{base}/edges"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
