@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tessera.functions import scalars as S
 from tessera.functions import versions as V
 from tessera.operators.cumulative import with_position
-from tessera.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
+from tessera.operators.joins import BROADCAST_MAX_ROWS
 
 UNSEEN_CODE = -1
 
@@ -92,15 +92,20 @@ def apply_codes(
 ) -> DataFrame:
     """Replace each category by its code; missing or unseen values get -1.
 
-    One left join per column against that column's slice of the dictionary. A slice
-    proven to hold at most ``broadcast_max_rows`` values is broadcast (the data is not
-    shuffled for it); a larger one, or ``broadcast_max_rows=None``, is a shuffle join.
+    One left join per column against that column's slice of the dictionary. The slice
+    sizes come from one aggregate over the (persisted) dictionary, one row per column; a
+    slice proven to hold at most ``broadcast_max_rows`` values is broadcast (the data is
+    not shuffled for it), a larger one, or ``broadcast_max_rows=None``, is a shuffle join.
     """
+    sizes: dict[str, int] = {}
+    if broadcast_max_rows:
+        wanted = codes.where(F.col("column").isin(list(columns)))
+        sizes = {r["column"]: r["n"] for r in wanted.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for c in columns:
         d = codes.where(F.col("column") == F.lit(c)).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}{suffix}"))
-        if broadcast_max_rows:
-            d = bounded_broadcast(d, broadcast_max_rows)
+        if broadcast_max_rows and sizes.get(c, 0) <= broadcast_max_rows:
+            d = F.broadcast(d)
         out = out.join(d, out[c].cast("string") == d[f"_v_{c}"], "left").drop(f"_v_{c}")
         out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(UNSEEN_CODE).cast("bigint")))
     return out
