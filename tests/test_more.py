@@ -39,3 +39,29 @@ def test_compare_params_picks_a_model(spark):
     fitted = M.compare_params(o, ["o_totalprice", "yr"], "label", {"maxDepth": [2, 3], "maxIter": [3]})
     assert len(fitted.validationMetrics) == 2
     assert all(0.0 <= m <= 1.0 for m in fitted.validationMetrics)
+
+
+def test_checkpoint_dir_never_local_on_a_cluster():
+    import pytest
+
+    from tessera.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class SC:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Spark:
+        sparkContext = SC()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Spark())
