@@ -161,3 +161,16 @@ def test_two_source_copy_hot_id(spark):
     hot = out.where("_id = 'hot'").orderBy("target_day").collect()
     assert [(r.target_day, r.priority, r._seq) for r in hot] == [(date(2024, 1, 2), 0, 0), (date(2024, 1, 3), 1, 0)]
     assert out.count() == 2 + 2 * 600
+
+
+def test_normalise_matches_numpy(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(4)
+    vecs = rnd.normal(size=(50, 6)).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "id long, v array<double>")
+    stats = M.dimension_stats(df, "v")
+    got = {r.id: r.normalised for r in M.normalise(df, "v", stats).collect()}
+    want = (vecs - vecs.mean(axis=0)) / vecs.std(axis=0)
+    for i in range(50):
+        assert np.allclose(got[i], want[i], atol=1e-12)
