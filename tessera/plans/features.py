@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import tabular as TB
-from tessera.operators.joins import enrich_with_default
-from tessera.sources import files
+from tessera.operators.joins import drop_checked, enrich_with_default
+from tessera.sources import files, sinks
 
 # The version columns the features are computed from, the id column,
 # and the dictionary key column.
@@ -54,17 +54,18 @@ def prepare(
     try:
         train_clean, train_bad = TB.split_rejects(train)
         test_clean, test_bad = TB.split_rejects(test)
-        train_bad.write.mode("overwrite").parquet(f"{out_dir}/rejects/train")
-        test_bad.write.mode("overwrite").parquet(f"{out_dir}/rejects/test")
+        sinks.write_columnar(train_bad, f"{out_dir}/rejects/train")
+        sinks.write_columnar(test_bad, f"{out_dir}/rejects/test")
         # Categorical columns are the text columns except the id.
         cats = [c for c in TB.columns_of_type(train_clean, T.StringType) if c != ID_COL]
         order = F.monotonically_increasing_id()  # file order of the training rows
         codes = TB.fit_codes(train_clean.withColumn("_order", order), cats, "_order")
         coded_train = TB.apply_codes(train_clean, codes, cats)
         coded_test = TB.apply_codes(test_clean, codes, cats)
-        coded_train.drop(*cats).write.mode("overwrite").parquet(f"{out_dir}/train")
-        coded_test.drop(*cats).write.mode("overwrite").parquet(f"{out_dir}/test")
-        codes.write.mode("overwrite").parquet(f"{out_dir}/codes")
+        # P5: the coded text columns are dropped by name; a missing name raises.
+        sinks.write_columnar(drop_checked(coded_train, cats), f"{out_dir}/train")
+        sinks.write_columnar(drop_checked(coded_test, cats), f"{out_dir}/test")
+        sinks.write_columnar(codes, f"{out_dir}/codes")
     finally:
         train.unpersist()
         test.unpersist()

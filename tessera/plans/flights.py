@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars as S
 from tessera.functions.geohash import with_geohash
 from tessera.operators.joins import enrich_with_default
+from tessera.sources import sinks
 from tessera.sources.files import decode_csv_lines, drop_header_lines
 
 # Positions of the used fields in the flight records, and the
@@ -233,7 +234,7 @@ def run_job(
             if legacy_text:
                 df.write.mode("overwrite").text(f"{out_dir}/{name}")
             else:
-                df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+                sinks.write_columnar(df, f"{out_dir}/{name}")
     finally:
         enriched.unpersist()
     return {k: f"{out_dir}/{k}" for k in outputs}

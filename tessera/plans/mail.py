@@ -119,7 +119,7 @@ def run_job(
     try:
         sinks.write_json_records(records, f"{out_dir}/processed")
         sinks.write_stats_csv(user_stats(records), f"{out_dir}/stats")
-        edges(records, last_only_edges).write.mode("overwrite").parquet(f"{out_dir}/edges")
+        sinks.write_columnar(edges(records, last_only_edges), f"{out_dir}/edges")
     finally:
         records.unpersist()
     archived = sinks.archive_raw(spark, path, f"{out_dir}/archive", run_date)
