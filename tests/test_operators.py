@@ -174,3 +174,17 @@ def test_normalise_matches_numpy(spark):
     want = (vecs - vecs.mean(axis=0)) / vecs.std(axis=0)
     for i in range(50):
         assert np.allclose(got[i], want[i], atol=1e-12)
+
+
+def test_ensemble_avg_max_and_nway_join_semantics(spark):
+    from tessera.operators import blend as BL
+    from tessera.operators.joins import join_all
+
+    long = spark.createDataFrame([("a", 0.2), ("a", 0.9), ("b", 0.4), ("b", 0.5)], "id string, score double")
+    avg = {r.id: (r.score, r.label) for r in BL.ensemble(long, "id", "score").collect()}
+    mx = {r.id: (r.score, r.label) for r in BL.ensemble(long, "id", "score", how="max").collect()}
+    assert avg == {"a": (0.55, 1), "b": (0.45, 0)} and mx == {"a": (0.9, 1), "b": (0.5, 0)}
+    a = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("y", 3.0)], "id string, s1 double")
+    b = spark.createDataFrame([("x", 5.0), ("z", 6.0)], "id string, s2 double")
+    joined = join_all([a, b], "id")
+    assert sorted((r.id, r.s1, r.s2) for r in joined.collect()) == [("x", 1.0, 5.0), ("x", 2.0, 5.0)]  # inner, duplicates multiply
