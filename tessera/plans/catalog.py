@@ -551,3 +551,16 @@ def stream_mail_edges(spark, sf_dir):
     """ST2 (A9): connection weights kept as streaming state."""
     rows = D.mail_rows(spark, sf_dir, lineitem=_file_stream(spark, sf_dir, "lineitem"))
     return mail_edges_stream(spark, B.parse_records(rows))
+
+
+@register("oof_auc_mean")
+def oof_auc_mean(spark, sf_dir):
+    """A18 + A19: exact AUC of each fold's out-of-fold predictions, then their mean."""
+    data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
+    folds = [0, 1]
+    preds, _ = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", folds, M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
+    per_fold = None
+    for k in folds:
+        a = auc(preds.where(F.col("fold") == k), "label", "score").select(F.lit(k).alias("fold"), "auc")
+        per_fold = a if per_fold is None else per_fold.unionByName(a)
+    return per_fold.agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("n_runs"))

@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from tessera.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"train_score_gbt", "oof_predictions", "gbt_importance_report"}
+ROWS_ONLY = {"train_score_gbt", "oof_predictions", "gbt_importance_report", "oof_auc_mean"}
 
 
 def test_entry_runs(spark):
