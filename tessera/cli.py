@@ -1,7 +1,7 @@
 """Command-line entry points for the whole jobs (run with spark-submit or python -m).
 
   flights  --weather W.csv --flights F.csv --out DIR [--legacy-text] [--legacy-text-max]
-  mail     FILE.csv --out DIR --run-date YYYY-MM-DD [--last-only-edges]
+  mail     FILE.csv --out DIR --run-date YYYY-MM-DD [--last-only-edges] [--multi-line]
   search   --docs PARQUET --host H --name N --out DIR [--from TS] [--to TS] [--analyzed] [--size N]
   copy     --docs PARQUET --run-date YYYY-MM-DD --host-today H [--host-yesterday H2]
            [--existing PARQUET] --out DIR
