@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, language_id, mixing, revisits, sql, token_counts, toxicity
+from tessera.llm import chat, jaccard_join, language_id, mixing, revisits, sql, token_counts, toxicity
 from tessera.llm.common import held_out, load
 
 
@@ -41,6 +41,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guessed.select("doc_id", held_out().alias("held_out"), F.col(f"{name}.lang").alias("lang_pred"), F.col(f"{name}.score").alias("score"), F.col(f"{name}.ambiguous").alias("ambiguous"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(load(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = revisits.resolve(revisits.captures(load(spark, sf_dir, "pages")))
     return resolved.select("record_id", "url", "outcome", "response_id", "headers", F.length("payload").cast("long").alias("payload_chars"), F.md5("payload").alias("payload_md5"))
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_revisits": op10_revisits,
 }
 
