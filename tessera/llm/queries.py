@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, jaccard_join, language_id, mixing, revisits, sql, token_counts, toxicity
+from tessera.llm import chat, decontamination, jaccard_join, language_id, mixing, nearest, revisits, sql, token_counts, toxicity
 from tessera.llm.common import held_out, load
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
@@ -29,6 +33,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -51,9 +59,11 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_source_mixing": op3_source_mixing,
     "op4_chat_format": op4_chat_format,
+    "op5_nearest": op5_nearest,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
