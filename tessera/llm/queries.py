@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontamination, jaccard_join, language_id, mixing, nearest, revisits, sql, token_counts, toxicity
+from tessera.llm import chat, decontamination, html_extract, jaccard_join, language_id, mixing, nearest, revisits, sql, token_counts, toxicity
 from tessera.llm.common import held_out, load
 
 
@@ -37,6 +37,11 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op3_source_mixing": op3_source_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_nearest": op5_nearest,
+    "op6_html_extract": op6_html_extract,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
