@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
