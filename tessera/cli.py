@@ -50,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--from", dest="from_ts")
     s.add_argument("--to", dest="to_ts")
     s.add_argument("--analyzed", action="store_true")
-    s.add_argument("--size", type=int, default=10_000)
+    s.add_argument("--size", type=int, help="first so many hits; all without it")
 
     c = sub.add_parser("copy")
     c.add_argument("--docs", required=True)
@@ -111,14 +111,13 @@ def main(argv: Sequence[str] | None = None) -> dict:
         result = {"hits": args.out}
     elif args.job == "copy":
         from tessera.plans import logs
+        from tessera.session import path_exists
 
         docs = spark.read.parquet(args.docs)
         target = f"{args.out.rstrip('/')}/{logs.target_name('copy', args.run_date)}"
         existing = [spark.read.parquet(args.existing).select("target_day", "_id")] if args.existing else []
-        try:  # create only: what the target already holds is never written again
+        if path_exists(spark, target):  # create only: what the target holds is never written again
             existing.append(spark.read.parquet(target).select("target_day", "_id"))
-        except Exception:  # noqa: BLE001 - no target yet
-            pass
         known = existing[0] if existing else None
         for more in existing[1:]:
             known = known.unionByName(more)

@@ -67,7 +67,12 @@ def running_sums(
         *group_cols,
         *[F.coalesce(F.sum(F.col(f"_tot_{k}")).over(off_w), F.lit(0)).alias(f"_off_{k}") for k in vals],
     )
-    joined = local.join(offsets, on=[_PID, *group_cols], how="inner")
+    # A NULL group is a group like any other.
+    renamed = offsets.withColumnsRenamed({_PID: "_off_pid", **{g: f"_off_g{i}" for i, g in enumerate(group_cols)}})
+    cond = F.col(_PID) == F.col("_off_pid")
+    for i, g in enumerate(group_cols):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_off_g{i}"))
+    joined = local.join(renamed, cond, "inner")
     out = joined.select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_loc_{k}") + F.col(f"_off_{k}")).alias(k) for k in vals],

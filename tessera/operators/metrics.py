@@ -27,17 +27,18 @@ def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     """ROC AUC with ties counted half: one row ``auc, n_pos, n_neg``.
 
     ``sum over scores s of pos(s) * (neg(< s) + neg(s)/2) / (P * N)``; NULL when one
-    class is missing.
+    class is missing. Rows without a score or a label take no part.
     """
+    df = df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
     per_score = df.groupBy(F.col(score_col).alias("s")).agg(
         F.sum((F.col(label_col) == 1).cast("bigint")).alias("pos"),
         F.sum((F.col(label_col) != 1).cast("bigint")).alias("neg"),
     )
     cum = running_sums(per_score, ["s"], {"cum_neg": F.col("neg")})
-    terms = cum.select((F.col("pos") * ((F.col("cum_neg") - F.col("neg")) + F.col("neg") / 2.0)).alias("t"), "pos", "neg")
+    terms = cum.select((F.col("pos").cast("double") * ((F.col("cum_neg") - F.col("neg")) + F.col("neg") / 2.0)).alias("t"), "pos", "neg")
     tot = terms.agg(F.sum("t").alias("t"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     return tot.select(
-        F.try_divide(F.col("t"), (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("auc"),
+        F.try_divide(F.col("t"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double")).alias("auc"),
         "n_pos",
         "n_neg",
     )
@@ -76,12 +77,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     return piv.select("p", (F.col("v_lo") + (F.col("h") - F.floor("h")) * (F.col("v_hi") - F.col("v_lo"))).alias("q"))
 
 
+def _nan_as_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Missing readings are skipped, whether they come as NULL or as NaN."""
+    floats = [c for c, t in df.dtypes if c in set(cols) and t in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def describe(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """A14 + A13: count, mean, sample std, min, quartiles, max, and ``0.5 - mean``.
 
     ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory) instead of
     the exact distributed quantiles.
     """
+    df = _nan_as_null(df, [col])
     x = F.col(col)
     base = df.agg(
         F.count(x).alias("count"),
@@ -106,6 +114,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = DEFAULT_BINS) -> D
     Output ``column, bin, lo, hi, count`` with empty bins present (count 0). A constant
     column puts every row in bin 0.
     """
+    df = _nan_as_null(df, cols)
     ranges = df.agg(*[F.min(c).alias(f"mn_{i}") for i, c in enumerate(cols)], *[F.max(c).alias(f"mx_{i}") for i, c in enumerate(cols)])
     long_rng = ranges.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"mn_{i}").cast("double").alias("mn"), F.col(f"mx_{i}").cast("double").alias("mx")) for i, c in enumerate(cols)])).alias("r")

@@ -49,18 +49,18 @@ def prepare(
 ) -> dict:
     """Whole job; returns the output paths."""
     lookup = files.read_lookup(spark, lookup_path) if lookup_path else None
-    train = add_features(read_machines(spark, train_path), lookup).persist(StorageLevel.MEMORY_AND_DISK)
+    numbered = read_machines(spark, train_path).withColumn("_order", F.monotonically_increasing_id())  # file order, before any join
+    train = add_features(numbered, lookup).persist(StorageLevel.MEMORY_AND_DISK)
     test = add_features(read_machines(spark, test_path), lookup).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_clean, train_bad = TB.split_rejects(train)
         test_clean, test_bad = TB.split_rejects(test)
-        sinks.write_columnar(train_bad, f"{out_dir}/rejects/train")
+        sinks.write_columnar(train_bad.drop("_order"), f"{out_dir}/rejects/train")
         sinks.write_columnar(test_bad, f"{out_dir}/rejects/test")
         # Categorical columns are the text columns except the id.
         cats = [c for c in TB.columns_of_type(train_clean, T.StringType) if c != ID_COL]
-        order = F.monotonically_increasing_id()  # file order of the training rows
-        codes = TB.fit_codes(train_clean.withColumn("_order", order), cats, "_order")
-        coded_train = TB.apply_codes(train_clean, codes, cats)
+        codes = TB.fit_codes(train_clean, cats, "_order")
+        coded_train = TB.apply_codes(train_clean.drop("_order"), codes, cats)
         coded_test = TB.apply_codes(test_clean, codes, cats)
         # P5: the coded text columns are dropped by name; a missing name raises.
         sinks.write_columnar(drop_checked(coded_train, cats), f"{out_dir}/train")

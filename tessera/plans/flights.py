@@ -77,7 +77,8 @@ def weather_dictionary(weather: DataFrame, legacy_text_max: bool = False) -> Dat
     # max() skips NULL, so unparsable readings drop out of the maximum; keys without any
     # parsable reading are removed after the aggregate (a filter there cannot be pushed
     # back into the CSV decode and evaluate it twice).
-    parsed = keyed.withColumn("temperature", S.parse_float("temperature"))
+    # A reading that spells NaN counts as unparsable too, or it would win every maximum.
+    parsed = keyed.withColumn("temperature", F.nanvl(S.parse_float("temperature"), F.lit(None).cast("double")))
     agg = parsed.groupBy("airport", "date", "hour").agg(F.max("temperature").alias("temperature"))
     return agg.where(F.col("temperature").isNotNull())
 

@@ -32,8 +32,6 @@ MESSAGE_SCHEMA = T.StructType(
         ),
     ]
 )
-# Fixed value: the result cap of one search request.
-RESULT_CAP = 10_000
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -41,7 +39,7 @@ def match_host(host_col: str, value: str, analyzed: bool = False):
     """Exact match, or analysed-text match (any shared lower-cased token)."""
     if not analyzed:
         return F.col(host_col) == F.lit(value)
-    tokens = [t for t in re.split(r"[^\w]+", value.lower()) if t]
+    tokens = re.findall(r"[^\W_]+", value.lower())  # letters and digits, as TOKEN_SPLIT leaves them
     return F.arrays_overlap(F.split(F.lower(F.col(host_col)), TOKEN_SPLIT), F.array(*[F.lit(t) for t in tokens]))
 
 
@@ -62,12 +60,13 @@ def search(
     from_ts=None,
     to_ts=None,
     analyzed: bool = False,
-    size: int | None = RESULT_CAP,
+    size: int | None = None,
 ) -> DataFrame:
     """SRC8 + P12-P14 + O4: matching messages with user, device and addresses.
 
     The date range (ignored by the original, Q11) filters ``@timestamp`` before the scan
-    is decoded; the cap applies after a total order on (timestamp, _id).
+    is decoded. All hits are returned; with ``size`` the first so many by a total order on
+    (timestamp, _id), after the name filter.
     """
     cond = match_host("host", host, analyzed)
     if from_ts is not None:

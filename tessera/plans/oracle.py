@@ -180,7 +180,7 @@ SQL["log_json_search"] = f"""WITH {DOCS_CTE}
 SELECT _id, ts AS timestamp, 'user' || CAST(user_id AS VARCHAR) AS "user", 'h' || CAST(user_id % 5 AS VARCHAR) AS device,
        '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.' || k AS client_address, 'dev-' || k AS device_address
 FROM docs WHERE host = 'web-1' AND event_type = 'error'
-ORDER BY ts, _id LIMIT 10000"""
+ORDER BY ts, _id"""
 
 SQL["log_search_analyzed"] = f"""WITH {DOCS_CTE}
 SELECT _id, ts AS timestamp, 'user' || CAST(user_id AS VARCHAR) AS "user", 'h' || CAST(user_id % 5 AS VARCHAR) AS device,

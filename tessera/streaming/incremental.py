@@ -10,14 +10,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
-
-# Fixed value: the look-back of the daily copy (today and yesterday).
-LATENESS = "1 day"
-
+from tessera.session import checkpoint_dir, path_exists
 
 def _run_dir(spark: SparkSession, name: str, base_dir: str | None = None) -> str:
     """``base_dir`` when given (a stable location: a rerun resumes from its checkpoint and
@@ -35,21 +31,25 @@ def create_only_stream(
     event_time: str = "@timestamp",
     base_dir: str | None = None,
 ) -> DataFrame:
-    """ST1: documents not yet in ``destination``, deduplicated on ``key`` within the
-    lateness bound, appended batch by batch. Returns every row appended so far under
-    ``base_dir`` (batch read)."""
+    """ST1: documents neither in ``destination`` nor copied by an earlier batch, appended
+    batch by batch; of several rows with one ``key`` in a batch the earliest by
+    ``event_time`` is taken. However late or far apart, each key is copied once and none is
+    lost. Returns every row appended so far under ``base_dir`` (batch read)."""
     base = _run_dir(spark, "create-only", base_dir)
     out = f"{base}/out"
-    timed = stream.withColumn("_event_time", F.col(f"`{event_time}`").cast("timestamp"))
-    deduped = timed.withWatermark("_event_time", LATENESS).dropDuplicatesWithinWatermark([key]).drop("_event_time")
     dest_keys = destination.select(key)
+    first = Window.partitionBy(key).orderBy(F.col(f"`{event_time}`").asc_nulls_last())
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        new = batch.join(dest_keys, on=key, how="left_anti")
-        new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        known = dest_keys
+        if path_exists(spark, out):
+            # A retried batch must not see what its own first attempt wrote.
+            known = known.union(spark.read.parquet(out).where(F.col("batch") != batch_id).select(key))
+        new = batch.join(known, on=key, how="left_anti").withColumn("_nth", F.row_number().over(first))
+        new.where("_nth = 1").drop("_nth").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (
-        deduped.writeStream.foreachBatch(write_batch)
+        stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", f"{base}/state")
         .trigger(availableNow=True)
         .start()
