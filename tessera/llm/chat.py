@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import bounded_batches
+
 START, MIDDLE, END = b"<|im_start|>", b"\n", b"<|im_end|>\n"
 ASSISTANT = "assistant"
 CHUNK_BYTES = 1 << 22
@@ -119,6 +121,7 @@ def format_conversations(turns: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Da
                 )
                 at = stop
 
+    bounded_batches(turns.sparkSession)
     rows = turns.select(F.col("conv_id").cast("long"), "turn", "role", "text")
     placed = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return placed.select("conv_id", "role", "text").mapInArrow(build, FORMATTED)

@@ -24,6 +24,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Texts are long: where the session has Spark's default of 10,000 rows an Arrow batch,
+    fewer, which bounds what a task and its Python worker hold at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder, different for every call."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

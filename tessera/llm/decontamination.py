@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import CHUNK, grouped_by_bytes, mix, written
+from tessera.llm.common import CHUNK, bounded_batches, grouped_by_bytes, mix, written
 
 WINDOW = 8
 MIN_LITERALS = 4
@@ -170,6 +170,7 @@ def _bloom(items: DataFrame) -> np.ndarray:
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", coverage: float = COVERAGE) -> DataFrame:
     """One row for each contaminated document and item: doc_id, item_id, matched, windows,
     coverage, and whether slots were replaced (``reparameterised``)."""
+    bounded_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").alias("text"))
     keys = written(window_rows(items, None, None), "benchmark-windows")
     widths = sorted(r[0] for r in keys.select("width").distinct().collect())  # at most WINDOW values

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import grouped_by_bytes, unit_hash
+from tessera.llm.common import bounded_batches, grouped_by_bytes, unit_hash
 
 MAX_PAGES = 240
 MAX_HTML = 20_000
@@ -361,6 +361,7 @@ def laid_out(main: list[str], other: list[str], rng: np.random.Generator) -> tup
 
 def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES, rounds: int = 3) -> Labeller:
     """Train on at most about ``max_pages`` of the pages, each laid out ``rounds`` times."""
+    bounded_batches(pages.sparkSession)
     usable = pages.where(F.length(html).between(1, MAX_HTML))
     n = usable.count()
     rows = usable.where(unit_hash(F.col(page_id), seed=41) < max_pages / max(n, 1)).select(F.col(html).alias("h"), F.col(page_id).alias("i")).toPandas()

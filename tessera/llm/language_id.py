@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import byte_grams, fresh, grouped_by_bytes, trainable, unit_hash
+from tessera.llm.common import bounded_batches, byte_grams, fresh, grouped_by_bytes, trainable, unit_hash
 
 UNDECIDED = "und"
 BITS = 12
@@ -101,6 +101,7 @@ def fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 250, rate: float = 0.5,
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_rows: int = MAX_ROWS) -> Model:
     """Fit on at most about ``max_rows`` of the trainable rows with a language and a text."""
+    bounded_batches(docs.sparkSession)
     rows = docs.where(trainable(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     # One row a language; more than MAX_LANGUAGES of them is an error, not a cut.
     sizes = rows.groupBy(F.col(lang).alias("k")).agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import grouped_by_bytes, run_folder
+from tessera.llm.common import bounded_batches, grouped_by_bytes, run_folder
 
 OVER = 512
 _CACHE = "digest binary, version string, n_tokens long"
@@ -85,6 +85,7 @@ def encode_misses(contents: DataFrame, known: DataFrame, tokenizer: str, version
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str | None = None, text: str = "text", doc_id: str = "doc_id", over: int = OVER) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row; appends to the cache."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     tokenizer, version = tokenizer_json(tokenizer_path)
     cache = cache or run_folder(spark, "token-counts")
     content = F.coalesce(F.col(text), F.lit(""))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import class_table, fresh, grouped_by_bytes, hashed_words, trainable, unit_hash, written
+from tessera.llm.common import bounded_batches, class_table, fresh, grouped_by_bytes, hashed_words, trainable, unit_hash, written
 
 BITS = 20
 PREFIXES = (5,)
@@ -138,6 +138,7 @@ def fit_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, start: np.ndarray, ep
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", prior: float | None = None, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Fit from ``labels`` (doc_id, toxic) on the trainable ids and from the texts alone."""
+    bounded_batches(docs.sparkSession)
     known = labels.where(trainable() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, n_toxic = known.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
     empty = Model(np.zeros(1 << BITS, np.float32), -30.0)
