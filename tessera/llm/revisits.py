@@ -105,8 +105,10 @@ def resolve(records: DataFrame, hour: int = HOUR) -> DataFrame:
         F.when(F.col("outcome") == "resolved", F.col("found.record_id")).alias("response_id"),
         F.when(F.col("outcome") == "resolved", F.array_join(merged, "\r\n")).alias("headers"),
     )
-    bodies = records.where("warc_type = 'response'").select(F.col("record_id").alias("response_id"), "payload").dropDuplicates(["response_id"])
-    return judged.join(bodies, "response_id", "left").select("record_id", "url", "outcome", "response_id", "headers", "payload")
+    # Rows without a response get a key of their own, or nulls would all meet in one task.
+    keyed = judged.withColumn("key", F.coalesce(F.concat(F.lit("+"), "response_id"), F.concat(F.lit("-"), "record_id")))
+    bodies = records.where("warc_type = 'response'").select(F.concat(F.lit("+"), "record_id").alias("key"), "payload").dropDuplicates(["key"])
+    return keyed.join(bodies, "key", "left").select("record_id", "url", "outcome", "response_id", "headers", "payload")
 
 
 def captures(pages: DataFrame) -> DataFrame:
