@@ -22,12 +22,15 @@ def write_json_records(df: DataFrame, path: str) -> None:
 def archive_raw(spark: SparkSession, src: str, archive_dir: str, run_date: str) -> str:
     """SNK3: gzip copy of the raw input under ``<name>-processed-<yyyyMMdd>``.
 
-    ``run_date`` is a parameter (``yyyy-MM-dd``) so that reruns write the same place.
+    ``run_date`` is a parameter (``yyyy-MM-dd``) so that reruns write the same place. Lines
+    end at ``\\n`` alone on both sides, so a ``\\r`` before it is kept; the last line gets a
+    ``\\n`` if it has none.
     """
     name = src.rstrip("/").split("/")[-1]
     stamp = run_date.replace("-", "")
     target = f"{archive_dir.rstrip('/')}/{name}-processed-{stamp}"
-    spark.read.text(src).write.mode("overwrite").option("compression", "gzip").text(target)
+    lines = spark.read.option("lineSep", "\n").text(src)
+    lines.write.mode("overwrite").options(compression="gzip", lineSep="\n").text(target)
     return target
 
 

@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import align_to_template
+from tessera.operators.joins import align_to_template, label_files
 from tessera.plans import flights as A
 from tessera.sources import files, sinks
 
@@ -94,7 +94,7 @@ def test_image_folder_labels_and_template(spark):
     imgs = files.read_image_folder(spark, d, suffix=".tif")
     assert sorted(r.id for r in imgs.collect()) == ["a1", "b2", "c3"]
     labels = spark.createDataFrame([("a1", 1), ("c3", 0), ("zz", 1)], "id string, label int")
-    joined = imgs.join(labels, "id")  # J6
+    joined = label_files(imgs, labels)
     assert sorted(r.id for r in joined.collect()) == ["a1", "c3"]
     tpl = _write(os.path.join(d, "sample.csv"), "id,label\nc3,0\na1,0\nb2,0\n")
     template = files.read_id_template(spark, tpl).drop("label")
@@ -112,3 +112,13 @@ def test_columns_of_type_and_profile(spark):
     assert TB.columns_of_type(df, T.StringType) == ["s"]
     prof = {r.column_name: (r.data_type, r.non_null, r.n_rows) for r in TB.column_profile(df).collect()}
     assert prof == {"s": ("string", 1, 2), "i": ("int", 2, 2), "d": ("double", 1, 2)}
+
+
+def test_archive_keeps_carriage_returns(spark):
+    d = tempfile.mkdtemp(prefix="tessera-arch-")
+    raw = b"a,b\r\nc,d\n\r\n\xc3\xa9\n"
+    with open(os.path.join(d, "raw.csv"), "wb") as f:
+        f.write(raw)
+    out = sinks.archive_raw(spark, os.path.join(d, "raw.csv"), os.path.join(d, "arch"), "2018-02-02")
+    parts = sorted(p for p in os.listdir(out) if p.endswith(".gz"))
+    assert b"".join(gzip.open(os.path.join(out, p)).read() for p in parts) == raw
