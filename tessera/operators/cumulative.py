@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import written
+
 _PID = "_range_pid"
+_RID = "_range_row"
 
 
 def _n_partitions(df: DataFrame, n: int | None) -> int:
@@ -47,11 +49,10 @@ def running_sums(
     keys = [*[F.col(g) for g in group_cols], *order_exprs]
     # Range bounds come from sampling, which can differ between two evaluations of the
     # same plan (and the two branches below are pruned differently, so their exchanges
-    # are not shared). Persisting the range-partitioned rows makes both branches read
-    # one partitioning; a lost cached block is rebuilt from the same shuffle dependency
-    # (same bounds), and MEMORY_AND_DISK spills instead of failing.
+    # are not shared). The range-partitioned rows are written once to the shared folder,
+    # so both branches read one partitioning.
     ranged = staged.repartitionByRange(_n_partitions(df, partitions), *keys)
-    ranged = ranged.withColumn(_PID, F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = written(ranged.withColumn(_PID, F.spark_partition_id()), "running-sums")
 
     local_w = (
         Window.partitionBy(_PID, *group_cols)
@@ -87,6 +88,26 @@ def with_position(
     group_cols: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
-    """0-based position of each row in ``order_cols`` order within ``group_cols``."""
-    out = running_sums(df, order_cols, {name: F.lit(1).cast("bigint")}, group_cols, partitions)
-    return out.withColumn(name, F.col(name) - F.lit(1))
+    """0-based position of each row in ``order_cols`` order within ``group_cols``.
+
+    One range exchange: the rows of a range partition are sorted in place and numbered by
+    ``monotonically_increasing_id`` (partition in the high bits, position in the low 33),
+    written once, and moved by the counts of the partitions before theirs. Without groups
+    that is one row a partition, which is broadcast; with groups one row for each group of
+    a partition, joined without a hint.
+    """
+    group_cols = list(group_cols)
+    keys = [*[F.col(g) for g in group_cols], *[F.col(c) if isinstance(c, str) else c for c in order_cols]]
+    sorted_rows = df.repartitionByRange(_n_partitions(df, partitions), *keys).sortWithinPartitions(*keys)
+    kept = written(sorted_rows.withColumn(_RID, F.monotonically_increasing_id()), "positions")
+    pid, local = F.shiftright(_RID, 33), F.col(_RID).bitwiseAND((1 << 33) - 1)
+    runs = kept.groupBy(pid.alias("_off_pid"), *[F.col(g).alias(f"_off_g{i}") for i, g in enumerate(group_cols)]).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(local).alias("_first")
+    )
+    before = Window.partitionBy(*[f"_off_g{i}" for i in range(len(group_cols))]).orderBy("_off_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).drop("_n", "_first")
+    cond = pid == F.col("_off_pid")
+    for i, g in enumerate(group_cols):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_off_g{i}"))
+    joined = kept.join(offsets if group_cols else F.broadcast(offsets), cond)
+    return joined.select(*[F.col(c) for c in df.columns], (local + F.col("_off")).alias(name))

@@ -1,10 +1,9 @@
 """Joins.
 
-Broadcasting is only requested for a side whose row count has been measured below a
-bound (``bounded_broadcast``); above the bound the join stays a shuffle join. Where no
-bound is given, no hint is given either: with AQE on, Spark measures the shuffled side at
-runtime and turns the sort-merge join into a broadcast join only when it is below
-``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+No join carries a broadcast hint. With AQE on, Spark measures the bytes of the shuffled
+side at run time and turns the sort-merge join into a broadcast join only when they are
+below ``spark.sql.adaptive.autoBroadcastJoinThreshold``; each join of a stage is bounded
+that way, and no job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -12,27 +11,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for an explicitly broadcast dictionary side.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else the shuffle join.
-
-    The dictionary is persisted and counted up to ``max_rows + 1`` rows first, so the
-    check costs one pass over the (aggregated) dictionary, which the join then reads from
-    the cache. Unlike a runtime switch, a proven-small side means the large side is never
-    shuffled for this join.
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    return F.broadcast(cached) if n <= max_rows else cached
-
-
 def enrich_with_default(
     facts: DataFrame,
     lookup: DataFrame,
@@ -40,17 +21,16 @@ def enrich_with_default(
     value_col: str,
     default=None,
     out_col: str | None = None,
-    broadcast_max_rows: int | None = None,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """Left join a dictionary that is unique on ``keys``; one row out per row in.
 
     Missing keys give ``default`` (NULL when ``default`` is None). The lookup must be
     unique on ``keys`` (aggregate it first); the row count of ``facts`` is preserved.
+    The dictionary columns ``more`` come along under their own names.
     """
     out_col = out_col or value_col
-    side = lookup.select(*keys, F.col(value_col).alias("_lookup_value"))
-    if broadcast_max_rows:
-        side = bounded_broadcast(side, broadcast_max_rows)
+    side = lookup.select(*keys, F.col(value_col).alias("_lookup_value"), *more)
     joined = facts.join(side, on=list(keys), how="left")
     val = F.col("_lookup_value") if default is None else F.coalesce(F.col("_lookup_value"), F.lit(default))
     return joined.withColumn(out_col, val).drop("_lookup_value")
@@ -77,6 +57,12 @@ def align_to_template(template: DataFrame, values: DataFrame, key: str, order_co
     return out.orderBy(order_col) if order_col else out
 
 
+def label_files(files: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
+    """Files that have a label, with it. Only the keys travel: the contents of the files
+    are read by whoever selects them."""
+    return files.join(labels, on=key, how="inner")
+
+
 def drop_checked(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """P5: drop columns, raising on a missing name as pandas does."""
     missing = [c for c in cols if c not in df.columns]

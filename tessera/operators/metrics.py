@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.cumulative import running_sums
+from tessera.session import written
 
 DEFAULT_BINS = 10
 QUARTILES = (0.25, 0.5, 0.75)
@@ -119,6 +121,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = DEFAULT_BINS) -> D
     long_rng = ranges.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"mn_{i}").cast("double").alias("mn"), F.col(f"mx_{i}").cast("double").alias("mx")) for i, c in enumerate(cols)])).alias("r")
     ).select("r.column", "r.mn", "r.mx")
+    long_rng = written(long_rng, "histogram-ranges")  # read twice below
     values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("e")).select("e.column", "e.x")
     values = values.where(F.col("x").isNotNull())
     # One row per column: a bounded broadcast side.
@@ -128,7 +131,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = DEFAULT_BINS) -> D
     counts = j.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = long_rng.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     w = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
-    out = grid.join(counts, ["column", "bin"], "left").select(
+    # At most columns x bins rows.
+    out = grid.join(F.broadcast(counts), ["column", "bin"], "left").select(
         "column",
         "bin",
         (F.col("mn") + F.col("bin") * w).alias("lo"),
@@ -193,11 +197,14 @@ def density_smooth(grid: DataFrame, radius: int = 2, sigma: float = 1.0) -> Data
         for dx in range(-radius, radius + 1)
         for dy in range(-radius, radius + 1)
     ]
+    grid = written(grid, "density-grid")  # cells, not rows; read for the total as well
     k = grid.select("gx", "gy", "n", F.explode(F.array(*offsets)).alias("o"))
     w = F.exp(-(F.col("o.dx") * F.col("o.dx") + F.col("o.dy") * F.col("o.dy")) / F.lit(2.0 * sigma * sigma))
     spread = k.select(
         (F.col("gx") + F.col("o.dx")).alias("gx"), (F.col("gy") + F.col("o.dy")).alias("gy"), (F.col("n") * w).alias("m")
     )
     dens = spread.groupBy("gx", "gy").agg(F.sum("m").alias("m"))
-    total = dens.agg(F.sum("m")).scalar()  # scalar subquery, computed once
+    # Every cell spreads the same kernel, so the mass is the count times the kernel's sum.
+    kernel = sum(math.exp(-(dx * dx + dy * dy) / (2.0 * sigma * sigma)) for dx in range(-radius, radius + 1) for dy in range(-radius, radius + 1))
+    total = grid.agg(F.sum("n") * F.lit(kernel)).scalar()
     return dens.select("gx", "gy", (F.col("m") / total).alias("density"))

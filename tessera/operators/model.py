@@ -22,6 +22,9 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.scalars import hash_unit
+from tessera.session import written
+
 
 def gbt_params(
     leaves: int = 60,
@@ -106,9 +109,14 @@ def out_of_fold(
     folds: Sequence[int],
     params: dict | None = None,
     parallelism: int = 4,
+    valid_share: float = 0.1,
+    seed: int = 21,
 ) -> tuple[DataFrame, DataFrame]:
     """E11 + E12: for each listed fold, fit on the other folds and score this one.
 
+    The input is written once, so no fit derives it again. Each fit stops early on
+    ``valid_share`` of its own training rows, chosen by the hash of the id.
+
     The folds are fitted concurrently from driver threads (as Spark ML's tuning does
     with ``parallelism``); each fit is a distributed Spark ML job. Returns (out-of-fold
     predictions ``id, fold, label, score``, importances ``feature, importance, fold``),
@@ -116,8 +124,10 @@ def out_of_fold(
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    df = written(df.withColumn("_is_valid", hash_unit(id_col, seed) < F.lit(valid_share)), "folds")
+
     def one(k: int):
-        model = train(df.where(F.col(fold_col) != k), features, label, params)
+        model = train(df.where(F.col(fold_col) != k), features, label, params, validation_col="_is_valid")
         scored = model.transform(df.where(F.col(fold_col) == k)).select(
             id_col, F.lit(int(k)).alias("fold"), F.col(label).alias("label"), vector_to_array("probability")[1].alias("score")
         )

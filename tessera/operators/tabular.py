@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 from tessera.functions import scalars as S
 from tessera.functions import versions as V
 from tessera.operators.cumulative import with_position
-from tessera.operators.joins import BROADCAST_MAX_ROWS
+from tessera.session import written
 
 UNSEEN_CODE = -1
 
@@ -58,6 +57,14 @@ def version_features(df: DataFrame, engine: str, app: str, signature: str, build
     return staged.select(*keep, F.inline(F.array(F.struct(F.col("_reason").alias("reject_reason")))))
 
 
+def with_reject_defaults(df: DataFrame, reason_col: str = "reject_reason") -> DataFrame:
+    """Every row, without the reason; features that would have raised get the value of
+    a version too short to hold them, so no id is lost (the reject table lists the rows)."""
+    short = {name: default for name, (_, _, _, default) in V.FEATURES.items()}
+    out = df.withColumns({name: F.coalesce(F.col(name), F.lit(default)) for name, default in short.items()})
+    return out.withColumn("fifth", F.coalesce("fifth", V.join_as_decimal("first", "second"), F.lit(0.0))).drop(reason_col)
+
+
 def split_rejects(df: DataFrame, reason_col: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
     """(clean rows, rejected rows). Both come from one plan; cache the input when
     both are written."""
@@ -79,33 +86,19 @@ def fit_codes(train: DataFrame, columns: Sequence[str], order_col: str) -> DataF
     first_seen = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.min("_order").alias("first_seen"))
     coded = with_position(first_seen, ["first_seen", "value"], name="code", group_cols=["column"])
     # The fitted dictionary (one row per distinct category, not per data row) is applied
-    # once per column and to several frames; it is kept so that it is computed once.
-    return coded.select("column", "value", "code").persist(StorageLevel.MEMORY_AND_DISK)
+    # once per column and to several frames, so it is written once.
+    return written(coded.select("column", "value", "code"), "codes")
 
 
-def apply_codes(
-    df: DataFrame,
-    codes: DataFrame,
-    columns: Sequence[str],
-    suffix: str = "_code",
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Replace each category by its code; missing or unseen values get -1.
 
-    One left join per column against that column's slice of the dictionary. The slice
-    sizes come from one aggregate over the (persisted) dictionary, one row per column; a
-    slice proven to hold at most ``broadcast_max_rows`` values is broadcast (the data is
-    not shuffled for it), a larger one, or ``broadcast_max_rows=None``, is a shuffle join.
+    One left join per column against that column's slice of the dictionary, without a
+    hint: AQE broadcasts a slice only when its measured bytes are below its threshold.
     """
-    sizes: dict[str, int] = {}
-    if broadcast_max_rows:
-        wanted = codes.where(F.col("column").isin(list(columns)))
-        sizes = {r["column"]: r["n"] for r in wanted.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for c in columns:
         d = codes.where(F.col("column") == F.lit(c)).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}{suffix}"))
-        if broadcast_max_rows and sizes.get(c, 0) <= broadcast_max_rows:
-            d = F.broadcast(d)
         out = out.join(d, out[c].cast("string") == d[f"_v_{c}"], "left").drop(f"_v_{c}")
         out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(UNSEEN_CODE).cast("bigint")))
     return out
@@ -122,6 +115,11 @@ def hashed_folds(df: DataFrame, id_col: str, k: int, seed: int, name: str = "fol
     return df.withColumn(name, S.hash_bucket(id_col, seed, k))
 
 
+def holdout_label(df: DataFrame, id_col: str, test_fraction: float, seed: int, name: str = "split") -> DataFrame:
+    """The same membership as a column, in one pass."""
+    return df.withColumn(name, F.when(S.hash_unit(id_col, seed) < F.lit(test_fraction), F.lit("valid")).otherwise(F.lit("train")))
+
+
 def holdout_split(df: DataFrame, id_col: str, test_fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """train/validation split by hashed id."""
     u = S.hash_unit(id_col, seed)

@@ -1,12 +1,12 @@
 """Family D job: tabular preparation for boosted trees.
 
   train/test CSV (declared types) -> date from the signature-version dictionary (J3)
-  -> version features (SC17-SC20b) -> rejects written apart (E2)
+  -> version features (SC17-SC20b) -> rejects listed apart, kept with default values (E2)
   -> first-seen category codes fitted on train, applied to train and test (E4, J8)
   -> Parquet (SNK6)
 
-Each output is one write of one plan; the feature table feeds two writes (clean rows and
-rejects), so it is persisted once.
+Each output is one write of one plan; the feature table feeds two writes (all rows and the
+rejects), so it is persisted once. The outputs have a row for every input row.
 """
 
 from __future__ import annotations
@@ -53,15 +53,15 @@ def prepare(
     train = add_features(numbered, lookup).persist(StorageLevel.MEMORY_AND_DISK)
     test = add_features(read_machines(spark, test_path), lookup).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train_clean, train_bad = TB.split_rejects(train)
-        test_clean, test_bad = TB.split_rejects(test)
+        train_bad, test_bad = TB.split_rejects(train)[1], TB.split_rejects(test)[1]
+        train_all, test_all = TB.with_reject_defaults(train), TB.with_reject_defaults(test)
         sinks.write_columnar(train_bad.drop("_order"), f"{out_dir}/rejects/train")
         sinks.write_columnar(test_bad, f"{out_dir}/rejects/test")
         # Categorical columns are the text columns except the id.
-        cats = [c for c in TB.columns_of_type(train_clean, T.StringType) if c != ID_COL]
-        codes = TB.fit_codes(train_clean, cats, "_order")
-        coded_train = TB.apply_codes(train_clean.drop("_order"), codes, cats)
-        coded_test = TB.apply_codes(test_clean, codes, cats)
+        cats = [c for c in TB.columns_of_type(train_all, T.StringType) if c != ID_COL]
+        codes = TB.fit_codes(train_all, cats, "_order")
+        coded_train = TB.apply_codes(train_all.drop("_order"), codes, cats)
+        coded_test = TB.apply_codes(test_all, codes, cats)
         # P5: the coded text columns are dropped by name; a missing name raises.
         sinks.write_columnar(drop_checked(coded_train, cats), f"{out_dir}/train")
         sinks.write_columnar(drop_checked(coded_test, cats), f"{out_dir}/test")

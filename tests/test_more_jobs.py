@@ -29,10 +29,11 @@ def test_prepare_job(spark):
     tr = {r.MachineIdentifier: r for r in spark.read.parquet(paths["train"]).collect()}
     bad = {r.MachineIdentifier: r.reject_reason for r in spark.read.parquet(paths["rejects/train"]).collect()}
     assert bad == {"m3": "engine_num"}  # two-part engine version: the original raised
-    assert set(tr) == {"m1", "m2", "m4"}
+    assert set(tr) == {"m1", "m2", "m3", "m4"}  # listed as rejected, and kept with a default
+    assert tr["m3"].engine_num == 0.0
     assert tr["m1"].engine_num == 15100.1 and tr["m2"].second == 1 and tr["m1"].Date is not None and tr["m2"].Date is None
     assert tr["m1"].ProductName_code == 0 and tr["m1"].SmartScreen_code == 0 and tr["m2"].SmartScreen_code == -1
-    assert tr["m4"].SmartScreen_code == 1
+    assert tr["m3"].SmartScreen_code == tr["m4"].SmartScreen_code == 1
     te = {r.MachineIdentifier: r for r in spark.read.parquet(paths["test"]).collect()}
     assert te["t1"].SmartScreen_code == -1 and te["t2"].ProductName_code == -1 and te["t2"].SmartScreen_code == 0
 
