@@ -1,6 +1,6 @@
 """Command-line entry points for the whole jobs (run with spark-submit or python -m).
 
-  flights  --weather W.csv --flights F.csv --out DIR [--legacy-text] [--legacy-text-max]
+  flights  --weather W.csv --flights F.csv --out DIR [--legacy-text] [--legacy-text-max] [--lower-case-flag]
   mail     FILE.csv --out DIR --run-date YYYY-MM-DD [--last-only-edges] [--multi-line]
   search   --docs PARQUET --host H --name N --out DIR [--from TS] [--to TS] [--analyzed] [--size N]
   copy     --docs PARQUET --run-date YYYY-MM-DD --host-today H [--host-yesterday H2]
@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--out", required=True)
     f.add_argument("--legacy-text", action="store_true")
     f.add_argument("--legacy-text-max", action="store_true")
+    f.add_argument("--lower-case-flag", action="store_true")
 
     m = sub.add_parser("mail")
     m.add_argument("path")
@@ -96,6 +97,7 @@ def main(argv: Sequence[str] | None = None) -> dict:
             args.out,
             legacy_text_max=args.legacy_text_max,
             legacy_text=args.legacy_text,
+            lower_case_flag=args.lower_case_flag,
         )
     elif args.job == "mail":
         from tessera.plans import mail
@@ -134,14 +136,17 @@ def main(argv: Sequence[str] | None = None) -> dict:
         weights = [float(w) for w in args.weights.split(",")] if args.weights else None
         result = blending.run_job(spark, args.paths, args.out, weights=weights, compression="gzip" if args.gzip else None)
     else:  # train
-        from tessera.operators import model, tabular
+        from tessera.functions.scalars import hash_unit
+        from tessera.operators import metrics, model, tabular
 
         data = spark.read.parquet(args.data)
         feats = args.features.split(",")
         train, valid = tabular.holdout_split(data, args.id, args.valid_share, args.seed)
-        fitted = model.train(train, feats, args.label)
+        train = train.withColumn("_is_valid", hash_unit(args.id, args.seed + 1) < F.lit(0.1))  # stops the boosting early
+        fitted = model.train(train, feats, args.label, validation_col="_is_valid")
         model.score(fitted, valid, args.id).write.mode("overwrite").parquet(f"{args.out}/valid_scores")
-        auc = model.auc(fitted, valid.withColumn(args.label, F.col(args.label).cast("double")), args.label)
+        scored = spark.read.parquet(f"{args.out}/valid_scores").join(valid.select(args.id, args.label), args.id)
+        auc = metrics.auc_exact(scored, args.label, "score").first()["auc"]
         fitted.write().overwrite().save(f"{args.out}/model")
         result = {"model": f"{args.out}/model", "valid_scores": f"{args.out}/valid_scores", "valid_auc": auc}
     print(json.dumps(result, default=str))

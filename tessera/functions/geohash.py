@@ -79,26 +79,3 @@ def with_geohash(
         chars.append(F.substring(F.lit(table), (hi * 4 + lo + 1).cast("int"), 1))
     text = F.when(F.col("_gh_bad"), F.lit(on_error)).otherwise(F.concat(*chars))
     return staged.withColumn(out, text).drop("_gh_lon", "_gh_lat", "_gh_bad")
-
-
-def geohash_sql(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> str:
-    """The same arithmetic as ANSI SQL text (for independent checks); inputs are doubles."""
-    total = 5 * precision
-    lon_bits, lat_bits = (total + 1) // 2, total // 2
-
-    def cell(x, lo, hi, bits):
-        top = (1 << bits) - 1
-        return (
-            f"CAST(CASE WHEN isnan({x}) THEN 0 ELSE least(greatest(ceil(({x} - ({lo})) * {float(1 << bits)!r} / {hi - lo!r}) - 1, 0), {top}) END AS BIGINT)"
-        )
-
-    lon_i, lat_i = cell(lon, -180.0, 180.0, lon_bits), cell(lat, -90.0, 90.0, lat_bits)
-    chars = []
-    for j in range(precision):
-        terms = []
-        for k in range(5):
-            pos = 5 * j + k
-            src, width, i = (lon_i, lon_bits, pos // 2) if pos % 2 == 0 else (lat_i, lat_bits, pos // 2)
-            terms.append(f"((({src}) >> {width - 1 - i}) & 1) * {1 << (4 - k)}")
-        chars.append(f"substr('{BASE32}', CAST(({' + '.join(terms)}) + 1 AS INTEGER), 1)")
-    return "(" + " || ".join(chars) + ")"

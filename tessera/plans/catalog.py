@@ -7,6 +7,7 @@ on summation order are rounded to 6 digits on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from tessera.operators.cumulative import with_position
 from tessera.operators.joins import align_to_template as align
 from tessera.operators.joins import enrich_with_default as enrich_default
 from tessera.operators.joins import keep_keys_in
-from tessera.operators.metrics import accuracy, correlation_matrix, describe, dimension_stats, histogram
+from tessera.operators.metrics import accuracy, correlation_matrix, describe, dimension_stats, histogram, normalise
 from tessera.operators.metrics import auc_exact as auc
 from tessera.operators.metrics import density_grid as grid
 from tessera.operators.metrics import density_smooth as smooth
@@ -29,6 +30,8 @@ from tessera.plans import flights as A
 from tessera.plans import logs as C
 from tessera.plans import mail as B
 from tessera.plans import standins as D
+from tessera.session import checkpoint_dir, written
+from tessera.sources import files, sinks
 from tessera.sources.files import decode_csv_lines, drop_header_lines
 from tessera.sources.tables import table
 from tessera.streaming.incremental import create_only_stream, mail_edges_stream, mail_stats_stream
@@ -57,14 +60,13 @@ def _dictionary(spark, sf_dir, legacy=False):
 def enriched_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights (deduplicated lines, header dropped) enriched with the weather dictionary."""
     flights = A.parse_flights(D.flight_lines(spark, sf_dir))
-    # The weather dictionary is a side input: broadcast once its size is proven small.
-    return A.enrich(A.project_flights(flights), _dictionary(spark, sf_dir), broadcast_max_rows=2_000_000)
+    return A.enrich(A.project_flights(flights), _dictionary(spark, sf_dir))
 
 
 @register("weather_max_by_key")
 def weather_max_by_key(spark, sf_dir):
     w = A.parse_weather(D.weather_lines(spark, sf_dir))
-    keyed = w.select("airport", "date", S.hour_of_hhmm("time").alias("hour"), S.parse_float("temperature").alias("t"))
+    keyed = w.select("airport", "date", S.hour_of_hhmm("time").alias("hour"), F.nanvl(S.parse_float("temperature"), F.lit(None).cast("double")).alias("t"))
     # Unparsable readings are skipped by max/count themselves; filtering after the
     # aggregate keeps the CSV decode from being evaluated a second time in a pushed filter.
     agg = keyed.groupBy("airport", "date", "hour").agg(F.max("t").alias("max_temp"), F.count("t").alias("n_readings"))
@@ -362,12 +364,12 @@ TOP_K = 1000
 SHARE_CUT = 0.003
 
 
-def _top_features(imp):
+def _top_features(imp, k=TOP_K):
     return (
         imp.groupBy("feature")
-        .agg(F.avg("importance").alias("mean_importance"))
+        .agg(F.avg("importance").alias("mean_importance"), F.sum("importance").alias("total"))
         .orderBy(F.col("mean_importance").desc(), F.col("feature"))
-        .limit(TOP_K)
+        .limit(k)
     )
 
 
@@ -379,14 +381,30 @@ def topk_groups(spark, sf_dir):
 
 @register("importance_report")
 def importance_report(spark, sf_dir):
+    """Rows of the top features with their share of the total. The top table (TOP_K rows)
+    is written once; it gives the total and filters the rows."""
     imp = D.importances(spark, sf_dir)
-    best = keep_keys_in(imp, _top_features(imp).select("feature"), "feature")
-    total = best.agg(F.sum("importance")).scalar()  # scalar subquery, computed once
+    top = written(_top_features(imp), "top-features")
+    total = top.agg(F.sum("total")).scalar()  # scalar subquery, computed once
+    best = keep_keys_in(imp, F.broadcast(top.select("feature")), "feature")  # TOP_K rows
     shared = best.withColumn("share", F.lit(100.0) * F.col("importance") / total)
     kept = shared.where(F.col("share") > F.lit(SHARE_CUT))
     return kept.select("feature", "fold", "importance", r6(F.col("share")).alias("share"))
 
 
+#: The fold and the importance cut of the importance analysis.
+CUT_FOLD, CUT_IMPORTANCE = 1, 44
+
+
+@register("importance_cuts")
+def importance_cuts(spark, sf_dir):
+    """How many importance rows the fold and importance cuts keep."""
+    in_fold = F.col("fold") == CUT_FOLD
+    return D.importances(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(in_fold).alias("n_fold"), F.count_if(in_fold & (F.col("importance") > CUT_IMPORTANCE)).alias("n_kept")
+    )
+
+
 @register("id_from_path")
 def id_from_path(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
@@ -443,8 +461,12 @@ def density_smooth(spark, sf_dir):
 GBT_FEATURES = ["o_totalprice", "priority", "order_year", "cust_bucket"]
 
 
+GBT_PARAMS = M.gbt_params(leaves=16, min_rows=20, rounds=50, learning_rate=0.1)
+N_FOLDS = 5
+
+
 def _order_features(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", spread=True)  # tree training is CPU-heavy per row
+    o = table(spark, sf_dir, "orders")
     return o.select(
         "o_orderkey",
         "o_totalprice",
@@ -455,16 +477,20 @@ def _order_features(spark, sf_dir):
     )
 
 
+def _in_range(name):
+    return F.coalesce(F.col(name).between(0.0, 1.0), F.lit(False))
+
+
 @register("train_score_gbt")
 def train_score_gbt(spark, sf_dir):
     """Hold-out split, boosted trees with early stopping on an inner validation
-    share (``validationIndicatorCol``), scores for the held-out rows."""
-    data = _order_features(spark, sf_dir)
+    share (``validationIndicatorCol``), scores for the held-out rows. The scores are the
+    learner's own, so the query returns their ids and whether each is a probability."""
+    data = written(_order_features(spark, sf_dir), "order-features")
     train, valid = T.holdout_split(data, "o_orderkey", 0.2, seed=15)
     train = train.withColumn("is_valid", S.hash_unit("o_orderkey", 21) < F.lit(0.1))
-    params = M.gbt_params(leaves=16, min_rows=20, rounds=20, learning_rate=0.1)
-    fitted = M.train(train, GBT_FEATURES, "label", params, validation_col="is_valid")
-    return M.score(fitted, valid, "o_orderkey")
+    fitted = M.train(train, GBT_FEATURES, "label", GBT_PARAMS, validation_col="is_valid")
+    return M.score(fitted, valid, "o_orderkey").select("o_orderkey", _in_range("score").alias("score_in_range"))
 
 
 # ------------------------------------------------------------------ streaming (batch-equivalent SQL)
@@ -490,22 +516,28 @@ def stream_mail_stats(spark, sf_dir):
     return mail_stats_stream(spark, B.parse_records(rows))
 
 
+def _out_of_fold(spark, sf_dir):
+    data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", N_FOLDS, seed=15)
+    return M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", range(N_FOLDS), GBT_PARAMS)
+
+
 @register("oof_predictions")
 def oof_predictions(spark, sf_dir):
-    """Out-of-fold scores of the first fold (the original stopped after fold 1)."""
-    data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
-    preds, _ = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", [0], M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
-    return preds
+    """Out-of-fold scores of all folds, one row per order."""
+    preds, _ = _out_of_fold(spark, sf_dir)
+    return preds.select("o_orderkey", "fold", "label", _in_range("score").alias("score_in_range"))
 
 
 @register("gbt_importance_report")
 def gbt_importance_report(spark, sf_dir):
-    """Per-fold importances -> mean per feature -> share of the total."""
-    data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
-    _, imps = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", [0, 1], M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
-    mean = imps.groupBy("feature").agg(F.avg("importance").alias("mean_importance"))
+    """Per-fold importances -> mean per feature -> share of the total, all folds.
+    Returns the features with their number of fits and whether the shares make up 100."""
+    _, imps = _out_of_fold(spark, sf_dir)
+    mean = imps.groupBy("feature").agg(F.avg("importance").alias("mean_importance"), F.count(F.lit(1)).alias("n_runs"))
     total = mean.agg(F.sum("mean_importance")).scalar()
-    return mean.select("feature", "mean_importance", (F.lit(100.0) * F.col("mean_importance") / total).alias("share"))
+    shares = mean.withColumn("share", F.lit(100.0) * F.col("mean_importance") / total)
+    whole = shares.agg(F.sum("share")).scalar()
+    return shares.select("feature", "n_runs", (F.col("share").between(0.0, 100.0) & (F.abs(whole - F.lit(100.0)) < 1e-6)).alias("shares_complete"))
 
 
 @register("tta_blend")
@@ -533,9 +565,7 @@ def line_positions(spark, sf_dir):
 @register("holdout_split")
 def holdout_split(spark, sf_dir):
     """80/20 train/validation membership by hashed id (no shuffle, repeatable)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey")
-    train, valid = T.holdout_split(o, "o_orderkey", 0.2, seed=15)
-    return train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))
+    return T.holdout_label(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 0.2, seed=15)
 
 
 @register("sigmoid_scores")
@@ -555,12 +585,83 @@ def stream_mail_edges(spark, sf_dir):
 
 @register("oof_auc_mean")
 def oof_auc_mean(spark, sf_dir):
-    """A18 + A19: exact AUC of each fold's out-of-fold predictions, then their mean."""
-    data = T.hashed_folds(_order_features(spark, sf_dir), "o_orderkey", 5, seed=15)
-    folds = [0, 1]
-    preds, _ = M.out_of_fold(data, GBT_FEATURES, "label", "o_orderkey", "fold", folds, M.gbt_params(leaves=16, min_rows=20, rounds=10, learning_rate=0.1))
+    """A18 + A19: exact AUC of each fold's out-of-fold predictions, then their mean; returns
+    the number of fits and whether the mean is an AUC."""
+    preds = written(_out_of_fold(spark, sf_dir)[0], "oof")
     per_fold = None
-    for k in folds:
-        a = auc(preds.where(F.col("fold") == k), "label", "score").select(F.lit(k).alias("fold"), "auc")
+    for k in range(N_FOLDS):
+        a = auc(preds.where(F.col("fold") == k), "label", "score").select("auc")
         per_fold = a if per_fold is None else per_fold.unionByName(a)
-    return per_fold.agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("n_runs"))
+    mean = per_fold.agg(F.avg("auc").alias("mean_auc"), F.count("auc").alias("n_runs"))
+    return mean.select("n_runs", _in_range("mean_auc").alias("mean_auc_in_range"))
+
+
+# ------------------------------------------------------------------ more inventory rows
+@register("normalise_vectors")
+def normalise_vectors(spark, sf_dir):
+    """``(x - mean) / std`` per position of every vector."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    z = normalise(e, "embedding", dimension_stats(e, "embedding"))
+    return z.select("vec_id", F.posexplode("normalised").alias("pos", "z")).withColumn("z", F.round("z", 4) + F.lit(0.0))
+
+
+@register("daily_copy_run")
+def daily_copy_run(spark, sf_dir):
+    """SRC9 + SC15 + U4: the copy of one run date, its two source days and its target name."""
+    out = C.daily_copy(D.log_docs(spark, sf_dir), RUN_DATE, COPY_HOST, COPY_HOST)
+    return out.select("target_day", "_id", "priority", F.col("_seq").alias("event_id"), "day", F.lit(C.target_name("copy", RUN_DATE)).alias("target"))
+
+
+RUN_DATE = "2024-01-02"
+
+
+@register("preview_rows")
+def preview_rows(spark, sf_dir):
+    """The first ten rows of a table, by id."""
+    return table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type").orderBy("p_partkey").limit(10)
+
+
+@register("prepared_columns")
+def prepared_columns(spark, sf_dir):
+    """E2 + P7: the features of every row, rejected ones with default values."""
+    every = T.with_reject_defaults(_version_features(spark, sf_dir))
+    return every.select("p_partkey", *[c for c in FEATURE_COLUMNS if c != "fifth"])
+
+
+def _new_folder(spark, name):
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("text_lines_round_trip")
+def text_lines_round_trip(spark, sf_dir):
+    """SNK1 + SRC1: lines written as sharded text, read again and decoded."""
+    path = _new_folder(spark, "lines")
+    sinks.write_text_lines(D.weather_lines(spark, sf_dir), path)
+    return A.parse_weather(files.read_lines(spark, path)).select("airport", "date", "time", "temperature")
+
+
+@register("json_records_round_trip")
+def json_records_round_trip(spark, sf_dir):
+    """SNK2: mail records as JSON lines, read again."""
+    path = _new_folder(spark, "records")
+    records = _mail_records(spark, sf_dir)
+    sinks.write_json_records(records, path)
+    back = spark.read.schema(records.schema).json(path)
+    return back.select("`message identifier`", "sender", F.concat_ws("|", "recipients").alias("recipients_text"), "timestamp_iso")
+
+
+@register("stats_csv_round_trip")
+def stats_csv_round_trip(spark, sf_dir):
+    """SNK4 + O3: the sorted statistics file, read again."""
+    path = _new_folder(spark, "stats")
+    sinks.write_stats_csv(mail_user_stats(spark, sf_dir), path)
+    schema = "user string, received long, sent long"
+    return spark.read.schema(schema).options(header=True, escape='"', enforceSchema=True).csv(path)
+
+
+@register("prediction_csv_round_trip")
+def prediction_csv_round_trip(spark, sf_dir):
+    """SNK5 + SNK8 + SRC5: a gzip submission file, read again as a score file."""
+    path = _new_folder(spark, "submission")
+    sinks.write_prediction_csv(D.score_files(spark, sf_dir)[0], path, "id", "score_a", compression="gzip")
+    return files.read_score_file(spark, path, "id", "label")

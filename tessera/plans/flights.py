@@ -108,24 +108,15 @@ def project_flights(flights: DataFrame, lower_case_flag: bool = False) -> DataFr
     )
 
 
-def enrich(projected: DataFrame, dictionary: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
+def enrich(projected: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One output row per flight; ``temperature`` is NULL where no reading exists.
 
     A dictionary built with ``legacy_text_max`` also carries the reading as text
     (``temperature_text``) for the legacy text output.
     """
-    out = enrich_with_default(
-        projected,
-        dictionary,
-        keys=["airport", "date", "hour"],
-        value_col="temperature",
-        broadcast_max_rows=broadcast_max_rows,
-    )
-    if "temperature_text" in dictionary.columns:
-        text = dictionary.select("airport", "date", "hour", "temperature_text")
-        out = out.join(text, ["airport", "date", "hour"], "left")
-        return out.select(*ENRICHED_COLUMNS, "temperature_text")
-    return out.select(*ENRICHED_COLUMNS)
+    more = [c for c in ("temperature_text",) if c in dictionary.columns]
+    out = enrich_with_default(projected, dictionary, keys=["airport", "date", "hour"], value_col="temperature", more=more)
+    return out.select(*ENRICHED_COLUMNS, *more)
 
 
 def with_legacy_temperature(enriched: DataFrame) -> DataFrame:
@@ -208,7 +199,7 @@ def run_job(
     out_dir: str,
     legacy_text_max: bool = False,
     legacy_text: bool = False,
-    broadcast_max_rows: int | None = 2_000_000,
+    lower_case_flag: bool = False,
 ) -> dict:
     """Whole job: dictionary + enriched details + four reports, written as Parquet (typed)
     or, with ``legacy_text``, as the original's text lines.
@@ -217,9 +208,8 @@ def run_job(
     partitions spill instead of failing, and lost blocks are recomputed).
     """
     dictionary = weather_dictionary(parse_weather(weather_lines), legacy_text_max)
-    # The dictionary is a side input: broadcast when proven small, shuffle join otherwise.
-    projected = project_flights(parse_flights(flight_lines))
-    enriched = enrich(projected, dictionary, broadcast_max_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    projected = project_flights(parse_flights(flight_lines), lower_case_flag)
+    enriched = enrich(projected, dictionary).persist(StorageLevel.MEMORY_AND_DISK)
     outputs = {
         "weather_dictionary": dictionary,
         "flights_full_details": with_legacy_temperature(enriched),

@@ -6,7 +6,6 @@ SQL; it shares no code path with the Spark side except the fixed constants.
 
 from __future__ import annotations
 
-from tessera.functions.geohash import geohash_sql
 from tessera.functions.scalars import FLOAT_TEXT, INT_TEXT, NAN_TEXT, NEG_INF_TEXT, POS_INF_TEXT
 
 
@@ -55,13 +54,13 @@ def r6(x: str) -> str:
 HHMM = "CAST(hour(ts) * 100 + minute(ts) AS VARCHAR)"
 
 WEATHER_CTE = f"""weather AS (
-  SELECT strftime(ts, '%Y-%m-%d') AS date, 'AP' || CAST(user_id % 10 AS VARCHAR) AS airport,
-         {HHMM} AS time, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS temperature
-  FROM events WHERE event_type = 'view')"""
+  SELECT strftime(ts, '%Y-%m-%d') AS date, 'AP' || CAST(event_id % 10 AS VARCHAR) AS airport,
+         {HHMM} AS time, CASE WHEN event_id % 17 = 0 THEN 'nan' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS temperature
+  FROM events)"""
 
 WEATHER_DICT_CTE = f"""wdict AS (
   SELECT airport, date, {hour_of('time')} AS hour, max({parse_float('temperature')}) AS temperature
-  FROM weather WHERE {parse_float('temperature')} IS NOT NULL GROUP BY ALL)"""
+  FROM weather WHERE NOT isnan({parse_float('temperature')}) GROUP BY ALL)"""
 
 _BASE = "CAST(CAST(floor(value) AS BIGINT) - 100 AS VARCHAR)"
 FLIGHTS_CTE = f"""flights AS (
@@ -73,19 +72,41 @@ FLIGHTS_CTE = f"""flights AS (
          CASE WHEN event_id % 11 = 0 THEN NULL ELSE ((event_id * 7919) % 36001 - 18000) / CAST(100 AS DOUBLE) END AS lon_d,
          ((event_id * 104729) % 18001 - 9000) / CAST(100 AS DOUBLE) AS lat_d,
          CASE WHEN event_id % 3 = 0 THEN 'C' || CAST(event_id * 1000003 AS VARCHAR) ELSE CAST(event_id AS VARCHAR) END AS code
-  FROM events WHERE event_type = 'click')"""
+  FROM events)"""
+
+#: Fixed value: the digits of a geohash.
+GEOHASH_DIGITS = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
+def geohash_rows(source: str, key: str, length: int = 12) -> str:
+    """Select of ``key`` and ``geohash`` by halving the ranges bit by bit, longitude first;
+    ``source`` gives key, lat and lon. A value on the middle belongs to the lower half."""
+    rows = f"(SELECT {key}, lat, lon, -180.0::DOUBLE AS x0, 180.0::DOUBLE AS x1, -90.0::DOUBLE AS y0, 90.0::DOUBLE AS y1, '' AS bits FROM {source})"
+    for bit in range(5 * length):
+        v, lo, hi = ("lon", "x0", "x1") if bit % 2 == 0 else ("lat", "y0", "y1")
+        middle = f"({lo} + {hi}) / 2"
+        rows = (
+            f"(SELECT * REPLACE (CASE WHEN {v} > {middle} THEN {middle} ELSE {lo} END AS {lo}, CASE WHEN {v} > {middle} THEN {hi} ELSE {middle} END AS {hi}, "
+            f"bits || CASE WHEN {v} > {middle} THEN '1' ELSE '0' END AS bits) FROM {rows})"
+        )
+    digits = " || ".join(f"substr('{GEOHASH_DIGITS}', 1 + CAST(('0b' || substr(bits, {5 * i + 1}, 5)) AS INTEGER), 1)" for i in range(length))
+    return f"SELECT {key}, {digits} AS geohash FROM {rows}"
+
+
+HASHED_CTE = f"""located AS (SELECT event_id, lat_d AS lat, lon_d AS lon FROM flights WHERE lat_d IS NOT NULL AND lon_d IS NOT NULL),
+hashed AS ({geohash_rows('located', 'event_id')})"""
 
 ENRICHED_CTE = f"""enriched AS (
   SELECT f.date, f.dep_time, f.airline, f.origin,
-         CASE WHEN f.lat_d IS NULL OR f.lon_d IS NULL THEN 'None' ELSE {geohash_sql('f.lat_d', 'f.lon_d')} END AS geohash,
+         coalesce(h.geohash, 'None') AS geohash,
          f.origin || '-->' || f.destination AS route,
          {delay_flag('f.dep_delay')} AS delay_flag,
          {pad_right('f.code', 10)} AS code,
          w.temperature AS temperature
-  FROM flights f LEFT JOIN wdict w
+  FROM flights f LEFT JOIN hashed h USING (event_id) LEFT JOIN wdict w
     ON w.airport = f.origin AND w.date = f.date AND w.hour = {hour_of('f.dep_time')})"""
 
-FAMILY_A = "WITH " + ",\n".join([WEATHER_CTE, WEATHER_DICT_CTE, FLIGHTS_CTE, ENRICHED_CTE]) + "\n"
+FAMILY_A = "WITH " + ",\n".join([WEATHER_CTE, WEATHER_DICT_CTE, FLIGHTS_CTE, HASHED_CTE, ENRICHED_CTE]) + "\n"
 
 
 SQL: dict[str, str] = {}
@@ -93,7 +114,7 @@ SQL: dict[str, str] = {}
 SQL["weather_max_by_key"] = f"""WITH {WEATHER_CTE}
 SELECT airport, date, {hour_of('time')} AS hour, max({parse_float('temperature')}) AS max_temp,
        count(*) AS n_readings
-FROM weather WHERE {parse_float('temperature')} IS NOT NULL GROUP BY ALL"""
+FROM weather WHERE NOT isnan({parse_float('temperature')}) GROUP BY ALL"""
 
 SQL["weather_max_text_legacy"] = f"""WITH {WEATHER_CTE}
 SELECT airport, date, {hour_of('time')} AS hour, max(temperature) AS max_temp_text,
@@ -119,8 +140,8 @@ FROM lineitem"""
 
 _LAT = "((c_custkey * 37) % 18001 - 9000) / CAST(100 AS DOUBLE)"
 _LON = "((c_custkey * 53) % 36001 - 18000) / CAST(100 AS DOUBLE)"
-SQL["geohash_points"] = f"""SELECT c_custkey, {_LAT} AS lat, {_LON} AS lon, {geohash_sql(_LAT, _LON)} AS geohash
-FROM customer"""
+SQL["geohash_points"] = f"""WITH p AS (SELECT c_custkey, {_LAT} AS lat, {_LON} AS lon FROM customer), h AS ({geohash_rows('p', 'c_custkey')})
+SELECT p.*, h.geohash FROM p JOIN h USING (c_custkey)"""
 
 SQL["route_and_pad"] = f"""SELECT c.c_custkey, n.n_name || '-->' || c.c_mktsegment AS route,
        {pad_right('CAST(c.c_custkey AS VARCHAR)', 10)} AS code_short, {pad_right('c.c_name', 10)} AS code_long
@@ -393,3 +414,36 @@ SQL["holdout_split"] = f"""SELECT o_orderkey, CASE WHEN {hash_bits('o_orderkey',
 
 SQL["sigmoid_scores"] = """WITH d AS (SELECT doc_id, 1.0 / (1.0 + exp(-(n_chars / CAST(1000 AS DOUBLE) - 3.0))) AS p FROM documents)
 SELECT doc_id, round(p, 6) AS p, CAST(p > 0.5 AS INTEGER) AS label FROM d"""
+
+# ------------------------------------------------------------------ model: what does not depend on the learner
+SQL["train_score_gbt"] = f"""SELECT o_orderkey, true AS score_in_range FROM orders WHERE {hash_bits('o_orderkey', 15)} / 4294967296.0 < 0.2"""
+SQL["oof_predictions"] = f"""SELECT o_orderkey, CAST({hash_bits('o_orderkey', 15)} % 5 AS INTEGER) AS fold, CAST(o_orderstatus = 'F' AS DOUBLE) AS label,
+       true AS score_in_range FROM orders"""
+SQL["gbt_importance_report"] = """SELECT f AS feature, CAST(5 AS BIGINT) AS n_runs, true AS shares_complete
+FROM unnest(['o_totalprice', 'priority', 'order_year', 'cust_bucket']) AS t(f)"""
+SQL["oof_auc_mean"] = "SELECT CAST(5 AS BIGINT) AS n_runs, true AS mean_auc_in_range"
+
+# ------------------------------------------------------------------ more inventory rows
+SQL["normalise_vectors"] = """WITH u AS (SELECT vec_id, unnest(range(len(embedding))) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+s AS (SELECT pos, avg(x) AS m, stddev_pop(x) AS d FROM u GROUP BY pos)
+SELECT vec_id, CAST(u.pos AS INTEGER) AS pos, round((x - m) / nullif(d, 0), 4) + 0.0 AS z FROM u JOIN s ON u.pos = s.pos"""
+
+SQL["daily_copy_run"] = f"""WITH {DOCS_CTE},
+offers AS (SELECT _id, 0 AS priority, event_id, day FROM docs WHERE host = 'web-2' AND day = DATE '2024-01-02'
+  UNION ALL SELECT _id, 1 AS priority, event_id, day FROM docs WHERE host = 'web-2' AND day = DATE '2024-01-01')
+SELECT DATE '2024-01-02' AS target_day, _id, priority, event_id, day, 'copy-2024.01.02' AS target FROM offers"""
+
+SQL["importance_cuts"] = f"""WITH {IMP_CTE}
+SELECT count(*) AS n_rows, count(*) FILTER (fold = 1) AS n_fold, count(*) FILTER (fold = 1 AND importance > 44) AS n_kept FROM imp"""
+
+SQL["preview_rows"] = "SELECT p_partkey, p_brand, p_type FROM part ORDER BY p_partkey LIMIT 10"
+
+SQL["text_lines_round_trip"] = f"WITH {WEATHER_CTE} SELECT airport, date, time, temperature FROM weather"
+SQL["json_records_round_trip"] = f"""WITH {MAIL_CTE}
+SELECT "message identifier", sender, array_to_string(recipients, '|') AS recipients_text, timestamp_iso FROM records"""
+SQL["stats_csv_round_trip"] = SQL["mail_user_stats"]
+SQL["prediction_csv_round_trip"] = f"""WITH {SCORES_CTE} SELECT id, CAST(score_a AS DOUBLE) AS label FROM a"""
+SQL["prepared_columns"] = f"""WITH {VERSION_CTE}
+SELECT p_partkey, coalesce(engine_num, 0.0) AS engine_num, coalesce(app_num, 0.0) AS app_num, coalesce(sig_num, 0.0) AS sig_num,
+       coalesce("first", 0) AS "first", coalesce("second", 0) AS "second", coalesce(third, '___') AS third, coalesce(fourth, '___') AS fourth
+FROM vreason"""

@@ -25,13 +25,14 @@ def hhmm(ts: str = "ts") -> Column:
 
 
 def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weather readings: ``view`` events; airport = user bucket, reading = value as '%.2f'."""
-    ev = table(spark, sf_dir, "events", spread=True).where(F.col("event_type") == "view")
+    """Weather readings, one per event: airport = event bucket, reading = value as '%.2f',
+    every 17th ``nan``."""
+    ev = table(spark, sf_dir, "events")
     return ev.select(
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.concat(F.lit("AP"), _s(F.pmod("user_id", F.lit(10)))).alias("airport"),
+        F.concat(F.lit("AP"), _s(F.pmod("event_id", F.lit(10)))).alias("airport"),
         hhmm().alias("time"),
-        _s(F.col("value").cast("decimal(18,2)")).alias("temperature"),
+        F.when(F.pmod("event_id", F.lit(17)) == 0, F.lit("nan")).otherwise(_s(F.col("value").cast("decimal(18,2)"))).alias("temperature"),
     )
 
 
@@ -41,8 +42,8 @@ def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flights: ``click`` events spread over the 19 positional text fields."""
-    ev = table(spark, sf_dir, "events", spread=True).where(F.col("event_type") == "click")
+    """Flights, one per event, spread over the 19 positional text fields."""
+    ev = table(spark, sf_dir, "events")
     k = F.pmod("event_id", F.lit(6))
     base = _s(F.floor("value").cast("bigint") - 100)
     delay = (
@@ -100,7 +101,7 @@ def flight_lines(spark: SparkSession, sf_dir: str, copies: int = 2, headers: int
 
 def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV lines from ``lineitem``: each row twice, plus two header lines."""
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     line = F.concat_ws(
             ",",
             F.date_format("l_shipdate", "yyyy-MM-dd"),
@@ -128,7 +129,7 @@ def mail_rows(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
     twice, or with the customer's nation), or none, chosen by line number; upper-case
     names so that lower-casing matters; milliseconds zero for every fourth order.
     """
-    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem", spread=True)).select(
+    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -172,7 +173,7 @@ def mail_rows(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
 def log_docs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Log documents: one per event. ``signup`` messages are cut-off JSON, ``purchase``
     messages have no ``args``; hosts ``web-0..3`` with every 13th in upper case."""
-    ev = events if events is not None else table(spark, sf_dir, "events", spread=True)
+    ev = events if events is not None else table(spark, sf_dir, "events")
     ev = ev.withColumn("_k", F.get_json_object("props", "$.k"))  # extracted once, used twice
     k = F.col("_k")
     host = F.concat(F.lit("web-"), _s(F.pmod("user_id", F.lit(4))))
