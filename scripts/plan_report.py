@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query (after AQE re-planning).
+"""Physical-plan summary of the rebuilt jobs' queries (after AQE re-planning).
 
 For each query: number of shuffle exchanges, broadcast exchanges, join strategies,
 window and generate operators, Python evaluation nodes, and whether every scan has
@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tessera.plans.catalog import QUERIES  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
 SKIP = {"stream_create_only", "stream_mail_stats", "stream_mail_edges"}
@@ -51,10 +51,10 @@ def main() -> None:
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Physical plans ({os.path.basename(sf_dir)}, AQE final plans)\n")
-    print("Generated by `scripts/plan_report.py`. Counts are operators in the executed plan; a cached sub-plan (InMemoryRelation) is computed once and counted as a scan of the cache, not again.\n")
+    print("Generated by `scripts/plan_report.py`. Counts are operators in the executed plan.\n")
     print("| query | shuffles | broadcasts | reused | sort-merge joins | broadcast joins | windows | generate | python eval | scans |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in SKIP:
             continue
         plan = final_plan(fn(spark, sf_dir))
@@ -79,20 +79,17 @@ def main() -> None:
 NOTES = """
 ## Reading the table
 
-- At sf0.01 every table is one Parquet row group, so `tables.table(..., spread=True)`
-  adds one round-robin shuffle before CPU-heavy per-row derivations (flight and mail
-  lines, log documents, model training input). A scan with at least as many splits as task
-  slots gets none.
 - Aggregates show two operators per shuffle (partial, then final): the partial side
   collapses hot keys inside each task.
-- The weather dictionary and the category-code slices are broadcast only after a bounded
-  count proved them small (`joins.bounded_broadcast`); above the bound they stay shuffle
-  joins. Other joins carry no hint, and their broadcasts here were chosen by AQE after it
-  measured the small side.
-- Running sums (`auc_exact`, `describe_scores`, `kfold_contiguous`, `factorize_train_test`,
-  `line_positions`) show one range shuffle (inside the cached sub-plan, counted once as a
-  cache scan), one shuffle on the range-partition id for the local window, and a tiny
-  single-partition window over per-partition totals.
+- No dictionary join carries a hint; the broadcasts here were chosen by AQE after it measured
+  the small side.
+- Operators that read rows twice (positions, running sums, top features, folds) write them
+  once to the shared checkpoint folder while the query is built. The table shows the plan
+  after that table; a range exchange in front of it is not counted.
+- Running sums (`auc_exact`, `describe_scores`) then show one shuffle on the range-partition
+  id for the local window, and a single-partition window over per-partition totals. Row
+  positions (`kfold_contiguous`, `factorize_train_test`, `line_positions`) need neither that
+  shuffle nor a window over rows; their windows run over one row per partition and group.
 - Streaming queries are left out; their micro-batches run the same operators.
 """
 
