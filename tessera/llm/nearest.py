@@ -13,13 +13,15 @@ With the k-th distance from there, it goes on to exactly those cells whose regio
 the chi-square test, where a local kd-tree is searched leaf by leaf under the same test.
 A unit of work is a part of a cell against at most ``QUERIES`` queries.
 
-Equal vectors are one point of the tree with its smallest ids, which is all that ties by
-id can need. Scores are correctly rounded sums of double products.
+Equal vectors are one point with its ``k`` + 1 smallest ids, which is all that ties by id
+can need, and equal queries are searched once, for ``k`` + 1 neighbours: each asking id then
+leaves itself out. So a group of copies meets in a pre-combined aggregate and never as
+pairs. Scores are correctly rounded sums of double products.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no
 part, nor those of another length than the most common one, nor rows with a null id; rows
-with one id are one candidate with its best score, and never their own neighbour; with
-fewer than ``k`` candidates all are returned; ties go to the smaller id; an empty table
+with one id are one candidate with its best score, and never their own neighbour (if they
+ask with several vectors, the best of their searches counts); with fewer than ``k`` candidates all are returned; ties go to the smaller id; an empty table
 gives no rows. Only id and vector are read.
 """
 
@@ -43,7 +45,7 @@ MAX_CELLS = 1 << 16
 QUERIES = 2048
 LEAF = 64
 CONFIDENCE = 0.99
-_SCORED = "query_id long, vec_id long, score double"
+_SCORED = "digest binary, vec_id long, score double"
 
 
 def chi_square_bound(dims: int, p: float) -> float:
@@ -96,19 +98,14 @@ def box_distance(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
 
 
 class LocalTree:
-    """kd-tree leaves over the distinct vectors of a part of a cell."""
-
-    def __init__(self, ids: np.ndarray, x: np.ndarray, matrix: np.ndarray, top: float, k: int):
-        order = np.argsort(ids, kind="stable")
-        ids, x = ids[order], np.ascontiguousarray(x[order]) + 0.0  # -0.0 becomes 0.0
-        _, first, same = np.unique(x.view([("", x.dtype)] * x.shape[1]).ravel(), return_index=True, return_inverse=True)
-        by = np.argsort(same, kind="stable")  # ids of one vector ascend
-        cuts = np.append(0, np.cumsum(np.bincount(same, minlength=len(first))))
-        self.ids = [np.unique(ids[by[a:b]])[: k + 1] for a, b in zip(cuts, cuts[1:])]
-        self.x = x[first]
+    """kd-tree leaves over distinct vectors, each with its ids in ascending order."""
+
+    def __init__(self, ids: list[np.ndarray], x: np.ndarray, matrix: np.ndarray, top: float):
+        order = np.argsort([i[0] for i in ids], kind="stable")
+        self.ids, self.x = [ids[j] for j in order], np.ascontiguousarray(x[order])
         p = project(self.x, matrix, top)
         self.leaves: list[np.ndarray] = []
-        todo = [np.arange(len(first))]
+        todo = [np.arange(len(x))]
         while todo:
             g = todo.pop()
             if len(g) <= LEAF:
@@ -120,9 +117,9 @@ class LocalTree:
         self.low = np.stack([p[g].min(0) for g in self.leaves])
         self.high = np.stack([p[g].max(0) for g in self.leaves])
 
-    def search(self, own: int, q: np.ndarray, projected: np.ndarray, base: float, worst: float, k: int, bound: float) -> list[tuple[float, int]]:
-        """Best (score, id) of this part; ``base`` - 2 score is the squared distance and
-        ``worst`` the k-th one known so far."""
+    def search(self, q: np.ndarray, projected: np.ndarray, base: float, worst: float, most: int, bound: float) -> list[tuple[int, float]]:
+        """Best ``most`` (id, score) of this part; ``base`` - 2 score is the squared distance
+        and ``worst`` the last wanted one known so far."""
         away = box_distance(projected, self.low, self.high)
         order = np.argsort(away, kind="stable")
         found, scores, best = [], [], np.empty(0)
@@ -133,20 +130,23 @@ class LocalTree:
             s = self.x[g] @ q
             found.append(g)
             scores.append(s)
-            best = np.sort(np.concatenate([best, s]))[::-1][: k + 1]
-            if len(best) > k:  # one may be the query itself
-                worst = min(worst, max(base - 2 * best[k], 0.0))
+            best = np.sort(np.concatenate([best, s]))[::-1][:most]
+            if len(best) == most:
+                worst = min(worst, max(base - 2 * best[-1], 0.0))
         if not found:
             return []
         g, s = np.concatenate(found), np.concatenate(scores)
-        if len(s) > k + 1:
-            keep = s >= np.partition(s, -(k + 1))[-(k + 1)] - 1e-9 * max(1.0, abs(base))
+        if len(s) > most:
+            keep = s >= np.partition(s, -most)[-most] - 1e-9 * max(1.0, abs(base))
             g = g[keep]
         out = []
         for j in g:
             score = math.fsum((self.x[j] * q).tolist())
-            out += [(-score, int(i)) for i in self.ids[j] if i != own]
-        return [(-s, i) for s, i in sorted(out)[:k]]
+            out += [(-score, int(i)) for i in self.ids[j]]
+        once: dict[int, float] = {}
+        for s, i in sorted(out):
+            once.setdefault(i, -s)
+        return list(once.items())[:most]
 
 
 def project(x: np.ndarray, matrix: np.ndarray, top: float) -> np.ndarray:
@@ -183,62 +183,72 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", v
         for b in batches:
             if not b.num_rows:
                 continue
-            x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, dim)
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, dim) + 0.0  # -0.0 becomes 0.0
             home = cell_of(project(x, matrix, top), levels)
             # A query's norm-evening component is 0.
             asks = cell_of(x @ matrix[:-1], levels)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary()), b.column(2), pa.array(home), pa.array(asks)], ["id", "x", "asks", "cell", "ask_cell"])
 
-    placed = written(rows.mapInArrow(place, "id long, x binary, asks boolean, cell long, ask_cell long"), "nearest-cells")
+    placed = rows.mapInArrow(place, "id long, x binary, asks boolean, cell long, ask_cell long").withColumn("digest", F.unhex(F.md5("x")))
+    placed = written(placed, "nearest-cells")
     bound = chi_square_bound(DIMS, confidence)
+    most = k + 1  # an asking id is among the neighbours of its own vector
+    ids = placed.select("digest", "id").distinct()
+    order = F.row_number().over(Window.partitionBy("digest").orderBy("id"))
+    ids = ids.withColumn("at", order).where(F.col("at") <= most).groupBy("digest").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    distinct = placed.groupBy("digest").agg(F.first("x").alias("x"), F.first("cell").alias("cell"), F.first("ask_cell").alias("ask_cell"), F.max("asks").alias("asks"))
+    points = written(distinct.join(ids, "digest"), "nearest-points")
     # One row a cell: how many parts it is cut into.
-    parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(2 * CELL_ROWS)).cast("int").alias("parts"))
+    parts = points.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(2 * CELL_ROWS)).cast("int").alias("parts"))
 
     def search(visits: DataFrame) -> DataFrame:
-        """Best neighbours of visits (query_id, q, worst, cell) in those cells."""
+        """Best neighbours of visits (digest, q, worst, cell) in those cells."""
         chunks = visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(QUERIES)).cast("int").alias("chunks"))
         plan = parts.join(chunks, "cell")
-        data = placed.join(plan, "cell").select(
-            "id", "x", "cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+        data = points.join(plan, "cell").select(
+            "ids", "x", "cell", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
         )
         asks = visits.join(plan, "cell").select(
-            "query_id", "q", "worst", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int").alias("chunk")
+            "digest", "q", "worst", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int").alias("chunk")
         )
 
-        def unit(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-            out: list[tuple[int, int, float]] = []
-            if len(points) and len(queries):
-                tree = LocalTree(points["id"].to_numpy(), _vectors(points["x"]), matrix, top, k)
-                for own, q, worst in zip(queries["query_id"], _vectors(queries["q"]), queries["worst"]):
+        def unit(near: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+            out: list[tuple[bytes, int, float]] = []
+            if len(near) and len(queries):
+                tree = LocalTree(list(near["ids"]), _vectors(near["x"]), matrix, top)
+                for name, q, worst in zip(queries["digest"], _vectors(queries["q"]), queries["worst"]):
                     base = top + float(q @ q)
-                    out += [(own, i, s) for s, i in tree.search(own, q, q @ matrix[:-1], base, worst, k, bound)]
-            return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+                    out += [(name, i, s) for i, s in tree.search(q, q @ matrix[:-1], base, worst, most, bound)]
+            return pd.DataFrame(out, columns=["digest", "vec_id", "score"]).astype({"vec_id": "int64", "score": "float64"})
 
         key = ["cell", "part", "chunk"]
         return data.groupBy(*key).cogroup(asks.groupBy(*key)).applyInPandas(unit, _SCORED)
 
-    def best(scored: DataFrame) -> DataFrame:
-        once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        return once.withColumn("rank", rank).where(F.col("rank") <= k)
+    def best(scored: DataFrame, key: str, limit: int) -> DataFrame:
+        once = scored.groupBy(key, "vec_id").agg(F.max("score").alias("score"))
+        rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "vec_id"))
+        return once.withColumn("rank", rank).where(F.col("rank") <= limit)
 
-    asked = placed.where("asks").select(F.col("id").alias("query_id"), F.col("x").alias("q"), F.col("ask_cell").alias("home"))
+    asked = points.where("asks").select("digest", F.col("x").alias("q"), F.col("ask_cell").alias("home"))
     infinite = F.lit(float("inf"))
-    first = written(best(search(asked.select("query_id", "q", infinite.alias("worst"), F.col("home").alias("cell")))), "nearest-home")
-    kth = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+    first = written(best(search(asked.select("digest", "q", infinite.alias("worst"), F.col("home").alias("cell"))), "digest", most), "nearest-home")
+    last = first.where(F.col("rank") == most).select("digest", F.col("score").alias("last"))
     low, high = regions(levels, DIMS)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, qs, homes, kths = (b.column(i).to_pylist() for i in range(4))
-            for own, raw, home, score in zip(ids, qs, homes, kths):
+            names, qs, homes, lasts = (b.column(i).to_pylist() for i in range(4))
+            for name, raw, home, score in zip(names, qs, homes, lasts):
                 q = np.frombuffer(raw, np.float64)
                 worst = math.inf if score is None else max(top + float(q @ q) - 2 * score, 0.0)
                 reach = np.flatnonzero(box_distance(q @ matrix[:-1], low, high) <= bound * worst) if worst < math.inf else np.arange(len(low))
                 reach = reach[reach != home]
-                yield pa.RecordBatch.from_arrays([pa.array([own] * len(reach), pa.int64()), pa.array([raw] * len(reach), pa.binary()), pa.array([worst] * len(reach), pa.float64()), pa.array(reach, pa.int64())], ["query_id", "q", "worst", "cell"])
-
-    known = asked.join(kth, "query_id", "left").select("query_id", "q", "home", "kth")
-    visits = written(known.mapInArrow(spread, "query_id long, q binary, worst double, cell long"), "nearest-visits")
-    result = best(first.select("query_id", "vec_id", "score").union(search(visits)))
-    return result.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(reach), pa.binary()), pa.array([raw] * len(reach), pa.binary()), pa.array([worst] * len(reach), pa.float64()), pa.array(reach, pa.int64())], ["digest", "q", "worst", "cell"])
+
+    known = asked.join(last, "digest", "left").select("digest", "q", "home", "last")
+    visits = written(known.mapInArrow(spread, "digest binary, q binary, worst double, cell long"), "nearest-visits")
+    found = best(first.select("digest", "vec_id", "score").union(search(visits)), "digest", most)
+    lists = found.groupBy("digest").agg(F.collect_list(F.struct("vec_id", "score")).alias("near"))  # at most k + 1
+    asking = placed.where("asks").select(F.col("id").alias("query_id"), "digest").distinct()
+    own = asking.join(lists, "digest").select("query_id", F.inline("near")).where("vec_id != query_id")
+    return best(own, "query_id", k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

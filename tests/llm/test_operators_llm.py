@@ -97,6 +97,11 @@ def test_nearest_against_brute_force(spark):
         s = [(-math.fsum((x[q] * x[j]).tolist()), j) for j in range(300) if j != q]
         hits += len(set(found) & {j for _, j in sorted(s)[:5]})
     assert hits / (5 * len(got)) >= 0.9
+    # Copies, repeated rows and an id with two vectors: all candidates fit into k.
+    few = [(i, [1.0, 0.0]) for i in (9, 4, 7, 2)] * 2 + [(5, [0.5, -0.0]), (5, [2.0, 0.0])]
+    few = spark.createDataFrame(few, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in nearest.nearest(few, F.col("vec_id") < 6, k=3).orderBy("query_id", "rank").collect()]
+    assert found == [(2, 1, 5, 2.0), (2, 2, 4, 1.0), (2, 3, 7, 1.0), (4, 1, 5, 2.0), (4, 2, 2, 1.0), (4, 3, 7, 1.0), (5, 1, 2, 2.0), (5, 2, 4, 2.0), (5, 3, 7, 2.0)]
     assert nearest.nearest(df.limit(0), F.lit(True)).count() == 0
     assert nearest.nearest(df.where("vec_id < 3"), F.lit(True)).count() == 6
 
