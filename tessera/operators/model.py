@@ -47,6 +47,18 @@ def gbt_params(
     }
 
 
+# The original's parameter sets.
+PARAMETER_SETS = {
+    "holdout": gbt_params(leaves=60, min_rows=60, learning_rate=0.05, feature_share=0.8, seed=3),
+    "importance": gbt_params(leaves=60, min_rows=60, learning_rate=0.05, feature_share=0.8, seed=3),
+    "validation": gbt_params(leaves=60, min_rows=60, learning_rate=0.02, feature_share=0.8, seed=3),
+    "many leaves": gbt_params(leaves=200, min_rows=60, learning_rate=0.1, feature_share=0.8, seed=7),
+    "previous": gbt_params(leaves=120, min_rows=40, learning_rate=0.05, feature_share=0.5),
+    "old best": gbt_params(leaves=120, min_rows=40, learning_rate=0.05, feature_share=0.3, seed=133),
+    "best": gbt_params(leaves=100, min_rows=100, learning_rate=0.05, feature_share=0.3, seed=133),
+}
+
+
 def train(
     df: DataFrame,
     features: Sequence[str],
@@ -100,6 +112,38 @@ def compare_params(df: DataFrame, features: Sequence[str], label: str, grid: dic
     return tvs.fit(df)
 
 
+def compare_sets(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    id_col: str,
+    sets: dict[str, dict] | None = None,
+    test_share: float = 0.2,
+    valid_share: float = 0.1,
+    parallelism: int = 4,
+    seed: int = 15,
+) -> DataFrame:
+    """``name, auc`` of named parameter sets (default ``PARAMETER_SETS``): the exact AUC
+    on the same hashed test share. Each fit stops early on ``valid_share`` of the rest."""
+    from concurrent.futures import ThreadPoolExecutor
+    from functools import reduce
+
+    from tessera.operators.metrics import auc_exact
+
+    sets = sets or PARAMETER_SETS
+    marked = df.withColumns({"_is_test": hash_unit(id_col, seed) < F.lit(test_share), "_is_valid": hash_unit(id_col, seed + 1) < F.lit(valid_share)})
+    marked = written(marked, "parameter-sets")
+    test = marked.where("_is_test")
+
+    def one(item: tuple[str, dict]) -> DataFrame:
+        model = train(marked.where("not _is_test"), features, label, item[1], validation_col="_is_valid")
+        scored = model.transform(test).select(label, vector_to_array("probability")[1].alias("score"))
+        return auc_exact(scored, label, "score").select(F.lit(item[0]).alias("name"), "auc")
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(sets)))) as pool:
+        return reduce(DataFrame.unionByName, pool.map(one, sets.items()))
+
+
 def out_of_fold(
     df: DataFrame,
     features: Sequence[str],

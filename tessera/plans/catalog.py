@@ -21,7 +21,7 @@ from tessera.operators import tabular as T
 from tessera.operators.cumulative import with_position
 from tessera.operators.joins import align_to_template as align
 from tessera.operators.joins import enrich_with_default as enrich_default
-from tessera.operators.joins import keep_keys_in
+from tessera.operators.joins import keep_keys_in, label_files
 from tessera.operators.metrics import accuracy, correlation_matrix, describe, dimension_stats, histogram, normalise
 from tessera.operators.metrics import auc_exact as auc
 from tessera.operators.metrics import density_grid as grid
@@ -665,3 +665,56 @@ def prediction_csv_round_trip(spark, sf_dir):
     path = _new_folder(spark, "submission")
     sinks.write_prediction_csv(D.score_files(spark, sf_dir)[0], path, "id", "score_a", compression="gzip")
     return files.read_score_file(spark, path, "id", "label")
+
+
+@register("typed_csv_round_trip")
+def typed_csv_round_trip(spark, sf_dir):
+    """SRC4: a headered CSV read with a declared schema."""
+    path = _new_folder(spark, "typed")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    rows.write.options(header=True).csv(path)
+    return files.read_typed_csv(spark, path, rows.schema)
+
+
+@register("lookup_round_trip")
+def lookup_round_trip(spark, sf_dir):
+    """SNK6 + SRC7: a version dictionary written as Parquet, read as a lookup."""
+    path = _new_folder(spark, "lookup")
+    o = table(spark, sf_dir, "orders")
+    sinks.write_columnar(o.select(F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("version"), F.col("o_orderdate").alias("ts")), path)
+    return files.read_lookup(spark, path).select("version", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"))
+
+
+@register("template_round_trip")
+def template_round_trip(spark, sf_dir):
+    """SRC11 + J4: labels aligned to a template file of ids."""
+    path = _new_folder(spark, "template")
+    table(spark, sf_dir, "documents").select("doc_id").write.options(header=True).csv(path)
+    template = files.read_id_template(spark, path).select(F.col("doc_id").cast("long").alias("doc_id"))
+    return align(template, table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+
+
+@register("archive_round_trip")
+def archive_round_trip(spark, sf_dir):
+    """SNK3: lines archived as gzip under their run date, read again and decoded."""
+    path = _new_folder(spark, "raw")
+    sinks.write_text_lines(D.weather_lines(spark, sf_dir), path)
+    archived = sinks.archive_raw(spark, path, _new_folder(spark, "archive"), RUN_DATE)
+    return A.parse_weather(files.read_lines(spark, archived)).select("airport", "date", "time", "temperature")
+
+
+@register("labelled_files")
+def labelled_files(spark, sf_dir):
+    """J6 + SC21: files joined to their labels by the id in their path."""
+    path = F.concat(F.lit("train/"), F.col("doc_id").cast("string"), F.lit(".tif"))
+    found = table(spark, sf_dir, "documents").select(path.alias("path")).withColumn("id", S.id_from_path("path"))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"), F.col("quality").alias("label"))
+    return label_files(found, labels).select("path", "label")
+
+
+@register("gbt_parameter_sets")
+def gbt_parameter_sets(spark, sf_dir):
+    """Every named parameter set on one hashed test share; returns whether each got an
+    exact AUC."""
+    out = M.compare_sets(_order_features(spark, sf_dir), GBT_FEATURES, "label", "o_orderkey")
+    return out.select("name", _in_range("auc").alias("auc_in_range"))

@@ -447,3 +447,11 @@ SQL["prepared_columns"] = f"""WITH {VERSION_CTE}
 SELECT p_partkey, coalesce(engine_num, 0.0) AS engine_num, coalesce(app_num, 0.0) AS app_num, coalesce(sig_num, 0.0) AS sig_num,
        coalesce("first", 0) AS "first", coalesce("second", 0) AS "second", coalesce(third, '___') AS third, coalesce(fourth, '___') AS fourth
 FROM vreason"""
+
+SQL["typed_csv_round_trip"] = "SELECT c_custkey, c_name, c_acctbal FROM customer"
+SQL["lookup_round_trip"] = "SELECT 'v' || CAST(o_orderkey AS VARCHAR) AS version, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS ts_text FROM orders"
+SQL["template_round_trip"] = SQL["align_to_template"]
+SQL["archive_round_trip"] = SQL["text_lines_round_trip"]
+SQL["labelled_files"] = "SELECT 'train/' || d.doc_id || '.tif' AS path, l.quality AS label FROM documents d JOIN labels l USING (doc_id)"
+SQL["gbt_parameter_sets"] = """SELECT name, true AS auc_in_range
+FROM unnest(['holdout', 'importance', 'validation', 'many leaves', 'previous', 'old best', 'best']) AS t(name)"""

@@ -58,6 +58,30 @@ def create_only_stream(
     return spark.read.parquet(out).drop("batch")
 
 
+def _running_totals(spark: SparkSession, totals: DataFrame, keys: list[str], base: str) -> DataFrame:
+    """Runs a streaming aggregate in update mode: each micro-batch writes only the keys it
+    changed, with their new totals, into a folder of its own, so a replayed batch rewrites
+    just that. The current total of a key is the one of its latest batch."""
+    values = [c for c in totals.columns if c not in keys]
+    out = f"{base}/changes"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = (
+        totals.writeStream.outputMode("update")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", f"{base}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if not path_exists(spark, out):  # no batch yet
+        return spark.createDataFrame([], totals.schema)
+    latest = spark.read.parquet(out).groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("now"))
+    return latest.select(*keys, "now.*")
+
+
 def mail_stats_stream(
     spark: SparkSession, records_stream: DataFrame, include_receivers: bool = False, base_dir: str | None = None
 ) -> DataFrame:
@@ -65,28 +89,13 @@ def mail_stats_stream(
 
     Each record contributes (sender, sent=1) and (recipient, received=1); a streaming
     ``groupBy(user)`` keeps one state row per user (bounded by the number of users, not
-    by the number of mails), checkpointed under the shared folder. Every micro-batch
-    emits the complete totals, which overwrite the output table, so a replayed batch
-    rewrites the same result. Returns ``user, received, sent``.
+    by the number of mails), checkpointed under the shared folder. Returns ``user,
+    received, sent``.
     """
     from tessera.plans.mail import user_stats
 
-    base = _run_dir(spark, "mail-stats", base_dir)
-    out = f"{base}/totals"
     totals = user_stats(records_stream, include_receivers=True)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (
-        totals.writeStream.outputMode("complete")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    result = spark.read.parquet(out)
+    result = _running_totals(spark, totals, ["user"], _run_dir(spark, "mail-stats", base_dir))
     if not include_receivers:
         result = result.where(F.col("sent") > 0)
     return result.select("user", "received", "sent")
@@ -95,22 +104,9 @@ def mail_stats_stream(
 def mail_edges_stream(
     spark: SparkSession, records_stream: DataFrame, last_only: bool = False, base_dir: str | None = None
 ) -> DataFrame:
-    """ST2 (A9): running connection weights per (sender, recipient) in the state store;
-    one state row per edge, complete totals rewritten per micro-batch."""
+    """ST2 (A9): running connection weights per (sender, recipient) in the state store, one
+    state row per edge."""
     from tessera.plans.mail import edges
 
-    base = _run_dir(spark, "mail-edges", base_dir)
-    out = f"{base}/edges"
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (
-        edges(records_stream, last_only).writeStream.outputMode("complete")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.parquet(out).select("src", "dst", "weight")
+    totals = edges(records_stream, last_only)
+    return _running_totals(spark, totals, ["src", "dst"], _run_dir(spark, "mail-edges", base_dir)).select("src", "dst", "weight")
