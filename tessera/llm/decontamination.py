@@ -12,7 +12,11 @@ slots of the item is replaced by one value throughout. The document is contamina
 the item if consistent alignments cover at least ``coverage`` of the item's windows.
 
 The documents' windows pass a fixed-size Bloom filter of the benchmark's windows before
-the join, so only likely matches leave the scan; the join itself has no hint.
+the join, so only likely matches leave the scan; the joins have no hint. Windows that many
+items share (a common prompt, say) must not pair every document with every such item: a
+document that covers enough of an item meets one of any (all - needed + 1) of its windows,
+so pairs are found on that many of each item's rarest windows, and only those pairs are
+then matched on all windows.
 
 Defined cases: null and empty texts have no windows; an item shorter than a window is one
 window of its own length; an item without a usable window matches nothing; repeated items
@@ -26,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import CHUNK, bounded_batches, grouped_by_bytes, mix, written
@@ -167,17 +171,29 @@ def _bloom(items: DataFrame) -> np.ndarray:
     return np.packbits(flat)
 
 
+def rarest(keys: DataFrame, coverage: float) -> DataFrame:
+    """(item_id, h, width) of each item's rarest windows, one of which every text that
+    covers ``coverage`` of the item holds."""
+    times = keys.groupBy("h", "width").agg(F.count("*").alias("times"))
+    order, whole = Window.partitionBy("id").orderBy("times", "h", "pos"), Window.partitionBy("id")
+    needed = F.ceil(F.lit(coverage) * F.col("windows") - F.lit(1e-9))
+    ranked = keys.join(times, ["h", "width"]).withColumns({"at": F.row_number().over(order), "all": F.count("*").over(whole)})
+    return ranked.where(F.col("at") <= F.col("all") - needed + 1).select(F.col("id").alias("item_id"), "h", "width").distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", coverage: float = COVERAGE) -> DataFrame:
     """One row for each contaminated document and item: doc_id, item_id, matched, windows,
     coverage, and whether slots were replaced (``reparameterised``)."""
     bounded_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").alias("text"))
-    keys = written(window_rows(items, None, None), "benchmark-windows")
+    keys = written(window_rows(items, None, None).dropDuplicates(["id", "pos", "h", "width"]), "benchmark-windows")
     widths = sorted(r[0] for r in keys.select("width").distinct().collect())  # at most WINDOW values
     left = window_rows(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), _bloom(keys), widths or [WINDOW])
+    left = written(left, "likely-windows")
     total = keys.groupBy("id").agg(F.count_distinct("pos").alias("windows"))
     right = keys.join(total, "id").select("h", "width", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "windows")
-    met = left.join(right, ["h", "width"]).select("id", "item_id", "windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")).alias("z"))
+    pairs = left.select("id", "h", "width").join(rarest(keys.join(total, "id"), coverage), ["h", "width"]).select(F.col("id").alias("own"), "item_id").distinct()
+    met = left.join(pairs, F.col("id").eqNullSafe(F.col("own"))).join(right, ["item_id", "h", "width"]).select("id", "item_id", "windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")).alias("z"))
     aligned = met.groupBy("id", "item_id", "windows", "shift").agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(F.filter("z", lambda s: s["b"] != 0)))).alias("pairs"))
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda s: s["b"])))
     swapped = F.exists("pairs", lambda s: s["b"] != s["d"])

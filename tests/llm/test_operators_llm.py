@@ -199,6 +199,28 @@ def test_decontamination_finds_replaced_slots(spark):
     assert decontamination.contaminated(df, bench.limit(0)).count() == 0 and decontamination.contaminated(df.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_items_with_one_prompt(spark):
+    rng = random.Random(6)
+    prompt = "please read the following short question with care and then give one answer to it"
+    tails = [" ".join(f"q{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(20)) for _ in range(30)]
+    bench = spark.createDataFrame([(i, f"{prompt} {t}") for i, t in enumerate(tails)], "item_id long, text string")
+    rows = [(i, f"so {prompt} {t} end") for i, t in enumerate(tails[:10])] + [(100, prompt), (101, f"{prompt} and nothing else"), (None, tails[20]), (102, " ".join(tails[21].split()[:12]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched / r.windows for r in decontamination.contaminated(df, bench).collect()}
+    words = {k: t.split() for k, t in [*rows, *((f"b{i}", f"{prompt} {t}") for i, t in enumerate(tails))]}
+    want = {}
+    for d, _ in rows:
+        have = {tuple(words[d][j : j + 8]) for j in range(len(words[d]) - 7)}
+        for i in range(30):
+            own = [tuple(words[f"b{i}"][j : j + 8]) for j in range(len(words[f"b{i}"]) - 7)]
+            share = sum(w in have for w in own) / len(own)
+            if share >= 0.4:
+                want[d, i] = share
+    assert {k: v for k, v in want.items() if v >= 0.5} == got
+    loose = decontamination.contaminated(df, bench, coverage=0.4).collect()
+    assert {(r.doc_id, r.item_id) for r in loose} == set(want)
+
+
 def test_revisits(spark):
     def h(*lines):
         return "\r\n".join(("HTTP/1.1 200 OK", *lines))
