@@ -6,11 +6,13 @@ hashed bag of its path, a hashed bag of its words, and a few lengths. A bidirect
 in numpy reads the whole sequence, so each block is judged in the context of the whole
 page, and a logistic output marks it as main text or not.
 
-The labeller is trained here. A bounded, hash-chosen sample of pages (``MAX_PAGES``, of at
-most ``MAX_HTML`` characters) gives texts; those are laid out anew under varied templates
+The labeller is trained here. A hash-chosen sample of about ``MAX_PAGES`` pages, or of fewer
+where those would hold more than about ``MAX_CHARS`` characters together, gives texts; no page
+is left out for its length or its tags. The texts are laid out anew under varied templates
 (article, main or classed containers; headers, menus, sidebars, notices, adverts, forms,
-comments), whose blocks have known labels, beside the pages themselves, labelled where
-their semantic tags are plain. Extraction reads every page whole.
+comments), whose blocks have known labels, beside the pages themselves where semantic tags
+label them plainly. Where they don't, a rough guess tells which texts fill the templates'
+main part; the labels are those of the templates. Extraction reads every page whole.
 
 Text of scripts, styles, head and comments never forms blocks. Character references are
 decoded, white space inside a block becomes one space, blocks are trimmed and joined by
@@ -18,8 +20,7 @@ one space in page order.
 
 Defined cases: null and empty html, pages without blocks or without main text give an
 empty string; unclosed and stray tags are tolerated; repeated rows are extracted alike;
-without any usable page for training the labeller falls back to templates over no texts
-and calls nothing main text. Only id, url and html are read; the result has its own
+a table without any text has nothing to train on, and nothing is called main text. Only id, url and html are read; the result has its own
 columns.
 """
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import bounded_batches, grouped_by_bytes, unit_hash
 
 MAX_PAGES = 240
-MAX_HTML = 20_000
+MAX_CHARS = 4_800_000
 MAX_STEPS = 80
 HIDDEN = 16
 PATH_DIM, WORD_DIM = 96, 24
@@ -359,20 +360,28 @@ def laid_out(main: list[str], other: list[str], rng: np.random.Generator) -> tup
     return f"<html><head><title>{escape(main[0])}</title></head><body>{tagged(('div', pick(['page', 'wrapper', 'container'])), page) if rng.random() < 0.4 else page}</body></html>", labels
 
 
-def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES, rounds: int = 3) -> Labeller:
-    """Train on at most about ``max_pages`` of the pages, each laid out ``rounds`` times."""
-    bounded_batches(pages.sparkSession)
-    usable = pages.where(F.length(html).between(1, MAX_HTML))
-    n = usable.count()
-    rows = usable.where(unit_hash(F.col(page_id), seed=41) < max_pages / max(n, 1)).select(F.col(html).alias("h"), F.col(page_id).alias("i")).toPandas()
+def filler(blocks: list[tuple[list[str], str, int]]) -> np.ndarray:
+    """A guess for pages without semantic tags: texts outside the usual surroundings, and
+    not mostly links, are of the main kind."""
+    return np.array([not (_AROUND_TAGS & set(path) or _AROUND_WORDS & set(path)) and 2 * linked <= len(text) for path, text, linked in blocks])
+
+
+def training_pages(htmls: list[str], rounds: int, max_steps: int = MAX_STEPS) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Vectors and labels of the pages labelled by their tags and of ``rounds`` layouts of
+    the texts of every page."""
     rng, xs, ys, paths, words = np.random.default_rng(17), [], [], {}, {}
-    for h in rows.sort_values(["i", "h"], kind="stable")["h"]:
-        blocks = leaf_blocks(h)[:MAX_STEPS]
-        labels = plain_labels(blocks)
-        if labels is None or not labels.any():
+    for h in htmls:
+        blocks = leaf_blocks(h)[:max_steps]
+        if not blocks:
             continue
-        xs.append(block_vectors(blocks, paths, words))
-        ys.append(labels)
+        labels = plain_labels(blocks)
+        if labels is not None and labels.any():
+            xs.append(block_vectors(blocks, paths, words))
+            ys.append(labels)
+        else:
+            labels = filler(blocks)
+            if not labels.any():
+                labels = ~labels
         main = [b[1] for b, y in zip(blocks, labels) if y][:30]
         other = [b[1] for b, y in zip(blocks, labels) if not y] or ["Home"]
         # Texts around the article may be as long as those in it: so may comments be.
@@ -381,9 +390,27 @@ def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", max_page
             page, known = laid_out(main, other, rng)
             made = leaf_blocks(page)
             if len(made) == len(known):
-                xs.append(block_vectors(made, paths, words)[:MAX_STEPS])
-                ys.append(np.array(known)[:MAX_STEPS])
-    return train(xs, ys)
+                xs.append(block_vectors(made, paths, words)[:max_steps])
+                ys.append(np.array(known)[:max_steps])
+    return xs, ys
+
+
+def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES, rounds: int = 3, max_chars: int = MAX_CHARS) -> Labeller:
+    """Train on about ``max_pages`` of the pages, or on fewer if those would hold more than
+    about ``max_chars`` characters, each laid out ``rounds`` times
+    (more often if there are fewer pages than ``max_pages``)."""
+    bounded_batches(pages.sparkSession)
+    usable = pages.where(F.length(html) > 0)
+    n, chars = usable.agg(F.count("*"), F.sum(F.length(html).cast("double"))).first()
+    share = min(max_pages / max(n, 1), max_chars / max(chars or 0, 1))
+    chance = unit_hash(F.col(page_id), F.col(html), seed=41)
+    chosen = usable.select(F.col(html).alias("h"), F.col(page_id).alias("i"), chance.alias("c"))
+    rows = chosen.where(F.col("c") < share).toPandas()
+    if n and not len(rows):
+        rows = chosen.orderBy("c", "i").limit(1).toPandas()  # few pages, all of them huge
+    # Few pages are laid out more often, so that the labeller always sees as many layouts.
+    rounds = max(rounds, -(-rounds * max_pages // max(len(rows), 1)))
+    return train(*training_pages(list(rows.sort_values(["i", "h"], kind="stable")["h"]), rounds))
 
 
 def extract_texts(model: Labeller, pages: list[str | None]) -> list[str]:

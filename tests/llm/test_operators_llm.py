@@ -127,6 +127,27 @@ def test_html_cases(spark):
     assert html_extract.extract(odd, html_extract.fit(odd.limit(0))).agg(F.sum("n_chars")).first()[0] == 0
 
 
+def test_html_without_semantic_tags_or_short_pages(spark):
+    rng = random.Random(8)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+
+    for container, size in (("div class=content", 30), ("article", 700)):  # untagged; all over 20,000 characters
+        rows, want = [], {}
+        for i in range(60):
+            main = [words(5)] + [words(size) for _ in range(8)]
+            body = f"<h1>{main[0]}</h1>" + "".join(f"<p>{t}</p>" for t in main[1:])
+            menu = "".join(f"<li><a href=/>{words(1)}</a></li>" for _ in range(4))
+            rows.append((i, "u", f"<html><body><ul class=menu>{menu}</ul><{container}>{body}</{container.split()[0]}><div class=footer><p>{words(4)}</p></div></body></html>"))
+            want[i] = " ".join(main)
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in html_extract.extract(pages, html_extract.fit(pages)).collect()}
+        assert sum(got[i] == want[i] for i in want) >= 55
+    # So few pages are chosen that there may be none: one is taken all the same.
+    assert html_extract.fit(pages, max_chars=1, max_pages=1).bias != -30.0
+
+
 def test_token_cache(spark, docs, tmp_path):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
