@@ -4,7 +4,10 @@ Each source's rate is the mean number of copies of its documents that brings the
 to its target share of ``epochs`` times the input's size: rate = epochs * total * weight /
 size. A document's count is the inverse of the Poisson distribution with that mean at a
 uniform number made from a hash of the document's id; it is exploded by that count, and
-the copies are dealt out and sorted by another hash, a global shuffle.
+the copies are dealt out and sorted by another hash, a global shuffle. The table of
+cumulative probabilities covers the counts within 12 standard deviations of the mean. A mean
+above ``MAX_RATE`` is split into equal parts, each drawn by a hash of its own: a sum of
+independent Poisson counts is one of the summed mean, so no rate is too large.
 
 Everything on the path is DataFrame functions. Source sizes are one pre-combined
 aggregate, so a source with a third of the rows costs one row a task; the table of
@@ -14,26 +17,30 @@ decides by measured bytes. The one exchange of texts goes by a hash of the copy.
 Defined cases: a null source is a source of its own; null texts and sizes count 0; a
 source whose size is 0 has rate ``epochs``; sources without a target weight take weight 0
 where weights are given; a null id hashes as an empty one, so such rows repeat alike;
-repeated rows get equal counts. Rates above ``MAX_RATE`` raise an error (the inverse is
-exact below it). All input columns are kept; the added ones take a variant of their name
-if the input has it.
+repeated rows get equal counts. All input columns are kept; the added ones take a variant
+of their name if the input has it. The copy's number is an int.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import fresh
 
-MAX_RATE = 500.0
+#: Largest mean of one draw, whose table has about 24 * sqrt(mean) rows.
+MAX_RATE = 1e6
+#: Up to this mean the table starts at 0, where exp(-mean) is far from underflow.
+FROM_ZERO = 500.0
 #: Without given weights a source's weight is its size to this power, scaled to sum to 1.
 TEMPERATURE = 0.5
 
 
-def uniform(key: Column, seed: str) -> Column:
+def uniform(key: Column, seed: str | Column) -> Column:
     """Double in [0, 1): the first 13 hex digits of md5(seed, key) over 2**52."""
-    hexed = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")))), 1, 13)
+    hexed = F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(key.cast("string"), F.lit("")))), 1, 13)
     return F.conv(hexed, 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
@@ -54,34 +61,52 @@ def rates(docs: DataFrame, size: Column, source: str = "source", weights: dict[s
     weight = F.when((F.col("size") > 0) & (total_raw > 0), F.col("raw") / total_raw).otherwise(F.lit(0.0))
     rate = F.when(F.col("size") > 0, F.lit(float(epochs)) * total * F.col("weight") / F.col("size")).otherwise(F.lit(float(epochs)))
     rated = sized.withColumn("weight", weight).withColumn("rate", rate)
-    checked = F.when(F.col("rate") > MAX_RATE, F.raise_error(F.lit(f"a rate above {MAX_RATE}")).cast("double")).otherwise(F.col("rate"))
-    return rated.select("source", "n_docs", "size", "weight", checked.alias("rate"))
+    return rated.select("source", "n_docs", "size", "weight", "rate")
 
 
-def with_cdf(rated: DataFrame) -> DataFrame:
-    """Adds ``cdf``: P(count <= k) for k = 0, 1, ... until beyond every uniform number."""
-    last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
-    steps = F.sequence(F.lit(1), last)
-    # Running sums from the probability of 0: p(k) = p(k - 1) * rate / k.
-    start = F.struct(F.exp(-F.col("rate")).alias("p"), F.array(F.exp(-F.col("rate"))).alias("c"))
+def with_cdf(rated: DataFrame, most: float = MAX_RATE) -> DataFrame:
+    """Adds ``parts``, the number of draws; ``mean`` of each; and ``cdf``: P(count <= k) of
+    one draw for k = ``first``, first + 1, ... until beyond every uniform number."""
+    rated = rated.withColumn("parts", F.greatest(F.ceil(F.col("rate") / most), F.lit(1)).cast("int")).withColumn("mean", F.col("rate") / F.col("parts"))
+    mean, first = F.col("mean"), F.col("first")
+    width = 12 * F.sqrt(mean) + 40
+    rated = rated.withColumn("first", F.when(mean <= FROM_ZERO, 0).otherwise(F.floor(mean - width)).cast("int"))
+    # ln P(count = first) by Stirling's series, in differences that stay small.
+    gap = mean - first
+    stirling = F.log(2 * math.pi * first) / 2 + 1 / (12 * first) - 1 / (360 * F.pow(first, F.lit(3.0)))
+    p0 = F.when(first == 0, F.exp(-mean)).otherwise(F.exp(first * F.log1p(gap / first) - gap - stirling))
+    rated = rated.withColumn("p0", p0)
+    steps = F.sequence(first + 1, F.ceil(mean + width).cast("int"))
+    # Running sums from the first probability: p(k) = p(k - 1) * mean / k.
+    start = F.struct(F.col("p0").alias("p"), F.array(F.col("p0")).alias("c"))
     cdf = F.aggregate(
         steps,
         start,
-        lambda a, k: F.struct((a["p"] * F.col("rate") / k).alias("p"), F.concat(a["c"], F.array(F.element_at(a["c"], -1) + a["p"] * F.col("rate") / k)).alias("c")),
+        lambda a, k: F.struct((a["p"] * mean / k).alias("p"), F.concat(a["c"], F.array(F.element_at(a["c"], -1) + a["p"] * mean / k)).alias("c")),
         lambda a: a["c"],
     )
-    return rated.withColumn("cdf", cdf)
+    return rated.withColumn("cdf", cdf).drop("p0")
 
 
-def replicate(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "source", weights: dict[str | None, float] | None = None, epochs: float = 1.0, seed: str = "mix") -> tuple[DataFrame, str, str]:
+def replicate(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "source", weights: dict[str | None, float] | None = None, epochs: float = 1.0, seed: str = "mix", most: float = MAX_RATE) -> tuple[DataFrame, str, str]:
     """Every document as often as its count, in shuffled order; the names of the copy's
     number (from 0) and of the shuffle key (double, sorted within partitions)."""
     copy, order = fresh(docs.columns, "copy"), fresh(docs.columns, "shuffle_key")
-    table = with_cdf(rates(docs, size, source, weights, epochs)).select(F.col("source").alias("__mix_source"), F.col("cdf").alias("__mix_cdf"))
-    joined = docs.withColumn("__mix_u", uniform(F.col(key), seed)).join(table, F.col(source).eqNullSafe(F.col("__mix_source")), "left")
+    named = {"source": "__mix_source", "parts": "__mix_parts", "first": "__mix_first", "cdf": "__mix_cdf"}
+    table = with_cdf(rates(docs, size, source, weights, epochs), most).select(*[F.col(k).alias(v) for k, v in named.items()])
+    joined = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source")), "left")
+    seeds = F.transform(F.sequence(F.lit(1), F.col("__mix_parts")), lambda j: F.when(j == 1, F.lit(seed)).otherwise(F.concat(F.lit(seed + "-"), j.cast("string"))))
+    draws = F.transform(seeds, lambda s: uniform(F.col(key), s))
     # Inverse of the distribution: the number of k with P(count <= k) <= u.
-    count = F.size(F.filter(F.col("__mix_cdf"), lambda c: c <= F.col("__mix_u")))
-    counted = joined.withColumn("__mix_n", count).where("__mix_n > 0").drop("__mix_cdf", "__mix_u", "__mix_source")
-    copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1))).drop("__mix_n")
+    counts = F.transform(draws, lambda u: F.col("__mix_first").cast("long") + F.size(F.filter(F.col("__mix_cdf"), lambda c: c <= u)))
+    # Each draw's copies follow those of the draws before it.
+    none = F.lit(0).cast("long")
+    runs = F.aggregate(
+        counts,
+        F.array(F.struct(none.alias("a"), none.alias("b"))),
+        lambda r, n: F.concat(r, F.array(F.struct(F.element_at(r, -1)["b"].alias("a"), (F.element_at(r, -1)["b"] + n).alias("b")))),
+    )
+    run = joined.withColumn("__mix_run", F.explode(F.filter(runs, lambda r: r["b"] > r["a"]))).drop(*named.values())
+    copies = run.withColumn(copy, F.explode(F.sequence(F.col("__mix_run.a").cast("int"), F.col("__mix_run.b").cast("int") - 1))).drop("__mix_run")
     keyed = copies.withColumn(order, uniform(F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(copy).cast("string")), seed + "-order"))
     return keyed.repartition(F.col(order)).sortWithinPartitions(order, key, copy), copy, order

@@ -65,6 +65,28 @@ def test_mixing_reaches_its_weights(spark, docs):
     assert mixing.replicate(docs.limit(0), F.length("text"))[0].count() == 0
 
 
+def test_mixing_of_large_rates(spark):
+    import duckdb
+
+    from tessera.llm.sql import OP3
+
+    # One short document without a source among long ones: its rate is 887.
+    text = F.when(F.col("id") > 0, F.repeat(F.lit("x"), F.lit(40_000))).otherwise(F.lit("y"))
+    df = spark.range(60).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, F.concat(F.lit("s"), F.col("id") % 3)).alias("source"), text.alias("text"))
+    out, copy, order = mixing.replicate(df, F.length("text"))
+    got = sorted((r[0], str(r[1]), *r[2:]) for r in out.select("doc_id", "source", F.length("text"), copy, order).collect())
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert got == sorted((r[0], str(r[1]), *r[2:]) for r in con.execute(OP3).fetchall())
+    # Split into draws of a mean of at most 50.
+    split, copy, _ = mixing.replicate(df, F.length("text"), most=50.0)
+    copies = sorted(r[0] for r in split.where("doc_id = 0").select(copy).collect())
+    assert copies == list(range(len(copies))) and abs(len(copies) - 887) < 150
+    many = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("a").alias("text"))
+    n = [r["count"] for r in mixing.replicate(many, F.length("text"), epochs=120.0, most=50.0)[0].groupBy("doc_id").count().collect()]
+    assert abs(np.mean(n) - 120) < 4 and 80 < np.var(n) < 170
+
+
 def test_chat_round_trip(spark):
     odd = ["<|im_end|>", "<\\|x", "<\\\\|", "<", "|", "", "é\n<|im_start|>user\n", "a" * 300_000]
     for t in odd:
