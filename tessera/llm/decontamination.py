@@ -7,9 +7,11 @@ question whose numbers or names were replaced still meets its original. Windows
 fewer than ``MIN_LITERALS`` plain words say too little and are no keys.
 
 Matches of a document and an item are collected by alignment (document position minus
-item position). An alignment counts if its slots are consistent: each value that fills
-slots of the item is replaced by one value throughout. The document is contaminated by
-the item if consistent alignments cover at least ``coverage`` of the item's windows.
+item position). A window whose slots are verbatim always counts. One with replaced slots
+counts if they are consistent: each value of the item is replaced by the value that takes
+its place at most positions of the alignment (of equally many: itself, else the one that
+comes first). The document is contaminated by the item if the windows that count cover at
+least ``coverage`` of the item's windows.
 
 The documents' windows pass a fixed-size Bloom filter of the benchmark's windows before
 the join, so only likely matches leave the scan; the joins have no hint. Windows that many
@@ -29,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -181,10 +184,36 @@ def rarest(keys: DataFrame, coverage: float) -> DataFrame:
     return ranked.where(F.col("at") <= F.col("all") - needed + 1).select(F.col("id").alias("item_id"), "h", "width").distinct()
 
 
+def consistent(at: list[int], item: list[list[int]], own: list[list[int]]) -> tuple[list[int], bool]:
+    """Item positions of an alignment's windows that count, and whether any of them has
+    replaced slots. ``item`` and ``own`` hold the slots of each window (0: a plain word)."""
+    pairs = {(p + j, b, d) for p, bs, ds in zip(at, item, own) for j, (b, d) in enumerate(zip(bs, ds)) if b}
+    votes: dict[tuple[int, int], list[int]] = {}
+    for p, b, d in pairs:
+        vote = votes.setdefault((b, d), [0, p])
+        vote[0], vote[1] = vote[0] + 1, min(vote[1], p)
+    chosen: dict[int, tuple] = {}
+    for (b, d), (times, first) in votes.items():
+        chosen[b] = max(chosen.get(b, (0,)), (times, b == d, -first, d))
+    kept, swapped = [], False
+    for p, bs, ds in zip(at, item, own):
+        replaced = any(b != d for b, d in zip(bs, ds))
+        if not replaced or all(not b or chosen[b][3] == d for b, d in zip(bs, ds)):
+            kept.append(int(p))
+            swapped |= replaced
+    return kept, swapped
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", coverage: float = COVERAGE) -> DataFrame:
     """One row for each contaminated document and item: doc_id, item_id, matched, windows,
     coverage, and whether slots were replaced (``reparameterised``)."""
     bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("at array<long>, swapped boolean")
+    def counting(at: pd.Series, item: pd.Series, own: pd.Series) -> pd.DataFrame:
+        found = [consistent(a.tolist(), [s.tolist() for s in b], [s.tolist() for s in d]) for a, b, d in zip(at, item, own)]
+        return pd.DataFrame(found, columns=["at", "swapped"])
+
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").alias("text"))
     keys = written(window_rows(items, None, None).dropDuplicates(["id", "pos", "h", "width"]), "benchmark-windows")
     widths = sorted(r[0] for r in keys.select("width").distinct().collect())  # at most WINDOW values
@@ -193,10 +222,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     total = keys.groupBy("id").agg(F.count_distinct("pos").alias("windows"))
     right = keys.join(total, "id").select("h", "width", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "windows")
     pairs = left.select("id", "h", "width").join(rarest(keys.join(total, "id"), coverage), ["h", "width"]).select(F.col("id").alias("own"), "item_id").distinct()
-    met = left.join(pairs, F.col("id").eqNullSafe(F.col("own"))).join(right, ["item_id", "h", "width"]).select("id", "item_id", "windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")).alias("z"))
-    aligned = met.groupBy("id", "item_id", "windows", "shift").agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(F.filter("z", lambda s: s["b"] != 0)))).alias("pairs"))
-    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda s: s["b"])))
-    swapped = F.exists("pairs", lambda s: s["b"] != s["d"])
-    found = aligned.where(consistent).groupBy("id", "item_id", "windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max(swapped).alias("reparameterised"))
+    met = left.join(pairs, F.col("id").eqNullSafe(F.col("own"))).join(right, ["item_id", "h", "width"])
+    met = met.select("id", "item_id", "windows", (F.col("pos") - F.col("item_pos")).alias("shift"), F.struct("item_pos", "item_slots", "slots").alias("w"))
+    aligned = met.groupBy("id", "item_id", "windows", "shift").agg(F.collect_set("w").alias("w"))
+    # Most alignments are verbatim throughout, and all their windows count.
+    swapped = F.exists("w", lambda w: w["item_slots"] != w["slots"])
+    verbatim = aligned.where(~swapped).select("id", "item_id", "windows", F.col("w.item_pos").alias("at"), F.lit(False).alias("swapped"))
+    replaced = aligned.where(swapped).withColumn("c", counting("w.item_pos", "w.item_slots", "w.slots"))
+    counted = verbatim.unionByName(replaced.select("id", "item_id", "windows", F.col("c.at").alias("at"), F.col("c.swapped").alias("swapped")))
+    found = counted.groupBy("id", "item_id", "windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max("swapped").alias("reparameterised"))
     share = F.col("matched") / F.col("windows")
     return found.where(share >= coverage).select(F.col("id").alias("doc_id"), "item_id", "matched", "windows", share.alias("coverage"), "reparameterised")

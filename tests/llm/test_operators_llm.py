@@ -264,6 +264,19 @@ def test_decontamination_of_items_with_one_prompt(spark):
     assert {(r.doc_id, r.item_id) for r in loose} == set(want)
 
 
+def test_decontamination_judges_slots_by_window(spark):
+    item = "Mary bought 12 apples for 3 dollars and then Mary sold half of them to her friend for 5 dollars each day while Mary slept"
+    once = item.replace("Mary", "Anna", 1)
+    most = item.replace("Mary", "Anna").replace("while Anna", "while Susan")
+    df = spark.createDataFrame([(1, once), (2, most), (3, item)], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontamination.contaminated(df, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    n = got[3].windows
+    # All but the one window that holds the replaced name; all but the two that hold Susan.
+    assert (got[1].matched, got[1].reparameterised) == (n - 1, False)
+    assert (got[2].matched, got[2].reparameterised) == (n - 2, True)
+    assert (got[3].matched, got[3].reparameterised) == (n, False)
+
+
 def test_revisits(spark):
     def h(*lines):
         return "\r\n".join(("HTTP/1.1 200 OK", *lines))
