@@ -4,7 +4,8 @@ Texts become canonical tokens: numbers, names (words that begin with a capital)
 turn into typed placeholders, other words count in lower case. Windows of ``WINDOW``
 canonical tokens of the benchmark are hash-joined with those of the documents, so a
 question whose numbers or names were replaced still meets its original. Windows with
-fewer than ``MIN_LITERALS`` plain words say too little and are no keys.
+fewer than ``MIN_LITERALS`` plain words say too little for that: their keys hold the slots'
+values too, so they only match verbatim (case apart).
 
 Matches of a document and an item are collected by alignment (document position minus
 item position). A window whose slots are verbatim always counts. One with replaced slots
@@ -21,8 +22,8 @@ so pairs are found on that many of each item's rarest windows, and only those pa
 then matched on all windows.
 
 Defined cases: null and empty texts have no windows; an item shorter than a window is one
-window of its own length; an item without a usable window matches nothing; repeated items
-and repeated rows count once each by id; rows with a null id are reported under the null
+window of its own length, and an item of a single token matches each text that has it;
+repeated items and repeated rows count once each by id; rows with a null id are reported under the null
 id. Only ids and texts are read. Whole texts are read.
 """
 
@@ -104,7 +105,8 @@ def canonical(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.nda
 
 
 def windows(canon: np.ndarray, slots: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and number of plain words of every window."""
+    """Hash and number of plain words of every window; the hash is that of the template,
+    or with few plain words that of the tokens with their slots' values."""
     n = len(canon) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -112,7 +114,13 @@ def windows(canon: np.ndarray, slots: np.ndarray, width: int) -> tuple[np.ndarra
     for j in range(width):
         h = mix(h * np.uint64(0xFF51AFD7ED558CCD) + canon[j : n + j])
     count = np.append(0, np.cumsum(slots == 0))
-    return h, count[width:] - count[:-width]
+    literals = count[width:] - count[:-width]
+    few = np.flatnonzero(literals < min(MIN_LITERALS, width))
+    exact = np.full(len(few), ~np.uint64(width))
+    for j in range(width):
+        exact = mix(exact * np.uint64(0xFF51AFD7ED558CCD) + canon[few + j] + slots[few + j])
+    h[few] = exact
+    return h, literals
 
 
 def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,10 +153,10 @@ def window_rows(texts: DataFrame, bloom: np.ndarray | None, widths: list[int] |
             for i, canon, slots in canonical(batch.column(1).to_pylist()):
                 for width in widths or [min(WINDOW, max(len(canon), 1))]:
                     h, literals = windows(canon, slots, width)
-                    keep = literals >= min(MIN_LITERALS, width)
+                    keep = np.ones(len(h), bool)
                     if flat is not None and len(h):
                         x, y = _bits(h)
-                        keep &= flat[x] & flat[y]
+                        keep = flat[x] & flat[y]
                     for p in np.flatnonzero(keep):
                         for column, value in zip(out, (ids[i], p, h[p], slots[p : p + width], literals[p], width)):
                             column.append(value)
@@ -225,11 +233,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     met = left.join(pairs, F.col("id").eqNullSafe(F.col("own"))).join(right, ["item_id", "h", "width"])
     met = met.select("id", "item_id", "windows", (F.col("pos") - F.col("item_pos")).alias("shift"), F.struct("item_pos", "item_slots", "slots").alias("w"))
     aligned = met.groupBy("id", "item_id", "windows", "shift").agg(F.collect_set("w").alias("w"))
-    # Most alignments are verbatim throughout, and all their windows count.
+    # Most alignments are verbatim throughout: all their windows count, and Python sees none.
     swapped = F.exists("w", lambda w: w["item_slots"] != w["slots"])
-    verbatim = aligned.where(~swapped).select("id", "item_id", "windows", F.col("w.item_pos").alias("at"), F.lit(False).alias("swapped"))
-    replaced = aligned.where(swapped).withColumn("c", counting("w.item_pos", "w.item_slots", "w.slots"))
-    counted = verbatim.unionByName(replaced.select("id", "item_id", "windows", F.col("c.at").alias("at"), F.col("c.swapped").alias("swapped")))
+    judged = aligned.withColumn("some", swapped).withColumn("judge", F.filter("w", lambda w: F.col("some")))
+    judged = judged.withColumn("c", counting("judge.item_pos", "judge.item_slots", "judge.slots"))
+    counted = judged.select("id", "item_id", "windows", F.when(F.col("some"), F.col("c.at")).otherwise(F.col("w.item_pos")).alias("at"), F.col("c.swapped").alias("swapped"))
     found = counted.groupBy("id", "item_id", "windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max("swapped").alias("reparameterised"))
     share = F.col("matched") / F.col("windows")
     return found.where(share >= coverage).select(F.col("id").alias("doc_id"), "item_id", "matched", "windows", share.alias("coverage"), "reparameterised")

@@ -277,6 +277,15 @@ def test_decontamination_judges_slots_by_window(spark):
     assert (got[3].matched, got[3].reparameterised) == (n, False)
 
 
+def test_decontamination_of_items_with_few_words(spark):
+    items = ["What is 15 + 27 - 8 * 3?", "Anna Bob Carl Dora Emil Frank Gina Hugo Ida Jack", "7 apples", "1 2 3 4 5 6 7 8 9 10 11 12 a note on the days of rain here"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, f"so {t} end") for i, t in enumerate(items)] + [(10, "what is 15 + 27 - 8 * 4?"), (11, "Anna Bob Carl Dora Emma Frank Gina Hugo Ida Jack"), (12, "8 apples"), (13, "it is a note on the days of rain here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontamination.contaminated(df, bench).collect()}
+    assert got == {(i, i): 1.0 for i in range(4)}
+
+
 def test_revisits(spark):
     def h(*lines):
         return "\r\n".join(("HTTP/1.1 200 OK", *lines))
