@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontamination, jaccard_join, language_id, mixing, toxicity
-from tessera.llm.common import load, written
+from tessera.llm.common import fresh, load, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +37,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, verbatim or with replaced slots."""
-    hits = decontamination.contaminated(docs, load(spark, sf_dir, "benchmark"))
-    going = hits.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(going, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item, verbatim or with replaced slots. Rows without
+    an id are judged one by one, under a hash of their text."""
+    benchmark, key = load(spark, sf_dir, "benchmark"), fresh(docs.columns, "text_key")
+    named, bare = docs.where(F.col("doc_id").isNotNull()), docs.where(F.col("doc_id").isNull()).withColumn(key, F.xxhash64("text"))
+    going = decontamination.contaminated(named, benchmark).select("doc_id").distinct()
+    gone = decontamination.contaminated(bare, benchmark, doc_id=key).select(F.col("doc_id").alias(key)).distinct()
+    kept = named.join(going, "doc_id", "left_anti").select(*docs.columns)
+    return kept.unionByName(bare.join(gone, key, "left_anti").select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

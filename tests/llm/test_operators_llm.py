@@ -331,3 +331,18 @@ def test_pipeline_keeps_clean_documents(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
     assert sorted(r.doc_id for r in P.decontaminate(spark, docs, SF).collect()) == [1, 2, 3, 4]
     assert 3 not in [r.doc_id for r in P.identify_language(spark, docs, SF).collect()]
+
+
+def test_pipeline_judges_rows_without_an_id(spark):
+    import corpus_pipeline as P
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    clean = "nothing of the kind is here at all today or any day"
+    half = item.split()[: len(item.split()) // 2 - 1]
+    rest = item.split()[len(item.split()) // 2 - 1 :][: len(half)]
+    rows = [(None, f"so {item} end"), (None, clean), (1, f"so {item} end"), (2, clean), (None, None), (None, clean + " too"), (None, " ".join(half)[:40]), (None, " ".join(rest)[:40])]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, text_key string")
+    kept = P.decontaminate(spark, docs, SF)
+    assert kept.columns == docs.columns
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted((r for r in rows if item not in (r[1] or "")), key=key)
