@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontamination, html_extract, jaccard_join, language_id, mixing, nearest, periodic_runs, revisits, sql, token_counts, toxicity
+from tessera.llm import chat, decontamination, html_extract, jaccard_join, language_id, lexical_search, mixing, nearest, periodic_runs, revisits, sql, token_counts, toxicity
 from tessera.llm.common import held_out, load
 
 
@@ -63,6 +63,10 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.select("record_id", "url", "outcome", "response_id", "headers", F.length("payload").cast("long").alias("payload_chars"), F.md5("payload").alias("payload_md5"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=50)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.planted(load(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.find_runs(docs, min_length=24, min_copies=3))
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_revisits": op10_revisits,
+    "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -86,4 +91,5 @@ SQL = {
     "op3_source_mixing": sql.OP3,
     "op4_chat_format": sql.OP4,
     "op10_revisits": sql.OP10,
+    "op12_lexical_search": sql.OP12,
 }

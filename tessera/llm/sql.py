@@ -77,3 +77,31 @@ SELECT 'rev-' || pid AS record_id, cu AS url, outcome,
        CASE WHEN outcome = 'resolved' THEN md5(fhtml) END AS payload_md5
 FROM joined
 """
+
+OP12 = r"""
+WITH terms AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), lengths AS (
+  SELECT row_id, doc_id, count(*) AS n FROM terms GROUP BY ALL
+), totals AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM lengths
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), counts AS (
+  SELECT row_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+), impacts AS (
+  SELECT c.row_id, l.doc_id, c.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))) AS part
+  FROM counts c JOIN lengths l USING (row_id) JOIN weights USING (term), totals
+), scores AS (
+  SELECT item_id, row_id, doc_id, sum(part)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
