@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontamination, html_extract, jaccard_join, language_id, lexical_search, mixing, nearest, periodic_runs, revisits, sql, token_counts, toxicity
+from tessera.llm import chat, decontamination, html_extract, jaccard_join, language_id, lexical_search, mixing, nearest, packing, periodic_runs, revisits, sql, token_counts, toxicity
 from tessera.llm.common import held_out, load
 
 
@@ -63,6 +63,12 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.select("record_id", "url", "outcome", "response_id", "headers", F.length("payload").cast("long").alias("payload_chars"), F.md5("payload").alias("payload_md5"))
 
 
+def op11_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(packing.pieces(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048), 2048)
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=50)
 
@@ -83,6 +89,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_revisits": op10_revisits,
+    "op11_bestfit_packing": op11_bestfit_packing,
     "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
