@@ -25,21 +25,24 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 
 # ------------------------------------------------------------------ A18 / E8
-def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
-    """ROC AUC with ties counted half: one row ``auc, n_pos, n_neg``.
+def auc_exact(df: DataFrame, label_col: str, score_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """ROC AUC with ties counted half: one row ``auc, n_pos, n_neg`` (one a group, behind the
+    group's columns, all from one running sum).
 
     ``sum over scores s of pos(s) * (neg(< s) + neg(s)/2) / (P * N)``; NULL when one
     class is missing. Rows without a score or a label take no part.
     """
+    groups = list(group_cols)
     df = df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
-    per_score = df.groupBy(F.col(score_col).alias("s")).agg(
+    per_score = df.groupBy(*groups, F.col(score_col).alias("s")).agg(
         F.sum((F.col(label_col) == 1).cast("bigint")).alias("pos"),
         F.sum((F.col(label_col) != 1).cast("bigint")).alias("neg"),
     )
-    cum = running_sums(per_score, ["s"], {"cum_neg": F.col("neg")})
-    terms = cum.select((F.col("pos").cast("double") * ((F.col("cum_neg") - F.col("neg")) + F.col("neg") / 2.0)).alias("t"), "pos", "neg")
-    tot = terms.agg(F.sum("t").alias("t"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    cum = running_sums(per_score, ["s"], {"cum_neg": F.col("neg")}, group_cols=groups)
+    terms = cum.select(*groups, (F.col("pos").cast("double") * ((F.col("cum_neg") - F.col("neg")) + F.col("neg") / 2.0)).alias("t"), "pos", "neg")
+    tot = terms.groupBy(*groups).agg(F.sum("t").alias("t"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     return tot.select(
+        *groups,
         F.try_divide(F.col("t"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double")).alias("auc"),
         "n_pos",
         "n_neg",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars as S
 from tessera.functions.geohash import with_geohash
 from tessera.operators import blend as E
+from tessera.operators import boosting as X
 from tessera.operators import model as M
 from tessera.operators import tabular as T
 from tessera.operators.cumulative import with_position
@@ -458,22 +459,32 @@ def density_smooth(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ model (rows-only check)
-GBT_FEATURES = ["o_totalprice", "priority", "order_year", "cust_bucket"]
+GBT_FEATURES = ["o_totalprice", "priority", "order_year", "cust_bucket", "constant"]
 
 
-GBT_PARAMS = M.gbt_params(leaves=16, min_rows=20, rounds=50, learning_rate=0.1)
+GBT_PARAMS = M.gbt_params(leaves=16, min_rows=20, rounds=20, learning_rate=0.2, feature_share=1.0)
 N_FOLDS = 5
+#: A model has learnt if its AUC is above that of its best single number by this much.
+GAIN = 0.1
 
 
 def _order_features(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    return o.select(
+    """Features of every order, and a label that they explain except for a tenth of the
+    orders, where it is turned round: a set of priorities, or both a late year and a customer
+    number divisible by seven. ``constant`` says nothing."""
+    bucket, year = F.pmod("o_custkey", F.lit(100)), F.year("o_orderdate")
+    priority = F.substring("o_orderpriority", 1, 1)
+    signal = 2 * priority.isin("1", "4").cast("int") + (year >= 1998).cast("int") + (bucket % 7 == 0).cast("int")
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey",
+        "o_custkey",
         "o_totalprice",
-        F.substring("o_orderpriority", 1, 1).try_cast("double").alias("priority"),
-        F.year("o_orderdate").cast("double").alias("order_year"),
-        F.pmod("o_custkey", F.lit(100)).cast("double").alias("cust_bucket"),
-        (F.col("o_orderstatus") == "F").cast("double").alias("label"),
+        priority.try_cast("double").alias("priority"),
+        priority.alias("priority_code"),
+        year.cast("double").alias("order_year"),
+        bucket.cast("double").alias("cust_bucket"),
+        F.lit(1.0).alias("constant"),
+        ((signal >= 2) != (S.hash_unit("o_orderkey", 33) < 0.1)).cast("double").alias("label"),
     )
 
 
@@ -481,16 +492,82 @@ def _in_range(name):
     return F.coalesce(F.col(name).between(0.0, 1.0), F.lit(False))
 
 
+def _learnt(scored, by="order_year"):
+    """The AUC of one feature over the rows, and whether that of ``score`` is well above it."""
+    single, model = auc(scored, "label", by).select("auc").scalar(), auc(scored, "label", "score").select("auc").scalar()
+    return r6(single).alias("feature_auc"), (model > single + F.lit(GAIN)).alias("beats_feature")
+
+
 @register("train_score_gbt")
 def train_score_gbt(spark, sf_dir):
     """Hold-out split, boosted trees with early stopping on an inner validation
     share (``validationIndicatorCol``), scores for the held-out rows. The scores are the
-    learner's own, so the query returns their ids and whether each is a probability."""
+    learner's own, so the query returns the ids, whether each is a probability, and whether
+    they rank the rows better than a feature does."""
     data = written(_order_features(spark, sf_dir), "order-features")
     train, valid = T.holdout_split(data, "o_orderkey", 0.2, seed=15)
     train = train.withColumn("is_valid", S.hash_unit("o_orderkey", 21) < F.lit(0.1))
     fitted = M.train(train, GBT_FEATURES, "label", GBT_PARAMS, validation_col="is_valid")
-    return M.score(fitted, valid, "o_orderkey").select("o_orderkey", _in_range("score").alias("score_in_range"))
+    scored = written(M.score(fitted, valid, "o_orderkey").join(valid.select("o_orderkey", "label", "order_year"), "o_orderkey"), "scored")
+    return scored.select("o_orderkey", "label", _in_range("score").alias("score_in_range"), *_learnt(scored))
+
+
+def _gappy_features(spark, sf_dir):
+    """The order features with missing prices, as NULL or NaN, where the label needs them to be
+    known as missing."""
+    gap = F.when(F.col("o_custkey") % 2 == 0, F.lit(float("nan")))
+    missing = F.col("cust_bucket") % 7 == 0
+    return _order_features(spark, sf_dir).withColumn("price", F.when(missing, gap).otherwise(F.col("o_totalprice")))
+
+
+PATIENCE = {"params": GBT_PARAMS, "patience": 3, "max_rounds": 24, "block": 6}
+NUMBERS, CODES = ["price", "order_year", "constant"], ["priority_code"]
+
+
+@register("train_patience")
+def train_patience(spark, sf_dir):
+    """E9/E10 with patience: categories as nominal attributes, missing numbers marked, rounds
+    until the held-out loss has not fallen for a while, scores at the best round."""
+    data = written(_gappy_features(spark, sf_dir), "gappy-features")
+    train, valid = T.holdout_split(data, "o_orderkey", 0.2, seed=15)
+    fitted = X.fit(train, valid, "label", NUMBERS, CODES, **PATIENCE)
+    scored = written(X.score(fitted, valid, "o_orderkey", "label", "order_year"), "scored")
+    waited = fitted.rounds >= min(fitted.best_round + PATIENCE["patience"], PATIENCE["max_rounds"])
+    best = fitted.losses[fitted.best_round - 1] == min(fitted.losses[: fitted.best_round + PATIENCE["patience"]])
+    trees = fitted.model.stages[-1].getNumTrees == fitted.best_round
+    return scored.select("o_orderkey", "label", _in_range("score").alias("score_in_range"), F.lit(waited and best and trees).alias("best_prefix"), *_learnt(scored))
+
+
+def _split_counts(spark, sf_dir, folds=range(2)):
+    data = T.hashed_folds(_gappy_features(spark, sf_dir), "o_orderkey", 2, seed=15)
+    return X.folds_with_patience(data, "label", "o_orderkey", "fold", folds, NUMBERS, CODES, **PATIENCE)
+
+
+@register("split_count_report")
+def split_count_report(spark, sf_dir):
+    """E12 as the original counts: splits a feature over the fitted trees of each fold, the
+    top features, their shares. Returns whether the counts are those of the trees' inner
+    nodes, the shares make up 100, and which feature leads and which is never used."""
+    _, imps, fits = _split_counts(spark, sf_dir)
+    imps = written(X.top_shares(imps), "split-counts")
+    inner = sum(X.nodes(f).where("splits").count() for f in fits.values())
+    whole = imps.agg(F.sum("importance")).scalar() == F.lit(float(inner))
+    shares = F.abs(imps.agg(F.sum("share")).scalar() - F.lit(100.0)) < 1e-6
+    per = imps.groupBy("feature").agg(F.avg("importance").alias("mean"), F.count(F.lit(1)).alias("n_runs"))
+    return per.select("feature", "n_runs", whole.alias("counts_inner_nodes"), shares.alias("shares_complete"), (F.col("mean") == 0).alias("is_unused"))
+
+
+@register("keep_list_refit")
+def keep_list_refit(spark, sf_dir):
+    """E12 -> E9: the features above a cut of split counts in one fold are the feature list of
+    the next fit."""
+    _, imps, _ = _split_counts(spark, sf_dir, folds=[1])
+    kept = X.keep_list(imps, fold=1, least=0)
+    data = written(T.hashed_folds(_gappy_features(spark, sf_dir), "o_orderkey", 2, seed=15), "refit")
+    held = data.where("fold = 1")
+    fitted = X.fit(data.where("fold != 1"), held, "label", [c for c in NUMBERS if c in kept], [c for c in CODES if c in kept], **PATIENCE)
+    scored = written(X.score(fitted, held, "o_orderkey", "label", "order_year"), "scored")
+    return scored.select("o_orderkey", F.lit(",".join(kept)).alias("kept"), _in_range("score").alias("score_in_range"), *_learnt(scored))
 
 
 # ------------------------------------------------------------------ streaming (batch-equivalent SQL)
@@ -523,21 +600,27 @@ def _out_of_fold(spark, sf_dir):
 
 @register("oof_predictions")
 def oof_predictions(spark, sf_dir):
-    """Out-of-fold scores of all folds, one row per order."""
-    preds, _ = _out_of_fold(spark, sf_dir)
-    return preds.select("o_orderkey", "fold", "label", _in_range("score").alias("score_in_range"))
+    """Out-of-fold scores of all folds, one row per order, and whether the rounded scores
+    are right more often than the commoner label would be."""
+    preds = written(_out_of_fold(spark, sf_dir)[0], "oof")
+    ones = preds.agg(F.avg("label")).scalar()
+    right = preds.agg(F.avg(((F.col("score") > 0.5).cast("double") == F.col("label")).cast("double"))).scalar()
+    share = F.greatest(ones, F.lit(1.0) - ones)
+    return preds.select("o_orderkey", "fold", "label", _in_range("score").alias("score_in_range"), r6(share).alias("majority_share"), (right > share + F.lit(GAIN)).alias("beats_majority"))
 
 
 @register("gbt_importance_report")
 def gbt_importance_report(spark, sf_dir):
     """Per-fold importances -> mean per feature -> share of the total, all folds.
-    Returns the features with their number of fits and whether the shares make up 100."""
+    Returns the features with their number of fits, whether the shares make up 100, which
+    one leads and which is never used."""
     _, imps = _out_of_fold(spark, sf_dir)
     mean = imps.groupBy("feature").agg(F.avg("importance").alias("mean_importance"), F.count(F.lit(1)).alias("n_runs"))
     total = mean.agg(F.sum("mean_importance")).scalar()
     shares = mean.withColumn("share", F.lit(100.0) * F.col("mean_importance") / total)
-    whole = shares.agg(F.sum("share")).scalar()
-    return shares.select("feature", "n_runs", (F.col("share").between(0.0, 100.0) & (F.abs(whole - F.lit(100.0)) < 1e-6)).alias("shares_complete"))
+    whole, most = shares.agg(F.sum("share")).scalar(), shares.agg(F.max("share")).scalar()
+    complete = F.col("share").between(0.0, 100.0) & (F.abs(whole - F.lit(100.0)) < 1e-6)
+    return shares.select("feature", "n_runs", complete.alias("shares_complete"), (F.col("share") == most).alias("leads"), (F.col("share") == 0).alias("is_unused"))
 
 
 @register("tta_blend")
@@ -585,15 +668,14 @@ def stream_mail_edges(spark, sf_dir):
 
 @register("oof_auc_mean")
 def oof_auc_mean(spark, sf_dir):
-    """A18 + A19: exact AUC of each fold's out-of-fold predictions, then their mean; returns
-    the number of fits and whether the mean is an AUC."""
+    """A18 + A19: exact AUC of each fold's out-of-fold predictions (one grouped running sum),
+    then their mean; returns the number of fits, whether the mean is an AUC, and whether it is
+    above the mean AUC of a feature."""
     preds = written(_out_of_fold(spark, sf_dir)[0], "oof")
-    per_fold = None
-    for k in range(N_FOLDS):
-        a = auc(preds.where(F.col("fold") == k), "label", "score").select("auc")
-        per_fold = a if per_fold is None else per_fold.unionByName(a)
-    mean = per_fold.agg(F.avg("auc").alias("mean_auc"), F.count("auc").alias("n_runs"))
-    return mean.select("n_runs", _in_range("mean_auc").alias("mean_auc_in_range"))
+    years = preds.join(_order_features(spark, sf_dir).select("o_orderkey", "order_year"), "o_orderkey")
+    single = auc(years, "label", "order_year", group_cols=["fold"]).agg(F.avg("auc")).scalar()
+    mean = auc(preds, "label", "score", group_cols=["fold"]).agg(F.avg("auc").alias("mean_auc"), F.count("auc").alias("n_runs"))
+    return mean.select("n_runs", _in_range("mean_auc").alias("mean_auc_in_range"), r6(single).alias("mean_feature_auc"), (F.col("mean_auc") > single + F.lit(GAIN)).alias("beats_feature"))
 
 
 # ------------------------------------------------------------------ more inventory rows
@@ -716,5 +798,8 @@ def labelled_files(spark, sf_dir):
 def gbt_parameter_sets(spark, sf_dir):
     """Every named parameter set on one hashed test share; returns whether each got an
     exact AUC."""
-    out = M.compare_sets(_order_features(spark, sf_dir), GBT_FEATURES, "label", "o_orderkey")
-    return out.select("name", _in_range("auc").alias("auc_in_range"))
+    data = written(_order_features(spark, sf_dir), "order-features")
+    out = M.compare_sets(data, GBT_FEATURES, "label", "o_orderkey")
+    test = data.where(S.hash_unit("o_orderkey", 15) < 0.2)
+    single = auc(test, "label", "order_year").select("auc").scalar()
+    return out.select("name", _in_range("auc").alias("auc_in_range"), r6(single).alias("feature_auc"), (F.col("auc") > single + F.lit(GAIN)).alias("beats_feature"))

@@ -415,13 +415,35 @@ SQL["holdout_split"] = f"""SELECT o_orderkey, CASE WHEN {hash_bits('o_orderkey',
 SQL["sigmoid_scores"] = """WITH d AS (SELECT doc_id, 1.0 / (1.0 + exp(-(n_chars / CAST(1000 AS DOUBLE) - 3.0))) AS p FROM documents)
 SELECT doc_id, round(p, 6) AS p, CAST(p > 0.5 AS INTEGER) AS label FROM d"""
 
-# ------------------------------------------------------------------ model: what does not depend on the learner
-SQL["train_score_gbt"] = f"""SELECT o_orderkey, true AS score_in_range FROM orders WHERE {hash_bits('o_orderkey', 15)} / 4294967296.0 < 0.2"""
-SQL["oof_predictions"] = f"""SELECT o_orderkey, CAST({hash_bits('o_orderkey', 15)} % 5 AS INTEGER) AS fold, CAST(o_orderstatus = 'F' AS DOUBLE) AS label,
-       true AS score_in_range FROM orders"""
-SQL["gbt_importance_report"] = """SELECT f AS feature, CAST(5 AS BIGINT) AS n_runs, true AS shares_complete
-FROM unnest(['o_totalprice', 'priority', 'order_year', 'cust_bucket']) AS t(f)"""
-SQL["oof_auc_mean"] = "SELECT CAST(5 AS BIGINT) AS n_runs, true AS mean_auc_in_range"
+# ------------------------------------------------------------------ model: labels, bars to beat, what must not depend on the learner
+ORDER_FEATURES_CTE = f"""o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS DOUBLE) AS order_year,
+  CAST((2 * CAST(substr(o_orderpriority, 1, 1) IN ('1', '4') AS INTEGER) + CAST(year(o_orderdate) >= 1998 AS INTEGER)
+        + CAST((o_custkey % 100) % 7 = 0 AS INTEGER) >= 2) <> ({hash_bits('o_orderkey', 33)} / 4294967296.0 < 0.1) AS DOUBLE) AS label,
+  {hash_bits('o_orderkey', 15)} AS h FROM orders)"""
+HELD_CTE = f"""{ORDER_FEATURES_CTE}, held AS (SELECT * FROM o WHERE h / 4294967296.0 < 0.2)"""
+
+
+def feature_auc(rows: str, group: str = "0") -> str:
+    """CTE ``single (g, auc)``: the exact AUC of the order year, ties counted half."""
+    return f"""per AS (SELECT {group} AS g, order_year AS s, sum(label) AS pos, sum(1 - label) AS neg FROM {rows} GROUP BY ALL),
+cum AS (SELECT *, sum(neg) OVER (PARTITION BY g ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below FROM per),
+single AS (SELECT g, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM cum GROUP BY g)"""
+
+
+SQL["train_score_gbt"] = f"""WITH {HELD_CTE}, {feature_auc('held')}
+SELECT o_orderkey, label, true AS score_in_range, round(auc, 6) AS feature_auc, auc + 0.1 < 1 AS beats_feature FROM held, single"""
+SQL["train_patience"] = f"""WITH {HELD_CTE}, {feature_auc('held')}
+SELECT o_orderkey, label, true AS score_in_range, true AS best_prefix, round(auc, 6) AS feature_auc, auc + 0.1 < 1 AS beats_feature FROM held, single"""
+SQL["split_count_report"] = """SELECT f AS feature, CAST(2 AS BIGINT) AS n_runs, true AS counts_inner_nodes, true AS shares_complete, f = 'constant' AS is_unused
+FROM unnest(['price', 'order_year', 'constant', 'priority_code']) AS t(f)"""
+SQL["keep_list_refit"] = f"""WITH {ORDER_FEATURES_CTE}, fold AS (SELECT * FROM o WHERE h % 2 = 1), {feature_auc('fold')}
+SELECT o_orderkey, 'order_year,price,priority_code' AS kept, true AS score_in_range, round(auc, 6) AS feature_auc, auc + 0.1 < 1 AS beats_feature FROM fold, single"""
+SQL["oof_predictions"] = f"""WITH {ORDER_FEATURES_CTE}, s AS (SELECT greatest(avg(label), 1 - avg(label)) AS share FROM o)
+SELECT o_orderkey, CAST(h % 5 AS INTEGER) AS fold, label, true AS score_in_range, round(share, 6) AS majority_share, share + 0.1 < 1 AS beats_majority FROM o, s"""
+SQL["gbt_importance_report"] = """SELECT f AS feature, CAST(5 AS BIGINT) AS n_runs, true AS shares_complete, f = 'priority' AS leads, f = 'constant' AS is_unused
+FROM unnest(['o_totalprice', 'priority', 'order_year', 'cust_bucket', 'constant']) AS t(f)"""
+SQL["oof_auc_mean"] = f"""WITH {ORDER_FEATURES_CTE}, {feature_auc('o', 'h % 5')}
+SELECT count(*) AS n_runs, true AS mean_auc_in_range, round(avg(auc), 6) AS mean_feature_auc, avg(auc) + 0.1 < 1 AS beats_feature FROM single"""
 
 # ------------------------------------------------------------------ more inventory rows
 SQL["normalise_vectors"] = """WITH u AS (SELECT vec_id, unnest(range(len(embedding))) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
@@ -453,5 +475,6 @@ SQL["lookup_round_trip"] = "SELECT 'v' || CAST(o_orderkey AS VARCHAR) AS version
 SQL["template_round_trip"] = SQL["align_to_template"]
 SQL["archive_round_trip"] = SQL["text_lines_round_trip"]
 SQL["labelled_files"] = "SELECT 'train/' || d.doc_id || '.tif' AS path, l.quality AS label FROM documents d JOIN labels l USING (doc_id)"
-SQL["gbt_parameter_sets"] = """SELECT name, true AS auc_in_range
-FROM unnest(['holdout', 'importance', 'validation', 'many leaves', 'previous', 'old best', 'best']) AS t(name)"""
+SQL["gbt_parameter_sets"] = f"""WITH {HELD_CTE}, {feature_auc('held')}
+SELECT name, true AS auc_in_range, round(auc, 6) AS feature_auc, auc + 0.1 < 1 AS beats_feature
+FROM unnest(['holdout', 'importance', 'validation', 'many leaves', 'previous', 'old best', 'best']) AS t(name), single"""
