@@ -258,7 +258,7 @@ def fillings(counts: Counts, room: int, width: int) -> Iterator[Filling]:
                         stack.append((i + 1, left - n * sizes[i], (*chosen, (sizes[i], n)) if n else chosen))
 
 
-def complete(counts: Counts, capacity: int, nodes: int = 3000, width: int = 4, exact: int = 64) -> tuple[Plan, int]:
+def complete(counts: Counts, capacity: int, nodes: int = 8000, width: int = 4, exact: int = 64, fit_every: int = 2048) -> tuple[Plan, int]:
     """The best plan found and the lower bound of its sequences."""
     counts = {s: n for s, n in counts.items() if n}
     least, best = lower_bound(counts, capacity), best_fit(counts, capacity)
@@ -292,10 +292,11 @@ def complete(counts: Counts, capacity: int, nodes: int = 3000, width: int = 4, e
         if not after:
             fewest, best = used + many, list(path)
             continue
-        rest = best_fit(after, capacity)
-        total = used + many + sum(m for m, _ in rest)
-        if total < fewest:
-            fewest, best = total, [*path, *rest]
+        if visited % fit_every == 0 or len(after) <= 1 or sum(after.values()) <= exact:
+            rest = best_fit(after, capacity)
+            total = used + many + sum(m for m, _ in rest)
+            if total < fewest:
+                fewest, best = total, [*path, *rest]
         stack.append((after, used + many, branches(after)))
     return best, least
 
@@ -318,7 +319,7 @@ def slots(plan: Plan) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pack(cut: DataFrame, capacity: int, nodes: int = 3000) -> DataFrame:
+def pack(cut: DataFrame, capacity: int, nodes: int = 8000) -> DataFrame:
     """The rows of ``cut`` (see ``pieces``) with their sequence_id and offset, without task and
     number."""
     per_task = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
