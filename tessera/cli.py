@@ -5,6 +5,7 @@
   search   --docs PARQUET --host H --name N --out DIR [--from TS] [--to TS] [--analyzed] [--size N]
   copy     --docs PARQUET --run-date YYYY-MM-DD --host-today H [--host-yesterday H2]
            [--existing PARQUET] --out DIR
+  copy-table --source TABLE --target TABLE --run-date YYYY-MM-DD --host-today H [--host-yesterday H2]
   prepare  --train T.csv --test T.csv --out DIR [--lookup PARQUET]
   blend    A.csv B.csv ... --out DIR [--weights 0.7,0.3] [--gzip]
   train    --data PARQUET --features a,b,c --label y --id id --out DIR [--valid-share 0.2] [--seed 15]
@@ -61,6 +62,13 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--existing")
     c.add_argument("--out", required=True)
 
+    k = sub.add_parser("copy-table")
+    k.add_argument("--source", required=True, help="table with a folder a day (day=yyyy-mm-dd)")
+    k.add_argument("--target", required=True)
+    k.add_argument("--run-date", required=True)
+    k.add_argument("--host-today", required=True)
+    k.add_argument("--host-yesterday")
+
     r = sub.add_parser("prepare")
     r.add_argument("--train", required=True)
     r.add_argument("--test", required=True)
@@ -126,6 +134,11 @@ def main(argv: Sequence[str] | None = None) -> dict:
         new = logs.daily_copy(docs, args.run_date, args.host_today, args.host_yesterday or args.host_today, known)
         new.write.mode("append").parquet(target)
         result = {"target": target}
+    elif args.job == "copy-table":
+        from tessera.plans import logs
+
+        run = logs.copy_day(spark, args.source, args.target, args.run_date, args.host_today, args.host_yesterday or args.host_today)
+        result = {"target": args.target, "run": run}
     elif args.job == "prepare":
         from tessera.plans import features
 

@@ -224,7 +224,7 @@ def two_source_copy(spark, sf_dir):
         "day",
         "_seq",
     )
-    out = C.two_source_copy(keyed, host_today=COPY_HOST, host_yesterday=COPY_HOST)
+    out = C.two_source_copy(keyed, host_today=COPY_HOST, host_yesterday=COPY_HOST, row_id="_seq")
     return out.select("target_day", "_id", "priority", F.col("_seq").alias("event_id"), "day")
 
 
@@ -690,13 +690,27 @@ def normalise_vectors(spark, sf_dir):
 @register("daily_copy_run")
 def daily_copy_run(spark, sf_dir):
     """SRC9 + SC15 + U4: the copy of one run date, its two source days and its target name."""
-    out = C.daily_copy(D.log_docs(spark, sf_dir), RUN_DATE, COPY_HOST, COPY_HOST)
+    out = C.daily_copy(D.log_docs(spark, sf_dir), RUN_DATE, COPY_HOST, COPY_HOST, row_id="_seq")
     return out.select("target_day", "_id", "priority", F.col("_seq").alias("event_id"), "day", F.lit(C.target_name("copy", RUN_DATE)).alias("target"))
 
 
 RUN_DATE = "2024-01-02"
 
 
+@register("daily_copy_tables")
+def daily_copy_tables(spark, sf_dir):
+    """SRC9 + SNK7: source and target as tables with a folder a day; two run dates are copied,
+    each twice, and the target is read back."""
+    source, target = _new_folder(spark, "logs-by-day"), _new_folder(spark, "copies-by-day")
+    docs = D.log_docs(spark, sf_dir)
+    hour = F.concat(F.lit("u"), F.col("_seq").cast("string").substr(-1, 1), F.lit("-"), F.hour("@timestamp").cast("string"))
+    C.write_by_day(docs.withColumn("_id", hour), source)
+    for run_date in (RUN_DATE, RUN_DATE, "2024-01-03", "2024-01-03"):
+        C.copy_day(spark, source, target, run_date, COPY_HOST, COPY_HOST)
+    out = spark.read.parquet(target)
+    return out.select("target_day", "run", "_id", "priority", F.col("_seq").alias("event_id"), "day", "event_type")
+
+
 @register("preview_rows")
 def preview_rows(spark, sf_dir):
     """The first ten rows of a table, by id."""

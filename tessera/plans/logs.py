@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.joins import create_only
+from tessera.session import path_exists, written
 
 MESSAGE_SCHEMA = T.StructType(
     [
@@ -99,6 +100,7 @@ def two_source_copy(
     existing: DataFrame | None = None,
     day_col: str = "day",
     key: str = "_id",
+    row_id: str | None = None,
 ) -> DataFrame:
     """U4 + J5: for every target day T, copy source days T and T-1 (create only).
 
@@ -109,40 +111,32 @@ def two_source_copy(
     tie-breaker column ``_seq`` when present. Documents already in ``existing``
     (columns ``target_day``, ``_id``) are left untouched.
 
-    The winner is chosen with ``min(struct(...))`` — an aggregate with map-side
-    combine — so a hot id needs no single-task sort.
+    Offers are ranked without their payload: ``min(struct(...))`` of priority, time and row
+    id, an aggregate with map-side combine, so a hot id needs no single-task sort. One join
+    by row id then fetches the winners' other columns. ``row_id`` names a column that no two
+    documents share; without one the hosts' documents are numbered and written once.
     """
     # The hosts are filtered before the rows are doubled, so that the filter reaches the scan.
-    offers = docs.where(F.col("host").isin(sorted({host_today, host_yesterday}))).select(
-        "*",
+    rows = docs.where(F.col("host").isin(sorted({host_today, host_yesterday})))
+    if row_id is None:
+        rows, row_id = written(rows.withColumn("_row", F.monotonically_increasing_id()), "offered"), "_row"
+    tie = [F.col("_seq")] if "_seq" in docs.columns else []
+    offers = rows.select(
+        key,
         F.explode(
             F.array(
                 F.struct(F.col(day_col).alias("target_day"), F.lit(0).alias("priority"), (F.col("host") == F.lit(host_today)).alias("ok")),
                 F.struct(F.date_add(F.col(day_col), 1).alias("target_day"), F.lit(1).alias("priority"), (F.col("host") == F.lit(host_yesterday)).alias("ok")),
             )
         ).alias("_offer"),
+        F.struct(F.col("@timestamp").alias("ts"), *tie, F.col(row_id).alias("row")).alias("_at"),
     ).where(F.col("_offer.ok"))
-    payload_cols = [c for c in docs.columns if c != key]
-    tie = [F.col("_seq")] if "_seq" in docs.columns else []
-    ranked = offers.select(
-        F.col("_offer.target_day").alias("target_day"),
-        F.col(key),
-        F.struct(
-            F.col("_offer.priority").alias("priority"),
-            F.col("@timestamp").alias("_ts"),
-            *tie,
-            *[F.col(c).alias(f"p_{c}") for c in payload_cols],
-        ).alias("_rank"),
-    )
-    best = ranked.groupBy("target_day", key).agg(F.min("_rank").alias("_best"))
+    best = offers.groupBy(F.col("_offer.target_day").alias("target_day"), key).agg(F.min(F.struct("_offer.priority", "_at")).alias("_best"))
     if existing is not None:
         best = best.join(existing.select("target_day", key), on=["target_day", key], how="left_anti")
-    return best.select(
-        "target_day",
-        key,
-        F.col("_best.priority").alias("priority"),
-        *[F.col(f"_best.p_{c}").alias(c) for c in payload_cols],
-    )
+    winners = best.select("target_day", F.col("_best.priority").alias("priority"), F.col("_best._at.row").alias("_won"))
+    payload = [c for c in docs.columns if c != key]
+    return rows.join(winners, F.col(row_id) == F.col("_won")).select("target_day", key, "priority", *[F.col(f"`{c}`") for c in payload])
 
 
 def daily_copy(
@@ -153,6 +147,7 @@ def daily_copy(
     existing: DataFrame | None = None,
     day_col: str = "day",
     key: str = "_id",
+    row_id: str | None = None,
 ) -> DataFrame:
     """SRC9 + SC15 + U4: the copy for one run date (a parameter, never the wall clock).
 
@@ -161,10 +156,37 @@ def daily_copy(
     """
     d = F.to_date(F.lit(run_date))
     src = docs.where((F.col(day_col) == d) | (F.col(day_col) == F.date_sub(d, 1)))
-    out = two_source_copy(src, host_today, host_yesterday, existing, day_col, key)
+    out = two_source_copy(src, host_today, host_yesterday, existing, day_col, key, row_id)
     return out.where(F.col("target_day") == d)
 
 
+def write_by_day(docs: DataFrame, path: str, day_col: str = "day") -> None:
+    """The log documents as a table with a folder a day; days that ``docs`` holds are
+    replaced, others stay."""
+    docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
+
+
+def copy_day(spark: SparkSession, source: str, target: str, run_date: str, host_today: str, host_yesterday: str, key: str = "_id") -> int:
+    """SRC9 + SNK7 on tables: the copy of one run date between tables with a folder a day.
+
+    Reads two days of ``source`` and the run date's own folder of ``target``; what that holds
+    is never written again. New documents go to ``target_day=<run date>/run=<n>``, with n the
+    number of runs before that found any, as a dynamic partition overwrite: an attempt that
+    fails leaves nothing behind, one that is made again replaces itself, and a run after
+    a finished one adds nothing. Returns n."""
+    table = spark.read.parquet(source)
+    docs = table.withColumn("_row", F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    existing, run = None, 0
+    if path_exists(spark, target):
+        held = spark.read.parquet(target).where(F.col("target_day") == F.to_date(F.lit(run_date)))
+        run = held.agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
+        existing = held.select("target_day", key)
+    new = daily_copy(docs, run_date, host_today, host_yesterday, existing, key=key, row_id="_row").drop("_row")
+    out = new.withColumn("run", F.lit(run))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("target_day", "run").parquet(target)
+    return run
+
+
 def target_name(prefix: str, run_date: str) -> str:
     """SC15: dated target name ``prefix-yyyy.MM.dd`` for a run date ``yyyy-MM-dd``."""
     return f"{prefix}-{run_date.replace('-', '.')}"

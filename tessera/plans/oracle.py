@@ -455,6 +455,11 @@ offers AS (SELECT _id, 0 AS priority, event_id, day FROM docs WHERE host = 'web-
   UNION ALL SELECT _id, 1 AS priority, event_id, day FROM docs WHERE host = 'web-2' AND day = DATE '2024-01-01')
 SELECT DATE '2024-01-02' AS target_day, _id, priority, event_id, day, 'copy-2024.01.02' AS target FROM offers"""
 
+SQL["daily_copy_tables"] = SQL["two_source_copy"].replace("event_id, day FROM docs", "event_id, day, event_type FROM docs").replace(
+    "ts, event_id, day FROM keyed", "ts, event_id, day, event_type FROM keyed"
+).replace("SELECT target_day, _id, priority, event_id, day FROM ranked WHERE rn = 1", """SELECT target_day, 0 AS run, _id, priority, event_id, day, event_type FROM ranked
+WHERE rn = 1 AND target_day IN (DATE '2024-01-02', DATE '2024-01-03')""")
+
 SQL["importance_cuts"] = f"""WITH {IMP_CTE}
 SELECT count(*) AS n_rows, count(*) FILTER (fold = 1) AS n_fold, count(*) FILTER (fold = 1 AND importance > 44) AS n_kept FROM imp"""
 
