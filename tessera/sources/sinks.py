@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gzip
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +23,97 @@ def write_json_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def archive_raw(spark: SparkSession, src: str, archive_dir: str, run_date: str) -> str:
-    """SNK3: gzip copy of the raw input under ``<name>-processed-<yyyyMMdd>``.
+def _file_sizes(spark: SparkSession, src: str) -> dict[str, int]:
+    """Names and sizes of the files at or below a path (Spark's readers skip empty ones)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(src)
+    found, sizes = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), {}
+    while found.hasNext():
+        file = found.next()
+        name = file.getPath().getName()
+        if name[0] in "._":
+            continue
+        if name in sizes:
+            raise ValueError(f"files named {name} in several folders below {src}")
+        sizes[name] = file.getLen()
+    return sizes
+
 
-    ``run_date`` is a parameter (``yyyy-MM-dd``) so that reruns write the same place. Lines
-    end at ``\\n`` alone on both sides, so a ``\\r`` before it is kept; the last line gets a
-    ``\\n`` if it has none.
+#: Bytes of a gzip member; below 2^24, so that the member's last byte, the high byte of its
+#: length, is zero.
+MEMBER = 8 << 20
+
+
+def archive_raw(spark: SparkSession, src: str, archive_dir: str, run_date: str) -> str:
+    """SNK3: a gzip archive of each raw file, ``<file>-processed-<yyyyMMdd>.gz``, in the folder
+    ``<name>-processed-<yyyyMMdd>``; gunzip gives the file's bytes, whatever they are.
+
+    ``run_date`` is a parameter (``yyyy-MM-dd``) so that reruns write the same place. The
+    files are read in splits, as bytes between ``\\n``, and put in order by file, split and
+    line; a task then writes its files one after another, a member of at most 8 MB at a time.
+    A member ends in a zero byte, which is the line separator of Spark's text writer, so each
+    member is one line of the file. An empty file gives an empty archive. Files of one name
+    in several folders raise an error.
     """
-    name = src.rstrip("/").split("/")[-1]
-    stamp = run_date.replace("-", "")
+    name, stamp = src.rstrip("/").split("/")[-1], run_date.replace("-", "")
     target = f"{archive_dir.rstrip('/')}/{name}-processed-{stamp}"
-    lines = spark.read.option("lineSep", "\n").text(src)
-    lines.write.mode("overwrite").options(compression="gzip", lineSep="\n").text(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    sizes = _file_sizes(spark, src)
+    rows = spark.read.options(lineSep="\n", recursiveFileLookup=True).text(src)
+    named = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # Spark gives it as part of a URI
+    place = [named.alias("name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")]
+    lines = rows.select(*place, F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("bytes"))
+    ordered = lines.repartition("name").sortWithinPartitions("name", "block", "line")
+    most = MEMBER
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, size, seen, number = None, 0, 0, 0
+        held: list[bytes] = []
+        waiting = 0
+
+        def packed(data: bytes) -> pa.RecordBatch:
+            nonlocal number
+            number += 1
+            return pa.RecordBatch.from_pydict({"name": [file], "number": [number], "member": [gzip.compress(data, mtime=0)[:-1]]})
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            data = b"".join(held)
+            if last and seen == size + 1:  # the last line has no end
+                data = data[:-1]
+            for at in range(0, len(data), most):
+                yield packed(data[at : at + most])
+
+        for batch in batches:
+            for n, s, b in zip(batch.column("name").to_pylist(), batch.column("size").to_pylist(), batch.column("bytes").to_pylist()):
+                if n != file:
+                    if file is not None:
+                        yield from flush(True)
+                    file, size, seen, number, held, waiting = n, s, 0, 0, [], 0
+                if waiting >= most:
+                    yield from flush(False)
+                    held, waiting = [], 0
+                held.append(b + b"\n")
+                seen += len(b) + 1
+                waiting += len(b) + 1
+        if file is not None:
+            yield from flush(True)
+
+    stream = ordered.mapInArrow(members, "name string, number long, member binary")
+    nothing = gzip.compress(b"", mtime=0)[:-1]
+    empty = spark.createDataFrame([(n, 1, nothing) for n, size in sizes.items() if size == 0], "name string, number long, member binary")
+    staged = f"{target}/_members"
+    out = stream.unionByName(empty).sortWithinPartitions("name", "number").select("name", F.col("member").cast("string").alias("value"))
+    out.write.mode("overwrite").option("lineSep", "\0").partitionBy("name").text(staged)
+    for folder in fs.listStatus(path(staged)):  # names only: the driver moves no bytes
+        if not folder.isDirectory():
+            continue
+        file = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(folder.getPath().getName().removeprefix("name="))
+        archive = path(f"{target}/{file}-processed-{stamp}.gz")
+        (part,) = [p.getPath() for p in fs.listStatus(folder.getPath()) if p.getPath().getName().startswith("part-")]
+        fs.delete(archive, False)
+        if not fs.rename(part, archive):
+            raise OSError(f"{part} could not be moved to {archive}")
+    fs.delete(path(staged), True)
     return target
 
 
