@@ -14,6 +14,8 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,9 +162,30 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ A22
 def dimension_stats(df: DataFrame, vec_col: str) -> DataFrame:
-    """Mean and population std per position of an array column (``pos, mean, std``)."""
-    long = df.select(F.posexplode(vec_col).alias("pos", "x"))
-    return long.groupBy("pos").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    """Mean and population std per position of an array column (``pos, mean, std``), in one
+    mergeable buffer a task: ``Summarizer`` sums, for each vector, which positions it has, how
+    far they are from a pilot value and the squares of that. Vectors may be NULL, differ in
+    length or hold NULLs; a position without any value has neither mean nor std."""
+    vec = F.col(vec_col)
+    dim = df.agg(F.max(F.size(vec))).first()[0] or 0
+    if dim <= 0:
+        return df.sparkSession.createDataFrame([], "pos int, mean double, std double")
+    first = df.where(F.size(vec) == dim).select(vec).first()[0]  # one row: a pilot near the data keeps the squares small
+    pilot = F.array(*[F.lit(float(x) if x is not None and math.isfinite(x) else 0.0) for x in first])
+    place = F.sequence(F.lit(0), F.lit(dim - 1))
+    off = F.transform(place, lambda i: F.get(vec, i).cast("double") - F.get(F.col("_pilot"), i))
+    held = df.where(vec.isNotNull()).withColumn("_pilot", pilot).select(off.alias("off"))
+    parts = F.concat(
+        F.transform("off", lambda x: x.isNotNull().cast("double")),
+        F.transform("off", lambda x: F.coalesce(x, F.lit(0.0))),
+        F.transform("off", lambda x: F.coalesce(x * x, F.lit(0.0))),
+    )
+    total = held.select(Summarizer.metrics("sum").summary(array_to_vector(parts)).alias("s")).select(vector_to_array("s.sum").alias("t"))
+    rows = total.withColumn("_pilot", pilot).select("t", "_pilot", F.explode(place).alias("pos"))  # one row a position
+    n, x, xx = (F.get("t", F.col("pos") + F.lit(k * dim)) for k in range(3))
+    mean = F.try_divide(x, n)
+    spread = F.try_divide(xx, n) - mean * mean
+    return rows.select("pos", (F.get("_pilot", F.col("pos")) + mean).alias("mean"), F.sqrt(F.when(spread < 0, F.lit(0.0)).otherwise(spread)).alias("std"))
 
 
 def normalise(df: DataFrame, vec_col: str, stats: DataFrame, out_col: str = "normalised") -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
 from tessera.functions import scalars as S
 from tessera.functions.geohash import with_geohash
@@ -22,7 +23,7 @@ from tessera.operators import tabular as T
 from tessera.operators.cumulative import with_position
 from tessera.operators.joins import align_to_template as align
 from tessera.operators.joins import enrich_with_default as enrich_default
-from tessera.operators.joins import keep_keys_in, label_files
+from tessera.operators.joins import drop_checked, keep_keys_in, label_files
 from tessera.operators.metrics import accuracy, correlation_matrix, describe, dimension_stats, histogram, normalise
 from tessera.operators.metrics import auc_exact as auc
 from tessera.operators.metrics import density_grid as grid
@@ -149,7 +150,10 @@ def _mail_records(spark, sf_dir):
 
 @register("mail_parse")
 def mail_parse(spark, sf_dir):
-    r = _mail_records(spark, sf_dir)
+    return _mail_columns(_mail_records(spark, sf_dir))
+
+
+def _mail_columns(r):
     return r.select(
         "timestamp_iso",
         "`message identifier`",
@@ -719,9 +723,91 @@ def preview_rows(spark, sf_dir):
 
 @register("prepared_columns")
 def prepared_columns(spark, sf_dir):
-    """E2 + P7: the features of every row, rejected ones with default values."""
-    every = T.with_reject_defaults(_version_features(spark, sf_dir))
-    return every.select("p_partkey", *[c for c in FEATURE_COLUMNS if c != "fifth"])
+    """E2 + P7: the features of every row, rejected ones with default values, by type."""
+    every = T.with_reject_defaults(_version_features(spark, sf_dir)).select("p_partkey", *FEATURE_COLUMNS)
+    by_type = [*T.columns_of_type(every, LongType), *T.columns_of_type(every, IntegerType), *T.columns_of_type(every, StringType), *T.columns_of_type(every, DoubleType)]
+    return every.select(*[r6(F.col(c)).alias(c) if c == "fifth" else c for c in by_type])
+
+
+@register("text_columns")
+def text_columns(spark, sf_dir):
+    """The text columns of a table, chosen by type."""
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", *T.columns_of_type(part))
+
+
+@register("dropped_columns")
+def dropped_columns(spark, sf_dir):
+    """P5: a table without some columns, which must be there."""
+    return drop_checked(table(spark, sf_dir, "customer"), ["c_acctbal", "c_mktsegment"])
+
+
+@register("mail_csv_scan")
+def mail_csv_scan(spark, sf_dir):
+    """SRC3: mail rows as headerless CSV files, scanned in splits and parsed."""
+    path = _new_folder(spark, "mail-csv")
+    D.mail_rows(spark, sf_dir).write.options(**files.CSV_OPTIONS).csv(path)
+    return _mail_columns(B.parse_records(files.read_mail_csv(spark, path)))
+
+
+@register("log_search_capped")
+def log_search_capped(spark, sf_dir):
+    """The first hits of a search in a total order."""
+    return C.search(D.log_docs(spark, sf_dir), host=SEARCH_HOST, name=SEARCH_NAME, size=SEARCH_SIZE)
+
+
+SEARCH_SIZE = 50
+
+
+@register("one_decimal_text")
+def one_decimal_text(spark, sf_dir):
+    """SC7: numbers as text with one decimal."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.format_one_decimal(F.col("o_custkey") / F.lit(7.0)).alias("text"))
+
+
+@register("binary_files_labelled")
+def binary_files_labelled(spark, sf_dir):
+    """SRC10 + J6: pages as binary files, one a folder, read with their sizes and contents and
+    joined to labels by id."""
+    path = _new_folder(spark, "page-files")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value"))
+    pages.write.partitionBy("page_id").text(path)
+    found = files.read_image_folder(spark, path, ".txt").drop("id")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("label"))
+    return label_files(found, labels, "page_id").select("page_id", "label", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def machine_lines(customers):
+    """CSV lines in the declared machine schema, one a customer; every 11th has a text and
+    every 13th a number too large in a small-number column, every 17th ends early."""
+    key = F.col("c_custkey")
+    fields = []
+    for j, (_, kind) in enumerate(files.MACHINE_COLUMNS):
+        plain = {"category": F.concat(F.lit("c"), F.pmod(key + j, F.lit(7))), "float32": F.concat(F.pmod(key + j, F.lit(50)), F.lit(".5"))}.get(kind, F.pmod(key + j, F.lit(100)).cast("string"))
+        if j == 0:
+            plain = F.concat(F.lit("m"), key)
+        elif j == BROKEN_TEXT:
+            plain = F.when(key % 11 == 0, F.lit("x")).otherwise(plain)
+        elif j == BROKEN_NUMBER:
+            plain = F.when(key % 13 == 0, F.lit("300")).otherwise(plain)
+        fields.append(plain)
+    whole, short = F.concat_ws(",", *fields), F.concat_ws(",", *fields[:40])
+    return customers.select(F.when(key % 17 == 0, short).otherwise(whole).alias("value"))
+
+
+BROKEN_TEXT, BROKEN_NUMBER = 5, 7  # two of the int8 columns
+
+
+@register("checked_csv_rejects")
+def checked_csv_rejects(spark, sf_dir):
+    """SRC4: lines in the declared 83-column schema; those that fit with some typed values,
+    the others with their text."""
+    path = _new_folder(spark, "machines")
+    sinks.write_text_lines(machine_lines(table(spark, sf_dir, "customer")), path)
+    rows, rejects = files.read_checked_csv(spark, path, files.machine_schema(), header=False)
+    good = rows.select("MachineIdentifier", F.col("IsBeta").cast("int").alias("is_beta"), F.col("RtpStateBitfield").cast("double").alias("bits"), F.lit(None).cast("string").alias("line"))
+    bad = rejects.select(F.element_at(F.split("line", ","), 1).alias("MachineIdentifier"), F.lit(None).cast("int").alias("is_beta"), F.lit(None).cast("double").alias("bits"), "line")
+    return good.unionByName(bad)
 
 
 def _new_folder(spark, name):

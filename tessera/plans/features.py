@@ -27,10 +27,11 @@ ID_COL = "MachineIdentifier"
 DATE_COL = "Date"
 
 
-def read_machines(spark: SparkSession, path: str) -> DataFrame:
-    """SRC4: the header gives the column order, the declarations give the types."""
+def read_machines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """SRC4: the header gives the column order, the declarations give the types; lines that do
+    not fit them come apart."""
     header = spark.read.option("header", True).csv(path).columns
-    return files.read_typed_csv(spark, path, files.machine_schema(header))
+    return files.read_checked_csv(spark, path, files.machine_schema(header))
 
 
 def add_features(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
@@ -49,9 +50,13 @@ def prepare(
 ) -> dict:
     """Whole job; returns the output paths."""
     lookup = files.read_lookup(spark, lookup_path) if lookup_path else None
-    numbered = read_machines(spark, train_path).withColumn("_order", F.monotonically_increasing_id())  # file order, before any join
+    train_rows, train_malformed = read_machines(spark, train_path)
+    test_rows, test_malformed = read_machines(spark, test_path)
+    sinks.write_columnar(train_malformed, f"{out_dir}/malformed/train")
+    sinks.write_columnar(test_malformed, f"{out_dir}/malformed/test")
+    numbered = train_rows.withColumn("_order", F.monotonically_increasing_id())  # file order, before any join
     train = add_features(numbered, lookup).persist(StorageLevel.MEMORY_AND_DISK)
-    test = add_features(read_machines(spark, test_path), lookup).persist(StorageLevel.MEMORY_AND_DISK)
+    test = add_features(test_rows, lookup).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_bad, test_bad = TB.split_rejects(train)[1], TB.split_rejects(test)[1]
         train_all, test_all = TB.with_reject_defaults(train), TB.with_reject_defaults(test)
@@ -69,4 +74,4 @@ def prepare(
     finally:
         train.unpersist()
         test.unpersist()
-    return {k: f"{out_dir}/{k}" for k in ("train", "test", "codes", "rejects/train", "rejects/test")}
+    return {k: f"{out_dir}/{k}" for k in ("train", "test", "codes", "rejects/train", "rejects/test", "malformed/train", "malformed/test")}

@@ -6,6 +6,7 @@ SQL; it shares no code path with the Spark side except the fixed constants.
 
 from __future__ import annotations
 
+from tessera.sources.files import MACHINE_COLUMNS
 from tessera.functions.scalars import FLOAT_TEXT, INT_TEXT, NAN_TEXT, NEG_INF_TEXT, POS_INF_TEXT
 
 
@@ -455,10 +456,12 @@ offers AS (SELECT _id, 0 AS priority, event_id, day FROM docs WHERE host = 'web-
   UNION ALL SELECT _id, 1 AS priority, event_id, day FROM docs WHERE host = 'web-2' AND day = DATE '2024-01-01')
 SELECT DATE '2024-01-02' AS target_day, _id, priority, event_id, day, 'copy-2024.01.02' AS target FROM offers"""
 
-SQL["daily_copy_tables"] = SQL["two_source_copy"].replace("event_id, day FROM docs", "event_id, day, event_type FROM docs").replace(
-    "ts, event_id, day FROM keyed", "ts, event_id, day, event_type FROM keyed"
-).replace("SELECT target_day, _id, priority, event_id, day FROM ranked WHERE rn = 1", """SELECT target_day, 0 AS run, _id, priority, event_id, day, event_type FROM ranked
-WHERE rn = 1 AND target_day IN (DATE '2024-01-02', DATE '2024-01-03')""")
+SQL["daily_copy_tables"] = f"""WITH {DOCS_CTE},
+keyed AS (SELECT 'u' || right(CAST(event_id AS VARCHAR), 1) || '-' || CAST(hour(ts) AS VARCHAR) AS _id, ts, day, event_id, event_type FROM docs WHERE host = 'web-2'),
+offers AS (SELECT day AS target_day, 0 AS priority, * FROM keyed
+  UNION ALL SELECT CAST(day + INTERVAL 1 DAY AS DATE) AS target_day, 1 AS priority, * FROM keyed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY target_day, _id ORDER BY priority, ts, event_id) AS rn FROM offers)
+SELECT target_day, 0 AS run, _id, priority, event_id, day, event_type FROM ranked WHERE rn = 1 AND target_day IN (DATE '2024-01-02', DATE '2024-01-03')"""
 
 SQL["importance_cuts"] = f"""WITH {IMP_CTE}
 SELECT count(*) AS n_rows, count(*) FILTER (fold = 1) AS n_fold, count(*) FILTER (fold = 1 AND importance > 44) AS n_kept FROM imp"""
@@ -470,10 +473,34 @@ SQL["json_records_round_trip"] = f"""WITH {MAIL_CTE}
 SELECT "message identifier", sender, array_to_string(recipients, '|') AS recipients_text, timestamp_iso FROM records"""
 SQL["stats_csv_round_trip"] = SQL["mail_user_stats"]
 SQL["prediction_csv_round_trip"] = f"""WITH {SCORES_CTE} SELECT id, CAST(score_a AS DOUBLE) AS label FROM a"""
+_PART = {c: f'CAST(coalesce("{c}", 0) AS VARCHAR)' for c in ("first", "second")}
 SQL["prepared_columns"] = f"""WITH {VERSION_CTE}
 SELECT p_partkey, coalesce(engine_num, 0.0) AS engine_num, coalesce(app_num, 0.0) AS app_num, coalesce(sig_num, 0.0) AS sig_num,
-       coalesce("first", 0) AS "first", coalesce("second", 0) AS "second", coalesce(third, '___') AS third, coalesce(fourth, '___') AS fourth
+       coalesce("first", 0) AS "first", coalesce("second", 0) AS "second", coalesce(third, '___') AS third, coalesce(fourth, '___') AS fourth,
+       round(coalesce(fifth, {parse_float(f"({_PART['first']} || '.' || {_PART['second']})")}, 0.0), 6) AS fifth
 FROM vreason"""
+SQL["text_columns"] = "SELECT p_partkey, p_name, p_brand, p_type FROM part"
+SQL["dropped_columns"] = "SELECT * EXCLUDE (c_acctbal, c_mktsegment) FROM customer"
+SQL["mail_csv_scan"] = SQL["mail_parse"]
+SQL["log_search_capped"] = SQL["log_json_search"] + " LIMIT 50"
+SQL["one_decimal_text"] = "SELECT o_orderkey, printf('%.1f', o_custkey / CAST(7 AS DOUBLE)) AS text FROM orders"
+SQL["binary_files_labelled"] = """SELECT page_id, quality AS label, octet_length(encode(coalesce(html, ''))) + 1 AS length, sha256(coalesce(html, '') || chr(10)) AS sha256
+FROM pages JOIN labels ON labels.doc_id = page_id"""
+
+
+def _machine_field(j: int, kind: str) -> str:
+    if j == 0:
+        return "'m' || c_custkey"
+    plain = {"category": f"'c' || ((c_custkey + {j}) % 7)", "float32": f"((c_custkey + {j}) % 50) || '.5'"}.get(kind, f"CAST((c_custkey + {j}) % 100 AS VARCHAR)")
+    broken = {5: (11, "x"), 7: (13, "300")}.get(j)
+    return f"CASE WHEN c_custkey % {broken[0]} = 0 THEN '{broken[1]}' ELSE {plain} END" if broken else plain
+
+
+_MACHINE = [_machine_field(j, kind) for j, (_, kind) in enumerate(MACHINE_COLUMNS)]
+SQL["checked_csv_rejects"] = f"""WITH l AS (SELECT c_custkey, c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0 AS bad,
+  CASE WHEN c_custkey % 17 = 0 THEN concat_ws(',', {', '.join(_MACHINE[:40])}) ELSE concat_ws(',', {', '.join(_MACHINE)}) END AS line FROM customer)
+SELECT 'm' || c_custkey AS MachineIdentifier, CASE WHEN NOT bad THEN CAST((c_custkey + 5) % 100 AS INTEGER) END AS is_beta,
+       CASE WHEN NOT bad THEN (c_custkey + 6) % 50 + CAST(0.5 AS DOUBLE) END AS bits, CASE WHEN bad THEN line END AS line FROM l"""
 
 SQL["typed_csv_round_trip"] = "SELECT c_custkey, c_name, c_acctbal FROM customer"
 SQL["lookup_round_trip"] = "SELECT 'v' || CAST(o_orderkey AS VARCHAR) AS version, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS ts_text FROM orders"

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import written
+
 # CSV dialect of Python's csv module: comma, double quote, '""' escapes a quote.
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
@@ -173,6 +175,19 @@ def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     return spark.read.schema(schema).options(header=True, enforceSchema=True, **CSV_OPTIONS).csv(path)
 
 
+def read_checked_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """SRC4 with reject routing: (rows that fit the schema, rejected lines). A line is
+    rejected whole, and listed with its file and its text, if it has too few or too many
+    fields or a value that its type cannot hold; none becomes silent NULLs. The files are
+    parsed once, and both results read what was written then."""
+    raw = "_raw_line"
+    checked = T.StructType([*schema.fields, T.StructField(raw, T.StringType())])
+    options = {"header": header, "enforceSchema": True, "columnNameOfCorruptRecord": raw, **CSV_OPTIONS}
+    parsed = spark.read.schema(checked).options(**options).csv(path).withColumn("_file", F.col("_metadata.file_name"))
+    once = written(parsed, "checked-csv")
+    return once.where(F.col(raw).isNull()).drop(raw, "_file"), once.where(F.col(raw).isNotNull()).select(F.col("_file").alias("file"), F.col(raw).alias("line"))
+
+
 def read_score_file(spark: SparkSession, path: str, id_col: str, score_col: str) -> DataFrame:
     """SRC5: ``id,score`` CSV whose header is replaced by the given names."""
     schema = T.StructType([T.StructField(id_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
