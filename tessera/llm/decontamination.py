@@ -1,20 +1,24 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become canonical tokens: numbers, names (words that begin with a capital) and units
-turn into typed placeholders, other words count in lower case. Windows of ``WINDOW``
-canonical tokens of the benchmark are hash-joined with those of the documents, so a
-question whose numbers or names were replaced still meets its original. Windows with
-fewer than ``MIN_LITERALS`` plain words say too little for that: their keys hold the slots'
-values too, so they only match verbatim (case apart).
+turn into typed placeholders, other words count case-folded. Windows of ``WINDOW`` tokens of
+the benchmark are hash-joined with those of the documents under up to three keys:
+
+* the folded tokens themselves, so a verbatim copy meets its original whatever its capitals;
+* the template, so a question whose numbers or names were replaced still meets it;
+* the template with names as plain words, where numbers or units stand beside capitals, so
+  replaced numbers are found in a copy with other capitals too.
+
+Templates of fewer than ``MIN_LITERALS`` plain words say too little and are no keys.
 
 Matches of a document and an item are collected by alignment (document position minus
-item position). A window whose slots are verbatim always counts. One with replaced slots
-counts if they are consistent: each value of the item is replaced by the value that takes
-its place at most positions of the alignment (of equally many: itself, else the one that
-comes first). The document is contaminated by the item if the windows that count cover at
-least ``coverage`` of the item's windows.
+item position). A verbatim window always counts. One with replaced slots counts if they are
+consistent: each value of the item is replaced by the value that takes its place at most
+positions of the alignment (of equally many: itself, else the one that comes first). The
+document is contaminated by the item if the windows that count cover at least ``coverage``
+of the item's windows.
 
-The documents' windows pass a fixed-size Bloom filter of the benchmark's windows before
+The documents' windows pass a fixed-size Bloom filter of the benchmark's keys before
 the join, so only likely matches leave the scan; the joins have no hint. Windows that many
 items share (a common prompt, say) must not pair every document with every such item: a
 document that covers enough of an item meets one of any (all - needed + 1) of its windows,
@@ -23,8 +27,9 @@ then matched on all windows.
 
 Defined cases: null and empty texts have no windows; an item shorter than a window is one
 window of its own length, and an item of a single token matches each text that has it;
-repeated items and repeated rows count once each by id; rows with a null id are reported under the null
-id. Only ids and texts are read. Whole texts are read.
+repeated items and repeated rows count once each by id; rows of one id with different texts,
+and rows without an id, are judged apart, the latter reported under the null id. Only ids
+and texts are read. Whole texts are read.
 """
 
 from __future__ import annotations
@@ -51,10 +56,9 @@ UNITS = (
 ).split()
 # Byte classes: 0 separator, 1 digit, 2 letter.
 _CLASS = np.array([1 if 48 <= b <= 57 else 2 if b >= 128 or 65 <= b <= 90 or 97 <= b <= 122 else 0 for b in range(256)], np.uint8)
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _NUMBER, _NAME, _UNIT = (np.uint64(v) for v in (11, 13, 17))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_WINDOWS = "id long, pos long, h long, slots array<long>, literals int, width int"
+_WINDOWS = "id long, sub long, pos long, h long, slots array<long>, width int"
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -66,8 +70,8 @@ def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return mix(np.add.reduceat((data[np.repeat(starts, lengths) + step].astype(np.uint64) + np.uint64(1)) * powers[step], first) + lengths.astype(np.uint64))
 
 
-def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, canonical hash and slot value (0 for a plain word) of every token."""
+def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and whether it is a number of every token."""
     kind = _CLASS[data]
     # A point or comma between digits belongs to the number.
     inner = np.flatnonzero((data[1:-1] == 44) | (data[1:-1] == 46)) + 1
@@ -75,17 +79,40 @@ def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edge = np.flatnonzero(np.append(True, kind[1:] != kind[:-1]))
     ends = np.append(edge[1:], len(data))
     word = kind[edge] > 0
-    starts, lengths = edge[word], (ends - edge)[word]
-    if not len(starts):
-        empty = np.empty(0, np.uint64)
-        return starts, empty, empty
-    plain = _hashes(_LOWER[data], starts, lengths)
-    b0, b1 = data[starts], data[np.minimum(starts + 1, len(data) - 1)]
-    capital = ((b0 >= 65) & (b0 <= 90)) | ((b0 == 0xC3) & (b1 >= 0x80) & (b1 <= 0x9E))
-    unit = np.isin(plain, _unit_hashes())
-    number = kind[starts] == 1
-    canon = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(capital, _NAME, plain)))
-    return starts, canon, np.where(number | unit | capital, plain | np.uint64(1), np.uint64(0))
+    return edge[word], (ends - edge)[word], kind[edge[word]] == 1
+
+
+def _capital(data: np.ndarray, starts: np.ndarray, folded: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether folding changes the first character of each token."""
+    differs = np.zeros(len(starts), bool)
+    for j, least in ((0, 0), (1, 0x80), (2, 0xE0)):  # bytes of the character
+        x, y = data[np.minimum(starts + j, len(data) - 1)], folded[np.minimum(at + j, len(folded) - 1)]
+        differs |= (x != y) & (folded[at] >= least)
+    return differs
+
+
+Tokens = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _tokens(texts: list[bytes], folded: list[bytes]) -> Iterator[Tokens]:
+    """For each text: folded hashes of its tokens, which are numbers or units, and which names."""
+    joined = [np.frombuffer(b" " + b" ".join(t) + b" ", np.uint8) for t in (texts, folded)]
+    starts, _, _ = _spans(joined[0])
+    at, lengths, number = _spans(joined[1])
+    if len(starts) != len(at) and len(texts) > 1:
+        for t, f in zip(texts, folded):
+            yield from _tokens([t], [f])
+        return
+    if len(at):
+        plain = _hashes(joined[1], at, lengths)
+        typed = np.where(number, _NUMBER, np.where(np.isin(plain, _unit_hashes()), _UNIT, np.uint64(0)))
+    else:
+        plain = typed = np.empty(0, np.uint64)
+    same = len(starts) == len(at)  # folding splits no word, but for odd marks: then no names
+    name = _capital(joined[0], starts, joined[1], at) & (typed == 0) if same and len(at) else np.zeros(len(at), bool)
+    cuts = np.append(0, np.searchsorted(at, 1 + np.cumsum([len(f) + 1 for f in folded])))
+    for a, b in zip(cuts, cuts[1:]):
+        yield plain[a:b], typed[a:b], name[a:b]
 
 
 def _unit_hashes() -> np.ndarray:
@@ -93,73 +120,92 @@ def _unit_hashes() -> np.ndarray:
     return _hashes(np.frombuffer("".join(UNITS).encode(), np.uint8), np.cumsum(lengths) - lengths, lengths)
 
 
-def canonical(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(index, canonical hashes, slot values) of every text."""
+def canonical(texts: list[str | None]) -> Iterator[tuple[int, Tokens]]:
+    """(index, tokens) of every text."""
     ready = [(t or "").encode("utf-8", "replace") for t in texts]
     for part in grouped_by_bytes(ready, 4096, CHUNK):
-        joined = np.frombuffer(b" " + b" ".join(ready[part]) + b" ", np.uint8)
-        starts, canon, slots = _tokens(joined)
-        cuts = np.append(0, np.searchsorted(starts, 1 + np.cumsum([len(t) + 1 for t in ready[part]])))
-        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            yield part.start + i, canon[a:b], slots[a:b]
+        folded = [(t or "").casefold().encode("utf-8", "replace") for t in texts[part]]
+        yield from enumerate(_tokens(ready[part], folded), part.start)
 
 
-def windows(canon: np.ndarray, slots: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and number of plain words of every window; the hash is that of the template,
-    or with few plain words that of the tokens with their slots' values."""
-    n = len(canon) - width + 1
+def _rolled(tokens: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Hash of every window of ``width`` tokens."""
+    n = len(tokens) - width + 1
     if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h = np.full(n, np.uint64(width))
-    for j in range(width):
-        h = mix(h * np.uint64(0xFF51AFD7ED558CCD) + canon[j : n + j])
-    count = np.append(0, np.cumsum(slots == 0))
-    literals = count[width:] - count[:-width]
-    few = np.flatnonzero(literals < min(MIN_LITERALS, width))
-    exact = np.full(len(few), ~np.uint64(width))
-    for j in range(width):
-        exact = mix(exact * np.uint64(0xFF51AFD7ED558CCD) + canon[few + j] + slots[few + j])
-    h[few] = exact
-    return h, literals
+        return np.empty(0, np.uint64)
+    h, size = mix(tokens + np.uint64(seed)), 1
+    while 2 * size <= width:
+        h, size = mix(h[:-size] * np.uint64(0xFF51AFD7ED558CCD) + h[size:]), 2 * size
+    for j in range(size, width):
+        h = mix(h[: len(h) - 1] * np.uint64(0xFF51AFD7ED558CCD) + mix(tokens[j : j + len(h) - 1] + np.uint64(seed)))
+    return h[:n]
+
+
+def windows(tokens: Tokens, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Places, keys, and slot values by token (0: a plain word) of each kind of key; verbatim
+    keys have no slots."""
+    plain, typed, name = tokens
+    exact = _rolled(plain, width, 1)
+    yield np.arange(len(exact)), exact, None
+    kinds = []
+    if name.any() or typed.any():
+        kinds.append(np.where(name, _NAME, typed))
+    if typed.any() and name.any():
+        kinds.append(typed)
+    done = np.full(len(exact), False)
+    for slot in kinds:
+        count = np.append(0, np.cumsum(slot != 0))
+        slots = count[width:] - count[:-width]
+        use = (slots > 0) & (width - slots >= min(MIN_LITERALS, width))
+        if slot is typed:  # without a name in the window the template before is the same
+            names = np.append(0, np.cumsum(name))
+            use &= ~(done & (names[width:] == names[:-width]))
+        else:
+            done = use
+        at = np.flatnonzero(use)
+        if at.size:
+            keys = _rolled(np.where(slot != 0, slot, plain), width, 0)
+            yield at, keys[at], np.where(slot != 0, plain | np.uint64(1), np.uint64(0))
 
 
 def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - BLOOM_BITS)).astype(np.int64), (h & np.uint64((1 << BLOOM_BITS) - 1)).astype(np.int64)
 
 
-def _batch(ids, pos, h, slots, literals, width) -> pa.RecordBatch:
+def _batch(ids, subs, pos, h, slots, width) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(ids, pa.int64()),
+            pa.array(subs, pa.int64()),
             pa.array(pos, pa.int64()),
             pa.array(np.asarray(h, np.uint64).view(np.int64)),
             pa.array([s.view(np.int64) for s in slots], pa.list_(pa.int64())),
-            pa.array(literals, pa.int32()),
             pa.array(width, pa.int32()),
         ],
-        ["id", "pos", "h", "slots", "literals", "width"],
+        ["id", "sub", "pos", "h", "slots", "width"],
     )
 
 
 def window_rows(texts: DataFrame, bloom: np.ndarray | None, widths: list[int] | None) -> DataFrame:
-    """Window rows of (id, text). Without ``widths`` each text gives its windows of
+    """Window rows of (id, sub, text). Without ``widths`` each text gives its windows of
     ``WINDOW`` tokens, or one of its own length if it is shorter."""
+    verbatim = np.empty(0, np.uint64)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.unpackbits(bloom).astype(bool) if bloom is not None else None
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, subs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[list] = [[], [], [], [], [], []]
-            for i, canon, slots in canonical(batch.column(1).to_pylist()):
-                for width in widths or [min(WINDOW, max(len(canon), 1))]:
-                    h, literals = windows(canon, slots, width)
-                    keep = np.ones(len(h), bool)
-                    if flat is not None and len(h):
-                        x, y = _bits(h)
-                        keep = flat[x] & flat[y]
-                    for p in np.flatnonzero(keep):
-                        for column, value in zip(out, (ids[i], p, h[p], slots[p : p + width], literals[p], width)):
-                            column.append(value)
+            for i, tokens in canonical(batch.column(2).to_pylist()):
+                for width in widths or [min(WINDOW, max(len(tokens[0]), 1))]:
+                    for at, h, slots in windows(tokens, width):
+                        if flat is not None and len(h):
+                            x, y = _bits(h)
+                            keep = flat[x] & flat[y]
+                            at, h = at[keep], h[keep]
+                        for p, k in zip(at.tolist(), h):
+                            for column, value in zip(out, (ids[i], subs[i], p, k, verbatim if slots is None else slots[p : p + width], width)):
+                                column.append(value)
                 if len(out[0]) >= 10_000:
                     yield _batch(*out)
                     out = [[], [], [], [], [], []]
@@ -186,10 +232,11 @@ def rarest(keys: DataFrame, coverage: float) -> DataFrame:
     """(item_id, h, width) of each item's rarest windows, one of which every text that
     covers ``coverage`` of the item holds."""
     times = keys.groupBy("h", "width").agg(F.count("*").alias("times"))
-    order, whole = Window.partitionBy("id").orderBy("times", "h", "pos"), Window.partitionBy("id")
+    places = keys.join(times, ["h", "width"]).groupBy("id", "pos", "windows").agg(F.sum("times").alias("times"))
+    order = Window.partitionBy("id").orderBy("times", "pos")
     needed = F.ceil(F.lit(coverage) * F.col("windows") - F.lit(1e-9))
-    ranked = keys.join(times, ["h", "width"]).withColumns({"at": F.row_number().over(order), "all": F.count("*").over(whole)})
-    return ranked.where(F.col("at") <= F.col("all") - needed + 1).select(F.col("id").alias("item_id"), "h", "width").distinct()
+    ranked = places.withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.col("windows") - needed + 1).select("id", "pos")
+    return keys.join(ranked, ["id", "pos"]).select(F.col("id").alias("item_id"), "h", "width").distinct()
 
 
 def consistent(at: list[int], item: list[list[int]], own: list[list[int]]) -> tuple[list[int], bool]:
@@ -222,22 +269,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
         found = [consistent(a.tolist(), [s.tolist() for s in b], [s.tolist() for s in d]) for a, b, d in zip(at, item, own)]
         return pd.DataFrame(found, columns=["at", "swapped"])
 
-    items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").alias("text"))
-    keys = written(window_rows(items, None, None).dropDuplicates(["id", "pos", "h", "width"]), "benchmark-windows")
+    items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("sub"), F.col("text").alias("text"))
+    keys = written(window_rows(items, None, None).drop("sub").dropDuplicates(["id", "pos", "h", "width"]), "benchmark-windows")
     widths = sorted(r[0] for r in keys.select("width").distinct().collect())  # at most WINDOW values
-    left = window_rows(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), _bloom(keys), widths or [WINDOW])
-    left = written(left, "likely-windows")
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("sub"), F.col(text).alias("text"))
+    left = written(window_rows(rows, _bloom(keys), widths or [WINDOW]), "likely-windows")
     total = keys.groupBy("id").agg(F.count_distinct("pos").alias("windows"))
     right = keys.join(total, "id").select("h", "width", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "windows")
-    pairs = left.select("id", "h", "width").join(rarest(keys.join(total, "id"), coverage), ["h", "width"]).select(F.col("id").alias("own"), "item_id").distinct()
-    met = left.join(pairs, F.col("id").eqNullSafe(F.col("own"))).join(right, ["item_id", "h", "width"])
-    met = met.select("id", "item_id", "windows", (F.col("pos") - F.col("item_pos")).alias("shift"), F.struct("item_pos", "item_slots", "slots").alias("w"))
-    aligned = met.groupBy("id", "item_id", "windows", "shift").agg(F.collect_set("w").alias("w"))
+    pairs = left.select("id", "sub", "h", "width").join(rarest(keys.join(total, "id"), coverage), ["h", "width"])
+    pairs = pairs.select(F.col("id").alias("own"), F.col("sub").alias("own_sub"), "item_id").distinct()
+    met = left.join(pairs, F.col("id").eqNullSafe(F.col("own")) & (F.col("sub") == F.col("own_sub"))).join(right, ["item_id", "h", "width"])
+    met = met.select("id", "sub", "item_id", "windows", (F.col("pos") - F.col("item_pos")).alias("shift"), F.struct("item_pos", "item_slots", "slots").alias("w"))
+    aligned = met.groupBy("id", "sub", "item_id", "windows", "shift").agg(F.collect_set("w").alias("w"))
     # Most alignments are verbatim throughout: all their windows count, and Python sees none.
     swapped = F.exists("w", lambda w: w["item_slots"] != w["slots"])
     judged = aligned.withColumn("some", swapped).withColumn("judge", F.filter("w", lambda w: F.col("some")))
     judged = judged.withColumn("c", counting("judge.item_pos", "judge.item_slots", "judge.slots"))
-    counted = judged.select("id", "item_id", "windows", F.when(F.col("some"), F.col("c.at")).otherwise(F.col("w.item_pos")).alias("at"), F.col("c.swapped").alias("swapped"))
-    found = counted.groupBy("id", "item_id", "windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max("swapped").alias("reparameterised"))
+    counted = judged.select("id", "sub", "item_id", "windows", F.when(F.col("some"), F.col("c.at")).otherwise(F.col("w.item_pos")).alias("at"), F.col("c.swapped").alias("swapped"))
+    found = counted.groupBy("id", "sub", "item_id", "windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.max("swapped").alias("reparameterised"))
     share = F.col("matched") / F.col("windows")
-    return found.where(share >= coverage).select(F.col("id").alias("doc_id"), "item_id", "matched", "windows", share.alias("coverage"), "reparameterised")
+    out = found.where(share >= coverage).select("sub", F.col("id").alias("doc_id"), "item_id", "matched", "windows", share.alias("coverage"), "reparameterised")
+    return out.drop("sub")
