@@ -16,8 +16,9 @@ decides by measured bytes. The one exchange of texts goes by a hash of the copy.
 
 Defined cases: a null source is a source of its own; null texts and sizes count 0; a
 source whose size is 0 has rate ``epochs``; sources without a target weight take weight 0
-where weights are given; a null id hashes as an empty one, so such rows repeat alike;
-repeated rows get equal counts. All input columns are kept; the added ones take a variant
+where weights are given; rows of one id get equal counts, repeated ones too; rows without an
+id draw each for itself, by their place in the input (partition and row number, which a task
+that is run again gives the same again), equal rows as well. All input columns are kept; the added ones take a variant
 of their name if the input has it. The copy's number is an int.
 """
 
@@ -40,7 +41,7 @@ TEMPERATURE = 0.5
 
 def uniform(key: Column, seed: str | Column) -> Column:
     """Double in [0, 1): the first 13 hex digits of md5(seed, key) over 2**52."""
-    hexed = F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(key.cast("string"), F.lit("")))), 1, 13)
+    hexed = F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), key.cast("string"))), 1, 13)
     return F.conv(hexed, 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
@@ -94,9 +95,12 @@ def replicate(docs: DataFrame, size: Column, key: str = "doc_id", source: str =
     copy, order = fresh(docs.columns, "copy"), fresh(docs.columns, "shuffle_key")
     named = {"source": "__mix_source", "parts": "__mix_parts", "first": "__mix_first", "cdf": "__mix_cdf"}
     table = with_cdf(rates(docs, size, source, weights, epochs), most).select(*[F.col(k).alias(v) for k, v in named.items()])
+    # A row without an id is named by its place, so such rows neither draw nor travel together.
+    own = "__mix_key"
+    docs = docs.withColumn(own, F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row/"), F.monotonically_increasing_id().cast("string"))))
     joined = docs.join(table, F.col(source).eqNullSafe(F.col("__mix_source")), "left")
     seeds = F.transform(F.sequence(F.lit(1), F.col("__mix_parts")), lambda j: F.when(j == 1, F.lit(seed)).otherwise(F.concat(F.lit(seed + "-"), j.cast("string"))))
-    draws = F.transform(seeds, lambda s: uniform(F.col(key), s))
+    draws = F.transform(seeds, lambda s: uniform(F.col(own), s))
     # Inverse of the distribution: the number of k with P(count <= k) <= u.
     counts = F.transform(draws, lambda u: F.col("__mix_first").cast("long") + F.size(F.filter(F.col("__mix_cdf"), lambda c: c <= u)))
     # Each draw's copies follow those of the draws before it.
@@ -108,5 +112,5 @@ def replicate(docs: DataFrame, size: Column, key: str = "doc_id", source: str =
     )
     run = joined.withColumn("__mix_run", F.explode(F.filter(runs, lambda r: r["b"] > r["a"]))).drop(*named.values())
     copies = run.withColumn(copy, F.explode(F.sequence(F.col("__mix_run.a").cast("int"), F.col("__mix_run.b").cast("int") - 1))).drop("__mix_run")
-    keyed = copies.withColumn(order, uniform(F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(copy).cast("string")), seed + "-order"))
-    return keyed.repartition(F.col(order)).sortWithinPartitions(order, key, copy), copy, order
+    keyed = copies.withColumn(order, uniform(F.concat_ws("/", F.col(own), F.col(copy).cast("string")), seed + "-order"))
+    return keyed.repartition(F.col(order)).sortWithinPartitions(order, own, copy).drop(own), copy, order

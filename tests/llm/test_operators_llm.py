@@ -61,10 +61,25 @@ def test_mixing_reaches_its_weights(spark, docs):
     assert copy != "copy"
     n = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
     assert abs(n["small"] - 3000) < 250 and abs(n["big"] - 3000) < 250
-    assert mixing.replicate(docs, F.length("text"))[0].where("doc_id = 5").count() >= 0
+    # Nulls, empty and long texts, repeated rows: counts as the rates say, repeated rows alike.
+    rated = {r.source: r.rate for r in mixing.rates(docs, F.length("text")).collect()}
+    assert rated[None] > 100 * rated["b"] > 0  # the null source is short, source b holds the long text
+    times = mixing.replicate(docs, F.length("text"))[0].groupBy("doc_id").count()
+    assert {r["doc_id"]: r["count"] for r in times.collect()}.get(1, 0) % 2 == 0
     assert mixing.replicate(docs.limit(0), F.length("text"))[0].count() == 0
 
 
+def test_mixing_draws_rows_without_an_id_apart(spark):
+    # Equal rows without an id, dealt over several partitions; one row with an id.
+    df = spark.range(10_000, numPartitions=7).select(F.when(F.col("id") == 0, F.col("id")).alias("doc_id"), F.lit("s").alias("source"), F.lit("abcd").alias("text"))
+    for seed in ("mix", "a", "b"):
+        out, copy, order = mixing.replicate(df, F.length("text"), weights={"s": 1.0}, seed=seed)
+        n = out.count()
+        assert abs(n - 10_000) < 500 and out.columns == ["doc_id", "source", "text", "copy", "shuffle_key"]
+        assert out.groupBy("copy").count().where("copy = 1").first()["count"] > 2000
+        assert out.select(order).distinct().count() == n  # copies travel apart
+
+
 def test_mixing_of_large_rates(spark):
     import duckdb
 
