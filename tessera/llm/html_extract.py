@@ -2,7 +2,7 @@
 
 A page becomes its sequence of leaf blocks: runs of text between block-level tags, with
 the path of open tags (and their class, id and role words). Each block is a vector: a
-hashed bag of its path, a hashed bag of its words, and a few lengths. A bidirectional LSTM
+hashed bag of its path, a hashed bag of all its words, and a few lengths. A bidirectional LSTM
 in numpy reads the whole sequence, so each block is judged in the context of the whole
 page, and a logistic output marks it as main text or not.
 
@@ -12,7 +12,10 @@ is left out for its length or its tags. The texts are laid out anew under varied
 (article, main or classed containers; headers, menus, sidebars, notices, adverts, forms,
 comments), whose blocks have known labels, beside the pages themselves where semantic tags
 label them plainly. Where they don't, a rough guess tells which texts fill the templates'
-main part; the labels are those of the templates. Extraction reads every page whole.
+main part; the labels are those of the templates. A training sequence of more than
+``max_steps`` blocks keeps its first and last halves, and a layout takes at most ``max_main``
+main texts, spread over the page. Extraction reads every page whole, in memory that follows
+the page's length: an open tag keeps its path as one vector, which its blocks share.
 
 Text of scripts, styles, head and comments never forms blocks. Character references are
 decoded, white space inside a block becomes one space, blocks are trimmed and joined by
@@ -42,7 +45,8 @@ from tessera.llm.common import bounded_batches, grouped_by_bytes, unit_hash
 
 MAX_PAGES = 240
 MAX_CHARS = 4_800_000
-MAX_STEPS = 80
+MAX_STEPS = 2000
+MAX_MAIN = 30
 HIDDEN = 16
 PATH_DIM, WORD_DIM = 96, 24
 #: Tags by their role in the page.
@@ -53,24 +57,68 @@ CLOSES_P = set("address article aside blockquote div dl fieldset figure footer f
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LISTS = set("ul ol dl table select".split())
 _WORD = re.compile(r"[^\W_]+")
+#: Containers that the templates use, as (tag, class).
+MAIN = [("article", ""), ("main", ""), ("article", "post"), ("div", "content"), ("div", "post-body"), ("div", "entry-content"), ("section", "article-body"), ("div", "story"), ("main", "main-content")]
+AROUND = {
+    "top": [("header", ""), ("header", "site-header"), ("div", "header"), ("div", "masthead"), ("nav", ""), ("nav", "menu"), ("div", "navbar"), ("ul", "menu"), ("div", "breadcrumbs"), ("div", "topbar")],
+    "notice": [("div", "cookie-notice"), ("div", "cookie"), ("div", "notice"), ("div", "banner"), ("div", "alert"), ("div", "consent"), ("div", "newsletter"), ("section", "subscribe")],
+    "ad": [("div", "ad"), ("div", "ads"), ("div", "advert"), ("div", "sponsored"), ("aside", "promo"), ("div", "advertisement")],
+    "side": [("aside", ""), ("aside", "sidebar"), ("div", "sidebar"), ("div", "related"), ("div", "widget"), ("section", "related-posts"), ("div", "share"), ("div", "tags")],
+    "form": [("form", ""), ("form", "search"), ("form", "login"), ("div", "form")],
+    "comments": [("div", "comments"), ("section", "comments"), ("div", "comment"), ("ol", "comment-list"), ("section", "discussion")],
+    "bottom": [("footer", ""), ("footer", "site-footer"), ("div", "footer"), ("div", "copyright"), ("nav", "footer-nav")],
+}
+_AROUND_TAGS = set("nav header footer aside form".split())
+_AROUND_WORDS = {f".{w}" for places in AROUND.values() for _, name in places for w in _WORD.findall(name)} - {".post", ".site", ".list"}
+
+
+class Path:
+    """Open tags from the root to one that forms blocks, as its hashed words and two marks."""
+
+    __slots__ = ("parent", "words", "semantic", "around", "vector")
+
+    def __init__(self, parent: Path | None, tag: str, words: list[str]) -> None:
+        self.parent, self.words, self.vector = parent, words, None
+        self.semantic = tag in ("article", "main") or (parent is not None and parent.semantic)
+        self.around = tag in _AROUND_TAGS or not _AROUND_WORDS.isdisjoint(words) or (parent is not None and parent.around)
+
+    def hashed(self, cache: dict[str, tuple[int, float]]) -> np.ndarray:
+        """The vector of the path, made once a tag from that of the tag around it."""
+        new, at = [], self
+        while at is not None and at.vector is None:
+            new.append(at)
+            at = at.parent
+        vector = at.vector if at is not None else np.zeros(PATH_DIM, np.float32)
+        for path in reversed(new):
+            vector = vector.copy()
+            for w in path.words:
+                i, sign = _slot(w, PATH_DIM, cache)
+                vector[i] = sign
+            path.vector = vector
+        return vector
+
+
+_NOWHERE: list[int] = []
 
 
 class Blocks(HTMLParser):
-    """Leaf blocks of a page: (path words, text, characters inside links)."""
+    """Leaf blocks of a page: (path, text, characters inside links)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, list[str]]] = []
+        self.stack: list[tuple[str, Path]] = []
+        self.places: dict[str, list[int]] = {}  # open places of each tag in the stack
+        self.lists: list[int] = []  # and of those that hold siblings together
+        self.root = Path(None, "", [])
         self.silent = 0
         self.text: list[str] = []
         self.linked = 0
-        self.blocks: list[tuple[list[str], str, int]] = []
+        self.blocks: list[tuple[Path, str, int]] = []
 
     def end_block(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            path = [w for tag, words in self.stack if tag not in INLINE for w in words]
-            self.blocks.append((path, text, self.linked))
+            self.blocks.append((self.stack[-1][1] if self.stack else self.root, text, self.linked))
         self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -85,16 +133,23 @@ class Blocks(HTMLParser):
                 self.close_top()
         if tag not in INLINE:
             self.end_block()
-            if tag in CLOSES_P and any(t == "p" for t, _ in self.stack):
+            if tag in CLOSES_P and self.places.get("p"):
                 self.close("p")
             for other in SIBLINGS.get(tag, ()):
                 if self.open_in_list(other):
                     self.close(other)
-        words = [tag]
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                words += [f".{w.lower()}" for w in _WORD.findall(value)]
-        self.stack.append((tag, words))
+        above = self.stack[-1][1] if self.stack else self.root
+        path = above  # inline tags add nothing to the path
+        if tag not in INLINE:
+            words = [tag]
+            for name, value in attrs:
+                if name in ("class", "id", "role") and value:
+                    words += [f".{w.lower()}" for w in _WORD.findall(value)]
+            path = Path(above, tag, words)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in LISTS:
+            self.lists.append(len(self.stack))
+        self.stack.append((tag, path))
         self.silent += tag in SILENT
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -103,15 +158,15 @@ class Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def open_in_list(self, tag: str) -> bool:
-        for t, _ in reversed(self.stack):
-            if t == tag:
-                return True
-            if t in LISTS:
-                return False
-        return False
+        at = self.places.get(tag, _NOWHERE)
+        return bool(at) and (not self.lists or at[-1] >= self.lists[-1])
 
     def close_top(self) -> None:
-        self.silent -= self.stack.pop()[0] in SILENT
+        tag = self.stack.pop()[0]
+        self.places[tag].pop()
+        if tag in LISTS:
+            self.lists.pop()
+        self.silent -= tag in SILENT
 
     def close(self, tag: str) -> None:
         while self.stack:
@@ -125,7 +180,7 @@ class Blocks(HTMLParser):
             return
         if tag not in INLINE:
             self.end_block()
-        if any(t == tag for t, _ in self.stack):
+        if self.places.get(tag):
             self.close(tag)
 
     def handle_data(self, data: str) -> None:
@@ -135,7 +190,10 @@ class Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
-def leaf_blocks(html: str | None) -> list[tuple[list[str], str, int]]:
+Block = tuple[Path, str, int]
+
+
+def leaf_blocks(html: str | None) -> list[Block]:
     parser = Blocks()
     parser.feed(html or "")
     HTMLParser.close(parser)  # flushes what is left of an unfinished tag or reference
@@ -150,21 +208,29 @@ def _slot(word: str, dim: int, cache: dict[str, tuple[int, float]]) -> tuple[int
     return cache[word]
 
 
-def block_vectors(blocks: list[tuple[list[str], str, int]], paths: dict, words: dict) -> np.ndarray:
-    """Hashed path (top words and the deepest two apart), hashed words, and lengths."""
+class WordSlots(dict):
+    """Place of each word in the hashed bag, negative signs in its second half."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        i, sign = _slot(word, WORD_DIM, {})
+        self[word] = slot = i if sign > 0 else i + WORD_DIM
+        return slot
+
+
+def block_vectors(blocks: list[Block], paths: dict, words: WordSlots) -> np.ndarray:
+    """Hashed path, hashed bag of all words (scaled to length one where there are many),
+    and lengths."""
     x = np.zeros((len(blocks), PATH_DIM + WORD_DIM + 4), np.float32)
     for row, (path, text, linked) in zip(x, blocks):
-        for w in path:
-            i, sign = _slot(w, PATH_DIM, paths)
-            row[i] = sign
+        row[:PATH_DIM] = path.hashed(paths)
         tokens = text.lower().split()
-        for w in tokens[:50]:
-            i, sign = _slot(w, WORD_DIM, words)
-            row[PATH_DIM + i] += sign / 8
+        bag = np.bincount([words[w] for w in tokens], minlength=2 * WORD_DIM)
+        signed = (bag[:WORD_DIM] - bag[WORD_DIM:]).astype(np.float64)
+        row[PATH_DIM:-4] = signed / max(8.0, float(signed @ signed) ** 0.5)
         size = len(text)
         row[-4:] = np.log1p(size) / 8, np.log1p(len(tokens)) / 6, linked / max(size, 1), 1.0
-        if len(words) > 100_000:
-            words.clear()
     return x
 
 
@@ -287,26 +353,11 @@ def label(model: Labeller, pages: list[np.ndarray], budget: int = 40_000) -> lis
 
 # -- training pages ----------------------------------------------------------------------
 
-#: Containers that the templates use, as (tag, class).
-MAIN = [("article", ""), ("main", ""), ("article", "post"), ("div", "content"), ("div", "post-body"), ("div", "entry-content"), ("section", "article-body"), ("div", "story"), ("main", "main-content")]
-AROUND = {
-    "top": [("header", ""), ("header", "site-header"), ("div", "header"), ("div", "masthead"), ("nav", ""), ("nav", "menu"), ("div", "navbar"), ("ul", "menu"), ("div", "breadcrumbs"), ("div", "topbar")],
-    "notice": [("div", "cookie-notice"), ("div", "cookie"), ("div", "notice"), ("div", "banner"), ("div", "alert"), ("div", "consent"), ("div", "newsletter"), ("section", "subscribe")],
-    "ad": [("div", "ad"), ("div", "ads"), ("div", "advert"), ("div", "sponsored"), ("aside", "promo"), ("div", "advertisement")],
-    "side": [("aside", ""), ("aside", "sidebar"), ("div", "sidebar"), ("div", "related"), ("div", "widget"), ("section", "related-posts"), ("div", "share"), ("div", "tags")],
-    "form": [("form", ""), ("form", "search"), ("form", "login"), ("div", "form")],
-    "comments": [("div", "comments"), ("section", "comments"), ("div", "comment"), ("ol", "comment-list"), ("section", "discussion")],
-    "bottom": [("footer", ""), ("footer", "site-footer"), ("div", "footer"), ("div", "copyright"), ("nav", "footer-nav")],
-}
-_AROUND_TAGS = set("nav header footer aside form".split())
-_AROUND_WORDS = {f".{w}" for places in AROUND.values() for _, name in places for w in _WORD.findall(name)} - {".post", ".site", ".list"}
-
-
-def plain_labels(blocks: list[tuple[list[str], str, int]]) -> np.ndarray | None:
+def plain_labels(blocks: list[Block]) -> np.ndarray | None:
     """Labels of a page whose tags say them plainly (an article or main element), else None."""
-    if not any({"article", "main"} & set(path) for path, _, _ in blocks):
+    if not any(path.semantic for path, _, _ in blocks):
         return None
-    return np.array([bool({"article", "main"} & set(path)) and not (_AROUND_TAGS & set(path) or _AROUND_WORDS & set(path)) for path, _, _ in blocks])
+    return np.array([path.semantic and not path.around for path, _, _ in blocks])
 
 
 def laid_out(main: list[str], other: list[str], rng: np.random.Generator) -> tuple[str, list[bool]]:
@@ -360,29 +411,36 @@ def laid_out(main: list[str], other: list[str], rng: np.random.Generator) -> tup
     return f"<html><head><title>{escape(main[0])}</title></head><body>{tagged(('div', pick(['page', 'wrapper', 'container'])), page) if rng.random() < 0.4 else page}</body></html>", labels
 
 
-def filler(blocks: list[tuple[list[str], str, int]]) -> np.ndarray:
+def filler(blocks: list[Block]) -> np.ndarray:
     """A guess for pages without semantic tags: texts outside the usual surroundings, and
     not mostly links, are of the main kind."""
-    return np.array([not (_AROUND_TAGS & set(path) or _AROUND_WORDS & set(path)) and 2 * linked <= len(text) for path, text, linked in blocks])
+    return np.array([not path.around and 2 * linked <= len(text) for path, text, linked in blocks])
+
+
+def _ends(values: list, most: int) -> list:
+    """All values, or of more than ``most`` the first and the last half of them."""
+    return values if len(values) <= most else [*values[: most // 2], *values[len(values) - (most - most // 2) :]]
 
 
-def training_pages(htmls: list[str], rounds: int, max_steps: int = MAX_STEPS) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def training_pages(htmls: list[str], rounds: int, max_steps: int = MAX_STEPS, max_main: int = MAX_MAIN) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Vectors and labels of the pages labelled by their tags and of ``rounds`` layouts of
-    the texts of every page."""
-    rng, xs, ys, paths, words = np.random.default_rng(17), [], [], {}, {}
+    the texts of every page. Sequences keep at most ``max_steps`` blocks, half of them from
+    either end, and layouts take ``max_main`` main texts, evenly spread."""
+    rng, xs, ys, paths, words = np.random.default_rng(17), [], [], {}, WordSlots()
     for h in htmls:
-        blocks = leaf_blocks(h)[:max_steps]
+        blocks = leaf_blocks(h)
         if not blocks:
             continue
         labels = plain_labels(blocks)
         if labels is not None and labels.any():
-            xs.append(block_vectors(blocks, paths, words))
-            ys.append(labels)
+            xs.append(block_vectors(_ends(blocks, max_steps), paths, words))
+            ys.append(np.array(_ends(labels.tolist(), max_steps)))
         else:
             labels = filler(blocks)
             if not labels.any():
                 labels = ~labels
-        main = [b[1] for b, y in zip(blocks, labels) if y][:30]
+        main = [b[1] for b, y in zip(blocks, labels) if y]
+        main = main[:: -(-len(main) // max_main)]
         other = [b[1] for b, y in zip(blocks, labels) if not y] or ["Home"]
         # Texts around the article may be as long as those in it: so may comments be.
         other += [m for m in main if rng.random() < 0.3]
@@ -390,12 +448,12 @@ def training_pages(htmls: list[str], rounds: int, max_steps: int = MAX_STEPS) ->
             page, known = laid_out(main, other, rng)
             made = leaf_blocks(page)
             if len(made) == len(known):
-                xs.append(block_vectors(made, paths, words)[:max_steps])
-                ys.append(np.array(known)[:max_steps])
+                xs.append(block_vectors(_ends(made, max_steps), paths, words))
+                ys.append(np.array(_ends(known, max_steps)))
     return xs, ys
 
 
-def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES, rounds: int = 3, max_chars: int = MAX_CHARS) -> Labeller:
+def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES, rounds: int = 3, max_chars: int = MAX_CHARS, max_steps: int = MAX_STEPS, max_main: int = MAX_MAIN) -> Labeller:
     """Train on about ``max_pages`` of the pages, or on fewer if those would hold more than
     about ``max_chars`` characters, each laid out ``rounds`` times
     (more often if there are fewer pages than ``max_pages``)."""
@@ -410,12 +468,12 @@ def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", max_page
         rows = chosen.orderBy("c", "i").limit(1).toPandas()  # few pages, all of them huge
     # Few pages are laid out more often, so that the labeller always sees as many layouts.
     rounds = max(rounds, -(-rounds * max_pages // max(len(rows), 1)))
-    return train(*training_pages(list(rows.sort_values(["i", "h"], kind="stable")["h"]), rounds))
+    return train(*training_pages(list(rows.sort_values(["i", "h"], kind="stable")["h"]), rounds, max_steps, max_main))
 
 
 def extract_texts(model: Labeller, pages: list[str | None]) -> list[str]:
     blocks = [leaf_blocks(h) for h in pages]
-    paths, words = {}, {}
+    paths, words = {}, WordSlots()
     marks = label(model, [block_vectors(b, paths, words) for b in blocks])
     return [" ".join(b[1] for b, m in zip(page, mark) if m) for page, mark in zip(blocks, marks)]
 
