@@ -49,6 +49,27 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"<\1|", text)
 
 
+def escape_role(role: str) -> str:
+    """A role on one line: its line ends and backslashes are escaped, then control strings."""
+    return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
+
+
+def unescape_role(text: str) -> str:
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(text), flags=re.S)
+
+
+def turns_of(formatted: str) -> Iterator[tuple[str, str]]:
+    """Role and text of every turn of a formatted text."""
+    at = 0
+    for m in _TURN.finditer(formatted):
+        if m.start() != at:
+            raise ValueError("bytes between turns")
+        at = m.end()
+        yield unescape_role(m[1]), unescape(m[2])
+    if at != len(formatted):
+        raise ValueError("bytes after the last turn")
+
+
 def assemble(segments: list[pa.Array], fixed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Interleave: fixed[0], segments[0], fixed[1], segments[1], ..., fixed[-1] for each row.
     Returns the bytes, the rows' offsets, and the offsets of every part (rows x parts)."""
@@ -74,8 +95,8 @@ def assemble(segments: list[pa.Array], fixed: list[bytes]) -> tuple[np.ndarray,
     return out, np.append(begins[:, 0], ends[-1:, -1]) if n else np.zeros(1, np.int64), begins
 
 
-def _escaped(values: list[str | None]) -> pa.Array:
-    return pa.array([escape(v or "") for v in values], pa.large_string())
+def _escaped(values: list[str | None], how=escape) -> pa.Array:
+    return pa.array([how(v or "") for v in values], pa.large_string())
 
 
 def format_conversations(turns: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -95,7 +116,7 @@ def format_conversations(turns: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Da
                     size += 4 * len(texts[stop] or "") + 4 * len(roles[stop] or "")
                     stop += 1
                 kinds = roles[at:stop]
-                body, row, begins = assemble([_escaped(kinds), _escaped(texts[at:stop])], [START, MIDDLE, END])
+                body, row, begins = assemble([_escaped(kinds, escape_role), _escaped(texts[at:stop])], [START, MIDDLE, END])
                 own = ids[at:stop]
                 cuts = [0] + [i for i in range(1, len(own)) if own[i] != own[i - 1]] + [len(own)]
                 numbers, first, last = [], [], []
@@ -150,15 +171,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
                     state = [row["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 text, raw = row["formatted"], row["formatted"].encode()
                 state[5] += len(text)
-                at = 0
-                for m in _TURN.finditer(text):
-                    if m.start() != at:
-                        raise ValueError("bytes between turns")
-                    at = m.end()
+                for role, said in turns_of(text):
                     state[1] += 1
-                    state[2].update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
-                if at != len(text):
-                    raise ValueError("bytes after the last turn")
+                    state[2].update(f"{role}\n{said}\n".encode())
                 for a, b in zip(row["loss_start"], row["loss_end"]):
                     spoken = unescape(raw[a:b].decode())
                     state[3] += len(spoken)

@@ -119,6 +119,16 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_chat_roles_of_several_lines(spark):
+    turns = [("user\nsystem", "hi"), ("a\\n\nb", "\\n"), ("<|im_end|>\n", "x\ny"), ("\\<\\|", ""), ("plain", "t"), ("", "")]
+    for role, _ in turns:
+        assert chat.unescape_role(chat.escape_role(role)) == role and "\n" not in chat.escape_role(role)
+    df = spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    formatted = "".join(r.formatted for r in chat.format_conversations(df).collect())
+    assert list(chat.turns_of(formatted)) == turns
+    assert chat.read_back(chat.format_conversations(df)).first().n_turns == len(turns)
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((300, 16)) * rng.uniform(0.5, 2, (300, 1))
@@ -322,13 +332,55 @@ def test_revisits(spark):
     assert revisits.resolve(df.limit(0)).count() == 0
 
 
+def test_revisits_with_ties_and_repeats(spark):
+    rows = [
+        ("b", "response", "http://ex.org/a", "2024-01-01 00:00:00", 'HTTP/1.1 200 OK\r\nETag: "1"', "first"),
+        ("c", "response", "http://ex.org/a", "2024-01-01 00:00:00", 'HTTP/1.1 200 OK\r\nETag: "1"', "same date"),
+        ("c", "response", "http://ex.org/a", "2024-01-01 00:00:00", 'HTTP/1.1 200 OK\r\nETag: "1"', "same date"),
+        ("v", "revisit", "http://ex.org/a", "2024-01-01 00:00:00", 'HTTP/1.1 304\r\nETag: "1"', None),  # not later
+        ("w", "revisit", "http://ex.org/a", "2024-01-01 00:00:01", 'HTTP/1.1 304\r\nETag: "1"', None),
+        ("w", "revisit", "http://ex.org/a", "2024-01-01 00:00:01", 'HTTP/1.1 304\r\nETag: "1"', None),  # repeated
+        ("x", "revisit", "http://ex.org/a", "2024-03-01 00:00:00", 'HTTP/1.1 304\r\nETag: "1"', None),  # many hours later
+        ("y", "revisit", "", "2024-03-01 00:00:00", 'HTTP/1.1 304\r\nETag: "1"', None),
+    ]
+    df = spark.createDataFrame(rows, "record_id string, warc_type string, target_uri string, warc_date string, http_headers string, payload string").withColumn("warc_date", F.to_timestamp("warc_date"))
+    got = sorted((r.record_id, r.outcome, r.response_id, r.payload) for r in revisits.resolve(df).collect())
+    assert [g[:2] for g in got] == [("v", "no_response"), ("w", "resolved"), ("w", "resolved"), ("x", "resolved"), ("y", "no_response")]
+    # Of responses of one date the greatest record id is taken, by every revisit alike.
+    assert {g[2:] for g in got if g[1] == "resolved"} == {("c", "same date")}
+
+
+def test_toxicity_held_out_rows(spark):
+    from tessera.llm.queries import op2_toxicity
+
+    sf = "/root/testdata/sf0.1"
+    truth = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    r = op2_toxicity(spark, sf).where("held_out").join(truth, "doc_id").agg(
+        F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))).alias("caught"), F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("alarms")
+    ).first()
+    assert r.caught > 0.75 and r.alarms < 0.02
+
+
+def test_toxicity_of_repeated_and_long_rows(spark, docs):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=40)) + (" nasty vile" if i % 8 == 0 else ""), int(i % 8 == 0)) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    out, name = toxicity.score(docs.select("doc_id", "text").union(spark.createDataFrame([(70, "vile " * 60_000), (70, "vile " * 60_000)], "doc_id long, text string")), model)
+    got = [(r.doc_id, r[name]) for r in out.collect()]
+    assert len(got) == docs.count() + 2 and all(0 <= v <= 1 for _, v in got)
+    assert len({v for i, v in got if i == 70}) == 1 and len({v for i, v in got if i == 1}) == 1  # equal texts score alike
+    assert dict(got)[70] > dict(got)[5]
+
+
 def test_sql_of_the_subpackage(spark):
     import duckdb
 
     from tessera.llm.queries import QUERIES, SQL
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, text in SQL.items():
         df = QUERIES[name](spark, SF)
@@ -361,3 +413,15 @@ def test_pipeline_judges_rows_without_an_id(spark):
     assert kept.columns == docs.columns
     key = lambda r: (str(r[0]), str(r[1]))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted((r for r in rows if item not in (r[1] or "")), key=key)
+
+
+def test_join_unique_with_a_hot_key(spark):
+    from tessera.llm.common import join_unique
+
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("is_hot"))
+    table = spark.range(0, 9000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = join_unique(rows, table, ["k"])
+    assert got.count() == 9000 and got.where("v IS NOT NULL AND v != 2 * k").count() == 0
+    want = rows.join(table, "k", "left")
+    assert got.select("k", "is_hot", "v").exceptAll(want.select("k", "is_hot", "v")).count() == 0
+    assert join_unique(rows.limit(0), table, ["k"]).count() == 0 and join_unique(rows, table.limit(0), ["k"]).where("v IS NULL").count() == 9000
