@@ -45,6 +45,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_unique(rows: DataFrame, table: DataFrame, keys: list[str], share: float = 1e-4) -> DataFrame:
+    """Left join of ``rows`` to a table with one row a key, where any key may hold a third of
+    the rows. Keys with at least ``share`` of all rows are at most 1 / ``share`` (10,000): their
+    part of the table is broadcast, so their rows stay where they are; the others are joined
+    by an exchange. Both are best read from written tables, as they are read twice."""
+    times = rows.groupBy(*keys).count()
+    total = times.agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
+    hot = written(times.where(F.col("count") >= F.greatest(F.lit(64), F.ceil(total * F.lit(share)))).select(*keys), "hot-keys")
+    mark = fresh([*rows.columns, *table.columns], "is_hot")
+    few = F.broadcast(hot.withColumn(mark, F.lit(True)))
+    values = F.broadcast(written(table.join(F.broadcast(hot), keys, "left_semi"), "hot-values"))
+    marked = rows.join(few, keys, "left")
+    warm = marked.where(F.col(mark)).drop(mark).join(values, keys, "left")
+    cold = marked.where(F.col(mark).isNull()).drop(mark).join(table, keys, "left")
+    return warm.unionByName(cold)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True where crc32 of the id as text is divisible by 5; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
