@@ -100,7 +100,7 @@ def test_histogram_bins(spark):
     assert sum(got.values()) == 11 and got[9] == 2 and len(got) == 10
 
 
-SKIP_PLAN = {"stream_create_only", "stream_mail_stats", "stream_mail_edges", "train_score_gbt", "oof_predictions", "gbt_importance_report", "oof_auc_mean"}
+SKIP_PLAN = {"train_patience", "split_count_report", "keep_list_refit", "stream_create_only", "stream_mail_stats", "stream_mail_edges", "train_score_gbt", "oof_predictions", "gbt_importance_report", "oof_auc_mean"}
 
 
 def test_no_python_in_any_query_plan(spark):
