@@ -6,6 +6,8 @@ only distinct contents without a stored count are encoded, once each, and append
 
 Contents meet by digest: a task first drops the repeats it has itself, so a text held by a
 third of all rows is sent once a task, and after the exchange each digest is encoded once.
+Rows then get their counts by digest; digests of many rows get them in place, from a
+broadcast of bounded size.
 Normalising turns null into empty and nothing else, since anything more would change
 tokens.
 
@@ -20,14 +22,14 @@ every distinct text is encoded.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, grouped_by_bytes, run_folder
+from tessera.llm.common import bounded_batches, grouped_by_bytes, join_unique, run_folder, written
+from tessera.llm.packing import encoder
 
 OVER = 512
 _CACHE = "digest binary, version string, n_tokens long"
@@ -65,16 +67,11 @@ def encode_misses(contents: DataFrame, known: DataFrame, tokenizer: str, version
     """(digest, version, n_tokens) of the distinct contents that ``known`` lacks."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_str(tokenizer)
-        tok.no_truncation()
-        tok.no_padding()
+        tokens = encoder(tokenizer)
         for batch in _once(batches):
             digests, texts, counts = batch.column(0), batch.column(1).to_pylist(), []
             for part in grouped_by_bytes(texts, 256, 1 << 20):
-                counts += [len(e.ids) for e in tok.encode_batch_fast(texts[part], add_special_tokens=False)]
+                counts += [len(ids) for ids in tokens(texts[part])]
             yield pa.RecordBatch.from_arrays([digests, pa.array([version] * len(counts)), pa.array(counts, pa.int64())], ["digest", "version", "n_tokens"])
 
     local = contents.mapInArrow(_once, "digest binary, text string")
@@ -91,5 +88,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
     content = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(F.col(doc_id).alias("doc_id"), content.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
     encode_misses(keyed.select("digest", "text"), stored(spark, cache, version), tokenizer, version).write.mode("append").parquet(cache)
-    counted = keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")).join(stored(spark, cache, version), "digest", "left")
+    narrow = written(keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "token-digests")
+    counted = join_unique(narrow, stored(spark, cache, version), ["digest"])
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > over).alias("over_limit"))
