@@ -524,7 +524,7 @@ def _gappy_features(spark, sf_dir):
     return _order_features(spark, sf_dir).withColumn("price", F.when(missing, gap).otherwise(F.col("o_totalprice")))
 
 
-PATIENCE = {"params": GBT_PARAMS, "patience": 3, "max_rounds": 24, "block": 6}
+PATIENCE = {"params": GBT_PARAMS | {"stepSize": 0.5}, "patience": 2, "max_rounds": 16, "block": 8}
 NUMBERS, CODES = ["price", "order_year", "constant"], ["priority_code"]
 
 
@@ -771,7 +771,7 @@ def binary_files_labelled(spark, sf_dir):
     joined to labels by id."""
     path = _new_folder(spark, "page-files")
     pages = table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value"))
-    pages.write.partitionBy("page_id").text(path)
+    pages.repartition("page_id").write.partitionBy("page_id").text(path)
     found = files.read_image_folder(spark, path, ".txt").drop("id")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("label"))
     return label_files(found, labels, "page_id").select("page_id", "label", "length", F.sha2("content", 256).alias("sha256"))
