@@ -87,12 +87,14 @@ def codewords(k: int, seed: int = 7) -> np.ndarray:
 
 
 def fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 250, rate: float = 0.5, decay: float = 1e-5):
-    """Logistic regression for all bits at once (Adam, full batch). y: rows x bits of +1/-1."""
-    w, b = np.zeros((x.shape[1], y.shape[1])), np.zeros(y.shape[1])
+    """Logistic regression for all bits at once (Adam, full batch). y: rows x bits of +1/-1.
+    All in single precision, as ``x`` and ``y`` are."""
+    w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
+    back = np.ascontiguousarray(x.T)
     m, v = [np.zeros_like(w), np.zeros_like(b)], [np.zeros_like(w), np.zeros_like(b)]
     for t in range(1, steps + 1):
         pull = -y / (1 + np.exp(np.clip(y * (x @ w + b), -30, 30))) / len(x)
-        for p, g, i in ((w, x.T @ pull + decay * w, 0), (b, pull.sum(0), 1)):
+        for p, g, i in ((w, back @ pull + decay * w, 0), (b, pull.sum(0), 1)):
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.999 * v[i] + 0.001 * g * g
             p -= rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
