@@ -35,6 +35,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from html import escape
 from html.parser import HTMLParser
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -222,15 +223,20 @@ class WordSlots(dict):
 def block_vectors(blocks: list[Block], paths: dict, words: WordSlots) -> np.ndarray:
     """Hashed path, hashed bag of all words (scaled to length one where there are many),
     and lengths."""
-    x = np.zeros((len(blocks), PATH_DIM + WORD_DIM + 4), np.float32)
-    for row, (path, text, linked) in zip(x, blocks):
-        row[:PATH_DIM] = path.hashed(paths)
-        tokens = text.lower().split()
-        bag = np.bincount([words[w] for w in tokens], minlength=2 * WORD_DIM)
-        signed = (bag[:WORD_DIM] - bag[WORD_DIM:]).astype(np.float64)
-        row[PATH_DIM:-4] = signed / max(8.0, float(signed @ signed) ** 0.5)
-        size = len(text)
-        row[-4:] = np.log1p(size) / 8, np.log1p(len(tokens)) / 6, linked / max(size, 1), 1.0
+    n = len(blocks)
+    x = np.zeros((n, PATH_DIM + WORD_DIM + 4), np.float32)
+    if not n:
+        return x
+    x[:, :PATH_DIM] = [path.hashed(paths) for path, _, _ in blocks]
+    tokens = [text.lower().split() for _, text, _ in blocks]
+    many = np.array([len(t) for t in tokens])
+    slots = np.fromiter(map(words.__getitem__, chain.from_iterable(tokens)), np.int64, int(many.sum()))
+    bag = np.bincount(np.repeat(np.arange(n) * (2 * WORD_DIM), many) + slots, minlength=n * 2 * WORD_DIM).reshape(n, -1)
+    signed = (bag[:, :WORD_DIM] - bag[:, WORD_DIM:]).astype(np.float32)
+    x[:, PATH_DIM:-4] = signed / np.maximum(8.0, np.sqrt((signed * signed).sum(1)))[:, None]
+    sizes = np.array([len(text) for _, text, _ in blocks])
+    x[:, -4], x[:, -3] = np.log1p(sizes) / 8, np.log1p(many) / 6
+    x[:, -2], x[:, -1] = np.array([linked for _, _, linked in blocks]) / np.maximum(sizes, 1), 1.0
     return x
 
 
