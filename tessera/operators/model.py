@@ -6,17 +6,23 @@ distributed counterpart (same job, its own scores). Parameter mapping: learning
 ``featureSubsetStrategy``; min rows per leaf -> ``minInstancesPerNode``; leaves ->
 ``maxDepth`` with 2^depth >= leaves; early stopping -> ``validationIndicatorCol`` +
 ``validationTol``.
+
+Above ``MOST_ROWS`` training rows, rows that no split can tell apart (same bins, label and
+validation mark) are fitted as weighted rows, so the rounds cost no more than with that many
+rows where bins repeat. Every row counts, with its weight; numbers are cut at quantiles, by a
+stage of the fitted pipeline, as trees do on their own.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +65,79 @@ PARAMETER_SETS = {
 }
 
 
+#: More training rows than these are condensed.
+MOST_ROWS = 1 << 20
+WEIGHT = "_weight"
+
+
+def quantile_cuts(df: DataFrame, columns: Sequence[str], max_bins: int) -> dict[str, list[float]]:
+    """Upper ends of at most ``max_bins`` bins for each column with more values than that;
+    NULL and NaN are in none."""
+    if not columns:
+        return {}
+    values = [F.col(f"`{c}`").cast("double") for c in columns]
+    known = [F.when(~F.isnan(v), v) for v in values]
+    shares = [i / max_bins for i in range(1, max_bins + 1)]
+    found = df.agg(*[F.approx_count_distinct(v) for v in known], *[F.percentile_approx(v, shares, 10_000) for v in known]).first()
+    return {c: sorted(set(found[len(columns) + i])) for i, c in enumerate(columns) if found[i] > max_bins}
+
+
+def cut_sql(number: str, cuts: Sequence[float]) -> str:
+    """SQL that gives each number the upper end of its bin (the last one above it, too)."""
+    literal = [f"CAST('{x!r}' AS DOUBLE)" for x in cuts]
+    return f"CASE WHEN {number} IS NULL OR isnan({number}) THEN {number} {' '.join(f'WHEN {number} <= {x} THEN {x}' for x in literal)} ELSE {literal[-1]} END"
+
+
+def weighted(df: DataFrame, n: int, most: int) -> DataFrame:
+    """The ``n`` rows of ``df`` as distinct rows with a weight. A weight stands for at most
+    n / ``most`` rows, so that bagging still draws small shares of equal rows."""
+    unit = -(-n // most)
+    grouped = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_pieces", F.ceil(F.col("_n") / F.lit(unit)))
+    pieces = grouped.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pieces") - 1)))
+    weight = F.expr("(_n * (_piece + 1)) div _pieces - (_n * _piece) div _pieces").cast("double")
+    return written(pieces.select(*df.columns, weight.alias(WEIGHT)).repartition(df.sparkSession.sparkContext.defaultParallelism), "weighted")
+
+
+def weighted_params(params: dict, n: float) -> dict:
+    """Parameters for weighted rows of total weight ``n``: the least rows of a leaf are a share."""
+    least = params.get("minInstancesPerNode", 1)
+    return {**params, "minInstancesPerNode": 1, "minWeightFractionPerNode": min(0.49, least / max(n, 1.0)), "weightCol": WEIGHT}
+
+
+@dataclass(frozen=True)
+class Ready:
+    """Training rows and the stages that make their inputs; ``n`` is their weight, if weighted."""
+
+    rows: DataFrame
+    inputs: list[str]
+    stages: list
+    n: float | None = None
+
+
+def ready(df: DataFrame, features: Sequence[str], keys: Sequence[str], valid_col: str | None = None, max_bins: int = 32) -> Ready:
+    """``df`` for fits on ``features``, condensed if it has more than ``MOST_ROWS`` rows."""
+    n = df.count()
+    if n <= MOST_ROWS:
+        return Ready(df, list(features), [])
+    cuts = quantile_cuts(df, features, max_bins)
+    parts = [f"{cut_sql(f'CAST(`{c}` AS DOUBLE)', x)} AS `_bin_{c}`" for c, x in cuts.items()]
+    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")] if parts else []
+    inputs = [f"_bin_{c}" if c in cuts else c for c in features]
+    binned = stages[0].transform(df) if stages else df
+    rows = weighted(binned.select(*keys, *inputs), n, MOST_ROWS)
+    learnt = rows.where(~F.col(f"`{valid_col}`")) if valid_col else rows
+    return Ready(rows, inputs, stages, learnt.agg(F.coalesce(F.sum(WEIGHT), F.lit(0.0))).first()[0])
+
+
+def fit_ready(data: Ready, label: str, params: dict | None = None, validation_col: str | None = None) -> PipelineModel:
+    own = params or gbt_params()
+    assembler = VectorAssembler(inputCols=data.inputs, outputCol="features", handleInvalid="keep")
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, **(own if data.n is None else weighted_params(own, data.n)))
+    if validation_col:
+        gbt = gbt.setValidationIndicatorCol(validation_col)
+    return PipelineModel([*data.stages, *Pipeline(stages=[assembler, gbt]).fit(data.rows).stages])
+
+
 def train(
     df: DataFrame,
     features: Sequence[str],
@@ -67,11 +146,9 @@ def train(
     validation_col: str | None = None,
 ) -> PipelineModel:
     """Assemble features, fit boosted trees (early stop on ``validation_col`` rows)."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, **(params or gbt_params()))
-    if validation_col:
-        gbt = gbt.setValidationIndicatorCol(validation_col)
-    return Pipeline(stages=[assembler, gbt]).fit(df)
+    keys = [label, *([validation_col] if validation_col else [])]
+    data = ready(df, features, keys, validation_col, (params or {}).get("maxBins", 32))
+    return fit_ready(data, label, params, validation_col)
 
 
 def score(model: PipelineModel, df: DataFrame, id_col: str, out_col: str = "score") -> DataFrame:
@@ -134,9 +211,10 @@ def compare_sets(
     marked = df.withColumns({"_is_test": hash_unit(id_col, seed) < F.lit(test_share), "_is_valid": hash_unit(id_col, seed + 1) < F.lit(valid_share)})
     marked = written(marked, "parameter-sets")
     test = marked.where("_is_test")
+    data = ready(marked.where("not _is_test"), features, [label, "_is_valid"], "_is_valid", max(s.get("maxBins", 32) for s in sets.values()))
 
     def one(item: tuple[str, dict]) -> DataFrame:
-        model = train(marked.where("not _is_test"), features, label, item[1], validation_col="_is_valid")
+        model = fit_ready(data, label, item[1], validation_col="_is_valid")
         scored = model.transform(test).select(label, vector_to_array("probability")[1].alias("score"))
         return auc_exact(scored, label, "score").select(F.lit(item[0]).alias("name"), "auc")
 

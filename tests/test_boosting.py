@@ -105,3 +105,19 @@ def test_shuffled_labels_teach_nothing(spark, rows):
 def test_held_out_rows_are_needed(spark, rows):
     with pytest.raises(ValueError):
         X.fit(rows, rows.limit(0), "label", ["x"], [], PARAMS, patience=2, max_rounds=2)
+
+
+def test_compared_sets_share_the_weighted_rows(spark, rows, monkeypatch):
+    from tessera.operators import model as M
+
+    data = rows.select("id", "label", F.col("id").cast("double").alias("x"), (F.col("code").cast("int") % 3).alias("c"))
+    sets = {"a": M.gbt_params(leaves=8, min_rows=30, rounds=4, learning_rate=0.3), "b": M.gbt_params(leaves=4, min_rows=10, rounds=4, learning_rate=0.3)}
+    want = {r.name: r.auc for r in M.compare_sets(data, ["x", "c"], "label", "id", sets).collect()}
+    made, seen = [], M.weighted
+    monkeypatch.setattr(M, "MOST_ROWS", 100)
+    monkeypatch.setattr(M, "weighted", lambda *a: made.append(seen(*a)) or made[-1])
+    got = {r.name: r.auc for r in M.compare_sets(data, ["x", "c"], "label", "id", sets).collect()}
+    assert len(made) == 1 and made[0].agg(F.max(M.WEIGHT)).first()[0] <= 24
+    assert all(abs(got[k] - want[k]) < 0.08 for k in sets), (got, want)
+    model = M.train(data, ["x", "c"], "label", sets["a"] | {"seed": 1})
+    assert M.score(model, data, "id").where("score between 0 and 1").count() == data.count()
