@@ -9,6 +9,8 @@
   its ``max_codes`` most frequent values; all others, unseen ones and NULL share one code.
 * A missing number (NULL or NaN) is filled with a constant, and a column of its own tells
   filled rows apart, for every column that has a missing value in training.
+* Above ``model.MOST_ROWS`` training rows, equal vectors are fitted, and their loss taken, as
+  weighted rows, and numbers are cut at quantiles (see ``model``).
 * Importances are split counts, read from the fitted ensemble's node table.
 
 The encoding is a pipeline of standard Spark ML stages, so a fitted model is saved and loaded
@@ -29,6 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import model as M
 from tessera.operators.model import gbt_params
 from tessera.session import checkpoint_dir, written
 
@@ -74,14 +77,18 @@ def missing_columns(df: DataFrame, numeric: Sequence[str]) -> list[str]:
     return [c for i, c in enumerate(numeric) if counts[i]]
 
 
-def encoding(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), max_codes: int = 1000, fill: float = 0.0) -> tuple[PipelineModel, list[str]]:
+def encoding(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), max_codes: int = 1000, fill: float = 0.0, max_bins: int | None = None) -> tuple[PipelineModel, list[str]]:
     """Stages that turn rows into feature vectors with nominal attributes, and the column
-    behind each place of the vector."""
+    behind each place of the vector. With ``max_bins``, numbers are cut into that many bins."""
     codes = frequent_codes(df, categorical, max_codes)
     coded = [c for c in categorical if codes[c]]  # a column without any value says nothing
     gaps = missing_columns(df, numeric)
     number = lambda c: f"CAST(`{c}` AS DOUBLE)"
-    parts = [f"coalesce(nanvl({number(c)}, NULL), CAST({fill!r} AS DOUBLE)) AS `_number_{c}`" for c in numeric]
+    filled = {c: f"coalesce(nanvl({number(c)}, NULL), CAST({fill!r} AS DOUBLE))" for c in numeric}
+    if max_bins:
+        cuts = M.quantile_cuts(df.select(*[F.expr(x).alias(c) for c, x in filled.items()]), numeric, max_bins)
+        filled |= {c: M.cut_sql(filled[c], x) for c, x in cuts.items()}
+    parts = [f"{filled[c]} AS `_number_{c}`" for c in numeric]
     parts += [f"CAST({number(c)} IS NULL OR isnan({number(c)}) AS DOUBLE) AS `_missing_{c}`" for c in gaps]
     parts += [f"CAST(`{c}` AS STRING) AS `_text_{c}`" for c in coded]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
@@ -138,13 +145,19 @@ def fit(
     fill: float = 0.0,
 ) -> Boosted:
     """Fit until ``valid`` has not improved for ``patience`` rounds, keep the best prefix."""
-    encoder, columns = encoding(train, numeric, categorical, max_codes, fill)
+    own = {k: v for k, v in (params or gbt_params()).items() if k != "maxIter"}
+    n = train.count()
+    many = n > M.MOST_ROWS
+    encoder, columns = encoding(train, numeric, categorical, max_codes, fill, own.get("maxBins", 32) if many else None)
     target = F.col(f"`{label}`").cast("double").alias("_label")
-    rows = written(encoder.transform(train).select(target, VECTOR), "boost-train")
-    held = written(encoder.transform(valid).select(target, VECTOR), "boost-valid")
+    rows, held = (encoder.transform(df).select(target, VECTOR) for df in (train, valid))
+    if many:
+        rows, held = M.weighted(rows, n, M.MOST_ROWS), M.weighted(held, n, M.MOST_ROWS)
+        own = M.weighted_params(own, float(n))
+    else:
+        rows, held = written(rows, "boost-train"), written(held, "boost-valid")
     if held.isEmpty():
         raise ValueError("patience needs held-out rows")
-    own = {k: v for k, v in (params or gbt_params()).items() if k != "maxIter"}
     own["maxBins"] = max(own.get("maxBins", 32), _arity(rows))
     rounds = min(max_rounds, block or 2 * patience)
     while True:

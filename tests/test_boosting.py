@@ -107,6 +107,23 @@ def test_held_out_rows_are_needed(spark, rows):
         X.fit(rows, rows.limit(0), "label", ["x"], [], PARAMS, patience=2, max_rounds=2)
 
 
+def test_many_rows_are_fitted_as_weighted_rows(spark, rows, monkeypatch):
+    """Above a number of rows, equal ones are one row with a weight; none is left out."""
+    from tessera.operators import model as M
+
+    train, held = rows.where("not held"), rows.where("held")
+    plain = X.fit(train, held, "label", ["x"], ["code"], PARAMS, patience=3, max_rounds=6)
+    fits, n = [], train.count()
+    seen = M.weighted
+    monkeypatch.setattr(M, "MOST_ROWS", 200)
+    monkeypatch.setattr(M, "weighted", lambda *a: fits.append(seen(*a)) or fits[-1])
+    many = X.fit(train, held, "label", ["x"], ["code"], PARAMS, patience=3, max_rounds=6)
+    assert fits[0].count() < n and fits[0].agg(F.sum(M.WEIGHT)).first()[0] == n and fits[1].agg(F.sum(M.WEIGHT)).first()[0] == held.count()
+    assert many.rounds >= 3 and abs(min(many.losses) - min(plain.losses)) < 0.05
+    auc = auc_exact(X.score(many, held, "label"), "label", "score").first()["auc"]
+    assert auc > auc_exact(X.score(plain, held, "label"), "label", "score").first()["auc"] - 0.03
+
+
 def test_compared_sets_share_the_weighted_rows(spark, rows, monkeypatch):
     from tessera.operators import model as M
 
