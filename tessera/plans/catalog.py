@@ -771,10 +771,11 @@ def binary_files_labelled(spark, sf_dir):
     joined to labels by id."""
     path = _new_folder(spark, "page-files")
     pages = table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value"))
-    pages.repartition("page_id").write.partitionBy("page_id").text(path)
-    found = files.read_image_folder(spark, path, ".txt").drop("id")
+    sinks.write_key_files(pages, path, "page_id", "page.txt")
+    found = files.read_image_folder(spark, path, ".txt").select("page_id", "length", F.sha2("content", 256).alias("sha256"))
+    found = found.coalesce(16 * spark.sparkContext.defaultParallelism)  # by default a task for each 32 files, however small
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("label"))
-    return label_files(found, labels, "page_id").select("page_id", "label", "length", F.sha2("content", 256).alias("sha256"))
+    return label_files(found, labels, "page_id").select("page_id", "label", "length", "sha256")
 
 
 def machine_lines(customers):

@@ -1,11 +1,15 @@
-"""SNK1-SNK8: writers. All are distributed writes (one file per task, never per row)."""
+"""SNK1-SNK8: writers. All are distributed writes (one file per task, never per row, but for
+``write_key_files``, which makes the many files that SRC10 reads)."""
 
 from __future__ import annotations
 
 import gzip
+import itertools
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,46 @@ def write_text_lines(df: DataFrame, path: str, compression: str | None = None) -
     w.text(path)
 
 
+def write_key_files(df: DataFrame, path: str, key: str, name: str) -> None:
+    """A folder ``<key>=<value>`` for each value of a whole-number column (or null), named as
+    Spark's partitioned writers name it, with one file ``name``: the texts or bytes of the
+    key's rows (column ``value``), each ended by ``\\n``.
+
+    For many small files: the tasks write them through Arrow's file systems. Spark's writer goes
+    through Hadoop's, whose local one starts processes to set the rights of a folder or file
+    where Hadoop's native library is missing. A file gets its name when it is whole, so a task that
+    runs twice leaves one whole file; Spark's readers pass over names that begin with a dot.
+    """
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toUri().toString()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = pyarrow.fs.FileSystem.from_uri(uri)
+        rows = (row for b in batches for row in zip(b.column(key).to_pylist(), b.column("value")))
+        written = 0
+        for value, group in itertools.groupby(rows, key=lambda row: row[0]):
+            home = f"{root}/{key}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+            part, whole = f"{home}/.{name}-{uuid.uuid4().hex}", f"{home}/{name}"
+            files.create_dir(home)
+            with files.open_output_stream(part, compression=None) as out:
+                for _, data in group:
+                    if data.is_valid:
+                        out.write(data.as_buffer())
+                    out.write(b"\n")
+            try:
+                files.move(part, whole)
+            except OSError:  # some file systems replace no file: the one there is whole
+                if files.get_file_info(whole).type != pyarrow.fs.FileType.File:
+                    raise
+                files.delete_file(part)
+            written += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([written], pa.int64())})
+
+    rows = df.select(key, F.col("value").cast("binary").alias("value"))
+    rows.repartition(key).sortWithinPartitions(key).mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
+
+
 def write_json_records(df: DataFrame, path: str) -> None:
     """SNK2: JSON lines, one object per record (the record carries source file and row number)."""
     df.write.mode("overwrite").json(path)
