@@ -11,8 +11,10 @@ independent Poisson counts is one of the summed mean, so no rate is too large.
 
 Everything on the path is DataFrame functions. Source sizes are one pre-combined
 aggregate, so a source with a third of the rows costs one row a task; the table of
-cumulative probabilities has one row a source and is joined without a hint, and Spark
-decides by measured bytes. The one exchange of texts goes by a hash of the copy.
+cumulative probabilities has one row a source and is joined without a hint. It is written
+before, so that Spark plans the join by its measured bytes: texts travel by source only
+where the table is too large to be sent to the tasks. Else the one exchange of texts goes
+by a hash of the copy.
 
 Defined cases: a null source is a source of its own; null texts and sizes count 0; a
 source whose size is 0 has rate ``epochs``; sources without a target weight take weight 0
@@ -28,8 +30,9 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
-from tessera.llm.common import fresh
+from tessera.llm.common import fresh, written
 
 #: Largest mean of one draw, whose table has about 24 * sqrt(mean) rows.
 MAX_RATE = 1e6
@@ -95,6 +98,9 @@ def replicate(docs: DataFrame, size: Column, key: str = "doc_id", source: str =
     copy, order = fresh(docs.columns, "copy"), fresh(docs.columns, "shuffle_key")
     named = {"source": "__mix_source", "parts": "__mix_parts", "first": "__mix_first", "cdf": "__mix_cdf"}
     table = with_cdf(rates(docs, size, source, weights, epochs), most).select(*[F.col(k).alias(v) for k, v in named.items()])
+    if table.schema[0].dataType == NullType():  # which Parquet can't hold
+        table = table.withColumn("__mix_source", F.col("__mix_source").cast("string"))
+    table = written(table, "mix-table")
     # A row without an id is named by its place, so such rows neither draw nor travel together.
     own = "__mix_key"
     docs = docs.withColumn(own, F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row/"), F.monotonically_increasing_id().cast("string"))))
